@@ -97,7 +97,7 @@ def cardinality(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFr
     actual = _zero(F.col("actual"))
     over = F.greatest(actual - limits[F.col("pos")], F.lit(0)).cast("bigint")
     verdicts = F.create_map(*[F.lit(v) for p, r in rules for v in (p, "|".join(r.param("verdicts", ("", ""))))])
-    verdict = F.split(verdicts[F.col("pos")], r"\|").getItem(F.when(over > 0, 0).otherwise(1))
+    verdict = F.split(verdicts[F.col("pos")], r"\|")[F.when(over > 0, 0).otherwise(1)]
     return _with_empty(found, rules).select(
         "pos",
         actual.alias("evaluated"),
