@@ -83,7 +83,8 @@ def rule(rule_type: str, *columns: str, **options: Any) -> Rule:
     """Short form for rules written in code; unknown options become rule parameters."""
     known = {f for f in Rule.__dataclass_fields__ if f not in ("rule_type", "columns", "params")}
     own = {k: v for k, v in options.items() if k in known}
-    params = {k: v for k, v in options.items() if k not in known}
+    params = {k: v for k, v in options.items() if k not in known or k == "expected_value"}
+    own["expected_value"] = str(options.get("expected_value", ""))
     own.setdefault("rule_id", f"{'+'.join(columns) or '*'}.{rule_type}")
     own.setdefault("rule_name", own["rule_id"])
     own.setdefault("column_name", ",".join(columns) or "*")

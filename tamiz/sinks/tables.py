@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BOM = "﻿"
+BOM = "\ufeff"
 DATE_PARTS = ("year", "month", "day")
 
 
