@@ -165,7 +165,7 @@ def _names(spark, sf):
     "SELECT count(*) AS \"N\", sum(p_size)::BIGINT AS \"P_SIZE_TOTAL\" FROM part",
 )
 def _headers(spark, sf):
-    renamed = table(spark, sf, "part").select(F.col("p_partkey").alias("﻿ n "), F.col("p_size").alias(" p_size  total"))
+    renamed = table(spark, sf, "part").select(F.col("p_partkey").alias("\ufeff n "), F.col("p_size").alias(" p_size  total"))
     out = clean.normalise_headers(renamed)
     return out.agg(F.count("N").alias("N"), F.sum("P_SIZE_TOTAL").alias("P_SIZE_TOTAL"))
 
