@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tamiz.session import literal_rows
 
 FEW_VALUES = 1_000_000
-BUCKETS = 512
+# Buckets per group: BRANCH coarse ones of BRANCH fine ones each, so a lookup tests 2 * BRANCH edges, not all.
+BRANCH = 24
 
 
 def exact_quantiles(
@@ -37,17 +38,29 @@ def exact_quantiles(
     return _by_buckets(counts, group, probabilities)
 
 
-def _by_buckets(counts: DataFrame, group: str, probabilities: Sequence[float], buckets: int = BUCKETS) -> DataFrame:
+def _by_buckets(counts: DataFrame, group: str, probabilities: Sequence[float], branch: int = BRANCH) -> DataFrame:
     spark = counts.sparkSession
+    buckets = branch * branch
     cuts = [i / buckets for i in range(1, buckets)]
     sketched = counts.groupBy(group).agg(
         F.percentile_approx("v", F.array(*[F.lit(c) for c in cuts]), F.lit(buckets * 20)).alias("cuts")
     )
     # groups x buckets numbers: bounded by the number of columns profiled, whatever the table size.
-    fixed = [{"g": r[0], "cuts": sorted(set(r[1]))} for r in sketched.collect()]
-    edges = F.broadcast(literal_rows(spark, fixed, "g string, cuts array<double>"))
-    placed = counts.join(edges, counts[group] == edges["g"]).select(
-        group, "v", "n", F.size(F.filter("cuts", lambda c: c <= F.col("v"))).alias("bucket")
+    fixed = []
+    for name, edges in sketched.collect():
+        edges = sorted(set(edges))
+        fine = [edges[i : i + branch] for i in range(0, len(edges), branch)]
+        fixed.append({"g": name, "coarse": [part[0] for part in fine], "fine": fine})
+    lookup = F.broadcast(literal_rows(spark, fixed, "g string, coarse array<double>, fine array<array<double>>"))
+
+    def edges_upto(edges):
+        return F.size(F.filter(edges, lambda c: c <= F.col("v")))
+
+    placed = (
+        counts.join(lookup, counts[group] == lookup["g"])
+        .withColumn("part", edges_upto(F.col("coarse")))
+        .withColumn("within", F.when(F.col("part") > 0, edges_upto(F.get("fine", F.col("part") - 1))).otherwise(0))
+        .select(group, "v", "n", (F.col("part") * (branch + 1) + F.col("within")).alias("bucket"))
     )
     totals = placed.groupBy(group, "bucket").agg(F.sum("n").alias("n"))
     below = totals.select(

@@ -27,6 +27,7 @@ class Landed:
     path: str
     dump: str | None = None
     sep: str = ","
+    page_per_line: bool = False
 
 
 def _read(spark: SparkSession, what: Landed) -> tuple[DataFrame, int]:
@@ -35,10 +36,12 @@ def _read(spark: SparkSession, what: Landed) -> tuple[DataFrame, int]:
     if what.kind == "csv_sniffed":
         return read_csv_sniffed(spark, what.path).rows, 0
     if what.kind == "pages":
-        pages = reconcile_pages(read_pages(spark, what.path).pages).first()["pages_fetched"]
+        whole = not what.page_per_line
+        landed = read_pages(spark, what.path, whole)
+        pages = reconcile_pages(landed.pages).first()["pages_fetched"]
         if what.dump:
-            return read_pages_or_dump(spark, what.path, what.dump, what.sep)[0], pages
-        return read_pages(spark, what.path).records, pages
+            return read_pages_or_dump(spark, what.path, what.dump, what.sep, whole)[0], pages
+        return landed.records, pages
     raise ValueError(f"unknown landing kind: {what.kind!r}")
 
 

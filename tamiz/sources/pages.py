@@ -42,12 +42,13 @@ def _declared(schema: T.StructType) -> Column:
     return F.coalesce(*totals) if totals else F.lit(None).cast("bigint")
 
 
-def read_pages(spark: SparkSession, path: str) -> Pages:
+def read_pages(spark: SparkSession, path: str, multi_line: bool = True) -> Pages:
     """Records of all successful pages, unified by name, values as text; and one row per page for reconciliation.
 
-    A page is one small document, so each file is parsed whole.
+    A file is one page, small and parsed whole; with `multi_line` off it holds one page per line and is split.
     """
-    raw = spark.read.options(multiLine="true", primitivesAsString="true", recursiveFileLookup="true").json(path)
+    options = {"multiLine": str(multi_line).lower(), "primitivesAsString": "true", "recursiveFileLookup": "true"}
+    raw = spark.read.options(**options).json(path)
     schema = raw.schema
     records = _field(schema, "records")
     listed = records is not None and isinstance(records.dataType, T.ArrayType)
@@ -82,9 +83,11 @@ def reconcile_pages(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     return totals.withColumn("complete", whole & (F.col("failed_pages") == 0))
 
 
-def read_pages_or_dump(spark: SparkSession, pages_path: str, dump_path: str, sep: str = ",") -> tuple[DataFrame, str]:
+def read_pages_or_dump(
+    spark: SparkSession, pages_path: str, dump_path: str, sep: str = ",", multi_line: bool = True
+) -> tuple[DataFrame, str]:
     """The pages' records; the CSV dump instead when pages came empty although they declare rows."""
-    landed = read_pages(spark, pages_path)
+    landed = read_pages(spark, pages_path, multi_line)
     told = landed.pages.agg(F.sum("records").alias("n"), F.max("declared_total").alias("t")).first()
     if (told["n"] or 0) == 0 and (told["t"] or 0) > 0:
         return read_csv(spark, dump_path, sep=sep).rows, "csv_fallback"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tamiz.operators.quantiles import _by_buckets, exact_quantiles
+from tamiz.plans.profiling import profile_all
 from tamiz.profile import columns as rich
 from tamiz.profile import sections as s
 from workload.duck import TOKENS, missing
@@ -121,13 +122,13 @@ def _top_values(spark, sf):
     "profile_temporal",
     f"""WITH v AS ({DUCK_LINES}),
 y AS (SELECT DISTINCT CAST(ship_year AS BIGINT) AS a FROM v), m AS (SELECT DISTINCT CAST(ship_month AS BIGINT) AS a FROM v)
-SELECT 'lines' AS dataset, 'ship_year' AS variable, min(a) AS valor_minimo, max(a) AS valor_maximo, count(*) AS valores_distintos, 0 AS nulos,
+SELECT 'lines' AS dataset, 'ship_year' AS variable, min(a) AS valor_minimo, max(a) AS valor_maximo, count(*) AS valores_distintos, 0::BIGINT AS nulos,
   coalesce('[' || (SELECT string_agg(CAST(g AS VARCHAR), ', ' ORDER BY g) FROM range((SELECT min(a) FROM y), (SELECT max(a) + 1 FROM y)) r(g)
      WHERE g NOT IN (SELECT a FROM y)) || ']', 'ninguno') AS gaps_en_rango,
   coalesce('[' || (SELECT string_agg(CAST(a AS VARCHAR), ', ' ORDER BY a) FROM y WHERE a NOT BETWEEN 1996 AND 2000) || ']', 'ninguno') AS valores_fuera_rango_esperado,
   CASE WHEN (SELECT count(*) FROM y WHERE a NOT BETWEEN 1996 AND 2000) > 0 THEN 'REVISAR' ELSE 'OK' END AS alerta FROM y
 UNION ALL
-SELECT 'lines', 'ship_month', min(a), max(a), count(*), 0,
+SELECT 'lines', 'ship_month', min(a), max(a), count(*), 0::BIGINT,
   coalesce('[' || (SELECT string_agg(CAST(g AS VARCHAR), ', ' ORDER BY g) FROM range(1, 13) r(g) WHERE g NOT IN (SELECT a FROM m)) || ']', 'ninguno'),
   coalesce('[' || (SELECT string_agg(CAST(a AS VARCHAR), ', ' ORDER BY a) FROM m WHERE a NOT BETWEEN 1 AND 12) || ']', 'ninguno'),
   CASE WHEN count(*) < 12 THEN 'REVISAR' ELSE 'OK' END FROM m""",
@@ -395,6 +396,19 @@ def _summary(spark, sf):
     return rich.profile_summary(rich.column_profile(cut, "orders"), cut, "orders")
 
 
+@query(
+    "profile_all_datasets",
+    " UNION ALL ".join(
+        f"SELECT '{d}' AS dataset, '{c}' AS column_name, count(*) AS row_count, count(DISTINCT {c}) AS unique_count, "
+        f"min(length(CAST({c} AS VARCHAR))) AS min_length, max(length(CAST({c} AS VARCHAR))) AS max_length FROM {d}"
+        for d, c in (("nation", "n_nationkey"), ("nation", "n_name"), ("nation", "n_regionkey"), ("region", "r_regionkey"), ("region", "r_name"))
+    ),
+)
+def _all_datasets(spark, sf):
+    stacked = profile_all({name: table(spark, sf, name) for name in ("nation", "region")})
+    return stacked.select("dataset", "column_name", "row_count", "unique_count", "min_length", "max_length")
+
+
 _QUANTILES = """SELECT 'price' AS column_name, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS q2,
 quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem
 UNION ALL SELECT 'quantity', quantile_cont(l_quantity, 0.25), quantile_cont(l_quantity, 0.5), quantile_cont(l_quantity, 0.75) FROM lineitem"""
