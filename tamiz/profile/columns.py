@@ -200,7 +200,7 @@ def column_profile(
         _measures(annotated, indicators)
         .join(outliers, "column_name", "left")
         .join(_samples(counts, tokens, SAMPLES), "column_name", "left")
-        .join(top_values_json(counts.where(F.col("value").isNotNull() & ~F.col("value").isin(*tokens)), TOP, "column_name"), "column_name", "left")
+        .join(top_values_json(counts.where(~F.col("value").isin(*tokens)), TOP, "column_name"), "column_name", "left")
     )
     rows, here, numbers = F.col("row_count"), F.col("non_missing_count"), F.col("numeric_valid_count")
     unique_pct = percent(F.col("unique_count"), rows)

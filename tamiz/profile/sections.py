@@ -118,8 +118,8 @@ def top_values(counts: DataFrame, k: int = 10, label: str = "columna") -> DataFr
 
 
 def top_values_json(counts: DataFrame, k: int = 10, label: str = "columna") -> DataFrame:
-    """Per column: the top values as a JSON object in rank order, and their total count."""
-    top = top_values(counts, k, label)
+    """Per column: the top values (NULL is none) as a JSON object in rank order, and their total count."""
+    top = top_values(counts.where("value is not null"), k, label)
     ordered = F.sort_array(F.collect_list(F.struct("rank", "value", "n")))
     pairs = F.map_from_entries(F.transform(ordered, lambda t: F.struct(t["value"].alias("key"), t["n"].alias("value"))))
     return top.groupBy(label).agg(F.to_json(pairs).alias("top_values"), F.sum("n").alias("top_n"))
@@ -141,8 +141,7 @@ def categorical_profile(df: DataFrame, dataset: str, columns: Sequence[str], exa
     """Cardinality, top ten values and what they cover. One job for all columns."""
     names = [c for c in columns if c in df.columns]
     counts = value_counts(df, names)
-    valued = counts.where("value is not null")
-    top = top_values_json(valued)
+    top = top_values_json(counts)
     if exact:
         sizes = counts.groupBy("columna").agg(
             F.count("value").alias("cardinalidad_aprox"), F.sum("n").alias("n_rows")

@@ -19,15 +19,13 @@ from tamiz.session import literal_rows
 
 Numbered = Sequence[tuple[int, Rule]]
 
-_NO_FACTS = F.array().cast("array<string>")
-
 
 def _zero(total: Column) -> Column:
     return F.coalesce(total, F.lit(0)).cast("bigint")
 
 
 def _outcome(df: DataFrame, pos: int, evaluated: Column, failed: Column, *facts: Column) -> DataFrame:
-    texts = F.array(*facts).cast("array<string>") if facts else _NO_FACTS
+    texts = F.array(*facts).cast("array<string>")
     return df.select(
         F.lit(pos).alias("pos"), _zero(evaluated).alias("evaluated"), _zero(failed).alias("failed"), texts.alias("facts")
     )
@@ -40,96 +38,74 @@ def repeated_rows(df: DataFrame, pos: int, keys: Sequence[str]) -> DataFrame:
     return _outcome(totals, pos, F.col("rows"), F.col("extra"), F.format_number(_zero(F.col("extra")), 0))
 
 
-def _unpivot_pairs(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFrame:
-    pairs = []
-    for pos, rule in rules:
-        code, name = rule.columns
-        both = present(df, code, tokens) & present(df, name, tokens)
-        pairs.append(
-            F.when(
-                both,
-                F.struct(
-                    F.lit(pos).alias("pos"),
-                    column(code).cast("string").alias("code"),
-                    column(name).cast("string").alias("name"),
-                ),
-            )
-        )
-    return df.select(F.explode(F.array(*pairs)).alias("p")).where("p is not null").select("p.*")
-
-
-def code_name_consistency(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFrame:
-    """Rows whose code carries more than one name. All pairs in one pass: one shuffle of distinct (code, name)."""
-    names = _unpivot_pairs(df, rules, tokens).groupBy("pos", "code", "name").agg(F.count(F.lit(1)).alias("n"))
-    codes = names.groupBy("pos", "code").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("names"))
-    ambiguous = F.col("names") > 1
-    found = codes.groupBy("pos").agg(
-        F.sum("n").alias("evaluated"),
-        F.sum(F.when(ambiguous, F.col("n"))).alias("failed"),
-        F.count_if(ambiguous).alias("codes"),
-    )
-    return _with_empty(found, rules).select(
-        "pos",
-        _zero(F.col("evaluated")).alias("evaluated"),
-        _zero(F.col("failed")).alias("failed"),
-        F.array(_zero(F.col("codes")).cast("string")).alias("facts"),
-    )
+CELL_RULES = ("code_name_consistency", "cardinality_check", "cardinality_upper_bound", "temporal_coverage_check")
 
 
-def _with_empty(found: DataFrame, rules: Numbered) -> DataFrame:
-    """Keep the rules that met no evaluable row."""
-    declared = literal_rows(found.sparkSession, [{"pos": pos} for pos, _ in rules], "pos int")
-    return declared.join(found, "pos", "left")
+def _cell(df: DataFrame, pos: int, rule: Rule, tokens: Sequence[str]) -> Column:
+    """What one row contributes to one rule: (pos, a, b), or NULL where the rule does not look at the row."""
+    if rule.rule_type == "temporal_coverage_check":
+        a, b = (as_integer(df, c).cast("string") for c in rule.columns)
+    else:
+        a = column(rule.columns[0]).cast("string")
+        b = column(rule.columns[1]).cast("string") if len(rule.columns) > 1 else F.lit(None).cast("string")
+    seen = present(df, rule.columns[0], tokens)
+    for other in rule.columns[1:]:
+        seen = seen & present(df, other, tokens)
+    return F.when(seen, F.struct(F.lit(pos).alias("pos"), a.alias("a"), b.alias("b")))
 
 
-def cardinality(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFrame:
-    """Distinct present values against an expected count or a ceiling. All columns in one pass."""
-    cells = [
-        F.when(
-            present(df, rule.columns[0], tokens),
-            F.struct(F.lit(pos).alias("pos"), column(rule.columns[0]).cast("string").alias("value")),
-        )
-        for pos, rule in rules
-    ]
-    long = df.select(F.explode(F.array(*cells)).alias("c")).where("c is not null").select("c.*")
-    found = long.distinct().groupBy("pos").agg(F.count(F.lit(1)).alias("actual"))
-    limits = F.create_map(*[F.lit(v) for pos, rule in rules for v in (pos, int(rule.param("limit")))])
-    actual = _zero(F.col("actual"))
-    over = F.greatest(actual - limits[F.col("pos")], F.lit(0)).cast("bigint")
-    verdicts = F.create_map(*[F.lit(v) for p, r in rules for v in (p, "|".join(r.param("verdicts", ("", ""))))])
-    verdict = F.split(verdicts[F.col("pos")], r"\|")[F.when(over > 0, 0).otherwise(1)]
-    return _with_empty(found, rules).select(
-        "pos",
-        actual.alias("evaluated"),
-        over.alias("failed"),
-        F.array(actual.cast("string"), verdict).alias("facts"),
-    )
+def _per_rule(rules: Numbered, pick) -> Column:
+    """A per-rule constant, looked up by the rule's position."""
+    return F.create_map(*[v for pos, rule in rules for v in (F.lit(pos), F.lit(pick(rule)))])[F.col("pos")]
 
 
-def temporal_coverage(df: DataFrame, pos: int, rule: Rule, tokens: Sequence[str]) -> DataFrame:
-    """Years with fewer distinct months than expected, exception years aside."""
-    year, month = rule.columns
-    expected = int(rule.param("expected_months", 12))
-    exceptions = [int(y) for y in rule.param("exception_years", ())]
-    months = (
-        df.where(present(df, year, tokens) & present(df, month, tokens))
-        .select(as_integer(df, year).alias("ano"), as_integer(df, month).alias("mes"))
-        .distinct()
+def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFrame:
+    """All rules about distinct values in one pass over the table and one shuffle of distinct (rule, a, b).
+
+    code_name_consistency: rows whose code (a) carries several names (b). cardinality: distinct values (a) over the
+    limit. temporal_coverage: years (a) with fewer months (b) than expected, exception years aside.
+    """
+    cells = F.array_compact(F.array(*[_cell(df, pos, rule, tokens) for pos, rule in rules]))
+    distinct = df.select(F.explode(cells).alias("c")).select("c.*").groupBy("pos", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    groups = distinct.groupBy("pos", "a").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("pairs"), F.count("b").alias("members")
     )
-    years = months.groupBy("ano").agg(F.count("mes").alias("n_meses"))
-    # A year that is no number forms a group of its own, which no exception can name.
-    short = F.col("n_meses") < expected
-    if exceptions:
-        short = short & ~F.coalesce(F.col("ano").isin(*exceptions), F.lit(False))
-    listed = F.format_string("{'ano': %s, 'n_meses': %s}", F.col("ano").cast("string"), F.col("n_meses").cast("string"))
-    totals = years.agg(
-        F.count(F.lit(1)).alias("years"),
+    kind = _per_rule(rules, lambda r: r.rule_type)
+    expected = _per_rule(rules, lambda r: int(r.param("expected_months", 12)))
+    excepted = _per_rule(rules, lambda r: "," + ",".join(str(int(y)) for y in r.param("exception_years", ())) + ",")
+    many = F.col("pairs") > 1
+    # A year that is no number is a group of its own, which no exception can name.
+    short = (kind == "temporal_coverage_check") & (F.col("members") < expected)
+    short = short & ~F.coalesce(excepted.contains(F.concat(F.lit(","), F.col("a"), F.lit(","))), F.lit(False))
+    listed = F.format_string("{'ano': %s, 'n_meses': %s}", F.col("a"), F.col("members").cast("string"))
+    found = groups.groupBy("pos").agg(
+        F.sum("n").alias("rows"),
+        F.count(F.lit(1)).alias("groups"),
+        F.sum(F.when(many, F.col("n"))).alias("ambiguous_rows"),
+        F.count_if(many).alias("ambiguous"),
         F.count_if(short).alias("short"),
-        # One entry per year of the calendar, so the list is short by nature.
+        # One entry per short year of a calendar; other rules put nothing in.
         F.sort_array(F.collect_list(F.when(short, listed))).alias("which"),
     )
-    shown = F.when(F.size("which") > 0, F.concat(F.lit("["), F.array_join("which", ", "), F.lit("]")))
-    return _outcome(totals, pos, F.col("years"), F.col("short"), F.coalesce(shown, F.lit("ninguno")))
+    limit = _per_rule(rules, lambda r: int(r.param("limit", 0)))
+    over = F.greatest(_zero(F.col("groups")) - limit, F.lit(0))
+    verdict = F.when(over > 0, _per_rule(rules, lambda r: r.param("verdicts", ("", ""))[0])).otherwise(
+        _per_rule(rules, lambda r: r.param("verdicts", ("", ""))[1])
+    )
+    years = F.concat(F.lit("["), F.array_join("which", ", "), F.lit("]"))
+    pairs, coverage = kind == "code_name_consistency", kind == "temporal_coverage_check"
+    groups_seen = _zero(F.col("groups"))
+    # Rules that met no evaluable row have no group; they are kept with zero counts.
+    declared = literal_rows(df.sparkSession, [{"pos": pos} for pos, _ in rules], "pos int")
+    return declared.join(found, "pos", "left").select(
+        "pos",
+        F.when(pairs, _zero(F.col("rows"))).otherwise(groups_seen).alias("evaluated"),
+        F.when(pairs, _zero(F.col("ambiguous_rows"))).when(coverage, _zero(F.col("short"))).otherwise(over).cast("bigint").alias("failed"),
+        F.when(pairs, F.array(_zero(F.col("ambiguous")).cast("string")))
+        .when(coverage, F.array(F.when(F.size("which") > 0, years).otherwise("ninguno")))
+        .otherwise(F.array(groups_seen.cast("string"), verdict))
+        .alias("facts"),
+    )
 
 
 def _key_columns(df: DataFrame, names: Sequence[str], as_key: bool) -> list[Column]:
@@ -175,16 +151,7 @@ def reference(
     return _outcome(totals, pos, F.col("evaluated"), F.col("failed"))
 
 
-SET_RULES = (
-    "duplicate_full_rows",
-    "unique_key",
-    "code_name_consistency",
-    "cardinality_check",
-    "cardinality_upper_bound",
-    "temporal_coverage_check",
-    "referential_integrity",
-    "temporal_catalog_exists",
-)
+SET_RULES = (*CELL_RULES, "duplicate_full_rows", "unique_key", "referential_integrity", "temporal_catalog_exists")
 
 
 def evaluate_sets(
@@ -192,19 +159,14 @@ def evaluate_sets(
 ) -> list[DataFrame]:
     """Result frames of all set rules of one table. `catalog` resolves the tables that reference rules name."""
     parts: list[DataFrame] = []
-    pairs = [(p, r) for p, r in rules if r.rule_type == "code_name_consistency"]
-    counts = [(p, r) for p, r in rules if r.rule_type in ("cardinality_check", "cardinality_upper_bound")]
-    if pairs:
-        parts.append(code_name_consistency(df, pairs, tokens))
-    if counts:
-        parts.append(cardinality(df, counts, tokens))
+    cells = [(p, r) for p, r in rules if r.rule_type in CELL_RULES]
+    if cells:
+        parts.append(cell_rules(df, cells, tokens))
     for pos, rule in rules:
         if rule.rule_type == "duplicate_full_rows":
             parts.append(repeated_rows(df, pos, df.columns))
         elif rule.rule_type == "unique_key":
             parts.append(repeated_rows(df, pos, rule.columns))
-        elif rule.rule_type == "temporal_coverage_check":
-            parts.append(temporal_coverage(df, pos, rule, tokens))
         elif rule.rule_type in ("referential_integrity", "temporal_catalog_exists"):
             parent = (catalog or {})[rule.param("reference_dataset")]
             parts.append(

@@ -354,7 +354,7 @@ _CAST_NULLS = {"quantity": "quantity", "price": "price"}
     + f"""
 SELECT (SELECT count(*) FROM lineitem) AS bronze_rows, (SELECT count(*) FROM v) AS filtered_rows,
   (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM v) AS rows_filtered_out,
-  count(*) AS silver_rows, (SELECT count(*) FROM v) - count(*) AS duplicates_removed, 0 AS nulls_before,
+  count(*) AS silver_rows, (SELECT count(*) FROM v) - count(*) AS duplicates_removed, 0::BIGINT AS nulls_before,
   (SELECT count(*) FILTER (WHERE {_nulled('quantity')} IS NOT NULL AND {number('quantity')} IS NULL)
      + count(*) FILTER (WHERE {_nulled('price')} IS NOT NULL AND {number('price')} IS NULL) FROM v) AS conversion_errors,
   count(*) FILTER (WHERE quantity IS NULL) * 2 + count(*) FILTER (WHERE price IS NULL)
@@ -495,7 +495,7 @@ def _silver_survey_detail(spark, sf):
     _SURVEY_SQL
     + f""", raw AS ({DUCK_ORDERS})
 SELECT (SELECT count(*) FROM raw) AS bronze_rows, count(*) AS silver_rows, 12 AS bronze_columns, 16 AS silver_columns,
-  8 AS columns_converted, 1 AS date_columns_converted, 4 AS numeric_columns_converted, 1 AS columns_dropped, 'opening' AS dropped_columns,
+  8::BIGINT AS columns_converted, 1::BIGINT AS date_columns_converted, 4::BIGINT AS numeric_columns_converted, 1 AS columns_dropped, 'opening' AS dropped_columns,
   (SELECT count(*) FROM n WHERE amount IS NOT NULL AND {number('amount')} IS NULL)
    + (SELECT count(*) FROM n WHERE order_date IS NOT NULL AND {_date('order_date')} IS NULL)
    + (SELECT count(*) FROM n WHERE order_year IS NOT NULL AND {_whole('order_year')} IS NULL)
