@@ -7,14 +7,12 @@ itself, so every cast from text is guarded by a shape test first. The shapes als
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamiz.functions.text import column, strip
+from tamiz.functions.missing import text_sql
+from tamiz.functions.text import literal, quoted
 
 NUMBER_SHAPE = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 WHOLE_SHAPE = r"^[+-]?[0-9]{1,18}$"
@@ -28,72 +26,86 @@ DATE_FORMATS = (
     ("%Y/%m/%d", "yyyy/M/d", r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$"),
 )
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NUMERIC = (*_WHOLE, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def text_to_number(text: Column) -> Column:
+def text_number_sql(text: str) -> str:
     """Stripped text -> DOUBLE or NULL."""
-    return F.when(text.rlike(NUMBER_SHAPE), text.try_cast("double"))
+    return f"CASE WHEN {text} RLIKE {literal(NUMBER_SHAPE)} THEN try_cast({text} AS DOUBLE) END"
 
 
-def text_to_integer(text: Column) -> Column:
-    """Stripped text -> BIGINT or NULL; '12.0' and '1e3' are whole, '1.5' is not."""
-    number = text_to_number(text)
-    whole = F.when((number % 1 == 0) & (F.abs(number) < 9.0e18), number.cast("bigint"))
-    return F.when(text.rlike(WHOLE_SHAPE), text.try_cast("bigint")).otherwise(whole)
+def text_timestamp_sql(text: str, formats=DATE_FORMATS) -> str:
+    """Stripped text -> TIMESTAMP or NULL, by the layout whose shape fits (shapes are disjoint)."""
+    branches = " ".join(
+        f"WHEN {text} RLIKE {literal(shape)} THEN try_to_timestamp({text}, {literal(pattern)})" for _, pattern, shape in formats
+    )
+    return f"CASE {branches} END"
 
 
-def text_to_timestamp(text: Column, formats: Sequence[tuple[str, str, str]] = DATE_FORMATS) -> Column:
-    """Stripped text -> TIMESTAMP or NULL, by the first layout whose shape fits (shapes are disjoint)."""
-    branches = [(shape, F.try_to_timestamp(text, F.lit(pattern))) for _, pattern, shape in formats]
-    first_shape, first = branches[0]
-    return reduce(lambda acc, b: acc.when(text.rlike(b[0]), b[1]), branches[1:], F.when(text.rlike(first_shape), first))
+def _whole_sql(number: str) -> str:
+    return f"CASE WHEN {number} % 1 = 0 AND abs({number}) < 9.0E18D THEN CAST({number} AS BIGINT) END"
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    dtype, value = df.schema[name].dataType, column(name)
-    if isinstance(dtype, _NUMERIC):
-        return value.cast("double")
-    return text_to_number(strip(value.cast("string")))
+def number_sql(df: DataFrame, name: str) -> str:
+    if isinstance(df.schema[name].dataType, _NUMERIC):
+        return f"CAST({quoted(name)} AS DOUBLE)"
+    return f"({text_number_sql(text_sql(df, name))})"
 
 
-def as_integer(df: DataFrame, name: str) -> Column:
-    dtype, value = df.schema[name].dataType, column(name)
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return value.cast("bigint")
+def integer_sql(df: DataFrame, name: str) -> str:
+    """BIGINT or NULL; '12.0' and '1e3' are whole, '1.5' is not."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, _WHOLE):
+        return f"CAST({quoted(name)} AS BIGINT)"
+    whole = _whole_sql(number_sql(df, name))
     if isinstance(dtype, _NUMERIC):
-        number = value.cast("double")
-        return F.when((number % 1 == 0) & (F.abs(number) < 9.0e18), number.cast("bigint"))
-    return text_to_integer(strip(value.cast("string")))
+        return f"({whole})"
+    text = text_sql(df, name)
+    return f"(CASE WHEN {text} RLIKE {literal(WHOLE_SHAPE)} THEN try_cast({text} AS BIGINT) ELSE {whole} END)"
 
 
-def as_timestamp(df: DataFrame, name: str, formats=DATE_FORMATS) -> Column:
-    dtype, value = df.schema[name].dataType, column(name)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return value.cast("timestamp")
-    return text_to_timestamp(strip(value.cast("string")), formats)
+def timestamp_sql(df: DataFrame, name: str, formats=DATE_FORMATS) -> str:
+    if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return f"CAST({quoted(name)} AS TIMESTAMP)"
+    return f"({text_timestamp_sql(text_sql(df, name), formats)})"
 
 
-def cast_to(df: DataFrame, name: str, logical_type: str) -> Column:
-    """Column cast to a logical type: string, integer, long, double, decimal, decimal(p,s), datetime, boolean."""
-    kind = logical_type.strip().lower()
+def cast_sql(df: DataFrame, name: str, logical_type: str) -> str:
+    """SQL of a cast to a logical type: string, integer, long, double, decimal, decimal(p,s), datetime, boolean."""
+    kind, value = logical_type.strip().lower(), quoted(name)
     if kind in ("integer", "int"):
-        number = as_integer(df, name)
-        return F.when(number.between(-(2**31), 2**31 - 1), number.cast("int"))
+        number = integer_sql(df, name)
+        return f"CASE WHEN {number} BETWEEN -2147483648 AND 2147483647 THEN CAST({number} AS INT) END"
     if kind in ("long", "bigint"):
-        return as_integer(df, name)
+        return integer_sql(df, name)
     if kind in ("double", "float", "decimal"):
-        return as_number(df, name)
+        return number_sql(df, name)
     if kind.startswith("decimal("):
-        source = column(name)
-        if isinstance(df.schema[name].dataType, T.StringType):
-            source = strip(source)
-            return F.when(source.rlike(NUMBER_SHAPE), source.try_cast(kind))
-        return source.try_cast(kind)
+        if not isinstance(df.schema[name].dataType, T.StringType):
+            return f"try_cast({value} AS {kind})"
+        text = text_sql(df, name)
+        return f"CASE WHEN {text} RLIKE {literal(NUMBER_SHAPE)} THEN try_cast({text} AS {kind}) END"
     if kind in ("datetime", "timestamp", "date"):
-        return as_timestamp(df, name)
+        return timestamp_sql(df, name)
     if kind == "string":
-        return column(name).cast("string")
+        return f"CAST({value} AS STRING)"
     if kind in ("boolean", "bool"):
-        return column(name).try_cast("boolean")
+        return f"try_cast({value} AS BOOLEAN)"
     raise ValueError(f"unknown logical type: {logical_type!r}")
+
+
+def as_number(df: DataFrame, name: str) -> Column:
+    return F.expr(number_sql(df, name))
+
+
+def as_integer(df: DataFrame, name: str) -> Column:
+    return F.expr(integer_sql(df, name))
+
+
+def as_timestamp(df: DataFrame, name: str, formats=DATE_FORMATS) -> Column:
+    return F.expr(timestamp_sql(df, name, formats))
+
+
+def cast_to(df: DataFrame, name: str, logical_type: str) -> Column:
+    return F.expr(cast_sql(df, name, logical_type))

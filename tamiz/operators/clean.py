@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamiz.functions.casts import cast_to
-from tamiz.functions.missing import SILVER_TOKENS, is_token, text
-from tamiz.functions.text import column, header_name, name_text
+from tamiz.functions.casts import cast_sql, cast_to
+from tamiz.functions.missing import SILVER_TOKENS, is_token_sql, text_sql
+from tamiz.functions.text import column, header_name, literal, name_text, quoted
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -34,17 +34,28 @@ def tokens_to_null(df: DataFrame, tokens: Iterable[str] = SILVER_TOKENS, columns
     """Missing tokens become NULL in text columns; other values stay as they are."""
     names = [c for c in string_columns(df) if columns is None or c in columns]
     tokens = tuple(tokens)
-    return replace_columns(df, {c: F.when(~is_token(column(c), tokens), column(c)) for c in names})
+    return replace_columns(
+        df, {c: F.expr(f"CASE WHEN NOT {is_token_sql(quoted(c), tokens)} THEN {quoted(c)} END") for c in names}
+    )
+
+
+def special_value_sql(df: DataFrame, name: str, values: Iterable[Any]) -> str:
+    return f"{text_sql(df, name)} IN ({', '.join(literal(v) for v in values)})"
 
 
 def special_value(df: DataFrame, name: str, values: Iterable[Any]) -> Column:
-    return text(df, name).isin(*[str(v) for v in values])
+    return F.expr(special_value_sql(df, name, values))
 
 
 def special_values_to_null(df: DataFrame, values: Mapping[str, Iterable[Any]]) -> DataFrame:
     """Values that stand for 'none' in one column, such as date '0'."""
     return replace_columns(
-        df, {c: F.when(~special_value(df, c, v), column(c)) for c, v in values.items() if c in df.columns}
+        df,
+        {
+            c: F.expr(f"CASE WHEN NOT {special_value_sql(df, c, v)} THEN {quoted(c)} END")
+            for c, v in values.items()
+            if c in df.columns and list(v)
+        },
     )
 
 
@@ -75,9 +86,9 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return replace_columns(df, {c: cast_to(df, c, t) for c, t in types.items() if c in df.columns})
 
 
-def conversion_error(df: DataFrame, name: str, logical_type: str) -> Column:
-    """The value was there before the cast and is NULL after it."""
-    return column(name).isNotNull() & cast_to(df, name, logical_type).isNull()
+def conversion_error(df: DataFrame, name: str, logical_type: str) -> str:
+    """SQL condition: the value was there before the cast and is NULL after it."""
+    return f"({quoted(name)} IS NOT NULL AND ({cast_sql(df, name, logical_type)}) IS NULL)"
 
 
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamiz.functions.text import literal
+
 # Aggregation buffers per pass; operators with more than 100 fields lose whole-stage code generation.
 BUFFERS_PER_PASS = 90
 
@@ -20,29 +22,29 @@ def stack(frames: Sequence[DataFrame]) -> DataFrame:
 def per_column(
     df: DataFrame,
     columns: Sequence[str],
-    metrics: Callable[[str], Mapping[str, Column]],
+    metrics: Callable[[str], Mapping[str, str]],
     label: str = "column_name",
     cost: int | None = None,
 ) -> DataFrame:
     """One row per column: (label, n_rows, metrics...), from one aggregation per group of columns.
 
-    Each pass reads only its own columns, so the passes together read the table once. `cost` is the number of
-    aggregation buffers a column needs when that differs from its number of metrics.
+    `metrics` gives SQL aggregates by name. Each pass reads only its own columns, so the passes together read the table
+    once. `cost` is the number of aggregation buffers a column needs when that differs from its number of metrics.
     """
     if not columns:
         raise ValueError("no columns to measure")
-    width = max(1, BUFFERS_PER_PASS // max(1, cost or len(metrics(columns[0]))))
-
-    def one_pass(names: Sequence[str]) -> DataFrame:
-        aggregates, outputs = [F.count(F.lit(1)).alias("n_rows")], []
-        for i, name in enumerate(names):
-            named = metrics(name)
-            aggregates += [m.alias(f"m{i}_{alias}") for alias, m in named.items()]
-            fields = [F.col(f"m{i}_{alias}").alias(alias) for alias in named]
-            outputs.append(F.struct(F.lit(name).alias(label), F.col("n_rows"), *fields))
-        return df.agg(*aggregates).select(F.inline(F.array(*outputs)))
-
-    return stack([one_pass(columns[i : i + width]) for i in range(0, len(columns), width)])
+    measured = [(name, metrics(name)) for name in columns]
+    width = max(1, BUFFERS_PER_PASS // max(1, cost or len(measured[0][1])))
+
+    def one_pass(part: Sequence[tuple[str, Mapping[str, str]]]) -> DataFrame:
+        aggregates, rows = ["count(1) AS n_rows"], []
+        for i, (name, named) in enumerate(part):
+            aggregates += [f"{sql} AS m{i}_{alias}" for alias, sql in named.items()]
+            fields = "".join(f", {literal(alias)}, m{i}_{alias}" for alias in named)
+            rows.append(f"named_struct({literal(label)}, {literal(name)}, 'n_rows', n_rows{fields})")
+        return df.agg(*[F.expr(a) for a in aggregates]).selectExpr(f"inline(array({', '.join(rows)}))")
+
+    return stack([one_pass(measured[i : i + width]) for i in range(0, len(measured), width)])
 
 
 def side_by_side(frames: Sequence[DataFrame]) -> DataFrame:

@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.missing import SILVER_TOKENS
-from tamiz.functions.text import column, name_text
+from tamiz.functions.text import column, name_text, quoted
 from tamiz.operators import clean, dedup, derive
 from tamiz.operators.wide import per_column, side_by_side, stack
 from tamiz.session import literal_rows
 
-_LEDGER_ROW = "__kept"
+_KEPT = "__kept"
 
 
 # --- ledger flavour ------------------------------------------------------------------------------------------
@@ -136,16 +136,16 @@ def ledger_metrics(bronze: DataFrame, config: Mapping[str, Any], truncate_codes:
     master = (config.get("filtering") or {}).get("master_filter")
     kept = F.coalesce(column(master["column"]) == F.lit(master["value"]), F.lit(False)) if master else F.lit(True)
     flags = {f"__null_{i}": column(c).isNull() for i, c in enumerate(bronze.columns)}
-    staged = ledger_prepared(bronze.withColumns({_LEDGER_ROW: kept, **flags}), config, truncate_codes)
+    staged = ledger_prepared(bronze.withColumns({_KEPT: kept, **flags}), config, truncate_codes)
     types = ledger_types(bronze, config)
     position = {c: i for i, c in enumerate(bronze.columns)}
 
-    def metrics(name: str) -> dict[str, Column]:
-        wrong = clean.conversion_error(staged, name, types[name]) if name in types else F.lit(False)
+    def metrics(name: str) -> dict[str, str]:
+        wrong = clean.conversion_error(staged, name, types[name]) if name in types else "false"
         return {
-            "filtered_rows": F.count_if(F.col(_LEDGER_ROW)),
-            "nulls_before": F.count_if(F.col(f"__null_{position[name]}")),
-            "conversion_errors": F.count_if(F.col(_LEDGER_ROW) & wrong),
+            "filtered_rows": f"count_if({_KEPT})",
+            "nulls_before": f"count_if(__null_{position[name]})",
+            "conversion_errors": f"count_if({_KEPT} AND {wrong})",
         }
 
     return per_column(staged, bronze.columns, metrics)
@@ -153,7 +153,7 @@ def ledger_metrics(bronze: DataFrame, config: Mapping[str, Any], truncate_codes:
 
 def null_census(df: DataFrame) -> DataFrame:
     """NULLs of every column: (column_name, n_rows, nulls)."""
-    return per_column(df, df.columns, lambda c: {"nulls": F.count_if(column(c).isNull())})
+    return per_column(df, df.columns, lambda c: {"nulls": f"count_if({quoted(c)} IS NULL)"})
 
 
 # How a cast is named in the detail table, and how its result is judged.
@@ -356,20 +356,19 @@ def survey_metrics(bronze: DataFrame, rules: Mapping[str, Any], defaults: Mappin
             keep = keep | h
     else:
         keep = F.lit(True)
-    staged = staged.withColumn(_LEDGER_ROW, keep)
+    staged = staged.withColumn(_KEPT, keep)
     types = survey_types(rules)
     position = {c: i for i, c in enumerate(bronze.columns)}
 
-    def metrics(name: str) -> dict[str, Column]:
-        kept, value = F.col(_LEDGER_ROW), column(name)
-        wrong = clean.conversion_error(staged, name, types[name][0]) if name in types else F.lit(False)
-        handled = F.col(f"__special_{position[name]}") if name in special else F.lit(False)
+    def metrics(name: str) -> dict[str, str]:
+        wrong = clean.conversion_error(staged, name, types[name][0]) if name in types else "false"
+        handled = f"__special_{position[name]}" if name in special else "false"
         return {
-            "kept_rows": F.count_if(kept),
-            "raw_nulls": F.count_if(F.col(f"__null_{position[name]}")),
-            "special_values_handled": F.count_if(handled),
-            "nulls_before": F.count_if(kept & value.isNull()),
-            "conversion_errors": F.count_if(kept & wrong),
+            "kept_rows": f"count_if({_KEPT})",
+            "raw_nulls": f"count_if(__null_{position[name]})",
+            "special_values_handled": f"count_if({handled})",
+            "nulls_before": f"count_if({_KEPT} AND {quoted(name)} IS NULL)",
+            "conversion_errors": f"count_if({_KEPT} AND {wrong})",
         }
 
     return per_column(staged, bronze.columns, metrics)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.functions.casts import DATE_FORMATS, text_to_number
+from tamiz.functions.casts import DATE_FORMATS, text_number_sql
 from tamiz.functions.missing import RULE_TOKENS
 from tamiz.functions.text import column, strip
 from tamiz.operators.quantiles import FEW_VALUES, exact_quantiles
@@ -48,7 +48,8 @@ def _annotated(counts: DataFrame, tokens: Sequence[str]) -> DataFrame:
     wide = counts.withColumn("here", here)
     text = F.when(F.col("here"), value)
     dates = {f"d{i}": F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern))) for i, (_, pattern, shape) in enumerate(DATE_FORMATS)}
-    return wide.withColumns({"x": text_to_number(text), **dates})
+    number = F.when(F.col("here"), F.expr(text_number_sql("value")))
+    return wide.withColumns({"x": number, **dates})
 
 
 def _weighted(condition: Column) -> Column:

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamiz.functions.casts import as_integer, as_number
-from tamiz.functions.missing import PROFILE_TOKENS, missing
-from tamiz.functions.text import column
+from tamiz.functions.casts import as_integer, as_number, number_sql
+from tamiz.functions.missing import PROFILE_TOKENS, missing_sql
+from tamiz.functions.text import column, quoted
 from tamiz.operators.wide import per_column, stack
 from tamiz.session import literal_rows
 
@@ -44,8 +44,8 @@ def null_profile(df: DataFrame, dataset: str) -> DataFrame:
         df,
         df.columns,
         lambda c: {
-            "nulos_reales": F.count_if(column(c).isNull()),
-            "faltantes_like": F.count_if(missing(df, c, PROFILE_TOKENS)),
+            "nulos_reales": f"count_if({quoted(c)} IS NULL)",
+            "faltantes_like": f"count_if({missing_sql(df, c, PROFILE_TOKENS)})",
         },
         label="columna",
     )
@@ -125,6 +125,10 @@ def top_values_json(counts: DataFrame, k: int = 10, label: str = "columna") -> D
     return top.groupBy(label).agg(F.to_json(pairs).alias("top_values"), F.sum("n").alias("top_n"))
 
 
+def _approx(name: str) -> dict[str, str]:
+    return {"cardinalidad_aprox": f"approx_count_distinct({quoted(name)}, {APPROX_ERROR})"}
+
+
 def cardinality_class(unique: Column, rows: Column) -> Column:
     share = unique / rows * 100
     return (
@@ -148,7 +152,7 @@ def categorical_profile(df: DataFrame, dataset: str, columns: Sequence[str], exa
         )
     else:
         sizes = per_column(
-            df, names, lambda c: {"cardinalidad_aprox": F.approx_count_distinct(column(c), APPROX_ERROR)}, "columna"
+            df, names, _approx, "columna"
         )
     size, rows = F.col("cardinalidad_aprox"), F.col("n_rows")
     return sizes.join(top, "columna", "left").select(
@@ -173,7 +177,7 @@ def cardinality_profile(df: DataFrame, dataset: str, exact: bool = False) -> Dat
         )
     else:
         found = per_column(
-            df, df.columns, lambda c: {"cardinalidad_aprox": F.approx_count_distinct(column(c), APPROX_ERROR)}, "columna"
+            df, df.columns, _approx, "columna"
         )
     size, rows = F.col("cardinalidad_aprox"), F.col("n_rows")
     return found.select(
@@ -297,17 +301,17 @@ def sign_profile(df: DataFrame, dataset: str, amounts: Sequence[str]) -> DataFra
     """Negative, zero, positive and NULL amounts with their range, total and mean. One pass."""
     names = [c for c in amounts if c in df.columns]
 
-    def metrics(name: str) -> dict[str, Column]:
-        v = as_number(df, name)
+    def metrics(name: str) -> dict[str, str]:
+        v = number_sql(df, name)
         return {
-            "negativos": F.count_if(v < 0),
-            "ceros": F.count_if(v == 0),
-            "positivos": F.count_if(v > 0),
-            "nulos": F.count_if(v.isNull()),
-            "lo": F.min(v),
-            "hi": F.max(v),
-            "total": F.sum(v),
-            "mean": F.avg(v),
+            "negativos": f"count_if({v} < 0)",
+            "ceros": f"count_if({v} = 0)",
+            "positivos": f"count_if({v} > 0)",
+            "nulos": f"count_if({v} IS NULL)",
+            "lo": f"min({v})",
+            "hi": f"max({v})",
+            "total": f"sum({v})",
+            "mean": f"avg({v})",
         }
 
     found = per_column(df, names, metrics, "columna", cost=9)
@@ -346,16 +350,14 @@ def generic_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """NULLs, distinct values, minimum and maximum of every column of any type. One pass."""
     kinds = {f.name: f.dataType for f in df.schema}
 
-    def metrics(name: str) -> dict[str, Column]:
-        v = column(name)
+    def metrics(name: str) -> dict[str, str]:
+        v = quoted(name)
         ordered = isinstance(kinds[name], _ORDERED)
-        nothing = F.max(F.lit(None).cast("string"))
-        distinct = F.count_distinct(v) if exact else F.approx_count_distinct(v, APPROX_ERROR)
         return {
-            "Nulos": F.count_if(v.isNull()),
-            "Cardinalidad_Aprox": distinct,
-            "Min": F.min(v).cast("string") if ordered else nothing,
-            "Max": F.max(v).cast("string") if ordered else nothing,
+            "Nulos": f"count_if({v} IS NULL)",
+            "Cardinalidad_Aprox": f"count(DISTINCT {v})" if exact else f"approx_count_distinct({v}, {APPROX_ERROR})",
+            "Min": f"CAST(min({v}) AS STRING)" if ordered else "max(CAST(NULL AS STRING))",
+            "Max": f"CAST(max({v}) AS STRING)" if ordered else "max(CAST(NULL AS STRING))",
         }
 
     found = per_column(df, df.columns, metrics, "Columna")

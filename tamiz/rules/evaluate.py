@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.functions.missing import RULE_TOKENS
-from tamiz.functions.text import column
+from tamiz.functions.text import column, literal, quoted
 from tamiz.rules.model import (
     RESULT_COLUMNS,
     STATUS_CLEAN,
@@ -22,7 +22,7 @@ from tamiz.rules.model import (
     STATUS_OBSERVED,
     Rule,
 )
-from tamiz.rules.row import ROW_RULES, RowCheck, RowContext, bind_filters
+from tamiz.rules.row import EVERY_ROW, ROW_RULES, RowCheck, RowContext, bind_filters
 from tamiz.rules.sets import SET_RULES, evaluate_sets
 from tamiz.session import literal_rows
 
@@ -60,48 +60,40 @@ def _texts(df: DataFrame, rules: Sequence[Rule], catalog: Mapping[str, DataFrame
 def _passes(checks: Sequence[tuple[int, Rule, RowCheck]]) -> list[list[tuple[int, Rule, RowCheck]]]:
     ordered = sorted(checks, key=lambda c: (c[1].columns, c[0]))
     passes: list[list] = [[]]
-    seen: set = set()
+    seen = {EVERY_ROW}
     used = 1
     for item in ordered:
-        key = item[2].evaluable_key
-        cost = 1 + (1 if key and key not in seen else 0)
+        evaluable = item[2].evaluable
+        cost = 1 + (evaluable not in seen)
         if used + cost > COUNTERS_PER_PASS and passes[-1]:
             passes.append([])
-            seen, used, cost = set(), 1, 1 + bool(key)
+            seen, used = {EVERY_ROW}, 1
+            cost = 1 + (evaluable not in seen)
         passes[-1].append(item)
-        seen.add(key)
+        seen.add(evaluable)
         used += cost
     return [p for p in passes if p]
 
 
 def _one_pass(df: DataFrame, checks: Sequence[tuple[int, Rule, RowCheck]]) -> DataFrame:
     """One aggregation over the table, turned into one row per rule."""
-    counters: dict[tuple, Column] = {(): F.count(F.lit(1)).alias("n_rows")}
-    names: dict[tuple, str] = {(): "n_rows"}
+    counters = {EVERY_ROW: "n_rows"}
+    for _, _, check in checks:
+        counters.setdefault(check.evaluable, f"e{len(counters)}")
     outputs = []
     for pos, rule, check in checks:
-        key = check.evaluable_key
-        if key not in counters:
-            names[key] = f"e{len(counters)}"
-            counters[key] = F.count_if(check.evaluable).alias(names[key])
-        evaluated = F.col(names[key])
-        failed = F.col(f"f{pos}")
-        facts = [F.format_number(failed, 0)]
+        evaluated, failed = counters[check.evaluable], f"f{pos}"
+        facts = f"array(format_number({failed}, 0))"
         if rule.rule_type == "null_threshold":
-            share = F.when(evaluated > 0, failed / evaluated * 100).otherwise(F.lit(0.0))
-            over = share > F.lit(float(rule.param("threshold_pct")))
-            facts = [F.format_string("%.4f", share), F.when(over, "Superado — revisar.").otherwise("Dentro del umbral esperado.")]
-            failed = F.when(over, failed).otherwise(F.lit(0).cast("bigint"))
-        outputs.append(
-            F.struct(
-                F.lit(pos).alias("pos"),
-                evaluated.alias("evaluated"),
-                failed.alias("failed"),
-                F.array(*facts).cast("array<string>").alias("facts"),
-            )
-        )
-    failures = [F.count_if(check.failed).alias(f"f{pos}") for pos, _, check in checks]
-    return df.agg(*counters.values(), *failures).select(F.inline(F.array(*outputs)))
+            share = f"CASE WHEN {evaluated} > 0 THEN {failed} / {evaluated} * 100 ELSE 0D END"
+            over = f"({share}) > {float(rule.param('threshold_pct'))!r}D"
+            verdict = f"CASE WHEN {over} THEN 'Superado — revisar.' ELSE 'Dentro del umbral esperado.' END"
+            facts = f"array(format_string('%.4f', {share}), {verdict})"
+            failed = f"CASE WHEN {over} THEN {failed} ELSE 0L END"
+        outputs.append(f"named_struct('pos', {pos}, 'evaluated', {evaluated}, 'failed', {failed}, 'facts', {facts})")
+    evaluated = [f"count_if({ok}) AS {name}" for ok, name in counters.items()]
+    failures = [f"count_if({check.failed}) AS f{pos}" for pos, _, check in checks]
+    return df.agg(*[F.expr(c) for c in (*evaluated, *failures)]).selectExpr(f"inline(array({', '.join(outputs)}))")
 
 
 def failed_samples(
@@ -116,22 +108,18 @@ def failed_samples(
     limit), so a rule that fails everywhere still moves only `limit` rows per task.
     """
     wanted = sorted({c for _, r, _ in checks for c in r.sample_columns if c in df.columns} | set(order_by))
-    hits = F.array_compact(F.array(*[F.when(check.failed, F.lit(pos)) for pos, _, check in checks]))
-    rows = df.select(F.explode(hits).alias("pos"), *[column(c) for c in wanted])
-    keys = ", ".join("`" + k.replace("`", "``") + "`" for k in order_by)
+    hits = ", ".join(f"CASE WHEN {check.failed} THEN {pos} END" for pos, _, check in checks)
+    rows = df.select(F.expr(f"explode(array({hits}))").alias("pos"), *[column(c) for c in wanted]).where("pos IS NOT NULL")
+    keys = ", ".join(quoted(k) for k in order_by)
     ranked = rows.withColumn("rank", F.expr(f"row_number() over (partition by pos order by {keys})"))
-    shown = F.create_map(
-        *[
-            v
-            for pos, rule, _ in checks
-            for v in (F.lit(pos), F.array(*[F.lit(c) for c in rule.sample_columns if c in df.columns]).cast("array<string>"))
-        ]
-    )
-    values = F.create_map(
-        *[v for c in wanted for v in (F.lit(c), F.coalesce(column(c).cast("string"), F.lit("")))]
+    shown = ", ".join(
+        f"{pos}, array({', '.join(literal(c) for c in rule.sample_columns if c in df.columns)})"
+        for pos, rule, _ in checks
+        if any(c in df.columns for c in rule.sample_columns)
     )
-    picked = F.transform(shown[F.col("pos")], lambda c: F.struct(c.alias("key"), values[c].alias("value")))
-    return ranked.where(F.col("rank") <= limit).select("pos", "rank", F.map_from_entries(picked).alias("values"))
+    values = ", ".join(f"{literal(c)}, coalesce(CAST({quoted(c)} AS STRING), '')" for c in wanted)
+    picked = f"map_from_entries(transform(map({shown})[pos], c -> struct(c, map({values})[c])))"
+    return ranked.where(F.col("rank") <= limit).select("pos", "rank", F.expr(picked).alias("values"))
 
 
 def compile_rules(

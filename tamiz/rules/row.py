@@ -1,4 +1,4 @@
-"""Row rules: each becomes a pair of conditions, `evaluable` and `failed`, on one row.
+"""Row rules: each becomes a pair of SQL conditions on one row, `evaluable` and `failed`.
 
 Three-valued logic is part of the meaning: a condition that is NULL counts as false, so a NULL condition column
 is not evaluated and a NULL value compared with a constant does not fail.
@@ -7,26 +7,26 @@ is not evaluated and a NULL value compared with a constant does not fail.
 from __future__ import annotations
 
 import datetime as dt
-import operator
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.functions.casts import as_number, as_timestamp, text_to_number
-from tamiz.functions.missing import RULE_TOKENS, missing, present, text
-from tamiz.functions.text import column, key_text
+from tamiz.functions.casts import as_number, number_sql, text_number_sql, timestamp_sql
+from tamiz.functions.missing import RULE_TOKENS, missing_sql, present_sql, text_sql
+from tamiz.functions.text import column, key_sql, literal, quoted
 from tamiz.rules.model import Rule
 
+EVERY_ROW = "true"
+
 
 @dataclass(frozen=True)
 class RowCheck:
-    """`evaluable_key` names the evaluable condition so that equal ones are counted once (None: every row)."""
+    """Equal `evaluable` texts are counted once; `failed` implies `evaluable`."""
 
-    evaluable: Column | None
-    evaluable_key: tuple
-    failed: Column
+    evaluable: str
+    failed: str
 
 
 @dataclass(frozen=True)
@@ -36,20 +36,20 @@ class RowContext:
     tokens: tuple[str, ...] = RULE_TOKENS
     filters: Mapping[tuple, str] = field(default_factory=dict)
 
-    def missing(self, name: str) -> Column:
-        return missing(self.df, name, self.tokens)
+    def missing(self, name: str) -> str:
+        return missing_sql(self.df, name, self.tokens)
+
+    def present(self, *names: str) -> str:
+        return present_sql(self.df, *names, tokens=self.tokens)
 
-    def present(self, *names: str) -> Column:
-        first, *rest = [present(self.df, n, self.tokens) for n in names]
-        for other in rest:
-            first = first & other
-        return first
+    def number(self, name: str) -> str:
+        return number_sql(self.df, name)
 
-    def number(self, name: str) -> Column:
-        return as_number(self.df, name)
+    def text(self, name: str, stripped: bool = True) -> str:
+        return text_sql(self.df, name) if stripped else f"CAST({quoted(name)} AS STRING)"
 
-    def text(self, name: str) -> Column:
-        return text(self.df, name)
+    def timestamp(self, name: str) -> str:
+        return timestamp_sql(self.df, name)
 
 
 ROW_RULES: dict[str, Callable[[RowContext, Rule], RowCheck]] = {}
@@ -63,115 +63,116 @@ def _row_rule(*names: str):
     return register
 
 
-def _on_present(ctx: RowContext, names: Iterable[str], bad: Column) -> RowCheck:
-    names = tuple(names)
-    ok = ctx.present(*names)
-    return RowCheck(ok, ("present", *sorted(names)), ok & bad)
+def _on_present(ctx: RowContext, names: Iterable[str], bad: str) -> RowCheck:
+    ok = ctx.present(*sorted(names))
+    return RowCheck(ok, f"{ok} AND ({bad})")
+
+
+def _unlike(name: str, value: object) -> str:
+    return f"(CAST({quoted(name)} AS STRING) <> {literal(value)})"
 
 
-def _unlike(ctx: RowContext, name: str, value) -> Column:
-    return column(name).cast("string") != F.lit(str(value))
+def _number_literal(value: object) -> str:
+    return f"{float(value)!r}D"
 
 
 @_row_rule("not_null", "required_not_empty", "observed_empty", "null_threshold")
 def _no_value(ctx: RowContext, rule: Rule) -> RowCheck:
-    return RowCheck(None, (), ctx.missing(rule.columns[0]))
+    return RowCheck(EVERY_ROW, ctx.missing(rule.columns[0]))
 
 
 @_row_rule("conditional_null_allowed", "null_only_when")
 def _value_unless(ctx: RowContext, rule: Rule) -> RowCheck:
     name, condition = rule.columns
-    expected = _unlike(ctx, condition, rule.param("condition_value"))
-    return RowCheck(expected, ("unlike", condition, str(rule.param("condition_value"))), expected & ctx.missing(name))
+    expected = _unlike(condition, rule.param("condition_value"))
+    return RowCheck(expected, f"{expected} AND {ctx.missing(name)}")
 
 
 @_row_rule("accepted_values", "allowed_values")
 def _in_catalogue(ctx: RowContext, rule: Rule) -> RowCheck:
-    name = rule.columns[0]
-    value = ctx.text(name) if rule.param("strip", True) else column(name).cast("string")
-    return _on_present(ctx, [name], ~value.isin(*[str(v) for v in rule.param("values", [])]))
+    values = ", ".join(literal(v) for v in rule.param("values", []))
+    if not values:
+        return _on_present(ctx, rule.columns, "true")
+    return _on_present(ctx, rule.columns, f"{ctx.text(rule.columns[0], rule.param('strip', True))} NOT IN ({values})")
+
+
+def _numeric(ctx: RowContext, rule: Rule, *bounds: str) -> RowCheck:
+    """Fails when no number, beyond a bound, or (by `integer`) not whole."""
+    x = ctx.number(rule.columns[0])
+    parts = [f"{x} IS NULL", *(f"{x} {b}" for b in bounds)]
+    if rule.param("integer", False):
+        parts.append(f"{x} % 1 <> 0")
+    return _on_present(ctx, rule.columns, " OR ".join(parts))
 
 
 @_row_rule("numeric_type", "numeric")
 def _is_number(ctx: RowContext, rule: Rule) -> RowCheck:
-    number = ctx.number(rule.columns[0])
-    bad = number.isNull()
-    if rule.param("integer", False):
-        bad = bad | (number % 1 != 0)
-    return _on_present(ctx, rule.columns, bad)
+    return _numeric(ctx, rule)
 
 
 @_row_rule("accepted_range")
 def _in_range(ctx: RowContext, rule: Rule) -> RowCheck:
-    number = ctx.number(rule.columns[0])
-    bad = number.isNull()
-    if rule.param("min_value") is not None:
-        bad = bad | (number < F.lit(float(rule.param("min_value"))))
-    if rule.param("max_value") is not None:
-        bad = bad | (number > F.lit(float(rule.param("max_value"))))
-    return _on_present(ctx, rule.columns, bad)
+    ends = (("<", rule.param("min_value")), (">", rule.param("max_value")))
+    return _numeric(ctx, rule, *(f"{op} {_number_literal(v)}" for op, v in ends if v is not None))
+
+
+@_row_rule("non_negative")
+def _not_below_zero(ctx: RowContext, rule: Rule) -> RowCheck:
+    return _numeric(ctx, rule, "< 0")
+
+
+@_row_rule("month_period_between")
+def _month_period(ctx: RowContext, rule: Rule) -> RowCheck:
+    low, high = int(rule.param("min_value", 1)), int(rule.param("max_value", 13))
+    return _numeric(ctx, rule, f"< {low}", f"> {high}", "% 1 <> 0")
 
 
 @_row_rule("regex")
 def _matches(ctx: RowContext, rule: Rule) -> RowCheck:
     """`anchored` reads the pattern as a match from the first character; `skip_when` leaves rows out."""
     name, pattern = rule.columns[0], rule.param("pattern")
-    value = ctx.text(name) if rule.param("strip", True) else column(name).cast("string")
-    bad = ~value.rlike(f"^(?:{pattern})" if rule.param("anchored", False) else pattern)
+    shape = f"^(?:{pattern})" if rule.param("anchored", False) else pattern
+    bad = f"NOT {ctx.text(name, rule.param('strip', True))} RLIKE {literal(shape)}"
     skip = rule.param("skip_when")
     if not skip or skip[0] not in ctx.df.columns:
         return _on_present(ctx, [name], bad)
-    ok = ctx.present(name) & _unlike(ctx, skip[0], skip[1])
-    return RowCheck(ok, ("present", name, "unlike", skip[0], str(skip[1])), ok & bad)
+    ok = f"({ctx.present(name)} AND {_unlike(skip[0], skip[1])})"
+    return RowCheck(ok, f"{ok} AND {bad}")
 
 
 @_row_rule("year_4_digits")
 def _four_digit_year(ctx: RowContext, rule: Rule) -> RowCheck:
-    year = key_text(column(rule.columns[0]))
+    year = key_sql(quoted(rule.columns[0]))
     low, high = int(rule.param("min_year", 1000)), int(rule.param("max_year", 9999))
-    number = text_to_number(year)
-    bad = number.isNull() | ~year.rlike("^[0-9]{4}$") | (number < low) | (number > high)
-    return _on_present(ctx, rule.columns, bad)
+    # Four digits are a number below 2**31, so the cast needs no further guard.
+    digits = f"{year} RLIKE {literal('^[0-9]{4}$')}"
+    return _on_present(ctx, rule.columns, f"NOT {digits} OR try_cast({year} AS INT) NOT BETWEEN {low} AND {high}")
 
 
 @_row_rule("date_parseable")
 def _is_date(ctx: RowContext, rule: Rule) -> RowCheck:
-    return _on_present(ctx, rule.columns, as_timestamp(ctx.df, rule.columns[0]).isNull())
+    return _on_present(ctx, rule.columns, f"{ctx.timestamp(rule.columns[0])} IS NULL")
 
 
 @_row_rule("date_not_future")
 def _past_date(ctx: RowContext, rule: Rule) -> RowCheck:
-    when = as_timestamp(ctx.df, rule.columns[0])
-    return _on_present(ctx, rule.columns, when.isNull() | (when > F.lit(ctx.as_of)))
+    when = ctx.timestamp(rule.columns[0])
+    now = f"TIMESTAMP '{ctx.as_of:%Y-%m-%d %H:%M:%S}'"
+    return _on_present(ctx, rule.columns, f"{when} IS NULL OR {when} > {now}")
 
 
 @_row_rule("conditional_date")
 def _date_when(ctx: RowContext, rule: Rule) -> RowCheck:
     condition, date = rule.columns
-    applies = ctx.text(condition) == F.lit(str(rule.param("condition_value")))
-    return RowCheck(
-        applies, ("is", condition, str(rule.param("condition_value"))), applies & as_timestamp(ctx.df, date).isNull()
-    )
+    applies = f"({ctx.text(condition)} = {literal(rule.param('condition_value'))})"
+    return RowCheck(applies, f"{applies} AND {ctx.timestamp(date)} IS NULL")
 
 
 @_row_rule("conditional_value")
 def _value_when(ctx: RowContext, rule: Rule) -> RowCheck:
     condition, expected = rule.columns
-    applies = column(condition).cast("string") == F.lit(str(rule.param("condition_value")))
-    return RowCheck(
-        applies,
-        ("raw", condition, str(rule.param("condition_value"))),
-        applies & _unlike(ctx, expected, rule.param("expected_value")),
-    )
-
-
-@_row_rule("non_negative")
-def _not_below_zero(ctx: RowContext, rule: Rule) -> RowCheck:
-    number = ctx.number(rule.columns[0])
-    bad = number.isNull() | (number < 0)
-    if rule.param("integer", False):
-        bad = bad | (number % 1 != 0)
-    return _on_present(ctx, rule.columns, bad)
+    applies = f"({ctx.text(condition, False)} = {literal(rule.param('condition_value'))})"
+    return RowCheck(applies, f"{applies} AND {_unlike(expected, rule.param('expected_value'))}")
 
 
 def bind_filters(df: DataFrame, rules: Iterable[Rule]) -> tuple[DataFrame, dict[tuple, str]]:
@@ -194,15 +195,7 @@ def bind_filters(df: DataFrame, rules: Iterable[Rule]) -> tuple[DataFrame, dict[
 
 
 # Comparison -> its violation. Any other operator is refused, not read as equality.
-_VIOLATIONS = {
-    ">=": operator.lt,
-    "<=": operator.gt,
-    ">": operator.le,
-    "<": operator.ge,
-    "==": operator.ne,
-    "=": operator.ne,
-    "!=": operator.eq,
-}
+_VIOLATIONS = {">=": "<", "<=": ">", ">": "<=", "<": ">=", "==": "<>", "=": "<>", "!=": "="}
 
 
 @_row_rule("column_comparison")
@@ -213,28 +206,27 @@ def _compare(ctx: RowContext, rule: Rule) -> RowCheck:
     if violated is None:
         raise ValueError(f"{rule.rule_id}: unknown operator {rule.param('operator')!r}")
     a, b = ctx.number(left), ctx.number(right)
-    bad = violated(a, b)
+    bad = f"{a} {violated} {b}"
     if rule.param("non_numeric", "pass") == "fail":
-        bad = a.isNull() | b.isNull() | bad
+        bad = f"{a} IS NULL OR {b} IS NULL OR {bad}"
     prefilter = rule.param("filter_condition")
     if not prefilter:
         return _on_present(ctx, (left, right), bad)
-    flag = ctx.filters[(prefilter, rule.columns)]
-    ok = ctx.present(left, right) & column(flag)
-    return RowCheck(ok, ("present", *sorted((left, right)), flag), ok & bad)
+    ok = f"({ctx.present(left, right)} AND {quoted(ctx.filters[(prefilter, rule.columns)])})"
+    return RowCheck(ok, f"{ok} AND ({bad})")
 
 
 @_row_rule("less_or_equal")
 def _at_most(ctx: RowContext, rule: Rule) -> RowCheck:
     a, b = ctx.number(rule.columns[0]), ctx.number(rule.columns[1])
-    return _on_present(ctx, rule.columns, a.isNull() | b.isNull() | (a > b))
+    return _on_present(ctx, rule.columns, f"{a} IS NULL OR {b} IS NULL OR {a} > {b}")
 
 
 @_row_rule("parent_not_zero_if_child_nonzero")
 def _parent_set(ctx: RowContext, rule: Rule) -> RowCheck:
     parent, child = rule.columns
-    nonzero = ctx.present(child) & (ctx.number(child) != 0)
-    return RowCheck(nonzero, ("nonzero", child), nonzero & ctx.present(parent) & (ctx.number(parent) == 0))
+    nonzero = f"({ctx.present(child)} AND {ctx.number(child)} <> 0)"
+    return RowCheck(nonzero, f"{nonzero} AND {ctx.present(parent)} AND {ctx.number(parent)} = 0")
 
 
 @_row_rule("year_not_future")
@@ -242,13 +234,6 @@ def _past_year(ctx: RowContext, rule: Rule) -> RowCheck:
     """Text that is no number passes or fails by `non_numeric`."""
     name, limit = rule.columns[0], ctx.as_of.year
     if rule.param("non_numeric", "fail") == "pass":
-        return _on_present(ctx, [name], ctx.number(name) >= limit + 1)
-    number = text_to_number(key_text(column(name)))
-    return _on_present(ctx, [name], number.isNull() | (number > limit))
-
-
-@_row_rule("month_period_between")
-def _month_period(ctx: RowContext, rule: Rule) -> RowCheck:
-    number = ctx.number(rule.columns[0])
-    low, high = int(rule.param("min_value", 1)), int(rule.param("max_value", 13))
-    return _on_present(ctx, rule.columns, number.isNull() | (number < low) | (number > high) | (number % 1 != 0))
+        return _on_present(ctx, [name], f"{ctx.number(name)} >= {limit + 1}")
+    number = f"({text_number_sql(key_sql(quoted(name)))})"
+    return _on_present(ctx, [name], f"{number} IS NULL OR {number} > {limit}")

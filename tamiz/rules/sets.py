@@ -11,9 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.functions.casts import as_integer
-from tamiz.functions.missing import RULE_TOKENS, missing, present, text
-from tamiz.functions.text import column, key_text
+from tamiz.functions.casts import integer_sql
+from tamiz.functions.missing import RULE_TOKENS, present, present_sql, text
+from tamiz.functions.text import column, key_text, quoted
 from tamiz.rules.model import Rule
 from tamiz.session import literal_rows
 
@@ -41,17 +41,14 @@ def repeated_rows(df: DataFrame, pos: int, keys: Sequence[str]) -> DataFrame:
 CELL_RULES = ("code_name_consistency", "cardinality_check", "cardinality_upper_bound", "temporal_coverage_check")
 
 
-def _cell(df: DataFrame, pos: int, rule: Rule, tokens: Sequence[str]) -> Column:
+def _cell(df: DataFrame, pos: int, rule: Rule, tokens: Sequence[str]) -> str:
     """What one row contributes to one rule: (pos, a, b), or NULL where the rule does not look at the row."""
     if rule.rule_type == "temporal_coverage_check":
-        a, b = (as_integer(df, c).cast("string") for c in rule.columns)
+        a, b = (f"CAST({integer_sql(df, c)} AS STRING)" for c in rule.columns)
     else:
-        a = column(rule.columns[0]).cast("string")
-        b = column(rule.columns[1]).cast("string") if len(rule.columns) > 1 else F.lit(None).cast("string")
-    seen = present(df, rule.columns[0], tokens)
-    for other in rule.columns[1:]:
-        seen = seen & present(df, other, tokens)
-    return F.when(seen, F.struct(F.lit(pos).alias("pos"), a.alias("a"), b.alias("b")))
+        a, b = [*(f"CAST({quoted(c)} AS STRING)" for c in rule.columns), "CAST(NULL AS STRING)"][:2]
+    seen = present_sql(df, *rule.columns, tokens=tokens)
+    return f"CASE WHEN {seen} THEN named_struct('pos', {pos}, 'a', {a}, 'b', {b}) END"
 
 
 def _per_rule(rules: Numbered, pick) -> Column:
@@ -65,8 +62,9 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
     code_name_consistency: rows whose code (a) carries several names (b). cardinality: distinct values (a) over the
     limit. temporal_coverage: years (a) with fewer months (b) than expected, exception years aside.
     """
-    cells = F.array_compact(F.array(*[_cell(df, pos, rule, tokens) for pos, rule in rules]))
-    distinct = df.select(F.explode(cells).alias("c")).select("c.*").groupBy("pos", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    cells = ", ".join(_cell(df, pos, rule, tokens) for pos, rule in rules)
+    seen = df.select(F.expr(f"explode(array({cells}))").alias("c")).where("c IS NOT NULL").select("c.*")
+    distinct = seen.groupBy("pos", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     groups = distinct.groupBy("pos", "a").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("pairs"), F.count("b").alias("members")
     )
@@ -125,21 +123,15 @@ def reference(
 ) -> DataFrame:
     """Child rows whose key tuple is not among the parent's. Counting the child by key first keeps hot keys small."""
 
-    def complete(df: DataFrame, names: Sequence[str]) -> Column:
-        gap = missing(df, names[0], tokens)
-        for other in names[1:]:
-            gap = gap | missing(df, other, tokens)
-        return ~gap
-
     keys = [f"k{i}" for i in range(len(columns))]
     counted = (
-        child.where(complete(child, columns))
+        child.where(present(child, *columns, tokens=tokens))
         .select(*_key_columns(child, columns, as_key))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
     )
     known = (
-        parent.where(complete(parent, parent_columns))
+        parent.where(present(parent, *parent_columns, tokens=tokens))
         .select(*_key_columns(parent, parent_columns, as_key))
         .distinct()
         .withColumn("known", F.lit(True))

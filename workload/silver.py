@@ -135,7 +135,7 @@ UNION ALL SELECT 'status', count(*), 0 FROM v""",
 )
 def _cast_errors(spark, sf):
     raw = raw_orders(spark, sf)
-    return per_column(raw, list(_TYPES), lambda c: {"errors": F.count_if(clean.conversion_error(raw, c, _TYPES[c]))})
+    return per_column(raw, list(_TYPES), lambda c: {"errors": f"count_if({clean.conversion_error(raw, c, _TYPES[c])})"})
 
 
 @query(
