@@ -50,14 +50,14 @@ def _by_buckets(counts: DataFrame, group: str, probabilities: Sequence[float], b
     for name, edges in sketched.collect():
         edges = sorted(set(edges))
         fine = [edges[i : i + branch] for i in range(0, len(edges), branch)]
-        fixed.append({"g": name, "coarse": [part[0] for part in fine], "fine": fine})
-    lookup = F.broadcast(literal_rows(spark, fixed, "g string, coarse array<double>, fine array<array<double>>"))
+        fixed.append({group: name, "coarse": [part[0] for part in fine], "fine": fine})
+    lookup = F.broadcast(literal_rows(spark, fixed, f"`{group}` string, coarse array<double>, fine array<array<double>>"))
 
     def edges_upto(edges):
         return F.size(F.filter(edges, lambda c: c <= F.col("v")))
 
     placed = (
-        counts.join(lookup, counts[group] == lookup["g"])
+        counts.join(lookup, group)
         .withColumn("part", edges_upto(F.col("coarse")))
         .withColumn("within", F.when(F.col("part") > 0, edges_upto(F.get("fine", F.col("part") - 1))).otherwise(0))
         .select(group, "v", "n", (F.col("part") * (branch + 1) + F.col("within")).alias("bucket"))

@@ -8,7 +8,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tamiz.operators.wide import stack
 from tamiz.sinks.audit import append_audit, ingestion_record, run_metadata
@@ -54,12 +53,8 @@ def ingest(
         try:
             df, pages = _read(spark, what)
             path = overwrite_flat(df, bronze_root, source, dataset) if flat else append_raw(df, bronze_root, source, dataset, at.date())
-            written = spark.read.parquet(path)
-            if not flat:
-                written = written.where(
-                    (F.col("year") == at.year) & (F.col("month") == at.month) & (F.col("day") == at.day)
-                )
-            rows = written.count()
+            # Counted at the landing: the day's folder may hold earlier appends too.
+            rows = df.count()
             meta = run_metadata(
                 spark, source=source, dataset=dataset, resource=what.path, rows=rows, columns=df.columns, pages=pages, at=at
             )
