@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tamiz.contract import Contract  # noqa: E402
 from tamiz.operators import dedup  # noqa: E402
-from tamiz.plans.profiling import LedgerColumns, ledger_sections  # noqa: E402
+from tamiz.plans.profiling import LedgerColumns, ledger_sections, run_sections  # noqa: E402
 from tamiz.plans.quality import ledger_quality, survey_quality  # noqa: E402
 from tamiz.plans.schema_validation import validate_contract  # noqa: E402
 from tamiz.plans.silver import ledger_silver, survey_silver  # noqa: E402
@@ -77,8 +77,8 @@ def main() -> None:
     contract = Contract(expected=("L_ORDERKEY", "QUANTITY", "PRICE", "GHOST"), critical=frozenset({"L_ORDERKEY"}))
 
     def all_sections() -> None:
-        for build in ledger_sections(lines(), "lines", parts).values():
-            build().collect()
+        _, errors = run_sections(ledger_sections(lines(), "lines", parts), scratch(spark, "bench-profile"))
+        assert not errors, errors
 
     def silver_ledger() -> None:
         out = ledger_silver(lines(), LEDGER, RUN_AT)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamiz.functions.text import column
-from tamiz.session import scratch
+from tamiz.session import written_once
 
 # Key hashes that may be broadcast: 16 bytes each, so at most a few tens of MB.
 REPEATED_HASH_LIMIT = 1_000_000
@@ -33,9 +33,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], tie_
 
 def repeated_hashes(df: DataFrame, hashed: Column) -> DataFrame:
     """Hash values that occur more than once, as a table in the shared folder (`__h`)."""
-    path = scratch(df.sparkSession, "repeated-hashes")
-    df.groupBy(hashed.alias("__h")).count().where("count > 1").select("__h").write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return written_once(df.groupBy(hashed.alias("__h")).count().where("count > 1").select("__h"), "repeated-hashes")
 
 
 def keep_first_of_few(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -17,6 +18,8 @@ from tamiz.sinks.tables import write_csv_report
 
 log = logging.getLogger(__name__)
 
+CONCURRENT_SECTIONS = 4
+
 
 @dataclass(frozen=True)
 class LedgerColumns:
@@ -55,19 +58,24 @@ def ledger_sections(df: DataFrame, dataset: str, parts: LedgerColumns, exact: bo
 def run_sections(
     sections: Mapping[str, Callable[[], DataFrame]], reports_root: str
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Write every section; returns the written tables and the errors of those that failed."""
-    tables: dict[str, DataFrame] = {}
-    errors: dict[str, str] = {}
-    for name, build in sections.items():
-        path = f"{reports_root}/{name}"
+    """Write every section; returns the written tables and the errors of those that failed.
+
+    Sections are independent jobs, so a few run at a time and one's tail does not leave the cluster idle.
+    """
+
+    def run(name: str) -> DataFrame | str:
         try:
-            table = build()
-            write_csv_report(table, path)
-            tables[name] = table
+            table = sections[name]()
+            write_csv_report(table, f"{reports_root}/{name}")
+            return table
         except Exception as exc:  # a failing section must not take the others with it
             log.error("profile section %s failed: %s", name, exc)
-            errors[name] = str(exc).splitlines()[0] if str(exc) else type(exc).__name__
-    return tables, errors
+            return str(exc).splitlines()[0] if str(exc) else type(exc).__name__
+
+    with ThreadPoolExecutor(max_workers=CONCURRENT_SECTIONS) as pool:
+        outcomes = dict(zip(sections, pool.map(run, sections), strict=True))
+    tables = {k: v for k, v in outcomes.items() if not isinstance(v, str)}
+    return tables, {k: v for k, v in outcomes.items() if isinstance(v, str)}
 
 
 def run_ledger_profile(

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.casts import DATE_FORMATS, text_number_sql
 from tamiz.functions.missing import RULE_TOKENS
-from tamiz.functions.text import column, strip
+from tamiz.functions.text import column, literal
 from tamiz.operators.quantiles import FEW_VALUES, exact_quantiles
 from tamiz.operators.wide import side_by_side
-from tamiz.profile.sections import percent, top_values_json
+from tamiz.profile.sections import percent, top_values_json, value_counts
+from tamiz.session import written_once
 
 # Type-inference thresholds, indicator words, e-mail shape, outlier fence, sample and top sizes.
 NUMERIC_SHARE = 0.98
@@ -32,28 +33,23 @@ SAMPLES, TOP = 5, 10
 
 def text_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_name, value, n): stripped text values, NULL as its own value."""
-    names = list(columns or df.columns)
-    texts = df.select(*[strip(column(c).cast("string")).alias(c) for c in names])
-    return (
-        texts.unpivot([], [column(c) for c in names], "column_name", "value")
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return value_counts(df, list(columns or df.columns), "column_name", stripped=True)
 
 
 def _annotated(counts: DataFrame, tokens: Sequence[str]) -> DataFrame:
     """Adds per distinct value: present, number, one timestamp per date layout."""
-    value = F.col("value")
-    here = value.isNotNull() & ~value.isin(*tokens)
-    wide = counts.withColumn("here", here)
-    text = F.when(F.col("here"), value)
-    dates = {f"d{i}": F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern))) for i, (_, pattern, shape) in enumerate(DATE_FORMATS)}
-    number = F.when(F.col("here"), F.expr(text_number_sql("value")))
-    return wide.withColumns({"x": number, **dates})
+    listed = ", ".join(literal(t) for t in tokens)
+    dates = [
+        f"CASE WHEN here AND value RLIKE {literal(shape)} THEN try_to_timestamp(value, {literal(pattern)}) END AS d{i}"
+        for i, (_, pattern, shape) in enumerate(DATE_FORMATS)
+    ]
+    return counts.selectExpr("*", f"value IS NOT NULL AND value NOT IN ({listed}) AS here").selectExpr(
+        "*", f"CASE WHEN here THEN {text_number_sql('value')} END AS x", *dates
+    )
 
 
-def _weighted(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("bigint")
+def _weighted(condition: str) -> str:
+    return f"CAST(coalesce(sum(CASE WHEN {condition} THEN n END), 0) AS BIGINT)"
 
 
 def inferred_type(
@@ -95,38 +91,29 @@ def value_class(share: Column) -> Column:
 
 
 def _measures(annotated: DataFrame, indicators: Sequence[str]) -> DataFrame:
-    value, n, here, x = F.col("value"), F.col("n"), F.col("here"), F.col("x")
-    length = F.length("value")
-    number = x.isNotNull()
-    per_layout = [
-        m
-        for i in range(len(DATE_FORMATS))
-        for m in (
-            _weighted(F.col(f"d{i}").isNotNull()).alias(f"d{i}_n"),
-            F.min(f"d{i}").alias(f"d{i}_lo"),
-            F.max(f"d{i}").alias(f"d{i}_hi"),
-        )
-    ]
-    return annotated.groupBy("column_name").agg(
-        F.sum("n").alias("row_count"),
-        _weighted(value.isNull()).alias("null_count"),
+    words = ", ".join(literal(w) for w in indicators)
+    aggregates = {
+        "row_count": "sum(n)",
+        "null_count": _weighted("value IS NULL"),
         # A NULL reads as empty text.
-        _weighted(value.isNull() | (value == "")).alias("empty_string_count"),
-        _weighted(~here).alias("missing_like_count"),
-        _weighted(here).alias("non_missing_count"),
-        F.count_if(here).alias("unique_count"),
-        F.min(F.when(here, length)).alias("lo_len"),
-        F.max(F.when(here, length)).alias("hi_len"),
-        F.sum(F.when(here, length * n)).alias("sum_len"),
-        _weighted(number).alias("numeric_valid_count"),
-        F.min("x").alias("numeric_min"),
-        F.max("x").alias("numeric_max"),
-        F.sum(x * n).alias("sum_x"),
-        F.coalesce(F.bool_and(F.when(number, x % 1 == 0)), F.lit(False)).alias("whole"),
-        F.coalesce(F.bool_and(F.when(here, F.upper("value").isin(*indicators))), F.lit(False)).alias("indicator"),
-        _weighted(here & value.rlike(EMAIL_SHAPE)).alias("email"),
-        *per_layout,
-    )
+        "empty_string_count": _weighted("value IS NULL OR value = ''"),
+        "missing_like_count": _weighted("NOT here"),
+        "non_missing_count": _weighted("here"),
+        "unique_count": "count_if(here)",
+        "lo_len": "min(CASE WHEN here THEN length(value) END)",
+        "hi_len": "max(CASE WHEN here THEN length(value) END)",
+        "sum_len": "sum(CASE WHEN here THEN length(value) * n END)",
+        "numeric_valid_count": _weighted("x IS NOT NULL"),
+        "numeric_min": "min(x)",
+        "numeric_max": "max(x)",
+        "sum_x": "sum(x * n)",
+        "whole": "coalesce(bool_and(CASE WHEN x IS NOT NULL THEN x % 1 = 0 END), false)",
+        "indicator": f"coalesce(bool_and(CASE WHEN here THEN upper(value) IN ({words}) END), false)",
+        "email": _weighted(f"here AND value RLIKE {literal(EMAIL_SHAPE)}"),
+    }
+    for i in range(len(DATE_FORMATS)):
+        aggregates |= {f"d{i}_n": _weighted(f"d{i} IS NOT NULL"), f"d{i}_lo": f"min(d{i})", f"d{i}_hi": f"max(d{i})"}
+    return annotated.groupBy("column_name").agg(*[F.expr(f"{sql} AS {name}") for name, sql in aggregates.items()])
 
 
 def _samples(counts: DataFrame, tokens: Sequence[str], k: int) -> DataFrame:
@@ -180,22 +167,22 @@ def column_profile(
 ) -> DataFrame:
     """One row per column with all measures of the rich profile."""
     names = list(columns or df.columns)
-    counts = text_counts(df, names)
+    counts = written_once(text_counts(df, names), "value-counts")
     annotated = _annotated(counts, tokens)
-    # A table with few cells has few distinct values; only larger ones pay for counting them.
-    few = True if df.count() * len(names) <= FEW_VALUES else None
+    few = counts.count() <= FEW_VALUES  # from the file footers
     quartiles = exact_quantiles(annotated, "column_name", "x", "n", (0.25, 0.75), few).select(
         "column_name", F.col("quantiles")[0].alias("q1_raw"), F.col("quantiles")[1].alias("q3_raw")
     )
     # One row per column: small by construction.
     fences = F.broadcast(quartiles)
     iqr = F.col("q3_raw") - F.col("q1_raw")
-    outside = (F.col("x") < F.col("q1_raw") - FENCE * iqr) | (F.col("x") > F.col("q3_raw") + FENCE * iqr)
+    width = f"{FENCE}D * (q3_raw - q1_raw)"
+    outside = f"x < q1_raw - {width} OR x > q3_raw + {width}"
     outliers = (
         annotated.where(F.col("x").isNotNull())
         .join(fences, "column_name")
         .groupBy("column_name", "q1_raw", "q3_raw")
-        .agg(F.when(iqr > 0, _weighted(outside)).alias("outlier_count_iqr"))
+        .agg(F.when(iqr > 0, F.expr(_weighted(outside))).alias("outlier_count_iqr"))
     )
     found = (
         _measures(annotated, indicators)
@@ -207,7 +194,9 @@ def column_profile(
     unique_pct = percent(F.col("unique_count"), rows)
     share, layout, lo, hi = _best_date(here)
     dates = F.greatest(*[F.col(f"d{i}_n") for i in range(len(DATE_FORMATS))])
-    physical = F.create_map(*[F.lit(x) for f in df.schema if f.name in names for x in (f.name, f.dataType.simpleString())])
+    wanted = set(names)
+    kinds = ", ".join(f"{literal(f.name)}, {literal(f.dataType.simpleString())}" for f in df.schema if f.name in wanted)
+    physical = F.expr(f"map({kinds})")
     return found.select(
         F.lit(dataset).alias("dataset"),
         "column_name",

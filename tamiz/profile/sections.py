@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.functions.casts import as_integer, as_number, number_sql
-from tamiz.functions.missing import PROFILE_TOKENS, missing_sql
-from tamiz.functions.text import column, quoted
+from tamiz.functions.missing import PROFILE_TOKENS, is_token_sql, missing_sql
+from tamiz.functions.text import column, literal, quoted, strip
 from tamiz.operators.wide import per_column, stack
 from tamiz.session import literal_rows
 
@@ -22,6 +22,8 @@ MISSING_ALERT = 0.05
 CARDINALITY_ALERT = 500
 ZERO_ALERT = 0.30
 APPROX_ERROR = 0.05
+# Columns beyond which a table counts as wide.
+WIDE = 150
 NO_DATA, REVIEW, OK = "SIN_DATOS", "REVISAR", "OK"
 
 
@@ -38,17 +40,33 @@ def _tag(dataset: str) -> Column:
     return F.lit(dataset).alias("dataset")
 
 
-def null_profile(df: DataFrame, dataset: str) -> DataFrame:
-    """NULLs and missing-like values of every column, one pass."""
-    found = per_column(
-        df,
-        df.columns,
-        lambda c: {
-            "nulos_reales": f"count_if({quoted(c)} IS NULL)",
-            "faltantes_like": f"count_if({missing_sql(df, c, PROFILE_TOKENS)})",
-        },
-        label="columna",
+def missing_counts(df: DataFrame, tokens: Sequence[str] = PROFILE_TOKENS) -> DataFrame:
+    """(columna, n_rows, nulos_reales, faltantes_like) of every column.
+
+    A table of moderate width is one aggregation. Hundreds of columns would need many such passes, so a wide table is
+    counted by value first, which costs one pass whatever the width.
+    """
+    if len(df.columns) <= WIDE:
+        return per_column(
+            df,
+            df.columns,
+            lambda c: {
+                "nulos_reales": f"count_if({quoted(c)} IS NULL)",
+                "faltantes_like": f"count_if({missing_sql(df, c, tokens)})",
+            },
+            label="columna",
+        )
+    gone = f"value IS NULL OR {is_token_sql('value', tokens)}"
+    return value_counts(df, df.columns).groupBy("columna").agg(
+        F.sum("n").alias("n_rows"),
+        F.expr("sum(CASE WHEN value IS NULL THEN n ELSE 0L END)").alias("nulos_reales"),
+        F.expr(f"sum(CASE WHEN {gone} THEN n ELSE 0L END)").alias("faltantes_like"),
     )
+
+
+def null_profile(df: DataFrame, dataset: str) -> DataFrame:
+    """NULLs and missing-like values of every column, with an alert above the limit."""
+    found = missing_counts(df)
     rows, gone = F.col("n_rows"), F.col("faltantes_like")
     return found.select(
         _tag(dataset),
@@ -100,15 +118,22 @@ def duplicate_profile(df: DataFrame, dataset: str, business_key: Sequence[str])
     )
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], label: str = "columna") -> DataFrame:
+def value_counts(df: DataFrame, columns: Sequence[str], label: str = "columna", stripped: bool = False) -> DataFrame:
     """(label, value, n) for all columns in one pass: values as text, NULL as a value of its own.
 
-    The count starts inside each map task, so what is shuffled grows with the distinct values, not with the rows.
+    Rows are exploded by position and counted inside each map task, so what is shuffled grows with the distinct values,
+    not with the rows; names are attached to the counts.
     """
-    as_text = df.select(*[column(c).cast("string").alias(c) for c in columns])
-    return as_text.unpivot([], [column(c) for c in columns], label, "value").groupBy(label, "value").agg(
-        F.count(F.lit(1)).alias("n")
+    kinds = {f.name: f.dataType for f in df.schema}
+    cells = ", ".join(quoted(c) if isinstance(kinds[c], T.StringType) else f"CAST({quoted(c)} AS STRING)" for c in columns)
+    names = ", ".join(literal(c) for c in columns)
+    counted = (
+        df.select(F.expr(f"posexplode(array({cells})) AS (pos, value)"))
+        .select("pos", strip(F.col("value")).alias("value") if stripped else "value")
+        .groupBy("pos", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    return counted.select(F.expr(f"array({names})[pos]").alias(label), "value", "n")
 
 
 def top_values(counts: DataFrame, k: int = 10, label: str = "columna") -> DataFrame:

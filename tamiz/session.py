@@ -32,6 +32,16 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """An intermediate table that several parts of a job read: written to the shared folder, then read back.
+
+    Unlike a cache it survives lost executors, and unlike a plan used twice it is computed once.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[Mapping[str, Any]], ddl: str) -> DataFrame:
     """A small driver-side list as a DataFrame: one literal in the plan, no job and no Python worker."""
     payload = F.from_json(F.lit(json.dumps(list(rows), ensure_ascii=False)), f"array<struct<{ddl}>>")
