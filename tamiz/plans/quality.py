@@ -38,7 +38,11 @@ def _samples(config: Mapping[str, Any]) -> int:
 
 
 def ledger_quality(
-    df: DataFrame, config: Mapping[str, Any], as_of: dt.datetime, sample_key: tuple[str, ...] | None = None
+    df: DataFrame,
+    config: Mapping[str, Any],
+    as_of: dt.datetime,
+    sample_key: tuple[str, ...] | None = None,
+    rare_duplicates: bool = False,
 ) -> DataFrame:
     """Quality detail of one ledger table from a sectioned rule file."""
     check_sections(config, ("settings",))
@@ -54,6 +58,7 @@ def ledger_quality(
         tokens=_tokens(config),
         sample_key=sample_key,
         max_samples=_samples(config),
+        rare_duplicates=rare_duplicates,
     )
 
 

@@ -22,6 +22,8 @@ MISSING_ALERT = 0.05
 CARDINALITY_ALERT = 500
 ZERO_ALERT = 0.30
 APPROX_ERROR = 0.05
+# Longest list of years or months that a report shows.
+LISTED = 5_000
 # Columns beyond which a table counts as wide.
 WIDE = 150
 NO_DATA, REVIEW, OK = "SIN_DATOS", "REVISAR", "OK"
@@ -223,8 +225,8 @@ def temporal_summary(df: DataFrame, dataset: str, domains: Mapping[str, tuple[in
     """Range, gaps and out-of-domain values of whole-number time columns.
 
     `domains`: column -> (lowest, highest expected value, closed). A closed domain (months) must be full; an open one
-    (years) must have no gap between its own minimum and maximum. The distinct values are a calendar's years or
-    months, so the arrays below are short.
+    (years) must have no gap between its own minimum and maximum. Where a garbled column makes the range too wide to
+    list, the number of values is reported instead.
     """
     names = [c for c in domains if c in df.columns]
     cells = F.array(*[F.struct(F.lit(c).alias("variable"), as_integer(df, c).alias("v")) for c in names])
@@ -233,18 +235,36 @@ def temporal_summary(df: DataFrame, dataset: str, domains: Mapping[str, tuple[in
     highs = F.create_map(*[F.lit(x) for c in names for x in (c, domains[c][1])])
     closed = F.create_map(*[F.lit(x) for c in names for x in (c, domains[c][2])])
     low, high = lows[F.col("variable")], highs[F.col("variable")]
-    found = seen.groupBy("variable").agg(
+    stray = (F.col("v") < low) | (F.col("v") > high)
+    stats = seen.groupBy("variable").agg(
         F.min("v").alias("lo"),
         F.max("v").alias("hi"),
         F.count("v").alias("distintos"),
         F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulos"),
-        F.sort_array(F.collect_set("v")).alias("values"),
+        F.count_if(stray).alias("strays"),
     )
-    expected = F.when(closed[F.col("variable")], F.sequence(low.cast("bigint"), high.cast("bigint"))).when(
-        F.col("lo").isNotNull(), F.sequence("lo", "hi")
+    first = F.when(closed[F.col("variable")], low).otherwise(F.col("lo")).cast("bigint")
+    last = F.when(closed[F.col("variable")], high).otherwise(F.col("hi")).cast("bigint")
+    bounded = stats.select("*", first.alias("first"), last.alias("last"))
+    span = F.col("last") - F.col("first") + 1
+    # Values are listed only from a calendar-sized range: both arrays hold at most LISTED entries.
+    within = F.col("v").between(F.col("first"), F.col("last"))
+    found = (
+        seen.join(F.broadcast(bounded), "variable")  # one row per time column
+        .groupBy("variable", *bounded.columns[1:])
+        .agg(
+            F.sort_array(F.collect_list(F.when(within & (span <= LISTED), F.col("v")))).alias("present"),
+            F.count_if(within).alias("inside"),
+            F.sort_array(F.collect_list(F.when(stray & (F.col("strays") <= LISTED), F.col("v")))).alias("outside"),
+        )
+    )
+    gaps = F.coalesce(span - F.col("inside"), F.lit(0))
+    missing = F.array_except(F.sequence("first", "last"), F.col("present"))
+    too_many = F.concat(gaps.cast("string"), F.lit(" valores sin datos"))
+    gap_text = F.when(gaps == 0, "ninguno").when(span <= LISTED, _shown(missing)).otherwise(too_many)
+    stray_text = F.when(F.col("strays") <= LISTED, _shown(F.col("outside"))).otherwise(
+        F.concat(F.col("strays").cast("string"), F.lit(" valores"))
     )
-    gaps = F.coalesce(F.array_except(expected, F.col("values")), F.array().cast("array<bigint>"))
-    outside = F.filter("values", lambda v: (v < low) | (v > high))
     return found.select(
         _tag(dataset),
         "variable",
@@ -252,9 +272,9 @@ def temporal_summary(df: DataFrame, dataset: str, domains: Mapping[str, tuple[in
         F.coalesce("hi", F.lit(0)).cast("bigint").alias("valor_maximo"),
         F.col("distintos").alias("valores_distintos"),
         "nulos",
-        _shown(gaps).alias("gaps_en_rango"),
-        _shown(outside).alias("valores_fuera_rango_esperado"),
-        flag((F.size(gaps) > 0) | (F.size(outside) > 0) | (F.col("nulos") > 0)).alias("alerta"),
+        gap_text.alias("gaps_en_rango"),
+        stray_text.alias("valores_fuera_rango_esperado"),
+        flag((gaps > 0) | (F.col("strays") > 0) | (F.col("nulos") > 0)).alias("alerta"),
     )
 
 

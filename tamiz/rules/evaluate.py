@@ -141,10 +141,12 @@ def evaluate(
     catalog: Mapping[str, DataFrame] | None = None,
     sample_key: Sequence[str] | None = None,
     max_samples: int = SAMPLES_PER_RULE,
+    rare_duplicates: bool = False,
 ) -> DataFrame:
     """The quality detail of one table: one row per rule, in the fixed result columns.
 
-    Failing rows are sampled only when `sample_key` names the columns that order them.
+    Failing rows are sampled only when `sample_key` names the columns that order them. `rare_duplicates` lets the
+    uniqueness rules look for repeated hashes first (a job of its own) instead of shuffling whole rows.
     """
     if not rules:
         return _empty(df)
@@ -152,7 +154,7 @@ def evaluate(
     row, sets, absent = _texts(df, rules, catalog)
     bound, checks = compile_rules(df, row, as_of, tokens)
     parts = [_one_pass(bound, chunk) for chunk in _passes(checks)] if checks else []
-    parts += evaluate_sets(df, sets, tokens, catalog)
+    parts += evaluate_sets(df, sets, tokens, catalog, rare_duplicates)
     if absent:
         missing_rows = [{"pos": pos, "evaluated": 1, "failed": 1, "facts": []} for pos, _ in absent]
         parts.append(
@@ -163,8 +165,9 @@ def evaluate(
         counts = counts.unionByName(part)
     absent_at = {pos for pos, _ in absent}
     result = _assemble(counts, rules, absent_at, dataset)
-    if sample_key and checks and max_samples > 0:
-        samples = failed_samples(bound, checks, sample_key, max_samples)
+    shown = [c for c in checks if c[1].sample_columns]
+    if sample_key and shown and max_samples > 0:
+        samples = failed_samples(bound, shown, sample_key, max_samples)
         as_json = samples.groupBy("pos").agg(
             F.sort_array(F.collect_list(F.struct("rank", F.to_json("values").alias("row")))).alias("s")
         )

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tamiz.functions.casts import integer_sql
 from tamiz.functions.missing import RULE_TOKENS, present, present_sql, text
 from tamiz.functions.text import column, key_text, quoted
+from tamiz.operators.dedup import REPEATED_HASH_LIMIT, repeated_hashes
+from tamiz.operators.wide import side_by_side
 from tamiz.rules.model import Rule
 from tamiz.session import literal_rows
 
@@ -38,6 +40,20 @@ def repeated_rows(df: DataFrame, pos: int, keys: Sequence[str]) -> DataFrame:
     return _outcome(totals, pos, F.col("rows"), F.col("extra"), F.format_number(_zero(F.col("extra")), 0))
 
 
+def repeated_rows_rare(df: DataFrame, pos: int, keys: Sequence[str]) -> DataFrame:
+    """Same figures as `repeated_rows`, for wide keys that seldom repeat: a first job shuffles 8-byte hashes, and only
+    rows whose hash repeats are compared by their key. Too many repeated hashes to broadcast: the plain way."""
+    hashed = F.xxhash64(*[column(k) for k in keys])
+    repeated = repeated_hashes(df, hashed)
+    if repeated.count() > REPEATED_HASH_LIMIT:
+        return repeated_rows(df, pos, keys)
+    contested = df.withColumn("__h", hashed).join(F.broadcast(repeated), "__h", "left_semi").drop("__h")
+    extra = contested.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    totals = side_by_side([df.agg(F.count(F.lit(1)).alias("rows")), extra.agg(F.sum(F.col("n") - 1).alias("extra"))])
+    return _outcome(totals, pos, F.col("rows"), F.col("extra"), F.format_number(_zero(F.col("extra")), 0))
+
+
+SHOWN_YEARS = 200
 CELL_RULES = ("code_name_consistency", "cardinality_check", "cardinality_upper_bound", "temporal_coverage_check")
 
 
@@ -56,6 +72,13 @@ def _per_rule(rules: Numbered, pick) -> Column:
     return F.create_map(*[v for pos, rule in rules for v in (F.lit(pos), F.lit(pick(rule)))])[F.col("pos")]
 
 
+def _short_years(groups: DataFrame) -> DataFrame:
+    """The first short years of each rule as text. All are counted; a garbled year column may have too many to show."""
+    listed = F.format_string("{'ano': %s, 'n_meses': %s}", F.col("a"), F.col("members").cast("string"))
+    first = groups.withColumn("rank", F.expr("row_number() over (partition by pos order by a)")).where(f"rank <= {SHOWN_YEARS}")
+    return first.groupBy("pos").agg(F.sort_array(F.collect_list(listed)).alias("which"))
+
+
 def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFrame:
     """All rules about distinct values in one pass over the table and one shuffle of distinct (rule, a, b).
 
@@ -75,15 +98,12 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
     # A year that is no number is a group of its own, which no exception can name.
     short = (kind == "temporal_coverage_check") & (F.col("members") < expected)
     short = short & ~F.coalesce(excepted.contains(F.concat(F.lit(","), F.col("a"), F.lit(","))), F.lit(False))
-    listed = F.format_string("{'ano': %s, 'n_meses': %s}", F.col("a"), F.col("members").cast("string"))
-    found = groups.groupBy("pos").agg(
+    found = groups.withColumn("short", short).groupBy("pos").agg(
         F.sum("n").alias("rows"),
         F.count(F.lit(1)).alias("groups"),
         F.sum(F.when(many, F.col("n"))).alias("ambiguous_rows"),
         F.count_if(many).alias("ambiguous"),
-        F.count_if(short).alias("short"),
-        # One entry per short year of a calendar; other rules put nothing in.
-        F.sort_array(F.collect_list(F.when(short, listed))).alias("which"),
+        F.count_if("short").alias("short"),
     )
     limit = _per_rule(rules, lambda r: int(r.param("limit", 0)))
     over = F.greatest(_zero(F.col("groups")) - limit, F.lit(0))
@@ -95,7 +115,12 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
     groups_seen = _zero(F.col("groups"))
     # Rules that met no evaluable row have no group; they are kept with zero counts.
     declared = literal_rows(df.sparkSession, [{"pos": pos} for pos, _ in rules], "pos int")
-    return declared.join(found, "pos", "left").select(
+    found = declared.join(found, "pos", "left")
+    if any(r.rule_type == "temporal_coverage_check" for _, r in rules):
+        found = found.join(_short_years(groups.where(short)), "pos", "left")
+    else:
+        found = found.withColumn("which", F.lit(None).cast("array<string>"))
+    return found.select(
         "pos",
         F.when(pairs, _zero(F.col("rows"))).otherwise(groups_seen).alias("evaluated"),
         F.when(pairs, _zero(F.col("ambiguous_rows"))).when(coverage, _zero(F.col("short"))).otherwise(over).cast("bigint").alias("failed"),
@@ -147,18 +172,23 @@ SET_RULES = (*CELL_RULES, "duplicate_full_rows", "unique_key", "referential_inte
 
 
 def evaluate_sets(
-    df: DataFrame, rules: Numbered, tokens: Sequence[str] = RULE_TOKENS, catalog: Mapping[str, DataFrame] | None = None
+    df: DataFrame,
+    rules: Numbered,
+    tokens: Sequence[str] = RULE_TOKENS,
+    catalog: Mapping[str, DataFrame] | None = None,
+    rare_duplicates: bool = False,
 ) -> list[DataFrame]:
     """Result frames of all set rules of one table. `catalog` resolves the tables that reference rules name."""
     parts: list[DataFrame] = []
+    repeated = repeated_rows_rare if rare_duplicates else repeated_rows
     cells = [(p, r) for p, r in rules if r.rule_type in CELL_RULES]
     if cells:
         parts.append(cell_rules(df, cells, tokens))
     for pos, rule in rules:
         if rule.rule_type == "duplicate_full_rows":
-            parts.append(repeated_rows(df, pos, df.columns))
+            parts.append(repeated(df, pos, df.columns))
         elif rule.rule_type == "unique_key":
-            parts.append(repeated_rows(df, pos, rule.columns))
+            parts.append(repeated(df, pos, rule.columns))
         elif rule.rule_type in ("referential_integrity", "temporal_catalog_exists"):
             parent = (catalog or {})[rule.param("reference_dataset")]
             parts.append(

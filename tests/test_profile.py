@@ -44,6 +44,13 @@ def test_temporal_summary(messy):
     assert found["mo"]["valores_fuera_rango_esperado"] == "[13]" and found["mo"]["gaps_en_rango"].startswith("[3, 4")
 
 
+def test_a_garbled_year_does_not_list_a_million_gaps(spark):
+    df = spark.createDataFrame([("2020",), ("20240101",), (None,)], "y string")
+    found = rows(s.temporal_summary(df, "t", {"y": (2012, 2026, False)}))[0]
+    assert found["gaps_en_rango"] == "20238080 valores sin datos"
+    assert found["valores_fuera_rango_esperado"] == "[20240101]" and found["nulos"] == 1
+
+
 def test_evolution_and_signs(messy):
     years = {r["ano"]: r for r in rows(s.yearly_evolution(messy, "t", "y", "mo", "m"))}
     assert years[2022]["registros"] == 2 and years[2022]["sum_monto"] == -1.0 and years[2022]["meses_con_datos"] == 2

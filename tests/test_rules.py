@@ -98,6 +98,22 @@ def test_more_than_500_ambiguous_codes_all_count(spark):
     assert list(outcome(df, rule("code_name_consistency", "code", "name")).values()) == [(2000, 2000)]
 
 
+def test_rare_duplicates_give_the_same_figures(spark, monkeypatch):
+    df = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 500 END AS k", "CAST(id % 2 AS STRING) AS v")
+    declared = [rule("duplicate_full_rows"), rule("unique_key", "k")]
+    want = outcome(df, *declared)
+    assert outcome(df, *declared, rare_duplicates=True) == want
+    monkeypatch.setattr("tamiz.rules.sets.REPEATED_HASH_LIMIT", 1)
+    assert outcome(df, *declared, rare_duplicates=True) == want
+
+
+def test_coverage_lists_short_years(spark):
+    df = spark.createDataFrame([("2020", "1"), ("2021", "1"), ("2021", "2"), ("x", "1")], "y string, m string")
+    declared = rule("temporal_coverage_check", "y", "m", expected_months=2, observation="{0}")
+    found = rows(evaluate(df, [declared], dataset="t", as_of=AS_OF))[0]
+    assert (found["evaluated_rows"], found["failed_rows"]) == (3, 2) and "{'ano': 2020, 'n_meses': 1}" in found["observation"]
+
+
 def test_hot_key_reference(spark):
     """A third of the rows share one key that the parent lacks."""
     child = spark.range(9000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 50 AS STRING) END AS k")
