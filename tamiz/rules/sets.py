@@ -72,6 +72,26 @@ def _per_rule(rules: Numbered, pick) -> Column:
     return F.create_map(*[v for pos, rule in rules for v in (F.lit(pos), F.lit(pick(rule)))])[F.col("pos")]
 
 
+def _cell_groups(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFrame:
+    """(pos, a) with its rows, its distinct b (NULL too) and its distinct non-NULL b."""
+    cells = ", ".join(_cell(df, pos, rule, tokens) for pos, rule in rules)
+    seen = df.select(F.expr(f"explode(array({cells}))").alias("c")).where("c IS NOT NULL").select("c.*")
+    distinct = seen.groupBy("pos", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return distinct.groupBy("pos", "a").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("pairs"), F.count("b").alias("members")
+    )
+
+
+def _is_short(rules: Numbered) -> Column:
+    """The group is a year of a coverage rule with too few months, and no exception."""
+    kind = _per_rule(rules, lambda r: r.rule_type)
+    expected = _per_rule(rules, lambda r: int(r.param("expected_months", 12)))
+    excepted = _per_rule(rules, lambda r: "," + ",".join(str(int(y)) for y in r.param("exception_years", ())) + ",")
+    # A year that is no number is a group of its own, which no exception can name.
+    named = F.coalesce(excepted.contains(F.concat(F.lit(","), F.col("a"), F.lit(","))), F.lit(False))
+    return (kind == "temporal_coverage_check") & (F.col("members") < expected) & ~named
+
+
 def _short_years(groups: DataFrame) -> DataFrame:
     """The first short years of each rule as text. All are counted; a garbled year column may have too many to show."""
     listed = F.format_string("{'ano': %s, 'n_meses': %s}", F.col("a"), F.col("members").cast("string"))
@@ -85,19 +105,10 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
     code_name_consistency: rows whose code (a) carries several names (b). cardinality: distinct values (a) over the
     limit. temporal_coverage: years (a) with fewer months (b) than expected, exception years aside.
     """
-    cells = ", ".join(_cell(df, pos, rule, tokens) for pos, rule in rules)
-    seen = df.select(F.expr(f"explode(array({cells}))").alias("c")).where("c IS NOT NULL").select("c.*")
-    distinct = seen.groupBy("pos", "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    groups = distinct.groupBy("pos", "a").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("pairs"), F.count("b").alias("members")
-    )
+    groups = _cell_groups(df, rules, tokens)
     kind = _per_rule(rules, lambda r: r.rule_type)
-    expected = _per_rule(rules, lambda r: int(r.param("expected_months", 12)))
-    excepted = _per_rule(rules, lambda r: "," + ",".join(str(int(y)) for y in r.param("exception_years", ())) + ",")
     many = F.col("pairs") > 1
-    # A year that is no number is a group of its own, which no exception can name.
-    short = (kind == "temporal_coverage_check") & (F.col("members") < expected)
-    short = short & ~F.coalesce(excepted.contains(F.concat(F.lit(","), F.col("a"), F.lit(","))), F.lit(False))
+    short = _is_short(rules)
     found = groups.withColumn("short", short).groupBy("pos").agg(
         F.sum("n").alias("rows"),
         F.count(F.lit(1)).alias("groups"),
@@ -110,14 +121,17 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
     verdict = F.when(over > 0, _per_rule(rules, lambda r: r.param("verdicts", ("", ""))[0])).otherwise(
         _per_rule(rules, lambda r: r.param("verdicts", ("", ""))[1])
     )
-    years = F.concat(F.lit("["), F.array_join("which", ", "), F.lit("]"))
+    listed = F.concat(F.lit("["), F.array_join("which", ", "), F.lit("]"))
     pairs, coverage = kind == "code_name_consistency", kind == "temporal_coverage_check"
     groups_seen = _zero(F.col("groups"))
     # Rules that met no evaluable row have no group; they are kept with zero counts.
     declared = literal_rows(df.sparkSession, [{"pos": pos} for pos, _ in rules], "pos int")
     found = declared.join(found, "pos", "left")
-    if any(r.rule_type == "temporal_coverage_check" for _, r in rules):
-        found = found.join(_short_years(groups.where(short)), "pos", "left")
+    calendars = [(pos, r) for pos, r in rules if r.rule_type == "temporal_coverage_check"]
+    if calendars:
+        # A second look at the two time columns only.
+        years = _cell_groups(df, calendars, tokens).where(_is_short(calendars))
+        found = found.join(_short_years(years), "pos", "left")
     else:
         found = found.withColumn("which", F.lit(None).cast("array<string>"))
     return found.select(
@@ -125,7 +139,7 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
         F.when(pairs, _zero(F.col("rows"))).otherwise(groups_seen).alias("evaluated"),
         F.when(pairs, _zero(F.col("ambiguous_rows"))).when(coverage, _zero(F.col("short"))).otherwise(over).cast("bigint").alias("failed"),
         F.when(pairs, F.array(_zero(F.col("ambiguous")).cast("string")))
-        .when(coverage, F.array(F.when(F.size("which") > 0, years).otherwise("ninguno")))
+        .when(coverage, F.array(F.when(F.size("which") > 0, listed).otherwise("ninguno")))
         .otherwise(F.array(groups_seen.cast("string"), verdict))
         .alias("facts"),
     )
