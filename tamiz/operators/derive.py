@@ -79,12 +79,13 @@ def named_hash(df: DataFrame, names: Sequence[str] | None = None) -> Column:
 
 
 def lineage(source_system: str, source_dataset: str, processed_at: dt.datetime, loaded_at: bool = False) -> dict[str, Column]:
-    """Constant columns; the run's start is an argument so a rerun can reproduce it."""
+    """Constant columns; the run's start is an argument so a rerun can reproduce it. A naive time is in session time."""
+    at = F.lit(processed_at.isoformat(sep=" ")).cast("timestamp")
     columns = {
         "source_system": F.lit(source_system),
         "source_dataset": F.lit(source_dataset),
-        "silver_processed_at": F.lit(processed_at).cast("timestamp"),
+        "silver_processed_at": at,
     }
     if loaded_at:
-        columns["_audit_loaded_at"] = F.lit(processed_at).cast("timestamp")
+        columns["_audit_loaded_at"] = at
     return columns

@@ -15,6 +15,7 @@ from tamiz.functions.casts import as_integer, as_number, number_sql
 from tamiz.functions.missing import PROFILE_TOKENS, is_token_sql, missing_sql
 from tamiz.functions.text import column, literal, quoted, strip
 from tamiz.operators.wide import per_column, stack
+from tamiz.rules.sets import repeated_rows, repeated_rows_rare
 from tamiz.session import literal_rows
 
 # Alert limits and the relative error of approximate counts.
@@ -83,8 +84,13 @@ def null_profile(df: DataFrame, dataset: str) -> DataFrame:
     )
 
 
-def duplicate_profile(df: DataFrame, dataset: str, business_key: Sequence[str]) -> DataFrame:
-    """Exact duplicates (rows beyond the first) and rows in groups that share the business key."""
+def duplicate_profile(
+    df: DataFrame, dataset: str, business_key: Sequence[str], rare_duplicates: bool = False
+) -> DataFrame:
+    """Exact duplicates (rows beyond the first) and rows in groups that share the business key.
+
+    `rare_duplicates` looks for repeated row hashes first, so whole rows are not shuffled.
+    """
 
     def groups(keys: Sequence[str]) -> DataFrame:
         return df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
@@ -101,7 +107,8 @@ def duplicate_profile(df: DataFrame, dataset: str, business_key: Sequence[str])
             flag(found > 0).alias("alerta"),
         )
 
-    exact = groups(df.columns).agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("found"))
+    counted = (repeated_rows_rare if rare_duplicates else repeated_rows)(df, 0, df.columns)
+    exact = counted.select(F.col("evaluated").alias("rows"), F.col("failed").alias("found"))
     keys = [k for k in business_key if k in df.columns]
     if len(keys) < len(business_key) or not keys:
         shared = df.agg(F.count(F.lit(1)).alias("rows"), F.lit(0).alias("found"), F.lit(0).alias("shared"))

@@ -36,6 +36,9 @@ def test_duplicates_count_whole_groups_for_the_business_key(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 1)], "k string, v int")
     exact, key = sorted(rows(s.duplicate_profile(df, "t", ["k"])), key=lambda r: r["tipo_duplicado"], reverse=True)
     assert (exact["conteo"], key["conteo"]) == (1, 3) and key["descripcion"].endswith("grupos afectados: 1")
+    assert rows(s.duplicate_profile(df, "t", ["k"], rare_duplicates=True), "tipo_duplicado") == sorted(
+        [exact, key], key=lambda r: r["tipo_duplicado"]
+    )
 
 
 def test_temporal_summary(messy):
@@ -116,8 +119,8 @@ def test_type_inference(spark, values, expected):
 
 
 def test_wide_table_profile(spark):
-    names = [f"P19_{i}" for i in range(300)]
+    names = [f"P19_{i}" for i in range(160)]
     df = spark.range(30).selectExpr(*[f"CAST((id * {i}) % 5 AS STRING) AS {n}" for i, n in enumerate(names)])
-    assert s.null_profile(df, "t").count() == 300
+    assert s.null_profile(df, "t").count() == 160
     found = {r["column_name"]: r["unique_count"] for r in rows(rich.column_profile(df, "t"))}
-    assert len(found) == 300 and found["P19_0"] == 1 and found["P19_1"] == 5
+    assert len(found) == 160 and found["P19_0"] == 1 and found["P19_1"] == 5
