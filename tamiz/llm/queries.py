@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import huffman, packing, sharding
+from . import huffman, neardup, packing, sharding
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,10 +28,15 @@ def op6_rendezvous(spark: SparkSession, sf: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_huffman": op4_huffman,
     "op6_rendezvous": op6_rendezvous,
+    "op7_minhash": op7_minhash,
 }
 
 ORACLES: dict[str, str] = {}
