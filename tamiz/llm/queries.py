@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import huffman, neardup, packing, sharding
+from . import decontaminate, huffman, neardup, packing, sharding
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -32,11 +32,47 @@ def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op9_containment(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_huffman": op4_huffman,
     "op6_rendezvous": op6_rendezvous,
     "op7_minhash": op7_minhash,
+    "op9_containment": op9_containment,
 }
 
-ORACLES: dict[str, str] = {}
+#: The words of a text, A-Z in lower case, as a list.
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^ \\t-\\r]+')"
+)
+
+
+def _shingles(table: str, key: str) -> str:
+    """(key, s): the distinct 5-word shingles of a table's texts; with fewer words the whole sequence."""
+    return f"""SELECT DISTINCT {key}, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS s FROM (
+  SELECT {key}, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM (SELECT {key}, {_WORDS} AS w FROM {table}) WHERE len(w) > 0)"""
+
+
+ORACLES: dict[str, str] = {
+    "op7_minhash": f"""
+WITH RECURSIVE s AS ({_shingles("documents", "doc_id")}),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT DISTINCT a AS doc_id, a AS other FROM edge UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.other),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
+  d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp c ON c.doc_id = d.doc_id""",
+    "op9_containment": f"""
+WITH d AS ({_shingles("documents", "doc_id")}), q AS ({_shingles("benchmark", "item_id")}),
+n AS (SELECT item_id, count(*) AS n FROM q GROUP BY item_id),
+common AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN q USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, shared, n AS item_shingles, CAST(shared AS DOUBLE) / n AS containment
+FROM common JOIN n USING (item_id) WHERE 100 * shared >= 80 * n""",
+}

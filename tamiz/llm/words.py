@@ -86,8 +86,8 @@ class Words:
             if m >= k:
                 yield rows[a : b - k + 1]
             elif m:
-                own = np.sum(self.hashes[a:b] * _PLACES[:m]) + np.uint64(0xA0761D6478BD642F * m & _MASK)
-                yield mix(np.array([own], dtype=np.uint64))
+                own = np.sum(self.hashes[a:b] * _PLACES[:m], keepdims=True)
+                yield mix(own + np.array([0xA0761D6478BD642F * m & _MASK], dtype=np.uint64))
             else:
                 yield rows[:0]
 
