@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, neardup, packing, sharding
+from . import decontaminate, huffman, lines, neardup, packing, sharding
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 
+def op3_lines(spark: SparkSession, sf: str) -> DataFrame:
+    cleared = lines.deduplicate_lines(_table(spark, sf, "documents"))
+    return cleared.select("doc_id", "text", "lines_before", "lines_removed")
+
+
 def op4_huffman(spark: SparkSession, sf: str) -> DataFrame:
     return huffman.round_trip(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
@@ -38,6 +43,7 @@ def op9_containment(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_lines": op3_lines,
     "op4_huffman": op4_huffman,
     "op6_rendezvous": op6_rendezvous,
     "op7_minhash": op7_minhash,

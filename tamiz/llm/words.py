@@ -22,6 +22,9 @@ _PLACES = np.array([pow(0xD1342543DE82EF95, i + 1, 1 << 64) | 1 for i in range(6
 
 _is_word = np.ones(256, dtype=bool)
 _is_word[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
+#: Bytes of words without ASCII punctuation.
+LETTERS = np.zeros(256, dtype=bool)
+LETTERS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 _same = np.arange(1, 257, dtype=np.uint64)
 _lower = np.arange(1, 257, dtype=np.uint64)
 _lower[65:91] += np.uint64(32)
@@ -36,6 +39,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def sequence_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span of 64-bit values, by value and order."""
+    power, inverse = _powers(max(PIECE, 1 << max(len(values), 1).bit_length()))
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * power[: len(values)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[np.minimum(starts, len(inverse) - 1)] + (ends - starts).astype(np.uint64))
+
+
 @lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     base = np.full(size, _BASE, dtype=np.uint64)
@@ -55,8 +66,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values:
 class Words:
     """The words of some texts: ``hashes``, byte spans in the piece, and ``bounds``: text i has words bounds[i]:bounds[i+1]."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        kind = _is_word[data]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray | None = None):
+        """``kinds``: for each byte, whether it belongs to a word (default: all but white space)."""
+        kind = (_is_word if kinds is None else kinds)[data]
         before, after = np.empty_like(kind), np.empty_like(kind)
         before[1:], after[:-1] = kind[:-1], kind[1:]
         inner = offsets[(offsets > 0) & (offsets < len(data))]
