@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, lines, neardup, packing, sharding
+from . import decontaminate, huffman, lines, neardup, packing, quality, sharding
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op4_huffman(spark: SparkSession, sf: str) -> DataFrame:
     return huffman.round_trip(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classify(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op6_rendezvous(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.shard_documents(_table(spark, sf, "documents"), 8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_lines": op3_lines,
     "op4_huffman": op4_huffman,
+    "op5_quality": op5_quality,
     "op6_rendezvous": op6_rendezvous,
     "op7_minhash": op7_minhash,
     "op9_containment": op9_containment,
