@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, lines, neardup, packing, quality, sharding
+from . import decontaminate, huffman, lines, neardup, packing, quality, sharding, suffixes
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.repeated_passages(_table(spark, sf, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
@@ -46,6 +50,7 @@ def op9_containment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffixes": op1_suffixes,
     "op2_packing": op2_packing,
     "op3_lines": op3_lines,
     "op4_huffman": op4_huffman,
