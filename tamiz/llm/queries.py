@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, huffman, lines, neardup, packing, quality, sharding, suffixes
+from . import decontaminate, fingerprints, huffman, lines, neardup, packing, quality, sharding, suffixes
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op9_containment(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprints(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffixes": op1_suffixes,
     "op2_packing": op2_packing,
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_rendezvous": op6_rendezvous,
     "op7_minhash": op7_minhash,
     "op9_containment": op9_containment,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 #: The words of a text, A-Z in lower case, as a list.
