@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tamiz.session import written_once
 
+from .common import bounded_broadcast
 from .components import components
 from .words import mix, words_of
 
@@ -234,3 +235,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame
     rows = described.select("doc_id", *whole).join(found, whole, "left")
     own = F.coalesce("component", "doc_id")
     return rows.select("doc_id", "n_shingles", own.alias("component_id"), (F.col("doc_id") == own).alias("kept"))
+
+
+def representatives(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
+    """One document of each group: the one with the smallest doc_id. Of rows with that doc_id one stays; none without doc_id go."""
+    found = near_duplicates(docs, k, percent).where("doc_id is not null")
+    # A narrow row per document: dropped ones, and ids that several rows share.
+    told = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("copies"))
+    marked = written_once(told.where("not kept or copies > 1").select(F.col("doc_id").alias("_told"), "kept", "copies"), "dropped")
+    joined = docs.join(bounded_broadcast(marked), docs["doc_id"] == F.col("_told"), "left")
+    single = joined.where("copies is null").select(docs.columns)
+    if not marked.where("kept and copies > 1").limit(1).count():
+        return single
+    again = joined.where("kept and copies > 1").select(docs.columns).dropDuplicates(["doc_id"])
+    return single.unionByName(again)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, huffman, lines, neardup, packing, quality, sharding, suffixes
+from . import chat, decontaminate, fingerprints, huffman, lines, neardup, packing, quality, sharding, suffixes
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -45,6 +46,10 @@ def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op8_chat(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.repair(_table(spark, sf, "conversations"))
+
+
 def op9_containment(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
@@ -61,8 +66,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_rendezvous": op6_rendezvous,
     "op7_minhash": op7_minhash,
+    "op8_chat": op8_chat,
     "op9_containment": op9_containment,
     "op10_fingerprints": op10_fingerprints,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: The words of a text, A-Z in lower case, as a list.
