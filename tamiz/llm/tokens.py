@@ -89,8 +89,6 @@ class Encoder:
 
     def _learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
         """Adds pieces, whose hashes are sorted, to the table."""
-        if len(self.known) + len(hashes) > REMEMBERED:
-            self._forget()
         lists = []
         for raw in texts:
             text = raw.decode()
@@ -115,14 +113,12 @@ class Encoder:
         if len(self.known):
             at = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
             new = self.known[at] != distinct
+        if len(self.known) + new.sum() > REMEMBERED:
+            self._forget()
+            new[:] = True
         if new.any():
-            had = len(self.known)
             texts = [data[a:b].tobytes() for a, b in zip(starts[first[new]], ends[first[new]], strict=True)]
             self._learn(distinct[new], texts)
-            if len(self.known) < had + len(texts):  # the table was full and began anew
-                old = ~new
-                texts = [data[a:b].tobytes() for a, b in zip(starts[first[old]], ends[first[old]], strict=True)]
-                self._learn(distinct[old], texts)
         at = np.searchsorted(self.known, distinct)
         lengths = self.length[at][which]
         upto = np.zeros(len(lengths) + 1, dtype=np.int64)
