@@ -24,7 +24,7 @@ from tamiz.plans.quality import ledger_quality, survey_quality  # noqa: E402
 from tamiz.plans.schema_validation import validate_contract  # noqa: E402
 from tamiz.plans.silver import ledger_silver, survey_silver  # noqa: E402
 from tamiz.profile.columns import column_profile  # noqa: E402
-from tamiz.session import scratch, spread  # noqa: E402
+from tamiz.session import scratch  # noqa: E402
 from tamiz.sinks.tables import overwrite_flat, overwrite_partitions  # noqa: E402
 from workload.quality import LEDGER_CONFIG, SCORECARD, SURVEY_CONFIG, scores  # noqa: E402
 from workload.silver import LEDGER, RUN_AT, SURVEY, SURVEY_ORDERS  # noqa: E402
@@ -52,14 +52,14 @@ def session() -> SparkSession:
 def main() -> None:
     spark = session()
     landing = scratch(spark, "bench")
-    raw_lines(spark, SF_DIR).write.parquet(f"{landing}/lines")
-    raw_orders(spark, SF_DIR).write.parquet(f"{landing}/orders")
+    raw_lines(spark, SF_DIR).repartition(int(CPUS)).write.parquet(f"{landing}/lines")
+    raw_orders(spark, SF_DIR).repartition(int(CPUS)).write.parquet(f"{landing}/orders")
 
     def lines() -> DataFrame:
-        return spread(spark.read.parquet(f"{landing}/lines"))
+        return spark.read.parquet(f"{landing}/lines")
 
     def orders() -> DataFrame:
-        return spread(spark.read.parquet(f"{landing}/orders"))
+        return spark.read.parquet(f"{landing}/orders")
 
     def lineitem() -> DataFrame:
         return table(spark, SF_DIR, "lineitem")

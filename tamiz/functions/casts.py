@@ -15,7 +15,9 @@ from tamiz.functions.missing import text_sql
 from tamiz.functions.text import literal, quoted
 
 NUMBER_SHAPE = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-WHOLE_SHAPE = r"^[+-]?[0-9]{1,18}$"
+# Whole numbers written without an exponent, and fractions that are not zero.
+WHOLE_SHAPE = r"^[+-]?[0-9]*\.?0*$"
+FRACTION_SHAPE = r"^[+-]?[0-9]*\.[0-9]*[1-9][0-9]*$"
 
 # The accepted date layouts, in the order they are tried (name, Spark pattern, text shape).
 DATE_FORMATS = (
@@ -54,15 +56,26 @@ def number_sql(df: DataFrame, name: str) -> str:
 
 
 def integer_sql(df: DataFrame, name: str) -> str:
-    """BIGINT or NULL; '12.0' and '1e3' are whole, '1.5' is not."""
+    """BIGINT or NULL; '12.0' and '1e3' are whole, '1.5' is not.
+
+    Only numbers with an exponent go through DOUBLE; all others keep every digit, and those beyond BIGINT are NULL.
+    """
     dtype = df.schema[name].dataType
     if isinstance(dtype, _WHOLE):
         return f"CAST({quoted(name)} AS BIGINT)"
+    if isinstance(dtype, T.DecimalType):
+        value = quoted(name)
+        return f"(CASE WHEN {value} = floor({value}) THEN try_cast({value} AS BIGINT) END)"
     whole = _whole_sql(number_sql(df, name))
     if isinstance(dtype, _NUMERIC):
         return f"({whole})"
     text = text_sql(df, name)
-    return f"(CASE WHEN {text} RLIKE {literal(WHOLE_SHAPE)} THEN try_cast({text} AS BIGINT) ELSE {whole} END)"
+    digits = f"split_part({text}, '.', 1)"
+    exact = f"try_cast(CASE WHEN {digits} IN ('', '+', '-') THEN '0' ELSE {digits} END AS BIGINT)"
+    return (
+        f"(CASE WHEN NOT {text} RLIKE {literal(NUMBER_SHAPE)} OR {text} RLIKE {literal(FRACTION_SHAPE)} THEN NULL"
+        f" WHEN {text} RLIKE {literal(WHOLE_SHAPE)} THEN {exact} ELSE {whole} END)"
+    )
 
 
 def timestamp_sql(df: DataFrame, name: str, formats=DATE_FORMATS) -> str:

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from tamiz.functions.text import column
 from tamiz.session import written_once
 
-# Key hashes that may be broadcast: 16 bytes each, so at most a few tens of MB.
-REPEATED_HASH_LIMIT = 1_000_000
-
 
 def _first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     window = Window.partitionBy(*[column(k) for k in keys]).orderBy(*order)
@@ -41,24 +38,18 @@ def keep_first_of_few(
 ) -> DataFrame:
     """Same rows as `keep_first`, for tables where repeated keys are rare.
 
-    A first job counts hashed keys (8 bytes per row through the shuffle, not the row). If the repeated hashes fit
-    under REPEATED_HASH_LIMIT they are broadcast: only rows with such a hash go through the window, and the others
-    never move. Otherwise the plain window runs. Hash collisions only send a row through the window for nothing.
+    A first job counts hashed keys (8 bytes per row through the shuffle, not the row). Only rows with a repeated hash go
+    through the window; where the hashes are few, adaptive execution broadcasts them and the other rows never move.
+    Hash collisions only send a row through the window for nothing.
     """
     present = [k for k in keys if k in df.columns]
     if not present:
         return df
     hashed = F.xxhash64(*[column(k) for k in present])
     repeated = repeated_hashes(df, hashed)
-    n = repeated.count()
-    if n == 0:
-        return df
-    if n > REPEATED_HASH_LIMIT:
-        return _first_per_key(df, present, [*order, *tie_break])
     marked = df.withColumn("__h", hashed)
-    small = F.broadcast(repeated)
-    unique = marked.join(small, "__h", "left_anti").drop("__h")
-    contested = marked.join(small, "__h", "left_semi").drop("__h")
+    unique = marked.join(repeated, "__h", "left_anti").drop("__h")
+    contested = marked.join(repeated, "__h", "left_semi").drop("__h")
     return unique.unionByName(_first_per_key(contested, present, [*order, *tie_break]))
 
 

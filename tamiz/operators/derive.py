@@ -19,8 +19,9 @@ LINEAGE = ("source_system", "source_dataset", "silver_processed_at", "_audit_loa
 
 
 def geo_code(parts: Sequence[str], width: int = 6) -> Column:
-    """Composite code; NULL when a part is NULL."""
-    return F.lpad(F.concat(*[column(p).cast("string") for p in parts]), width, "0")
+    """Composite code, padded to `width` and never cut; NULL when a part is NULL."""
+    code = F.concat(*[column(p).cast("string") for p in parts])
+    return F.when(F.length(code) < width, F.lpad(code, width, "0")).otherwise(code)
 
 
 def month_key(df: DataFrame, year: str, month: str) -> Column:

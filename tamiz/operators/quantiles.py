@@ -1,7 +1,6 @@
 """Exact quantiles (linear interpolation) per group, from value counts, without holding a group in one task.
 
-Input is one row per (group, value) with its count. While the distinct values of all groups are known to be few,
-Spark's weighted `percentile` does it in one aggregation. Beyond that the values are cut into buckets along
+Input is one row per (group, value) with its count. The values are cut into buckets along
 approximate quantiles (a bounded sketch, fixed as literals so that a rerun task sees the same cuts), bucket totals
 find the bucket of each wanted rank, and only those buckets are ranked exactly.
 """
@@ -15,23 +14,21 @@ from pyspark.sql import functions as F
 
 from tamiz.session import literal_rows
 
-FEW_VALUES = 1_000_000
 # Buckets per group: BRANCH coarse ones of BRANCH fine ones each, so a lookup tests 2 * BRANCH edges, not all.
 BRANCH = 24
 
 
 def exact_quantiles(
-    counts: DataFrame, group: str, value: str, count: str, probabilities: Sequence[float], few: bool | None = None
+    counts: DataFrame, group: str, value: str, count: str, probabilities: Sequence[float], few: bool = False
 ) -> DataFrame:
     """(group, quantiles ARRAY<DOUBLE>) in the order of `probabilities`.
 
-    `few` states what the caller knows about the number of distinct values; None counts them first.
+    A caller who knows that the distinct values of each group fit into one task says so by `few`: then Spark's weighted
+    `percentile` does it in one aggregation.
     """
     counts = counts.where(F.col(value).isNotNull()).select(
         F.col(group), F.col(value).cast("double").alias("v"), F.col(count).cast("bigint").alias("n")
     )
-    if few is None:
-        few = counts.count() <= FEW_VALUES
     if few:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
         return counts.groupBy(group).agg(F.percentile("v", wanted, F.col("n")).alias("quantiles"))

@@ -19,7 +19,6 @@ from tamiz.functions.missing import SILVER_TOKENS
 from tamiz.functions.text import column, name_text, quoted
 from tamiz.operators import clean, dedup, derive
 from tamiz.operators.wide import per_column, side_by_side, stack
-from tamiz.profile.sections import WIDE, missing_counts
 from tamiz.session import literal_rows
 
 _KEPT = "__kept"
@@ -154,8 +153,6 @@ def ledger_metrics(bronze: DataFrame, config: Mapping[str, Any], truncate_codes:
 
 def null_census(df: DataFrame) -> DataFrame:
     """NULLs of every column: (column_name, n_rows, nulls)."""
-    if len(df.columns) > WIDE:
-        return missing_counts(df).select(F.col("columna").alias("column_name"), "n_rows", F.col("nulos_reales").alias("nulls"))
     return per_column(df, df.columns, lambda c: {"nulls": f"count_if({quoted(c)} IS NULL)"})
 
 

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from tamiz.functions.casts import DATE_FORMATS, text_number_sql
 from tamiz.functions.missing import RULE_TOKENS
 from tamiz.functions.text import column, literal
-from tamiz.operators.quantiles import FEW_VALUES, exact_quantiles
+from tamiz.operators.quantiles import exact_quantiles
 from tamiz.operators.wide import side_by_side
 from tamiz.profile.sections import percent, top_values_json, value_counts
+from tamiz.rules.sets import repeated_rows_rare
 from tamiz.session import written_once
 
 # Type-inference thresholds, indicator words, e-mail shape, outlier fence, sample and top sizes.
@@ -169,8 +170,7 @@ def column_profile(
     names = list(columns or df.columns)
     counts = written_once(text_counts(df, names), "value-counts")
     annotated = _annotated(counts, tokens)
-    few = counts.count() <= FEW_VALUES  # from the file footers
-    quartiles = exact_quantiles(annotated, "column_name", "x", "n", (0.25, 0.75), few).select(
+    quartiles = exact_quantiles(annotated, "column_name", "x", "n", (0.25, 0.75)).select(
         "column_name", F.col("quantiles")[0].alias("q1_raw"), F.col("quantiles")[1].alias("q3_raw")
     )
     # One row per column: small by construction.
@@ -239,8 +239,7 @@ def column_profile(
 
 def profile_summary(profile: DataFrame, df: DataFrame, dataset: str) -> DataFrame:
     """One row per dataset over its column profile, with the table's duplicate rows."""
-    groups = df.groupBy(*[column(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("n"))
-    repeated = groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+    repeated = repeated_rows_rare(df, 0, df.columns).select(F.col("failed").alias("duplicate_rows"))
     missing_pct = F.col("missing_like_pct")
     over = profile.agg(
         F.max("row_count").alias("row_count"),

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.functions.casts import as_integer, as_number, number_sql
-from tamiz.functions.missing import PROFILE_TOKENS, is_token_sql, missing_sql
+from tamiz.functions.missing import PROFILE_TOKENS, missing_sql
 from tamiz.functions.text import column, literal, quoted, strip
 from tamiz.operators.wide import per_column, stack
-from tamiz.rules.sets import repeated_rows, repeated_rows_rare
+from tamiz.rules.sets import repeated_rows_rare
 from tamiz.session import literal_rows
 
 # Alert limits and the relative error of approximate counts.
@@ -23,10 +23,6 @@ MISSING_ALERT = 0.05
 CARDINALITY_ALERT = 500
 ZERO_ALERT = 0.30
 APPROX_ERROR = 0.05
-# Longest list of years or months that a report shows.
-LISTED = 5_000
-# Columns beyond which a table counts as wide.
-WIDE = 150
 NO_DATA, REVIEW, OK = "SIN_DATOS", "REVISAR", "OK"
 
 
@@ -44,26 +40,12 @@ def _tag(dataset: str) -> Column:
 
 
 def missing_counts(df: DataFrame, tokens: Sequence[str] = PROFILE_TOKENS) -> DataFrame:
-    """(columna, n_rows, nulos_reales, faltantes_like) of every column.
-
-    A table of moderate width is one aggregation. Hundreds of columns would need many such passes, so a wide table is
-    counted by value first, which costs one pass whatever the width.
-    """
-    if len(df.columns) <= WIDE:
-        return per_column(
-            df,
-            df.columns,
-            lambda c: {
-                "nulos_reales": f"count_if({quoted(c)} IS NULL)",
-                "faltantes_like": f"count_if({missing_sql(df, c, tokens)})",
-            },
-            label="columna",
-        )
-    gone = f"value IS NULL OR {is_token_sql('value', tokens)}"
-    return value_counts(df, df.columns).groupBy("columna").agg(
-        F.sum("n").alias("n_rows"),
-        F.expr("sum(CASE WHEN value IS NULL THEN n ELSE 0L END)").alias("nulos_reales"),
-        F.expr(f"sum(CASE WHEN {gone} THEN n ELSE 0L END)").alias("faltantes_like"),
+    """(columna, n_rows, nulos_reales, faltantes_like) of every column; each column is read by one pass only."""
+    return per_column(
+        df,
+        df.columns,
+        lambda c: {"nulos_reales": f"count_if({quoted(c)} IS NULL)", "faltantes_like": f"count_if({missing_sql(df, c, tokens)})"},
+        label="columna",
     )
 
 
@@ -85,11 +67,11 @@ def null_profile(df: DataFrame, dataset: str) -> DataFrame:
 
 
 def duplicate_profile(
-    df: DataFrame, dataset: str, business_key: Sequence[str], rare_duplicates: bool = False
+    df: DataFrame, dataset: str, business_key: Sequence[str]
 ) -> DataFrame:
     """Exact duplicates (rows beyond the first) and rows in groups that share the business key.
 
-    `rare_duplicates` looks for repeated row hashes first, so whole rows are not shuffled.
+    Exact duplicates are looked for by row hash first, so only rows whose hash repeats are compared as a whole.
     """
 
     def groups(keys: Sequence[str]) -> DataFrame:
@@ -107,7 +89,7 @@ def duplicate_profile(
             flag(found > 0).alias("alerta"),
         )
 
-    counted = (repeated_rows_rare if rare_duplicates else repeated_rows)(df, 0, df.columns)
+    counted = repeated_rows_rare(df, 0, df.columns)
     exact = counted.select(F.col("evaluated").alias("rows"), F.col("failed").alias("found"))
     keys = [k for k in business_key if k in df.columns]
     if len(keys) < len(business_key) or not keys:
@@ -223,55 +205,74 @@ def cardinality_profile(df: DataFrame, dataset: str, exact: bool = False) -> Dat
     )
 
 
-def _shown(values: Column) -> Column:
-    listed = F.concat(F.lit("["), F.array_join(values, ", "), F.lit("]"))
-    return F.when(F.size(values) > 0, listed).otherwise("ninguno")
+def _shown(ranges: Column) -> Column:
+    """Ranges as text: up to two values are listed, more are written first..last."""
 
+    def one(r: Column) -> Column:
+        first, last = r["first"].cast("string"), r["last"].cast("string")
+        return F.when(r["first"] == r["last"], first).otherwise(
+            F.concat(first, F.when(r["last"] == r["first"] + 1, ", ").otherwise(".."), last)
+        )
 
-def temporal_summary(df: DataFrame, dataset: str, domains: Mapping[str, tuple[int, int, bool]]) -> DataFrame:
-    """Range, gaps and out-of-domain values of whole-number time columns.
+    listed = F.concat(F.lit("["), F.array_join(F.transform(ranges, one), ", "), F.lit("]"))
+    return F.when(F.size(ranges) > 0, listed).otherwise("ninguno")
 
-    `domains`: column -> (lowest, highest expected value, closed). A closed domain (months) must be full; an open one
-    (years) must have no gap between its own minimum and maximum. Where a garbled column makes the range too wide to
-    list, the number of values is reported instead.
-    """
+
+def _gaps(first: Column, last: Column, present: Column) -> Column:
+    """The ranges of whole numbers from first to last that a sorted list of values leaves out, however long they are."""
+    before = F.concat(F.array(first - 1), present)
+    after = F.concat(present, F.array(last + 1))
+    between = F.zip_with(before, after, lambda a, b: F.struct((a + 1).alias("first"), (b - 1).alias("last")))
+    return F.filter(between, lambda r: r["first"] <= r["last"])
+
+
+def temporal_gaps(df: DataFrame, domains: Mapping[str, tuple[int, int, bool]]) -> DataFrame:
+    """(variable, kind, first, last, n): the gaps and the stray values of the time columns as rows, for `temporal_summary`."""
+    found = _time_ranges(df, domains)
+    rows = [found.select("variable", F.lit(kind).alias("kind"), F.inline(F.col(kind + "s"))) for kind in ("gap", "stray")]
+    return stack(rows).withColumn("n", F.col("last") - F.col("first") + 1)
+
+
+def _time_ranges(df: DataFrame, domains: Mapping[str, tuple[int, int, bool]]) -> DataFrame:
+    """Per time column: range, distinct values and NULLs, and its gaps and stray values as lists of ranges."""
     names = [c for c in domains if c in df.columns]
     cells = F.array(*[F.struct(F.lit(c).alias("variable"), as_integer(df, c).alias("v")) for c in names])
     seen = df.select(F.explode(cells).alias("x")).select("x.*").groupBy("variable", "v").agg(F.count(F.lit(1)).alias("n"))
     lows = F.create_map(*[F.lit(x) for c in names for x in (c, domains[c][0])])
     highs = F.create_map(*[F.lit(x) for c in names for x in (c, domains[c][1])])
     closed = F.create_map(*[F.lit(x) for c in names for x in (c, domains[c][2])])
-    low, high = lows[F.col("variable")], highs[F.col("variable")]
-    stray = (F.col("v") < low) | (F.col("v") > high)
     stats = seen.groupBy("variable").agg(
         F.min("v").alias("lo"),
         F.max("v").alias("hi"),
-        F.count("v").alias("distintos"),
         F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulos"),
-        F.count_if(stray).alias("strays"),
-    )
-    first = F.when(closed[F.col("variable")], low).otherwise(F.col("lo")).cast("bigint")
-    last = F.when(closed[F.col("variable")], high).otherwise(F.col("hi")).cast("bigint")
-    bounded = stats.select("*", first.alias("first"), last.alias("last"))
-    span = F.col("last") - F.col("first") + 1
-    # Values are listed only from a calendar-sized range: both arrays hold at most LISTED entries.
-    within = F.col("v").between(F.col("first"), F.col("last"))
-    found = (
-        seen.join(F.broadcast(bounded), "variable")  # one row per time column
-        .groupBy("variable", *bounded.columns[1:])
-        .agg(
-            F.sort_array(F.collect_list(F.when(within & (span <= LISTED), F.col("v")))).alias("present"),
-            F.count_if(within).alias("inside"),
-            F.sort_array(F.collect_list(F.when(stray & (F.col("strays") <= LISTED), F.col("v")))).alias("outside"),
-        )
+        F.sort_array(F.collect_list("v")).alias("values"),  # distinct values of a time column
     )
-    gaps = F.coalesce(span - F.col("inside"), F.lit(0))
-    missing = F.array_except(F.sequence("first", "last"), F.col("present"))
-    too_many = F.concat(gaps.cast("string"), F.lit(" valores sin datos"))
-    gap_text = F.when(gaps == 0, "ninguno").when(span <= LISTED, _shown(missing)).otherwise(too_many)
-    stray_text = F.when(F.col("strays") <= LISTED, _shown(F.col("outside"))).otherwise(
-        F.concat(F.col("strays").cast("string"), F.lit(" valores"))
+    low, high = lows[F.col("variable")].cast("bigint"), highs[F.col("variable")].cast("bigint")
+    first = F.when(closed[F.col("variable")], low).otherwise(F.col("lo"))
+    last = F.when(closed[F.col("variable")], high).otherwise(F.col("hi"))
+    inside = F.filter("values", lambda v: v.between(first, last))
+    single = lambda v: F.struct(v.alias("first"), v.alias("last"))
+    none = F.array().cast("array<struct<first:bigint,last:bigint>>")
+    return stats.select(
+        "variable",
+        "lo",
+        "hi",
+        F.size("values").cast("bigint").alias("distintos"),
+        "nulos",
+        F.coalesce(_gaps(first, last, inside), none).alias("gaps"),
+        F.transform(F.filter("values", lambda v: (v < low) | (v > high)), single).alias("strays"),
     )
+
+
+def temporal_summary(df: DataFrame, dataset: str, domains: Mapping[str, tuple[int, int, bool]]) -> DataFrame:
+    """Range, gaps and out-of-domain values of whole-number time columns.
+
+    `domains`: column -> (lowest, highest expected value, closed). A closed domain (months) must be full; an open one
+    (years) must have no gap between its own minimum and maximum. Gaps are written as ranges, so none is left out however
+    wide a garbled column's range is.
+    """
+    found = _time_ranges(df, domains)
+    wrong = (F.size("gaps") > 0) | (F.size("strays") > 0) | (F.col("nulos") > 0)
     return found.select(
         _tag(dataset),
         "variable",
@@ -279,9 +280,9 @@ def temporal_summary(df: DataFrame, dataset: str, domains: Mapping[str, tuple[in
         F.coalesce("hi", F.lit(0)).cast("bigint").alias("valor_maximo"),
         F.col("distintos").alias("valores_distintos"),
         "nulos",
-        gap_text.alias("gaps_en_rango"),
-        stray_text.alias("valores_fuera_rango_esperado"),
-        flag((gaps > 0) | (F.col("strays") > 0) | (F.col("nulos") > 0)).alias("alerta"),
+        _shown(F.col("gaps")).alias("gaps_en_rango"),
+        _shown(F.col("strays")).alias("valores_fuera_rango_esperado"),
+        flag(wrong).alias("alerta"),
     )
 
 
@@ -430,8 +431,10 @@ def generic_summary(profile: DataFrame) -> DataFrame:
     """One row over a generic profile. An empty table is an error, as a profile of nothing says nothing."""
     with_nulls = F.col("Nulos") > 0
     n = F.count(F.lit(1))
+    empty = F.coalesce(F.max("Total_Filas"), F.lit(0)) == 0
+    total = F.when(empty, F.raise_error(F.lit("the table has no rows")).cast("bigint")).otherwise(F.max("Total_Filas"))
     return profile.agg(
-        F.max("Total_Filas").alias("total_filas"),
+        total.alias("total_filas"),
         n.alias("total_columnas"),
         F.count_if(with_nulls).alias("columnas_con_nulos"),
         F.count_if(~with_nulls).alias("columnas_sin_nulos"),

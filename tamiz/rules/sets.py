@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tamiz.functions.casts import integer_sql
 from tamiz.functions.missing import RULE_TOKENS, present, present_sql, text
 from tamiz.functions.text import column, key_text, quoted
-from tamiz.operators.dedup import REPEATED_HASH_LIMIT, repeated_hashes
+from tamiz.operators.dedup import repeated_hashes
 from tamiz.operators.wide import side_by_side
 from tamiz.rules.model import Rule
 from tamiz.session import literal_rows
@@ -42,18 +42,15 @@ def repeated_rows(df: DataFrame, pos: int, keys: Sequence[str]) -> DataFrame:
 
 def repeated_rows_rare(df: DataFrame, pos: int, keys: Sequence[str]) -> DataFrame:
     """Same figures as `repeated_rows`, for wide keys that seldom repeat: a first job shuffles 8-byte hashes, and only
-    rows whose hash repeats are compared by their key. Too many repeated hashes to broadcast: the plain way."""
+    rows whose hash repeats are compared by their key."""
     hashed = F.xxhash64(*[column(k) for k in keys])
     repeated = repeated_hashes(df, hashed)
-    if repeated.count() > REPEATED_HASH_LIMIT:
-        return repeated_rows(df, pos, keys)
-    contested = df.withColumn("__h", hashed).join(F.broadcast(repeated), "__h", "left_semi").drop("__h")
+    contested = df.withColumn("__h", hashed).join(repeated, "__h", "left_semi").drop("__h")
     extra = contested.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
     totals = side_by_side([df.agg(F.count(F.lit(1)).alias("rows")), extra.agg(F.sum(F.col("n") - 1).alias("extra"))])
     return _outcome(totals, pos, F.col("rows"), F.col("extra"), F.format_number(_zero(F.col("extra")), 0))
 
 
-SHOWN_YEARS = 200
 CELL_RULES = ("code_name_consistency", "cardinality_check", "cardinality_upper_bound", "temporal_coverage_check")
 
 
@@ -92,11 +89,14 @@ def _is_short(rules: Numbered) -> Column:
     return (kind == "temporal_coverage_check") & (F.col("members") < expected) & ~named
 
 
-def _short_years(groups: DataFrame) -> DataFrame:
-    """The first short years of each rule as text. All are counted; a garbled year column may have too many to show."""
-    listed = F.format_string("{'ano': %s, 'n_meses': %s}", F.col("a"), F.col("members").cast("string"))
-    first = groups.withColumn("rank", F.expr("row_number() over (partition by pos order by a)")).where(f"rank <= {SHOWN_YEARS}")
-    return first.groupBy("pos").agg(F.sort_array(F.collect_list(listed)).alias("which"))
+def coverage_short_years(df: DataFrame, rules: Sequence[Rule], tokens: Sequence[str] = RULE_TOKENS) -> DataFrame:
+    """(rule_id, year, months): every year that a coverage rule finds too short, as a table of its own."""
+    numbered = [(i, r) for i, r in enumerate(rules) if r.rule_type == "temporal_coverage_check"]
+    if not numbered:
+        raise ValueError("no coverage rule given")
+    short = _cell_groups(df, numbered, tokens).where(_is_short(numbered))
+    name = _per_rule(numbered, lambda r: r.rule_id)
+    return short.select(name.alias("rule_id"), F.col("a").alias("year"), F.col("members").alias("months"))
 
 
 def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFrame:
@@ -109,12 +109,14 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
     kind = _per_rule(rules, lambda r: r.rule_type)
     many = F.col("pairs") > 1
     short = _is_short(rules)
+    shown = F.format_string("{'ano': %s, 'n_meses': %s}", F.col("a"), F.col("members").cast("string"))
     found = groups.withColumn("short", short).groupBy("pos").agg(
         F.sum("n").alias("rows"),
         F.count(F.lit(1)).alias("groups"),
         F.sum(F.when(many, F.col("n"))).alias("ambiguous_rows"),
         F.count_if(many).alias("ambiguous"),
         F.count_if("short").alias("short"),
+        F.sort_array(F.collect_list(F.when(F.col("short"), shown))).alias("which"),  # years, all of them
     )
     limit = _per_rule(rules, lambda r: int(r.param("limit", 0)))
     over = F.greatest(_zero(F.col("groups")) - limit, F.lit(0))
@@ -127,13 +129,6 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
     # Rules that met no evaluable row have no group; they are kept with zero counts.
     declared = literal_rows(df.sparkSession, [{"pos": pos} for pos, _ in rules], "pos int")
     found = declared.join(found, "pos", "left")
-    calendars = [(pos, r) for pos, r in rules if r.rule_type == "temporal_coverage_check"]
-    if calendars:
-        # A second look at the two time columns only.
-        years = _cell_groups(df, calendars, tokens).where(_is_short(calendars))
-        found = found.join(_short_years(years), "pos", "left")
-    else:
-        found = found.withColumn("which", F.lit(None).cast("array<string>"))
     return found.select(
         "pos",
         F.when(pairs, _zero(F.col("rows"))).otherwise(groups_seen).alias("evaluated"),

@@ -20,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_CHECKPOINT_KEY, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.split("[")[0] == "local":
         raise RuntimeError(f"{_CHECKPOINT_KEY} is unset: name a folder all executors can reach")
     if not _local_fallback:
         _local_fallback.append(tempfile.mkdtemp(prefix="tamiz-"))
@@ -46,12 +46,3 @@ def literal_rows(spark: SparkSession, rows: Sequence[Mapping[str, Any]], ddl: st
     """A small driver-side list as a DataFrame: one literal in the plan, no job and no Python worker."""
     payload = F.from_json(F.lit(json.dumps(list(rows), ensure_ascii=False)), f"array<struct<{ddl}>>")
     return spark.range(0, 1, 1, 1).select(F.inline(payload))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a freshly scanned table that has fewer splits than the session has cores.
-
-    Meant for CPU-heavy work on small inputs; a scan with enough splits comes back untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

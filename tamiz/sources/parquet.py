@@ -13,7 +13,6 @@ from tamiz.functions.text import column
 
 # Fixed value: the path part that marks daily files.
 DAILY_TOKEN = "_diario"
-NAMED_FILES = 5_000
 
 
 def all_text(df: DataFrame) -> DataFrame:
@@ -47,15 +46,10 @@ def eligible_files(spark: SparkSession, root: str, token: str = DAILY_TOKEN, req
 def read_history(spark: SparkSession, root: str, token: str = DAILY_TOKEN) -> DataFrame:
     """All eligible files below a root as one table, columns unified by name.
 
-    A landing of a few thousand files is named file by file, so excluded files cannot add columns either. Beyond that
-    the exclusion is a filter on the file path, which Spark applies while planning the scan.
+    The files are named one by one, as the driver lists them for any scan; so excluded files cannot add columns.
     """
-    some = [r[0] for r in eligible_files(spark, root, token).select("path").limit(NAMED_FILES + 1).collect()]
-    if len(some) <= NAMED_FILES:
-        return read_parquet(spark, *sorted(some), merge_schema=True)
-    options = {"mergeSchema": "true", "recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
-    table = spark.read.options(**options).parquet(root)
-    return all_text(table.where(without_token(F.col("_metadata.file_path"), token)))
+    files = sorted(r[0] for r in eligible_files(spark, root, token).select("path").collect())
+    return read_parquet(spark, *files, merge_schema=True)
 
 
 def relative_path(path: Column, root: str) -> Column:

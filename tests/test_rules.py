@@ -98,13 +98,11 @@ def test_more_than_500_ambiguous_codes_all_count(spark):
     assert list(outcome(df, rule("code_name_consistency", "code", "name")).values()) == [(2000, 2000)]
 
 
-def test_rare_duplicates_give_the_same_figures(spark, monkeypatch):
+def test_rare_duplicates_give_the_same_figures(spark):
     df = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 500 END AS k", "CAST(id % 2 AS STRING) AS v")
     declared = [rule("duplicate_full_rows"), rule("unique_key", "k")]
     want = outcome(df, *declared)
     assert outcome(df, *declared, rare_duplicates=True) == want
-    monkeypatch.setattr("tamiz.rules.sets.REPEATED_HASH_LIMIT", 1)
-    assert outcome(df, *declared, rare_duplicates=True) == want
 
 
 def test_coverage_lists_short_years(spark):

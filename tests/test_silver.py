@@ -40,14 +40,12 @@ def test_period_key_of_doubles_and_absent_columns(spark):
     assert [r[0] for r in df.select(derive.period_key(df, "a", "zz")).collect()] == [None, None]
 
 
-def test_both_deduplications_agree_on_a_hot_key(spark, monkeypatch):
+def test_both_deduplications_agree_on_a_hot_key(spark):
     df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 700 AS STRING) END AS k", "id AS v")
     order, tie = [F.col("v").desc()], [F.col("v")]
     want = {r["k"]: r["v"] for r in df.groupBy("k").agg(F.max("v").alias("v")).collect()}
     for keep in (dedup.keep_first, dedup.keep_first_of_few):
         assert {r["k"]: r["v"] for r in keep(df, ["k", "ghost"], order, tie).collect()} == want
-    monkeypatch.setattr(dedup, "REPEATED_HASH_LIMIT", 1)
-    assert {r["k"]: r["v"] for r in dedup.keep_first_of_few(df, ["k"], order, tie).collect()} == want
     assert dedup.keep_first(df, ["ghost"], order, tie).count() == 3000
 
 

@@ -12,8 +12,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamiz.session import spread
-
 AS_OF = dt.datetime(1999, 6, 30, 12, 0, 0)
 
 
@@ -96,8 +94,8 @@ def _view(df: DataFrame, name: str, template: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return _view(spread(table(spark, sf, "orders")), "orders", _ORDERS)
+    return _view(table(spark, sf, "orders"), "orders", _ORDERS)
 
 
 def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return _view(spread(table(spark, sf, "lineitem")), "lineitem", _LINES)
+    return _view(table(spark, sf, "lineitem"), "lineitem", _LINES)
