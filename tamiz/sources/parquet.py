@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tamiz.functions.text import column
+from tamiz.session import literal_rows
 
 # Fixed value: the path part that marks daily files.
 DAILY_TOKEN = "_diario"
@@ -106,20 +109,39 @@ class Catalog(Mapping[str, DataFrame]):
         return len(self._names)
 
 
+def _columns_of(spark: SparkSession, path: str) -> int | None:
+    """Columns by a file's footer; None if it has none that can be read."""
+    try:
+        return len(spark.read.parquet(path).columns)
+    except (AnalysisException, PySparkException, Py4JJavaError):
+        return None
+
+
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """(path, bytes, rows, columns, readable) per Parquet file. Rows come from one scan that reads no column; a file
-    that cannot be read is listed with readable = false instead of ending the job."""
+    """(path, bytes, rows, columns, readable) per Parquet file.
+
+    A file is readable if its footer is, so an empty table is; one that is not is listed instead of ending the job. Rows come
+    from one scan that reads no column.
+    """
     listed = list_files(spark, root)
-    options = spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").option("mergeSchema", "true")
-    table = options.option("pathGlobFilter", "*.parquet").parquet(root)
-    counted = table.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("rows"))
-    joined = listed.join(counted, "path", "left")
-    return joined.select(
+    files = sorted(r[0] for r in listed.select("path").collect())
+    columns = [{"path": f, "columns": n} for f in files if (n := _columns_of(spark, f)) is not None]
+    footers = literal_rows(spark, columns, "path string, columns int")
+    found = listed.join(footers, "path", "left")
+    if columns:
+        table = spark.read.schema("`-` int").parquet(*[c["path"] for c in columns])
+        # A scanned file's path is a URI.
+        plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        counted = table.groupBy(plain.alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+        found = found.join(counted, "path", "left")
+    else:
+        found = found.withColumn("rows", F.lit(None).cast("bigint"))
+    return found.select(
         "path",
         F.col("length").alias("bytes"),
         F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
-        F.lit(len(table.columns)).alias("columns"),
-        F.col("rows").isNotNull().alias("readable"),
+        F.coalesce("columns", F.lit(0)).alias("columns"),
+        F.col("columns").isNotNull().alias("readable"),
     )
 
 

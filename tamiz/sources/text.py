@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +29,15 @@ class Landing:
     quarantine: DataFrame
 
 
-def latin_files(spark: SparkSession, *paths: str) -> list[str]:
-    """Files that are not valid UTF-8. Each file is judged as a whole; a landing holds few files of a dataset."""
-    lines = spark.read.text(list(paths))
-    bad = lines.where(~F.is_valid_utf8("value")).select(F.col("_metadata.file_path").alias("f")).distinct()
-    return sorted(r[0] for r in bad.collect())
-
-
-def _files(spark: SparkSession, *paths: str) -> list[str]:
-    listed = spark.read.format("binaryFile").load(list(paths)).select("path")
-    return sorted(r[0] for r in listed.collect())
+def _described_files(spark: SparkSession, *paths: str) -> list[tuple[str, str, bool]]:
+    """(path, first line, holds bytes that are not UTF-8) of every file with a line, from one scan. One row per file."""
+    lines = spark.read.text(list(paths)).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    placed = lines.withColumn("at", F.struct("file_block_start", F.monotonically_increasing_id()))
+    found = placed.groupBy("file_path").agg(
+        F.min_by("value", "at").alias("header"), F.bool_or(~F.is_valid_utf8("value")).alias("latin")
+    )
+    # The path of a scanned file is written as a URI.
+    return sorted((unquote(r["file_path"]), r["header"], r["latin"]) for r in found.collect())
 
 
 def _scan(spark: SparkSession, files: Sequence[str], sep: str, encoding: str, multi_line: bool) -> tuple[DataFrame, list[str]]:
@@ -52,18 +52,15 @@ def read_csv(
 ) -> Landing:
     """All columns as text, an empty field stays ''. Short lines are padded, long ones go to the quarantine.
 
-    Without an encoding, files that are not UTF-8 are read as Latin-1. Files of one encoding are one scan. Quoted line
-    breaks need `multi_line`, which costs the splitting of large files.
+    Files are matched by column name: those with the same header are one scan, the scans are united by name. Without an
+    encoding, files that are not UTF-8 are read as Latin-1. Quoted line breaks need `multi_line`, which costs the
+    splitting of large files.
     """
-    if encoding:
-        groups = {encoding: list(paths)}
-    else:
-        latin = latin_files(spark, *paths)
-        groups = {LATIN: latin, UTF8: [f for f in _files(spark, *paths) if f not in set(latin)]} if latin else {UTF8: list(paths)}
+    groups: dict[tuple[str, str], list[str]] = {}
+    for path, header, latin in _described_files(spark, *paths):
+        groups.setdefault((encoding or (LATIN if latin else UTF8), header), []).append(path)
     rows, bad = None, None
-    for enc, files in groups.items():
-        if not files:
-            continue
+    for (enc, _), files in groups.items():
         scanned, names = _scan(spark, files, sep, enc, multi_line)
         over = F.col(_OVERFLOW).isNotNull()
         good = scanned.where(~over).select(*[F.coalesce(column(n), F.lit("")).alias(n) for n in names])

@@ -89,6 +89,35 @@ def _csv_quarantine(spark, sf):
     return _ragged(spark, sf).quarantine.agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query(
+    "csv_mixed_headers",
+    f"""SELECT o_orderkey::VARCHAR AS k, level_name AS level, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE sector END AS sector
+FROM ({DUCK_ORDERS}) v""",
+)
+def _csv_mixed(spark, sf):
+    """Files whose columns differ in order and number are matched by name."""
+    path = scratch(spark, "mixed")
+    orders = raw_orders(spark, sf).selectExpr("o_orderkey AS k", "level_name AS level", "sector")
+    some = orders.where("k % 2 = 0").select("level", "k")
+    some.write.option("header", "true").csv(f"{path}/some")
+    orders.where("k % 2 = 1").write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option(
+        "ignoreTrailingWhiteSpace", "false"
+    ).csv(f"{path}/others")
+    return text.read_csv(spark, f"{path}/some", f"{path}/others").rows
+
+
+@query(
+    "csv_path_with_blank",
+    f"SELECT concat('año ', level_name) AS name, count(*) AS n FROM ({DUCK_ORDERS}) v GROUP BY 1",
+)
+def _csv_blank(spark, sf):
+    """A Latin-1 landing below a folder whose name has a blank, a plus and a percent sign."""
+    path = f"{scratch(spark, 'blank')}/two words+5%"
+    named = raw_orders(spark, sf).select("o_orderkey", F.concat(F.lit("año "), "level_name").alias("name"))
+    named.write.option("header", "true").option("encoding", "ISO-8859-1").csv(path)
+    return text.read_csv(spark, path).rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "csv_latin1",
     f"SELECT concat('año ', level_name) AS name, count(*) AS n FROM ({DUCK_ORDERS}) v GROUP BY 1",
@@ -178,6 +207,15 @@ def _history_scan(spark, sf):
     )
 
 
+@query("history_excluded_columns", "SELECT 'amount,level,o_orderkey,y' AS columns, count(*) AS n FROM orders")
+def _history_columns(spark, sf):
+    """A daily copy with a column of its own adds neither rows nor columns."""
+    root = _history(spark, sf)
+    table(spark, sf, "orders").select("o_orderkey", F.lit(1).alias("only_daily")).write.parquet(f"{root}/extra_diario")
+    out = parquet.read_history(spark, root)
+    return out.agg(F.lit(",".join(sorted(out.columns))).alias("columns"), F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "one_file_per_dataset",
     "SELECT 'customer' AS dataset, count(*) AS rows FROM customer UNION ALL SELECT 'part', count(*) FROM part",
@@ -222,6 +260,61 @@ def _inventory(spark, sf):
     return totals.select("files", "unreadable", "rows", (F.col("bytes") > 0).alias("sized"))
 
 
+@query(
+    "file_inventory_columns",
+    """SELECT 'lineitem' AS name, count(*) AS rows, 2 AS columns, true AS readable FROM lineitem
+UNION ALL SELECT 'orders', count(*), 3, true FROM orders UNION ALL SELECT 'none', 0, 1, true""",
+)
+def _inventory_columns(spark, sf):
+    """Rows and columns of each file below a folder with a blank in its name; one file is an empty table."""
+    root = f"{scratch(spark, 'files')}/all files"
+    frames = {
+        "orders": table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
+        "lineitem": table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"),
+        "none": table(spark, sf, "customer").select("c_custkey").where("c_custkey < 0"),
+    }
+    for name, df in frames.items():
+        df.coalesce(1).write.parquet(f"{root}/{name}")
+    found = parquet.file_inventory(spark, root)
+    return found.select(F.element_at(F.split("path", "/"), -2).alias("name"), "rows", "columns", "readable")
+
+
+@query("catalog_tables", "SELECT (SELECT count(*) FROM customer) AS customers, (SELECT count(*) FROM part) AS parts, 'supplier' AS missing")
+def _catalog(spark, sf):
+    """Datasets by name, each opened once; one that is not there is an error."""
+    root = scratch(spark, "catalog")
+    for name in ("customer", "part"):
+        table(spark, sf, name).write.parquet(f"{root}/{name}")
+    catalog = parquet.Catalog(spark, root, ["customer", "part", "supplier"])
+    try:
+        missing = "none" if catalog["supplier"] is None else "found"
+    except FileNotFoundError:
+        missing = "supplier"
+    n = F.count(F.lit(1))
+    customers, parts = catalog["customer"].agg(n.alias("customers")), catalog["part"].agg(n.alias("parts"))
+    return customers.crossJoin(parts).withColumn("missing", F.lit(missing))  # one row each
+
+
+@query(
+    "dictionary_semicolon",
+    """SELECT 'parts' AS dataset, upper(p_brand) AS official_column, count(*) AS n FROM part GROUP BY p_brand""",
+)
+def _semicolon(spark, sf):
+    """A `;` dictionary with known headers, whose entries repeat; joined back to what it describes."""
+    path = scratch(spark, "book")
+    part = table(spark, sf, "part")
+    part.select(F.col("p_brand").alias("COLUMNA"), F.col("p_type").alias("TIPO")).write.option("header", "true").option("sep", ";").csv(path)
+    book = text.read_catalogue(spark, path, "parts", "COLUMNA", ["TIPO"]).select("dataset", "official_column")
+    used = part.select(F.upper("p_brand").alias("official_column"))
+    return book.join(used, "official_column").groupBy("dataset", "official_column").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("report_parquet", "SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1")
+def _report_parquet(spark, sf):
+    report = table(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(sinks.write_parquet_report(report, scratch(spark, "report")))
+
+
 # --- writers -----------------------------------------------------------------------------------------------------------
 
 

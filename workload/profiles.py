@@ -105,9 +105,32 @@ def _categoricals(spark, sf):
     return s.categorical_profile(table(spark, sf, "part"), "part", [*_CATS, "ghost"], exact=True)
 
 
-@query("profile_categoricals_approx")
+def _bound(approx, exact, key: str, size: str):
+    """Approximate next to exact counts: the exact one, and whether the error is within three times the stated one."""
+    exact = exact.select(F.col(key), F.col(size).alias("exact"))
+    off = F.abs(F.col(size) - F.col("exact"))
+    return approx.join(exact, key).select("*", (off <= F.ceil(3 * s.APPROX_ERROR * F.col("exact"))).alias("within"))
+
+
+_APPROX_CATS = ("flag", "line_status", "ship_month")
+
+
+@query(
+    "profile_categoricals_approx",
+    f"WITH v AS ({DUCK_LINES}) "
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS columna, u AS exact, true AS within,
+'{{' || (SELECT string_agg('"' || value || '":' || n, ',' ORDER BY rank) FROM ({_top('SELECT * FROM v', c, f'{c} IS NOT NULL')}) t) || '}}' AS top10_valores,
+round((SELECT sum(n) FROM ({_top('SELECT * FROM v', c, f'{c} IS NOT NULL')}) t)::DOUBLE / n * 100, 2) AS cobertura_top10_pct
+FROM (SELECT count(DISTINCT {c}) AS u, count(*) AS n FROM v) d"""
+        for c in _APPROX_CATS
+    ),
+)
 def _categoricals_approx(spark, sf):
-    return s.categorical_profile(raw_lines(spark, sf), "lines", ["flag", "line_status", "ship_month"])
+    lines = raw_lines(spark, sf)
+    forms = [s.categorical_profile(lines, "lines", _APPROX_CATS, exact=e) for e in (False, True)]
+    out = _bound(*forms, "columna", "cardinalidad_aprox")
+    return out.select("columna", "exact", "within", "top10_valores", "cobertura_top10_pct")
 
 
 @query(
@@ -161,9 +184,15 @@ def _cardinality(spark, sf):
     return s.cardinality_profile(raw_orders(spark, sf), "orders", exact=True)
 
 
-@query("profile_cardinality_approx")
+@query(
+    "profile_cardinality_approx",
+    f"WITH v AS ({DUCK_ORDERS}) "
+    + " UNION ALL ".join(f"SELECT '{c}' AS columna, count(DISTINCT {c}) AS exact, true AS within FROM v" for c in _ORDER_COLUMNS),
+)
 def _cardinality_approx(spark, sf):
-    return s.cardinality_profile(raw_lines(spark, sf), "lines")
+    orders = raw_orders(spark, sf)
+    out = _bound(s.cardinality_profile(orders, "orders"), s.cardinality_profile(orders, "orders", exact=True), "columna", "cardinalidad_aprox")
+    return out.select("columna", "exact", "within")
 
 
 _PAIRS = [("level", "level_name"), ("sector", "level"), ("customer", "level")]
@@ -222,9 +251,21 @@ def _generic(spark, sf):
     return s.generic_profile(table(spark, sf, "customer").select(*_CUSTOMER), exact=True)
 
 
-@query("profile_generic_approx")
+_LINEITEM = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+
+
+@query(
+    "profile_generic_approx",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "Columna", count(*) FILTER (WHERE {c} IS NULL) AS "Nulos", count(DISTINCT {c}) AS exact, true AS within,
+count(*) AS "Total_Filas" FROM lineitem"""
+        for c in _LINEITEM
+    ),
+)
 def _generic_approx(spark, sf):
-    return s.generic_profile(table(spark, sf, "lineitem"))
+    lines = table(spark, sf, "lineitem").select(*_LINEITEM)
+    out = _bound(s.generic_profile(lines), s.generic_profile(lines, exact=True), "Columna", "Cardinalidad_Aprox")
+    return out.select("Columna", "Nulos", "exact", "within", "Total_Filas")
 
 
 @query(
@@ -432,3 +473,45 @@ def _exact_quantiles(spark, sf):
 def _exact_quantiles_bucketed(spark, sf):
     counts = _quantile_counts(spark, sf).select("column_name", F.col("x").alias("v"), "n")
     return _quartiles(_by_buckets(counts, "column_name", (0.25, 0.5, 0.75)))
+
+
+@query(
+    "temporal_gap_ranges",
+    """WITH k AS (SELECT DISTINCT o_orderkey * 1000 AS a FROM orders UNION SELECT 40000000000)
+SELECT 'k' AS variable, 'gap' AS kind, a + 1 AS first, b - 1 AS last, b - a - 1 AS n
+FROM (SELECT a, lead(a) OVER (ORDER BY a) AS b FROM k) x WHERE b > a + 1
+UNION ALL SELECT 'k', 'stray', 40000000000, 40000000000, 1""",
+)
+def _gap_ranges(spark, sf):
+    """Keys a thousand apart and one far off: every gap is a range, however long."""
+    keys = table(spark, sf, "orders").select((F.col("o_orderkey") * 1000).alias("k"))
+    far = keys.limit(1).select(F.lit(40_000_000_000).alias("k"))
+    return s.temporal_gaps(keys.unionByName(far), {"k": (0, 39_999_999_999, False)})
+
+
+_MANY = 160
+
+
+@query(
+    "null_profile_wide_empty",
+    f"""SELECT 'c' || i AS columna, 0::BIGINT AS total_filas, 0::BIGINT AS nulos_reales, 'SIN_DATOS' AS alerta FROM range({_MANY}) r(i)
+UNION ALL SELECT 'full_c' || i, (SELECT count(*) FROM orders), CASE WHEN i % 2 = 0 THEN (SELECT count(*) FROM orders) ELSE 0 END,
+  CASE WHEN i % 2 = 0 THEN 'REVISAR' ELSE 'OK' END FROM range({_MANY}) r(i)""",
+)
+def _wide_empty(spark, sf):
+    """A table of many columns with all its rows, and one without any: a line per column either way."""
+    orders = table(spark, sf, "orders")
+    wide = orders.select(*[(F.lit(None).cast("string") if i % 2 == 0 else F.col("o_orderstatus")).alias(f"c{i}") for i in range(_MANY)])
+    none = s.null_profile(wide.where("1 = 0"), "none")
+    full = s.null_profile(wide, "full").withColumn("columna", F.concat(F.lit("full_"), "columna"))
+    return none.unionByName(full).select("columna", "total_filas", "nulos_reales", "alerta")
+
+
+@query(
+    "profile_duplicates_full_rows",
+    """SELECT 'Filas exactas duplicadas' AS tipo_duplicado, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM documents)) AS conteo FROM documents
+UNION ALL SELECT 'Duplicados por clave de negocio', CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM documents GROUP BY lang, source HAVING count(*) > 1) g""",
+)
+def _duplicates_full(spark, sf):
+    """Whole rows with long texts: only their hashes are shuffled."""
+    return s.duplicate_profile(table(spark, sf, "documents"), "documents", ["lang", "source"]).select("tipo_duplicado", "conteo")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tamiz.rules import Rule, evaluate, rule
 from tamiz.rules.evaluate import compile_rules, failed_samples
+from tamiz.rules.sets import coverage_short_years
 from tamiz.rules.reports import dimension_cards, quality_summary, run_totals, severity_summary, top_alerts
 from tamiz.plans.quality import ledger_quality, survey_quality
 from workload.duck import date, key, missing, number, present, row_counts, row_rules, scored
@@ -811,3 +812,14 @@ def _survey_sql() -> str:
 def _survey_file(spark, sf):
     tables = {"orders": raw_orders(spark, sf), "lines": raw_lines(spark, sf)}
     return survey_quality(tables, SURVEY_CONFIG, AS_OF).select(*SCORED)
+
+
+@query(
+    "coverage_short_years",
+    """SELECT 'short' AS rule_id, CAST(o_custkey AS VARCHAR) AS year, count(DISTINCT month(o_orderdate)) AS months
+FROM orders GROUP BY 1, 2 HAVING count(DISTINCT month(o_orderdate)) < 12""",
+)
+def _short_years(spark, sf):
+    """Customers in place of years, so that there are many: all short ones are listed."""
+    orders = table(spark, sf, "orders").selectExpr("CAST(o_custkey AS STRING) AS y", "CAST(month(o_orderdate) AS STRING) AS m")
+    return coverage_short_years(orders, [rule("temporal_coverage_check", "y", "m", expected_months=12, rule_id="short")])

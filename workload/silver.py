@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tamiz.functions.casts import as_timestamp
+from tamiz.functions.casts import as_integer, as_timestamp
 from tamiz.functions.text import column, key_text
 from tamiz.operators import clean, dedup, derive
 from tamiz.operators.wide import per_column
@@ -551,3 +551,28 @@ UNION ALL SELECT 'amount', count(*), count(*) FILTER (WHERE {_nulled('amount')}
 )
 def _null_census(spark, sf):
     return plans.null_census(clean.tokens_to_null(raw_orders(spark, sf)).select("level", "status", "amount"))
+
+
+@query(
+    "cast_whole_long",
+    """SELECT o_orderkey, 9000000000000000000 + o_orderkey AS k, 9000000000000000000 + o_orderkey AS d,
+CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN o_orderkey END AS m FROM orders""",
+)
+def _cast_whole(spark, sf):
+    """Whole numbers of 19 digits, as text and as decimals, keep every digit; beyond BIGINT and fractions are NULL."""
+    orders = table(spark, sf, "orders").selectExpr(
+        "o_orderkey",
+        "concat(CAST(9000000000000000000 + o_orderkey AS STRING), if(o_orderkey % 2 = 0, '.0', '')) AS k",
+        "CAST(9000000000000000000 + o_orderkey AS DECIMAL(20,0)) AS d",
+        """CASE o_orderkey % 3 WHEN 0 THEN concat(CAST(o_orderkey AS STRING), '.5')
+           WHEN 1 THEN concat(CAST(o_orderkey AS STRING), '.') ELSE concat('9', CAST(9000000000000000000 + o_orderkey AS STRING)) END AS m""",
+    )
+    return orders.select("o_orderkey", *[as_integer(orders, c).alias(c) for c in ("k", "d", "m")])
+
+
+@query(
+    "drop_repeated_rows",
+    "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber, l_shipdate FROM lineitem",
+)
+def _drop_repeated(spark, sf):
+    return dedup.drop_repeated_rows(table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber", "l_shipdate"))
