@@ -144,7 +144,10 @@ def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _fitted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Both models; the input is the bounded sample."""
-    table = pa.Table.from_batches(list(batches))
+    held = list(batches)
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
     lists = [np.frombuffer(x, dtype="<i4").astype(np.int64) for x in table.column("features").to_pylist()]
     models = [fit(lists, np.asarray(table.column(t), dtype=np.float64)) for t in TARGETS]
     arrays = [
