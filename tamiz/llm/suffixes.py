@@ -198,7 +198,8 @@ def repeated_passages(docs: DataFrame, least: int = 50, gram: int = 20) -> DataF
     texts = numbered_texts(docs)
     schema = "gram long, doc_id long, pos long"
     anchors = written_once(texts.mapInArrow(lambda b: _anchors(b, gram, least), schema), "anchors")
-    often = anchors.groupBy("gram").count().where("count > 1").select("gram")
+    # Written, so that the join is between two plain tables and a gram with many suffixes is split over tasks.
+    often = written_once(anchors.groupBy("gram").count().where("count > 1").select("gram"), "grams")
     wanted = anchors.join(often, "gram", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("wanted"))  # of one document
     met = texts.join(wanted.withColumnRenamed("doc_id", "own"), F.col("doc_id").eqNullSafe(F.col("own")))
     contexts = met.select("doc_id", "text", "wanted").mapInArrow(lambda b: _contexts(b, gram, least), _ROW)
