@@ -25,7 +25,7 @@ from tamiz.session import written_once
 from .common import bounded_broadcast, numbered_texts
 
 #: Cells in each of the three rows, and keys expected in one sketch of a comparison.
-CELLS, LOAD = 8, 6
+CELLS, LOAD = 8, 8
 _PARAGRAPH = r"(?<=[.!?])\s+|\n"
 _LOW = (1 << 32) - 1
 
@@ -42,11 +42,14 @@ def keys_of(text: Column) -> Column:
 
 
 def _place(key: Column, row: int, cells: int, attempt: int) -> Column:
-    """The cell of a row that a key belongs to: by the digest's bits in the first two attempts, else by another hash."""
+    """The cell of a row that a key belongs to: by the digest's bits in the first two attempts, else by another hash.
+
+    ``cells`` is a power of two: up to 16 in the first attempt and up to 64 in the second.
+    """
+    last = F.lit(cells - 1)
     if attempt > 1:
-        return F.pmod(F.xxhash64(key, F.lit(16 * attempt + row)), F.lit(cells))
-    low, width = (0, 4) if attempt == 0 else (4, 6)
-    return F.shiftrightunsigned(key, 32 + 10 * row + low).bitwiseAND(F.lit((1 << width) - 1)) % F.lit(cells)
+        return F.xxhash64(key, F.lit(16 * attempt + row)).bitwiseAND(last)
+    return F.shiftrightunsigned(key, 32 + 10 * row + 4 * attempt).bitwiseAND(last)
 
 
 def _xor(start: Column, keys: Column) -> Column:
@@ -76,11 +79,11 @@ def fingerprint(text: Column, keys: Column) -> Column:
     return F.concat_ws("-", F.lpad(F.hex(F.xxhash64(text)), 16, "0"), _hex(sketch_of(keys, CELLS)))
 
 
-def peeled(sketch: Column, cells: int, attempt: int, rounds: int) -> Column:
+def peeled(sketch: Column, cells: int, attempt: int, rounds: int = 7, first: int = 2) -> Column:
     """The keys in a sketch, or null if it could not be emptied.
 
     Each round looks at the three rows in turn: one step lists the single keys of a row, where each key has one cell, and
-    the next takes them out of all rows.
+    the next takes them out of all rows. After ``first`` rounds most sketches are empty; only the others go on.
     """
     none = F.array().cast("array<bigint>")
 
@@ -102,10 +105,15 @@ def peeled(sketch: Column, cells: int, attempt: int, rounds: int) -> Column:
         return F.when(turn % 2 == 0, listed).when(F.size(state["found"]) > 0, taken).otherwise(state)
 
     start = F.struct(sketch.alias("cells"), none.alias("keys"), none.alias("found"))
-    end = F.aggregate(
-        F.sequence(F.lit(0), F.lit(6 * rounds - 1)), start, step, lambda s: F.when(F.forall(s["cells"], lambda c: c == 0), s["keys"])
-    )
-    return end
+    turns = lambda n: F.sequence(F.lit(0), F.lit(6 * n - 1))
+
+    def emptied(state: Column, otherwise: Column) -> Column:
+        return F.when(F.forall(state["cells"], lambda c: c == 0), state["keys"]).otherwise(otherwise)
+
+    def rest(state: Column) -> Column:
+        return emptied(state, F.aggregate(turns(rounds - first), state, step, lambda s: emptied(s, F.lit(None))))
+
+    return F.aggregate(turns(first), start, step, rest)
 
 
 def following(docs: DataFrame) -> DataFrame:
@@ -173,7 +181,7 @@ def _differences(versions: DataFrame, shapes: list[tuple[int, int]], load: int)
         for j in range(cells)
     ]
     sketches = rows.groupBy("doc_id", "pair", "part").agg(*sums)
-    tries = [peeled(F.array(*[f"c{a}_{i}" for i in range(3 * cells)]), cells, a, 7) for cells, a in shapes]
+    tries = [peeled(F.array(*[f"c{a}_{i}" for i in range(3 * cells)]), cells, a) for cells, a in shapes]
     found = sketches.select("doc_id", "pair", F.size(F.coalesce(*tries)).alias("found"))
     counts = []
     for pair, name in enumerate(("edited_differs", "next_differs")):
