@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from tamiz.operators.wide import stack
 from tamiz.profile import columns as rich
 from tamiz.profile import sections as s
-from tamiz.sinks.audit import append_audit, audit_record
-from tamiz.sinks.tables import write_csv_report
+from tamiz.sinks.audit import Stopwatch, append_audit, audit_record
+from tamiz.sinks.tables import write_csv_report, write_parquet_report
 
 log = logging.getLogger(__name__)
 
@@ -58,7 +58,7 @@ def ledger_sections(df: DataFrame, dataset: str, parts: LedgerColumns, exact: bo
 def run_sections(
     sections: Mapping[str, Callable[[], DataFrame]], reports_root: str
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Write every section; returns the written tables and the errors of those that failed.
+    """Write every section as Parquet and CSV; returns the stored tables and the errors of those that failed.
 
     Sections are independent jobs, so a few run at a time and one's tail does not leave the cluster idle.
     """
@@ -66,8 +66,11 @@ def run_sections(
     def run(name: str) -> DataFrame | str:
         try:
             table = sections[name]()
-            write_csv_report(table, f"{reports_root}/{name}")
-            return table
+            stored = table.sparkSession.read.schema(table.schema).parquet(
+                write_parquet_report(table, f"{reports_root}/{name}.parquet")
+            )
+            write_csv_report(stored, f"{reports_root}/{name}")
+            return stored
         except Exception as exc:  # a failing section must not take the others with it
             log.error("profile section %s failed: %s", name, exc)
             return str(exc).splitlines()[0] if str(exc) else type(exc).__name__
@@ -86,10 +89,12 @@ def run_ledger_profile(
     reports_root: str,
     audit_root: str,
     started_at: dt.datetime,
+    finished_at: dt.datetime | None = None,
     exact: bool = False,
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    watch = Stopwatch(started_at)
     tables, errors = run_sections(ledger_sections(df, dataset, parts, exact), reports_root)
-    finished = dt.datetime.now()
+    finished = finished_at or watch.now()
     record = audit_record(
         df.sparkSession,
         source=dataset,

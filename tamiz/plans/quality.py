@@ -17,7 +17,7 @@ from tamiz.rules.ledger import SECTIONS, ledger_rules
 from tamiz.rules.model import ALL_DIMENSIONS
 from tamiz.rules.reports import quality_summary, run_totals, severity_summary, top_alerts
 from tamiz.rules.survey import survey_rules
-from tamiz.sinks.audit import append_audit, audit_record
+from tamiz.sinks.audit import Stopwatch, append_audit, audit_record
 from tamiz.sinks.tables import write_csv_report, write_parquet_report
 
 
@@ -103,7 +103,7 @@ def publish_quality(
 
     The detail is written first and read back, so the rules run once however many reports follow.
     """
-    spark = detail.sparkSession
+    spark, watch = detail.sparkSession, Stopwatch(started_at)
     kept = write_parquet_report(detail, f"{tables_root}/quality_detail")
     stored = spark.read.parquet(kept)
     summary = quality_summary(stored, dimensions)
@@ -117,7 +117,7 @@ def publish_quality(
     }
     totals = run_totals(stored).first().asDict()
     status = totals.pop("status")
-    finished = finished_at or dt.datetime.now()
+    finished = finished_at or watch.now()
     record = audit_record(
         spark,
         source=source,

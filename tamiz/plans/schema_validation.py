@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from tamiz.contract.contract import Contract, check_critical, contract_check, contract_summary
 from tamiz.contract.dictionary import compare_dictionary, dictionary_summary, first_dictionary, physical_columns
 from tamiz.operators.wide import stack
-from tamiz.sinks.audit import append_audit, audit_record
+from tamiz.sinks.audit import Stopwatch, append_audit, audit_record
 
 # Verdict -> status of the audit record.
 STATUS = {"FALLA_CRITICA": "critical", "REVISAR": "warning", "OK": "success"}
@@ -45,12 +45,15 @@ def validate_dictionaries(
     return stack(details), stack(summaries)
 
 
-def audit_validation(summary: DataFrame, *, source: str, audit_root: str, started_at: dt.datetime) -> str:
+def audit_validation(
+    summary: DataFrame, *, source: str, audit_root: str, started_at: dt.datetime, finished_at: dt.datetime | None = None
+) -> str:
     """Append the audit record; the worst verdict of the summary decides its status."""
+    watch = Stopwatch(started_at)
     column = "estado_validacion" if "estado_validacion" in summary.columns else "validation_status"
     verdicts = {r[0] for r in summary.select(column).distinct().collect()}
     status = next((STATUS[v] for v in STATUS if v in verdicts), "success")
-    finished = dt.datetime.now()
+    finished = finished_at or watch.now()
     record = audit_record(
         summary.sparkSession,
         source=source,

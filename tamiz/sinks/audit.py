@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -52,6 +53,16 @@ def audit_record(
     return literal_rows(spark, [row], AUDIT_DDL)
 
 
+class Stopwatch:
+    """When a job ended: its start, as the caller gave it, plus the seconds since; no clock or time zone of the driver."""
+
+    def __init__(self, started_at: dt.datetime):
+        self.started_at, self._begun = started_at, time.monotonic()
+
+    def now(self) -> dt.datetime:
+        return self.started_at + dt.timedelta(seconds=time.monotonic() - self._begun)
+
+
 def append_audit(record: DataFrame, root: str, day: dt.date) -> str:
     """Append below {root}/year=/month=/day=."""
     with_date_parts(record, day).coalesce(1).write.mode("append").partitionBy(*DATE_PARTS).json(root)
