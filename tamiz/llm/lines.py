@@ -3,8 +3,8 @@
 1. A line is normalised to its words: runs of ASCII letters and digits and of characters beyond ASCII, with A-Z in lower case. Lines
    of fewer than ``MIN_WORDS`` words stay as they are. Equal normalised lines are one class.
 2. The 64-bit SimHash of a class's distinct words is cut into five blocks. Two lines that differ in at most 3 bits agree
-   in at least two blocks, so each line is filed under all ten pairs of blocks. Keys with one holder, and keys with the
-   same holders as another, are dropped by counts.
+   in at least two blocks, so each line is filed under all ten pairs of blocks. Keys with one holder, with two that are
+   more than ``NEAR`` bits apart, or with the same holders as another key are dropped by counts and XORs.
 3. Holders of a key within ``NEAR`` bits are compared in blocks that give spanning forests; the components are clusters. All
    pairs within 3 bits are found, and many of those within ``NEAR``.
 4. In a cluster, lines whose word edit similarity 1 - distance / longer length reaches ``similarity`` are linked, again in
@@ -31,7 +31,7 @@ from tamiz.session import written_once
 
 from .common import bounded_broadcast, numbered_texts
 from .components import components
-from .neardup import Forest, in_blocks
+from .neardup import Forest, Rows, in_blocks, overlaps
 from .words import LETTERS, Words, mix, pieces, sequence_hashes
 
 MIN_WORDS = 3
@@ -39,6 +39,7 @@ MIN_WORDS = 3
 BLOCKS, NEAR = (13, 13, 13, 13, 12), 10
 #: Lines of a key, and words of a cluster, on one side of a block pair.
 HOLDERS, WORDS = 2048, 1 << 18
+_SPANS = 1 << 20
 
 
 def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -54,25 +55,19 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np
 
 
 def simhash(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """The 64-bit SimHash of the distinct values of each span; 0 for an empty span."""
-    sizes = last - first
-    out = np.zeros(len(first), dtype=np.uint64)
-    full = np.flatnonzero(sizes)
-    if not len(full):
-        return out
-    n = sizes[full]
-    at = np.repeat(first[full] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    line, value = np.repeat(np.arange(len(full)), n), hashes[at]
-    by = np.lexsort((value, line))
-    line, value = line[by], value[by]
-    new = np.r_[True, (line[1:] != line[:-1]) | (value[1:] != value[:-1])]
-    line, value = line[new], value[new]
-    starts = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
-    bits = np.unpackbits(value.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    """The 64-bit SimHash of the distinct values of each non-empty span; at most 2^20 spans."""
+    n = last - first
+    at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    # One number sorts by span and value; the 44 bits kept of a value tell the words of a line apart.
+    both = np.repeat(np.arange(len(n), dtype=np.uint64) << np.uint64(44), n) | hashes[at] >> np.uint64(20)
+    both.sort()
+    both = both[np.r_[True, both[1:] != both[:-1]]]
+    span = both >> np.uint64(44)
+    starts = np.flatnonzero(np.r_[True, span[1:] != span[:-1]])
+    bits = np.unpackbits(mix(both & np.uint64((1 << 44) - 1)).view(np.uint8).reshape(-1, 8), axis=1)
     ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-    majority = 2 * ones > np.diff(np.append(starts, len(line)))[:, None]
-    out[full] = np.packbits(majority, axis=1).view(">u8").ravel().astype(np.uint64)
-    return out
+    majority = 2 * ones > np.diff(np.append(starts, len(both)))[:, None]
+    return np.packbits(majority, axis=1).view(np.uint64).ravel()
 
 
 def _occurrences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,12 +77,13 @@ def _occurrences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, text, number, first, last = _lines(data, offsets)
             keep = last - first >= MIN_WORDS
             text, number, first, last = text[keep], number[keep], first[keep], last[keep]
+            codes = [simhash(words.hashes, first[a : a + _SPANS], last[a : a + _SPANS]) for a in range(0, len(first), _SPANS)]
             arrays = [
                 batch.column(0).take(pa.array(text + i)),
                 pa.array(number, pa.int64()),
                 pa.array(sequence_hashes(words.hashes, first, last).view(np.int64)),
                 pa.array(sequence_hashes(mix(words.hashes + np.uint64(1)), first, last).view(np.int64)),
-                pa.array(simhash(words.hashes, first, last).view(np.int64)),
+                pa.array(np.concatenate([np.zeros(0, dtype=np.uint64), *codes]).view(np.int64)),
                 pa.array(last - first, pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -132,9 +128,8 @@ def edit_distance(a: list, b: list) -> int:
     return score
 
 
-def _near_lines(rows: pa.RecordBatch, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
-    codes = np.asarray(rows.column("simhash")).view(np.uint64)
-    sizes = np.asarray(rows.column("n_words"))
+def _near_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+    codes, sizes = rows["simhash"].view(np.uint64), rows["n_words"]
     m = len(codes)
     split = int(np.searchsorted(sides, sides[-1])) if sides[0] != sides[-1] else 0
     forest = Forest(m)
@@ -146,21 +141,32 @@ def _near_lines(rows: pa.RecordBatch, sides: np.ndarray, similarity: float) -> I
             yield r, int(other)
 
 
-def _similar_lines(rows: pa.RecordBatch, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
-    sequences = [np.frombuffer(x, dtype=np.uint64).tolist() for x in rows.column("words").to_pylist()]
-    codes = np.asarray(rows.column("simhash")).view(np.uint64)
+def _occurrences_of(words: np.ndarray) -> np.ndarray:
+    """Each word with how often it came before, as one number: shared ones are what two lines can match at most."""
+    by = np.argsort(words, kind="stable")
+    run = np.flatnonzero(np.r_[True, words[by][1:] != words[by][:-1]])
+    nth = np.empty(len(words), dtype=np.uint64)
+    nth[by] = np.arange(len(words)) - np.repeat(run, np.diff(np.append(run, len(words))))
+    return mix(words + nth * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+    """Spanning pairs of similar lines. Only pairs that share enough words for it get their edit distance."""
+    sequences = [np.frombuffer(x, dtype=np.uint64) for x in rows["words"]]
+    codes = rows["simhash"].view(np.uint64)
     sizes = np.array([len(s) for s in sequences])
     m = len(sequences)
     split = int(np.searchsorted(sides, sides[-1])) if sides[0] != sides[-1] else 0
     forest = Forest(m)
-    for r in range(split or m - 1):
+    for r, both in overlaps([_occurrences_of(s) for s in sequences], split or m - 1):
         start = split or r + 1
-        fits = np.minimum(sizes[start:], sizes[r]) >= similarity * np.maximum(sizes[start:], sizes[r])
-        for other in np.flatnonzero((np.bitwise_count(codes[start:] ^ codes[r]) <= NEAR) & fits) + start:
+        longer = np.maximum(sizes, sizes[r])
+        fits = (both >= similarity * longer - 1e-9) & (forest.label != forest.label[r]) & (np.bitwise_count(codes ^ codes[r]) <= NEAR)
+        fits[:start] = False
+        for other in np.flatnonzero(fits):
             if forest.label[other] == forest.label[r]:
                 continue
-            longer = max(sizes[r], sizes[other])
-            if edit_distance(sequences[r], sequences[other]) <= (1 - similarity) * longer + 1e-9:
+            if edit_distance(sequences[r].tolist(), sequences[other].tolist()) <= (1 - similarity) * longer[other] + 1e-9:
                 forest.join(r, np.array([other]))
                 yield r, int(other)
 
@@ -184,8 +190,12 @@ def line_groups(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFram
         found.groupBy("line").agg(first, F.min("simhash").alias("simhash"), F.min("n_words").alias("n_words")), "line-classes"
     )
     filed = classes.select(F.col("line").alias("doc_id"), "simhash", "n_words", F.explode(_keys()).alias("group"))
-    held = filed.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor("doc_id").alias("x"))
-    chosen = written_once(held.where("n > 1").groupBy("n", "x").agg(F.min("group").alias("group")).select("group", "n"), "line-keys")
+    held = filed.groupBy("group").agg(
+        F.count("*").alias("n"), F.bit_xor("doc_id").alias("x"), F.bit_count(F.bit_xor("simhash")).alias("apart")
+    )
+    # Of two holders, the XOR of their codes tells how far apart they are: most keys shared by chance end here.
+    held = held.where(f"n > 2 or n = 2 and apart <= {NEAR}")
+    chosen = written_once(held.groupBy("n", "x").agg(F.min("group").alias("group")).select("group", "n"), "line-keys")
     holders = filed.join(bounded_broadcast(chosen, 1 << 20), "group")
     near = in_blocks(holders, f"ceil(n / {HOLDERS})", ["simhash", "n_words"], partial(_near_lines, similarity=similarity))
     clusters = components(near).select(F.col("node").alias("line"), F.col("component").alias("group"))

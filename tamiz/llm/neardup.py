@@ -90,6 +90,10 @@ def _sets(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "shingles"])
 
 
+#: Columns of the rows of one block pair.
+Rows = dict[str, np.ndarray]
+
+
 class Forest:
     """Groups of 0..n-1; ``join`` tells which of some items were not yet in the group of another."""
 
@@ -104,10 +108,10 @@ class Forest:
         return others[first[new]]
 
 
-def _near_signatures(rows: pa.RecordBatch, sides: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+def _near_signatures(rows: Rows, sides: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
     """Spanning pairs (row, row) of those within DISTANCE whose sizes allow a link; across sides if there are two."""
-    symbols = np.frombuffer(b"".join(rows.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, SYMBOLS)
-    sizes = np.asarray(rows.column("n_shingles"))
+    symbols = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint8).reshape(-1, SYMBOLS)
+    sizes = rows["n_shingles"]
     forest, m = Forest(len(symbols)), len(symbols)
     split = int(np.searchsorted(sides, sides[-1])) if sides[0] != sides[-1] else 0
     for r in range(split or m - 1):
@@ -119,9 +123,26 @@ def _near_signatures(rows: pa.RecordBatch, sides: np.ndarray, percent: int) -> I
             yield r, int(other)
 
 
-def _confirmed(rows: pa.RecordBatch, sides: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+def overlaps(sets: list[np.ndarray], upto: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of the first sets, how many members it shares with every set."""
+    m = len(sets)
+    _, which, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    doc = np.repeat(np.arange(m), [len(s) for s in sets])
+    shared = count[which] > 1  # a member of one set only is in no intersection
+    doc, which = doc[shared], which[shared]
+    by = np.argsort(which, kind="stable")
+    holders, ends = doc[by], np.cumsum(np.bincount(which, minlength=len(count)))
+    own = np.searchsorted(doc, np.arange(m + 1))
+    for r in range(upto):
+        mine = which[own[r] : own[r + 1]]
+        n = count[mine]
+        at = np.repeat(ends[mine] - np.cumsum(n), n) + np.arange(n.sum())
+        yield r, np.bincount(holders[at], minlength=m)
+
+
+def _confirmed(rows: Rows, sides: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
     """Spanning pairs (row, row) of those whose full sets are similar enough; across sides if there are two."""
-    sets = [np.frombuffer(x, dtype=np.uint64) for x in rows.column("shingles").to_pylist()]
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["shingles"]]
     sizes = np.array([len(s) for s in sets])
     m = len(sets)
     split = int(np.searchsorted(sides, sides[-1])) if sides[0] != sides[-1] else 0
@@ -130,19 +151,8 @@ def _confirmed(rows: pa.RecordBatch, sides: np.ndarray, percent: int) -> Iterato
         if 100 * both >= percent * (sizes.sum() - both):
             yield 0, 1
         return
-    _, which, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    doc = np.repeat(np.arange(m), sizes)
-    shared = count[which] > 1  # a shingle of one document only is in no intersection
-    doc, which = doc[shared], which[shared]
-    by = np.argsort(which, kind="stable")
-    holders, ends = doc[by], np.cumsum(np.bincount(which, minlength=len(count)))
-    own = np.searchsorted(doc, np.arange(m + 1))
     forest = Forest(m)
-    for r in range(split or m - 1):
-        mine = which[own[r] : own[r + 1]]
-        n = count[mine]
-        at = np.repeat(ends[mine] - np.cumsum(n), n) + np.arange(n.sum())
-        both = np.bincount(holders[at], minlength=m)
+    for r, both in overlaps(sets, split or m - 1):
         linked = 100 * both >= percent * (sizes[r] + sizes - both)
         linked[: split or r + 1] = False
         found = np.flatnonzero(linked)
@@ -150,35 +160,42 @@ def _confirmed(rows: pa.RecordBatch, sides: np.ndarray, percent: int) -> Iterato
             yield r, int(other)
 
 
-def _by_group(batches: Iterable[pa.RecordBatch], pairs: Callable[[pa.RecordBatch, np.ndarray], Iterator]) -> Iterator[pa.RecordBatch]:
+def _by_group(batches: Iterable[pa.RecordBatch], pairs: Callable[[Rows, np.ndarray], Iterator]) -> Iterator[pa.RecordBatch]:
     """Runs ``pairs`` on each run of rows with equal (group, one, two), which may go over several batches."""
 
-    def out(table: pa.Table) -> pa.RecordBatch | None:
-        rows = table.combine_chunks().to_batches()[0]
-        found = list(pairs(rows, np.asarray(rows.column("side"))))
-        if not found:
-            return None
-        doc = rows.column("doc_id")
-        ends = [doc.take(pa.array(x)) for x in zip(*found, strict=True)]
-        return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
-
-    held: list[pa.RecordBatch] = []
-    last = None
+    def out(rows: pa.RecordBatch, cuts: list[int]) -> pa.RecordBatch:
+        columns = {
+            n: np.asarray(c) if pa.types.is_integer(c.type) else np.array(c.to_pylist(), dtype=object)
+            for n, c in zip(rows.schema.names, rows.columns, strict=True)
+        }
+        found = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            part = {n: c[a:b] for n, c in columns.items()}
+            found += [(a + i, a + j) for i, j in pairs(part, part["side"])]
+        at = np.array(found, dtype=np.int64).reshape(-1, 2)
+        docs = columns["doc_id"]
+        return pa.RecordBatch.from_arrays([pa.array(docs[at[:, k]], pa.int64()) for k in range(2)], names=["a", "b"])
+
+    rest: list[pa.RecordBatch] = []  # the rows of a run that is not known to have ended
     for batch in batches:
         if not len(batch):
             continue
-        keys = np.stack([np.asarray(batch.column(c)) for c in ("group", "one", "two")])
-        cut = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        for a, b in zip([0, *cut], [*cut, len(batch)], strict=True):
-            here = tuple(keys[:, a])
-            if held and here != last:
-                if (found := out(pa.Table.from_batches(held))) is not None:
-                    yield found
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = here
-    if held and (found := out(pa.Table.from_batches(held))) is not None:
-        yield found
+        keys = [np.asarray(batch.column(c)) for c in ("group", "one", "two")]
+        if rest and any(k[0] != rest[0].column(c)[0].as_py() for k, c in zip(keys, ("group", "one", "two"), strict=True)):
+            whole = pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
+            yield out(whole, [0, len(whole)])
+            rest = []
+        new = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        if not len(new):
+            rest.append(batch)
+            continue
+        head = pa.Table.from_batches([*rest, batch.slice(0, int(new[-1]))]).combine_chunks().to_batches()[0]
+        before = sum(map(len, rest))
+        yield out(head, [0, *(new[:-1] + before).tolist(), len(head)])
+        rest = [batch.slice(int(new[-1]))]
+    if rest:
+        whole = pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
+        yield out(whole, [0, len(whole)])
 
 
 def in_blocks(rows: DataFrame, blocks: str, payload: list[str], pairs: Callable) -> DataFrame:
