@@ -42,9 +42,11 @@ _FOLLOWS |= {(START, ASSISTANT): (USER,), (SYSTEM, ASSISTANT): (USER,), (USER, U
 
 
 class Costs(NamedTuple):
+    """Giving a turn to another speaker costs more than a merge and an empty turn together."""
+
     merge: int = 2
     insert: int = 3
-    relabel: int = 4
+    relabel: int = 6
     unknown: int = 1
 
 
