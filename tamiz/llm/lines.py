@@ -1,12 +1,14 @@
-"""Fuzzy line deduplication: SimHash of normalised lines, a join on pigeonhole blocks, edit similarity, one line per group.
+"""Fuzzy line deduplication: a join on shared grams that every similar pair has, edit similarity, one line per group.
 
 1. A line is normalised to its words: runs of ASCII letters and digits and of characters beyond ASCII, with A-Z in lower case. Lines
    of fewer than ``MIN_WORDS`` words stay as they are. Equal normalised lines are one class.
-2. The 64-bit SimHash of a class's distinct words is cut into five blocks. Two lines that differ in at most 3 bits agree
-   in at least two blocks, so each line is filed under all ten pairs of blocks. Keys with one holder, with two that are
-   more than ``NEAR`` bits apart, or with the same holders as another key are dropped by counts and XORs.
-3. Holders of a key within ``NEAR`` bits are compared in blocks that give spanning forests; the components are clusters. All
-   pairs within 3 bits are found, and many of those within ``NEAR``.
+2. A line of n words may differ from a similar one in d = (1 - ``similarity``) * n words if it is the longer of the two. Cut into
+   d + 1 segments of equal length, one of them stands unchanged in the shorter line (pigeonhole). Each line is filed under its
+   segments and under all its grams of the lengths that the segments of lines of n to n / ``similarity`` words have. Grams
+   with one holder, or that are nobody's segment, are dropped in buckets of packed arrays; those with the same holders as
+   another by counts and XORs.
+3. Holders of a gram are compared by ``SKETCH`` * 64 parities of word counts, of which an edit changes two at most, in blocks that
+   give spanning forests; the components are clusters. Neither step loses a pair that is similar enough.
 4. In a cluster, lines whose word edit similarity 1 - distance / longer length reaches ``similarity`` are linked, again in
    blocks. Each group of linked lines keeps its first occurrence by (doc_id, line number); the others are removed.
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from functools import partial
 from itertools import combinations
+from math import floor
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +38,15 @@ from .neardup import Forest, Rows, in_blocks, overlaps
 from .words import LETTERS, Words, mix, pieces, sequence_hashes
 
 MIN_WORDS = 3
-#: Bits of the five blocks, from the lowest; most bits that candidates may differ in.
-BLOCKS, NEAR = (13, 13, 13, 13, 12), 10
+#: Numbers of 64 parities that describe a line's words.
+SKETCH = 4
+#: Entries of a bucket of grams; distinct lines of a piece of text from which on a gram's holders need no count.
+BUCKET, OFTEN = 1 << 21, 32
+#: Bits of the five blocks of a 64-bit code, from the lowest, for ``_keys``.
+BLOCKS = (13, 13, 13, 13, 12)
 #: Lines of a key, and words of a cluster, on one side of a block pair.
 HOLDERS, WORDS = 2048, 1 << 18
-_SPANS = 1 << 20
+_SKETCHES = [f"sketch{i}" for i in range(SKETCH)]
 
 
 def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -54,36 +61,138 @@ def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np
     return words, text, number, first, np.searchsorted(words.starts, stop)
 
 
-def simhash(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """The 64-bit SimHash of the distinct values of each non-empty span; at most 2^20 spans."""
+def _edits(n: int, similarity: float) -> int:
+    """The edits that a line of n words may be from a similar one that is not longer."""
+    return floor((1 - similarity) * n + 1e-9)
+
+
+def _longest(n: int, similarity: float) -> int:
+    """The words of the longest line that may be similar to one of n words."""
+    return floor(n / similarity + 1e-9)
+
+
+def sketches(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For each span the parity of the number of its values in each of 64 * SKETCH classes, as SKETCH numbers."""
     n = last - first
     at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    # One number sorts by span and value; the 44 bits kept of a value tell the words of a line apart.
-    both = np.repeat(np.arange(len(n), dtype=np.uint64) << np.uint64(44), n) | hashes[at] >> np.uint64(20)
-    both.sort()
-    both = both[np.r_[True, both[1:] != both[:-1]]]
-    span = both >> np.uint64(44)
-    starts = np.flatnonzero(np.r_[True, span[1:] != span[:-1]])
-    bits = np.unpackbits(mix(both & np.uint64((1 << 44) - 1)).view(np.uint8).reshape(-1, 8), axis=1)
-    ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-    majority = 2 * ones > np.diff(np.append(starts, len(both)))[:, None]
-    return np.packbits(majority, axis=1).view(np.uint64).ravel()
-
-
-def _occurrences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "line_no", "line", "check", "simhash", "n_words"]
+    own = mix(hashes + np.uint64(2))[at]
+    row = np.repeat(np.arange(len(n)), n)
+    cell = row * SKETCH + (own >> np.uint64(6)).astype(np.int64) % SKETCH
+    out = np.zeros(len(n) * SKETCH, dtype=np.uint64)
+    np.bitwise_xor.at(out, cell, np.uint64(1) << (own & np.uint64(63)))
+    return out.reshape(-1, SKETCH)
+
+
+def line_grams(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, key, whether it is a segment) of the grams each line is filed under."""
+    sizes = last - first
+    lengths: dict[int, list[int]] = {}  # gram length -> sizes of the lines that are filed under such grams
+    own = np.zeros(int(sizes.max(initial=0)) + 1, dtype=np.int64)
+    for n in np.unique(sizes).tolist():
+        top = _longest(n, similarity)
+        if _edits(top, similarity):  # others are similar to equal lines only
+            own[n] = n // (_edits(n, similarity) + 1)
+            for k in {x // (_edits(x, similarity) + 1) for x in range(n, top + 1)}:
+                lengths.setdefault(k, []).append(n)
+    lines, keys, segments = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=bool)]
+    for k, filed in lengths.items():
+        of = np.flatnonzero(np.isin(sizes, filed) & (sizes >= k))
+        n = sizes[of] - k + 1
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        line = np.repeat(of, n)
+        at = first[line] + place
+        lines.append(line)
+        keys.append(sequence_hashes(hashes, at, at + k))
+        segments.append((own[sizes[line]] == k) & (place % k == 0))
+    return np.concatenate(lines), np.concatenate(keys), np.concatenate(segments)
+
+
+def _packed(batches: Iterable[pa.RecordBatch], similarity: float, min_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Per piece of text and bucket one row of packed (key, line, segment); rows of grams that are often held are ``sure``."""
+    names = ["bucket", "sure", "keys", "lines", "segments"]
+    for batch in batches:
+        for _, _, data, offsets in pieces(batch.column(1)):
+            words, _, _, first, last = _lines(data, offsets)
+            keep = last - first >= min_words
+            first, last = first[keep], last[keep]
+            hashes = sequence_hashes(words.hashes, first, last)
+            _, one = np.unique(hashes, return_index=True)
+            line, key, segment = line_grams(words.hashes, first[one], last[one], similarity)
+            by = np.lexsort((~segment, line, key))
+            line, key, segment = line[by], key[by], segment[by]
+            new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])][: len(key)]
+            line, key, segment = hashes[one][line[new]], key[new], segment[new]
+            if not len(key):
+                continue
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            n = np.diff(np.append(starts, len(key)))
+            often = np.repeat(n > OFTEN, n)
+            # Two lines of a gram that is often held tell the others that it is held; its own holders go anywhere.
+            ends = np.zeros(len(key), dtype=bool)
+            ends[starts], ends[starts + n - 1] = True, True
+            for sure, chosen in ((False, ~often | ends), (True, often)):
+                if not chosen.any():
+                    continue
+                k, x = key[chosen], line[chosen]
+                g = segment[chosen] | often[chosen]
+                bucket = ((mix(k if not sure else x) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                by = np.argsort(bucket, kind="stable")
+                bucket, k, x, g = bucket[by], k[by], x[by], g[by]
+                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+                spans = list(zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist(), strict=True))
+                arrays = [pa.array(bucket[cuts], pa.int64()), pa.array([sure] * len(spans))]
+                arrays += [pa.array([c[a:b].tobytes() for a, b in spans], pa.binary()) for c in (k, x, g)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(line, key) of the grams that are sure or have two lines and are a segment of one; rows come by bucket."""
+
+    def out(key: np.ndarray, line: np.ndarray) -> pa.RecordBatch:
+        arrays = [pa.array(line.view(np.int64)), pa.array(key.view(np.int64))]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "group"])
+
+    def counted(parts: list[tuple]) -> pa.RecordBatch:
+        key, line, segment = (
+            np.frombuffer(b"".join(p[i] for p in parts), dtype=t) for i, t in enumerate((np.uint64, np.uint64, bool))
+        )
+        by = np.lexsort((line, key))
+        key, line, segment = key[by], line[by], segment[by]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        n = np.diff(np.append(starts, len(key)))
+        held = (line[starts] != line[starts + n - 1]) & np.logical_or.reduceat(segment, starts)
+        new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])] & np.repeat(held, n)
+        return out(key[new], line[new])
+
+    last, parts = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["sure"]:
+                yield out(np.frombuffer(row["keys"], dtype=np.uint64), np.frombuffer(row["lines"], dtype=np.uint64))
+                continue
+            if row["bucket"] != last and parts:
+                yield counted(parts)
+                parts = []
+            last = row["bucket"]
+            parts.append((row["keys"], row["lines"], row["segments"]))
+    if parts:
+        yield counted(parts)
+
+
+def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "line_no", "line", "check", *_SKETCHES, "n_words"]
     for batch in batches:
         for i, _, data, offsets in pieces(batch.column(1)):
             words, text, number, first, last = _lines(data, offsets)
-            keep = last - first >= MIN_WORDS
+            keep = last - first >= min_words
             text, number, first, last = text[keep], number[keep], first[keep], last[keep]
-            codes = [simhash(words.hashes, first[a : a + _SPANS], last[a : a + _SPANS]) for a in range(0, len(first), _SPANS)]
+            codes = sketches(words.hashes, first, last)
             arrays = [
                 batch.column(0).take(pa.array(text + i)),
                 pa.array(number, pa.int64()),
                 pa.array(sequence_hashes(words.hashes, first, last).view(np.int64)),
                 pa.array(sequence_hashes(mix(words.hashes + np.uint64(1)), first, last).view(np.int64)),
-                pa.array(np.concatenate([np.zeros(0, dtype=np.uint64), *codes]).view(np.int64)),
+                *(pa.array(np.ascontiguousarray(codes[:, i]).view(np.int64)) for i in range(SKETCH)),
                 pa.array(last - first, pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -129,14 +238,18 @@ def edit_distance(a: list, b: list) -> int:
 
 
 def _near_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
-    codes, sizes = rows["simhash"].view(np.uint64), rows["n_words"]
+    codes, sizes = np.stack([rows[c].view(np.uint64) for c in _SKETCHES], axis=1), rows["n_words"]
     m = len(codes)
     split = int(np.searchsorted(sides, sides[-1])) if sides[0] != sides[-1] else 0
     forest = Forest(m)
     for r in range(split or m - 1):
         start = split or r + 1
-        fits = np.minimum(sizes[start:], sizes[r]) >= similarity * np.maximum(sizes[start:], sizes[r])
-        near = np.flatnonzero((np.bitwise_count(codes[start:] ^ codes[r]) <= NEAR) & fits) + start
+        longer = np.maximum(sizes[start:], sizes[r])
+        apart = np.abs(sizes[start:] - sizes[r])
+        edits = np.floor((1 - similarity) * longer + 1e-9).astype(np.int64)
+        # A replaced word changes two parities, an added one changes one, and there are as many added as the sizes differ.
+        bits = np.bitwise_count(codes[start:] ^ codes[r]).sum(axis=1, dtype=np.int64)
+        near = np.flatnonzero((apart <= edits) & (bits <= 2 * edits - apart)) + start
         for other in forest.join(r, near) if len(near) else ():
             yield r, int(other)
 
@@ -153,7 +266,6 @@ def _occurrences_of(words: np.ndarray) -> np.ndarray:
 def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
     """Spanning pairs of similar lines. Only pairs that share enough words for it get their edit distance."""
     sequences = [np.frombuffer(x, dtype=np.uint64) for x in rows["words"]]
-    codes = rows["simhash"].view(np.uint64)
     sizes = np.array([len(s) for s in sequences])
     m = len(sequences)
     split = int(np.searchsorted(sides, sides[-1])) if sides[0] != sides[-1] else 0
@@ -161,7 +273,7 @@ def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator
     for r, both in overlaps([_occurrences_of(s) for s in sequences], split or m - 1):
         start = split or r + 1
         longer = np.maximum(sizes, sizes[r])
-        fits = (both >= similarity * longer - 1e-9) & (forest.label != forest.label[r]) & (np.bitwise_count(codes ^ codes[r]) <= NEAR)
+        fits = (both >= similarity * longer - 1e-9) & (forest.label != forest.label[r])
         fits[:start] = False
         for other in np.flatnonzero(fits):
             if forest.label[other] == forest.label[r]:
@@ -172,6 +284,7 @@ def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator
 
 
 def _keys() -> Column:
+    """The pairs of blocks of a 64-bit code: codes within 3 bits share one. The operator files lines under grams instead."""
     shifts = np.cumsum((0, *BLOCKS))[:-1].tolist()
     block = [F.shiftrightunsigned("simhash", s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in zip(shifts, BLOCKS, strict=True)]
     pairs = list(combinations(range(len(BLOCKS)), 2))
@@ -180,24 +293,27 @@ def _keys() -> Column:
     )
 
 
-def line_groups(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """(occurrences of lines, (line, component) of the lines that are linked to a different one)."""
-    schema = "doc_id long, line_no long, line long, check long, simhash long, n_words long"
+    codes = ", ".join(f"{c} long" for c in _SKETCHES)
+    schema = f"doc_id long, line_no long, line long, check long, {codes}, n_words long"
     texts = numbered_texts(docs).where("doc_id is not null and text is not null")
-    found = written_once(texts.mapInArrow(_occurrences, schema), "lines")
+    found = written_once(texts.mapInArrow(partial(_occurrences, min_words=min_words), schema), "lines")
     first = F.min(F.struct("doc_id", "line_no")).alias("first")
-    classes = written_once(
-        found.groupBy("line").agg(first, F.min("simhash").alias("simhash"), F.min("n_words").alias("n_words")), "line-classes"
-    )
-    filed = classes.select(F.col("line").alias("doc_id"), "simhash", "n_words", F.explode(_keys()).alias("group"))
-    held = filed.groupBy("group").agg(
-        F.count("*").alias("n"), F.bit_xor("doc_id").alias("x"), F.bit_count(F.bit_xor("simhash")).alias("apart")
-    )
-    # Of two holders, the XOR of their codes tells how far apart they are: most keys shared by chance end here.
-    held = held.where(f"n > 2 or n = 2 and apart <= {NEAR}")
+    described = [*_SKETCHES, "n_words"]
+    classes = written_once(found.groupBy("line").agg(first, *[F.min(c).alias(c) for c in described]), "line-classes")
+    total = found.agg(F.sum("n_words")).first()[0] or 0
+    grams = partial(_packed, similarity=similarity, min_words=min_words, buckets=max(256, total // BUCKET))
+    packed = texts.mapInArrow(grams, "bucket long, sure boolean, keys binary, lines binary, segments binary")
+    packed = packed.repartition("bucket").sortWithinPartitions("bucket")
+    # A line of several pieces of text is filed by each of them.
+    filed = written_once(packed.mapInArrow(_shared, "doc_id long, group long").distinct(), "line-grams")
+    held = filed.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"))
+    # Grams with the same holders ask for the same comparisons; one of them is enough.
     chosen = written_once(held.groupBy("n", "x").agg(F.min("group").alias("group")).select("group", "n"), "line-keys")
     holders = filed.join(bounded_broadcast(chosen, 1 << 20), "group")
-    near = in_blocks(holders, f"ceil(n / {HOLDERS})", ["simhash", "n_words"], partial(_near_lines, similarity=similarity))
+    holders = holders.join(classes.select(F.col("line").alias("doc_id"), *described), "doc_id")
+    near = in_blocks(holders, f"ceil(n / {HOLDERS})", described, partial(_near_lines, similarity=similarity))
     clusters = components(near).select(F.col("node").alias("line"), F.col("component").alias("group"))
 
     members = written_once(classes.join(clusters, "line"), "line-clusters")
@@ -207,10 +323,10 @@ def line_groups(docs: DataFrame, similarity: float) -> tuple[DataFrame, DataFram
     wanted = bounded_broadcast(written_once(wanted, "line-texts"))
     # A document read again gives the same lines again.
     sequences = texts.join(wanted, "doc_id").select("doc_id", "text", "lines").mapInArrow(_sequences, "doc_id long, words binary")
-    own = members.select(F.col("line").alias("doc_id"), "group", "simhash", "n_words")
+    own = members.select(F.col("line").alias("doc_id"), "group")
     load = members.groupBy("group").agg(F.sum("n_words").alias("load"))
     rows = sequences.dropDuplicates(["doc_id"]).join(own, "doc_id").join(load, "group")
-    links = in_blocks(rows, f"ceil(load / {WORDS})", ["words", "simhash"], partial(_similar_lines, similarity=similarity))
+    links = in_blocks(rows, f"ceil(load / {WORDS})", ["words"], partial(_similar_lines, similarity=similarity))
     return found, components(links).select(F.col("node").alias("line"), "component")
 
 

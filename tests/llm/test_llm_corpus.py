@@ -193,6 +193,39 @@ def test_lines_edges(spark):
     assert lines.deduplicate_lines(table(spark, [])).count() == 0
 
 
+def edited_lines(seed, n):
+    """Lines of 4 to 45 words in families: each line differs from one before it in up to a quarter of its words."""
+    rng, out = random.Random(seed), []
+    vocabulary = prose(seed, 400).split()
+    for _ in range(n):
+        own = rng.choices(vocabulary, k=rng.randrange(4, 46))
+        out.append(own)
+        for _ in range(rng.randrange(4)):
+            own = list(own)
+            for _ in range(rng.randrange(1, 1 + max(1, len(own) // 4))):
+                at, kind = rng.randrange(len(own)), rng.randrange(3)
+                own[at : at + (kind != 0)] = [rng.choice(vocabulary)] if kind != 1 else []
+            out.append(own)
+    return [tuple(x) for x in out if len(x) >= 3]
+
+
+@pytest.mark.parametrize("often", [32, 1])
+def test_every_pair_of_similar_lines_is_found(spark, monkeypatch, often):
+    """The groups of lines are those of a comparison of all pairs at an edit similarity of 0.8."""
+    monkeypatch.setattr(lines, "OFTEN", often, raising=False)
+    found = sorted(set(edited_lines(11, 150)))
+    groups = plain.Sets(range(len(found)))
+    for a in range(len(found)):
+        for b in range(a + 1, len(found)):
+            longer = max(len(found[a]), len(found[b]))
+            if 5 * abs(len(found[a]) - len(found[b])) <= longer and 5 * plain.edit_distance(found[a], found[b]) <= longer:
+                groups.join(a, b)
+    assert len({groups.find(i) for i in range(len(found))}) < 0.8 * len(found)
+    df = table(spark, [(i, " ".join(x)) for i, x in enumerate(found)]).repartition(5)
+    out = {r.doc_id: r.lines_removed for r in lines.deduplicate_lines(df).collect()}
+    assert out == {i: int(groups.find(i) != i) for i in range(len(found))}
+
+
 # --- contamination ---------------------------------------------------------------------------------------------------
 
 
