@@ -1,7 +1,7 @@
 """Fuzzy line deduplication: a join on shared grams that every similar pair has, edit similarity, one line per group.
 
 1. A line is normalised to its words: runs of ASCII letters and digits and of characters beyond ASCII, with A-Z in lower case. Lines
-   of fewer than ``MIN_WORDS`` words stay as they are. Equal normalised lines are one class.
+   of fewer than ``min_words`` words stay as they are, lines without a word always. Equal normalised lines are one class.
 2. A line of n words may differ from a similar one in d = (1 - ``similarity``) * n words if it is the longer of the two. Cut into
    d + 1 segments of equal length, one of them stands unchanged in the shorter line (pigeonhole). Each line is filed under its
    segments and under all its grams of the lengths that the segments of lines of n to n / ``similarity`` words have. Grams
@@ -37,6 +37,7 @@ from .components import components
 from .neardup import Forest, Rows, in_blocks, overlaps
 from .words import LETTERS, Words, mix, pieces, sequence_hashes
 
+#: Default of ``min_words``; op3_lines and the pipeline ask for 1.
 MIN_WORDS = 3
 #: Numbers of 64 parities that describe a line's words.
 SKETCH = 4
@@ -330,9 +331,9 @@ def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS)
     return found, components(links).select(F.col("node").alias("line"), "component")
 
 
-def removable(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+def removable(docs: DataFrame, similarity: float = 0.8, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, removed): the numbers of the lines of each document that repeat a line kept elsewhere."""
-    found, linked = line_groups(docs, similarity)
+    found, linked = line_groups(docs, similarity, max(min_words, 1))
     fuzzy = F.col("component").isNotNull()
     grouped = found.join(linked, "line", "left").select(
         "doc_id",
@@ -346,12 +347,12 @@ def removable(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     return again.groupBy("doc_id").agg(F.collect_set("line_no").alias("removed"))  # lines of one document
 
 
-def deduplicate_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+def deduplicate_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with its text cleared of repeated lines, and how many lines it had and lost.
 
-    The added columns are ``lines_before`` and ``lines_removed``.
+    The added columns are ``lines_before`` and ``lines_removed``. Lines of fewer than ``min_words`` words are not looked at.
     """
-    removed = written_once(removable(docs, similarity), "removed-lines").select(F.col("doc_id").alias("_removed_id"), "removed")
+    removed = written_once(removable(docs, similarity, min_words), "removed-lines").select(F.col("doc_id").alias("_removed_id"), "removed")
     joined = docs.join(bounded_broadcast(removed), docs["doc_id"] == removed["_removed_id"], "left")
     lines = F.split(F.col("text"), "\n", -1)
     left = F.filter(lines, lambda _, i: ~F.array_contains(F.col("removed"), i.cast("long")))

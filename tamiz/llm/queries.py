@@ -25,7 +25,7 @@ def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_lines(spark: SparkSession, sf: str) -> DataFrame:
-    cleared = lines.deduplicate_lines(_table(spark, sf, "documents"))
+    cleared = lines.deduplicate_lines(_table(spark, sf, "documents"), min_words=1)
     return cleared.select("doc_id", "text", "lines_before", "lines_removed")
 
 

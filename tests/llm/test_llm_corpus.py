@@ -4,13 +4,14 @@ import hashlib
 import random
 import re
 
+import corpus_pipeline
 import numpy as np
 import plain
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tamiz.llm import components, decontaminate, fingerprints, lines, neardup, quality, sharding, suffixes
+from tamiz.llm import components, decontaminate, fingerprints, lines, neardup, quality, queries, sharding, suffixes
 
 #: Names that the operators use themselves.
 EXTRA = "group string, part int, line string, tie int, n int, keys int, n_chars long, lang string, source string, shard string"
@@ -226,6 +227,14 @@ def test_every_pair_of_similar_lines_is_found(spark, monkeypatch, often):
     assert out == {i: int(groups.find(i) != i) for i in range(len(found))}
 
 
+def test_copies_of_short_lines_go_in_the_query(spark, tmp_path):
+    rows = [(1, "x y\nHome\n--\n世界世界"), (2, "X, y!\nnot home"), (3, "home\n--\n\n世界世界\nhomes"), (4, "y x")]
+    table(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.text, r.lines_removed) for r in queries.op3_lines(spark, str(tmp_path)).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("not home", 1), 3: ("--\n\nhomes", 2), 4: ("y x", 0)}
+    assert corpus_pipeline.drop_repeated_lines(spark, table(spark, rows), "").where("doc_id = 2").first().text == "not home"
+
+
 # --- contamination ---------------------------------------------------------------------------------------------------
 
 
