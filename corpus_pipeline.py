@@ -30,8 +30,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return neardup.representatives(docs)
+    """One document of each group of near-duplicates: those linked by pairs that share 80 % of their five-word shingles."""
+    return neardup.representatives(docs, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,16 +2,16 @@
 
 1. A document's set is its distinct k-word shingles. ``SYMBOLS`` MinHash values of ``16`` bits form its signature. Documents
    with equal sets are one class, represented by its smallest doc_id.
-2. The signature is split into ``CHUNKS`` chunks. Two signatures that differ in at most ``DISTANCE`` symbols have, by the
-   pigeonhole principle, a chunk that differs in at most ``DISTANCE // CHUNKS`` = 1 symbol, so they share that chunk with one
-   symbol left out. Each signature is filed under all chunks with each symbol left out; keys held by one class only, and keys
+2. The signature is split into chunks. Two signatures that differ in at most ``distance`` symbols have, by the pigeonhole
+   principle, a chunk that differs in at most ``distance // chunks`` = 1 symbol, so they share that chunk with one symbol left
+   out; ``limits`` gives both numbers for a similarity. Each signature is filed under all chunks with each symbol left out; keys held by one class only, and keys
    with the same holders as another, are dropped by counts.
-3. Holders of a key are compared by their signatures in blocks; the pairs within ``DISTANCE`` are not listed: each block
+3. Holders of a key are compared by their signatures in blocks; the pairs within that distance are not listed: each block
    gives a spanning forest of them, and their components are the clusters that may hold links.
 4. Within a cluster the full sets are intersected, again in blocks that give spanning forests of the confirmed links.
 
 Every pair within the signature distance is compared. At a similarity of 0.85 the distance of 60 symbols is binomial with mean
-9 and deviation 2.8, so a link is missed with a probability of about 1e-6, less for closer ones. Blocks are bounded in size: a
+9 and deviation 2.8, so a link is missed with a probability of about 2e-6, less for closer ones; at 0.8 with mean 12 and 3.1. Blocks are bounded in size: a
 key or cluster with many holders is spread over pairs of blocks, none is capped, and no pair list exists anywhere.
 
 * a null or empty text, or one without words, has an empty set and is linked with nothing, not even with another such text;
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from functools import partial
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +36,29 @@ from .common import bounded_broadcast
 from .components import components
 from .words import mix, words_of
 
-SYMBOLS, CHUNKS, DISTANCE = 60, 12, 23
-_WIDE = SYMBOLS // CHUNKS
+SYMBOLS = 60
+#: Probability of missing a pair at the least similarity.
+MISS = 2.5e-6
+
+
+def limits(percent: int) -> tuple[int, int]:
+    """(chunks, distance): the least distance that misses a pair of that similarity with MISS at most, and chunks for it."""
+    p, tail, distance = 1 - percent / 100, 0.0, SYMBOLS
+    while distance and (more := tail + comb(SYMBOLS, distance) * p**distance * (1 - p) ** (SYMBOLS - distance)) <= MISS:
+        tail, distance = more, distance - 1
+    chunks = next((c for c in range(1, SYMBOLS // 2 + 1) if SYMBOLS % c == 0 and distance < 2 * c), None)
+    if chunks is None:
+        raise ValueError(f"{SYMBOLS} symbols are too few for a similarity of {percent} %")
+    return chunks, distance
+
+
+CHUNKS, DISTANCE = limits(85)
 #: Holders of a key, and shingles of a cluster, that one side of a block pair may have.
 HOLDERS, SHINGLES = 2048, 1 << 20
 
 _seeds = mix(np.arange(1, 2 * SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _xor, _mul = _seeds[:SYMBOLS], _seeds[SYMBOLS:] | np.uint64(1)
-_leave = [[i for i in range(_WIDE) if i != out] for out in range(_WIDE)]
-_salt = mix(np.arange(1, CHUNKS * _WIDE + 1, dtype=np.uint64)).reshape(CHUNKS, _WIDE)
+_salt = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64))
 
 
 def signature(distinct: np.ndarray) -> np.ndarray:
@@ -54,17 +69,20 @@ def signature(distinct: np.ndarray) -> np.ndarray:
     return (least & np.uint64(0xFFFF)).astype(np.uint16)
 
 
-def keys_of(symbols: np.ndarray) -> np.ndarray:
+def keys_of(symbols: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """The keys a signature is filed under: every chunk with every symbol left out."""
-    chunks = symbols.astype(np.uint64).reshape(CHUNKS, _WIDE)
-    keys = np.zeros((CHUNKS, _WIDE), dtype=np.uint64)
-    for out, rest in enumerate(_leave):
-        for i in rest:
-            keys[:, out] = keys[:, out] << np.uint64(16) | chunks[:, i]
-    return mix(keys ^ _salt).ravel().view(np.int64)
-
-
-def _described(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    wide = SYMBOLS // chunks
+    parts = symbols.astype(np.uint64).reshape(chunks, wide)
+    keys = np.zeros((chunks, wide), dtype=np.uint64)
+    for out in range(wide):
+        for i in range(wide):
+            if i != out:
+                # Up to four symbols fit whole; of wider chunks, older ones are mixed in.
+                keys[:, out] = (mix(keys[:, out]) if wide > 5 else keys[:, out] << np.uint64(16)) ^ parts[:, i]
+    return mix(keys ^ _salt.reshape(chunks, wide)).ravel().view(np.int64)
+
+
+def _described(batches: Iterable[pa.RecordBatch], k: int, chunks: int) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_shingles", "set_a", "set_b", "signature", "keys"]
     for batch in batches:
         for i, j, words in words_of(batch.column(1)):
@@ -76,7 +94,7 @@ def _described(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordB
                 b.append(int(np.bitwise_xor.reduce(mix(own)).view(np.int64)) if len(own) else 0)
                 symbols = signature(own) if len(own) else None
                 signatures.append(None if symbols is None else (symbols & 0xFF).astype(np.uint8).tobytes())
-                keys.append(None if symbols is None else keys_of(symbols))
+                keys.append(None if symbols is None else keys_of(symbols, chunks))
             arrays = [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())]
             arrays += [pa.array(signatures, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -109,7 +127,8 @@ class Forest:
 
 
 def _near_signatures(rows: Rows, sides: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
-    """Spanning pairs (row, row) of those within DISTANCE whose sizes allow a link; across sides if there are two."""
+    """Spanning pairs (row, row) of those within the distance for ``percent`` whose sizes allow a link; across sides if there are two."""
+    _, distance = limits(percent)
     symbols = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint8).reshape(-1, SYMBOLS)
     sizes = rows["n_shingles"]
     forest, m = Forest(len(symbols)), len(symbols)
@@ -118,7 +137,7 @@ def _near_signatures(rows: Rows, sides: np.ndarray, percent: int) -> Iterator[tu
         start = split or r + 1
         far = (symbols[start:] != symbols[r]).sum(axis=1)
         fits = 100 * np.minimum(sizes[start:], sizes[r]) >= percent * np.maximum(sizes[start:], sizes[r])
-        near = np.flatnonzero((far <= DISTANCE) & fits) + start
+        near = np.flatnonzero((far <= distance) & fits) + start
         for other in forest.join(r, near) if len(near) else ():
             yield r, int(other)
 
@@ -210,16 +229,17 @@ def in_blocks(rows: DataFrame, blocks: str, payload: list[str], pairs: Callable)
     return met.mapInArrow(partial(_by_group, pairs=pairs), "a long, b long")
 
 
-def describe(docs: DataFrame, k: int) -> DataFrame:
+def describe(docs: DataFrame, k: int, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, two hashes of the whole set, signature and keys of each document."""
+    chunks, _ = limits(percent)
     schema = "doc_id long, n_shingles long, set_a long, set_b long, signature binary, keys array<long>"
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(lambda b: _described(b, k), schema)
+    return texts.mapInArrow(lambda b: _described(b, k, chunks), schema)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (the smallest doc_id of its component) of each document."""
-    described = written_once(describe(docs, k), "signatures")
+    described = written_once(describe(docs, k, percent), "signatures")
     whole = ["n_shingles", "set_a", "set_b"]
     classes = written_once(
         described.where("n_shingles > 0 and doc_id is not null").groupBy(*whole).agg(F.min(F.struct("doc_id", "signature", "keys")).alias("least")).select(*whole, "least.*"),

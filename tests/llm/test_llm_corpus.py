@@ -126,6 +126,28 @@ def test_signatures_within_the_distance_share_a_key():
         assert set(neardup.keys_of(a)) & set(neardup.keys_of(b))
 
 
+def test_the_pipeline_links_pairs_from_80_percent(spark):
+    base = prose(21, 140).split()
+    two, three = list(base), list(base)
+    two[60], two[100] = "edit", "edit"  # 126 of 146 shingles
+    three[40], three[90], three[120] = "note", "note", "note"  # 121 of 151
+    rows = [(i, prose(30 + i, 140)) for i in range(5)] + [(20 + i, " ".join(x)) for i, x in enumerate((base, two, three))]
+    wide, narrow = plain.near_components(rows, 80), plain.near_components(rows, 85)
+    assert wide != narrow
+    kept = corpus_pipeline.drop_near_duplicates(spark, table(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in wide if wide[i] == i)
+
+
+def test_limits_follow_the_similarity():
+    assert neardup.limits(85) == (12, 23) and neardup.limits(80) == (15, 28)
+    rng, (chunks, distance) = np.random.default_rng(2), neardup.limits(80)
+    for _ in range(300):
+        a = rng.integers(0, 1 << 16, neardup.SYMBOLS, dtype=np.uint16)
+        b = a.copy()
+        b[rng.choice(neardup.SYMBOLS, distance, replace=False)] ^= np.uint16(1)
+        assert set(neardup.keys_of(a, chunks)) & set(neardup.keys_of(b, chunks))
+
+
 # --- lines ---------------------------------------------------------------------------------------------------------
 
 
