@@ -205,11 +205,14 @@ def _sequences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = batch.column(2).to_pylist()
         for i, j, data, offsets in pieces(batch.column(1)):
             words, text, number, first, last = _lines(data, offsets)
-            begin = np.searchsorted(text, np.arange(j - i))
+            begin = np.searchsorted(text, np.arange(j - i + 1))
+            hashes = sequence_hashes(words.hashes, first, last).view(np.int64)
             lines, sequences = [], []
             for r in range(j - i):
                 for wish in wanted[i + r]:
                     at = int(begin[r]) + wish["line_no"]
+                    if at >= begin[r + 1] or hashes[at] != wish["line"]:
+                        continue  # another text of this doc_id
                     lines.append(wish["line"])
                     sequences.append(words.hashes[first[at] : last[at]].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(lines, pa.int64()), pa.array(sequences, pa.binary())], names=["doc_id", "words"])

@@ -61,9 +61,10 @@ def _anchors(batches: Iterable[pa.RecordBatch], gram: int, least: int) -> Iterat
             arrays = [
                 pa.array(grams.view(np.int64)),
                 batch.column(0).take(pa.array(text + i)),
+                batch.column(2).take(pa.array(text + i)),
                 pa.array(at - words.bounds[text], pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["gram", "doc_id", "pos"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["gram", "doc_id", "own", "pos"])
 
 
 def _contexts(batches: Iterable[pa.RecordBatch], gram: int, least: int) -> Iterator[pa.RecordBatch]:
@@ -195,13 +196,15 @@ def repeated_passages(docs: DataFrame, least: int = 50, gram: int = 20) -> DataF
 
     ``other_doc_id`` and ``other_start_word`` are the smallest place among the passage's longest matches.
     """
-    texts = numbered_texts(docs)
-    schema = "gram long, doc_id long, pos long"
+    # Rows without doc_id, or of equal ones, may have different texts: positions belong to a text.
+    texts = numbered_texts(docs).withColumn("own", F.xxhash64("text"))
+    schema = "gram long, doc_id long, own long, pos long"
     anchors = written_once(texts.mapInArrow(lambda b: _anchors(b, gram, least), schema), "anchors")
     # Written, so that the join is between two plain tables and a gram with many suffixes is split over tasks.
     often = written_once(anchors.groupBy("gram").count().where("count > 1").select("gram"), "grams")
-    wanted = anchors.join(often, "gram", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("wanted"))  # of one document
-    met = texts.join(wanted.withColumnRenamed("doc_id", "own"), F.col("doc_id").eqNullSafe(F.col("own")))
+    wanted = anchors.join(often, "gram", "left_semi").groupBy("doc_id", "own").agg(F.collect_set("pos").alias("wanted"))  # of one text
+    wanted = wanted.select(F.col("doc_id").alias("of"), F.col("own").alias("of_text"), "wanted")
+    met = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("own") == F.col("of_text")))
     contexts = met.select("doc_id", "text", "wanted").mapInArrow(lambda b: _contexts(b, gram, least), _ROW)
     contexts = written_once(contexts, "contexts")
     matches = _matches(contexts, "after", "before", gram, least).unionByName(_matches(contexts, "before", "after", gram, least))

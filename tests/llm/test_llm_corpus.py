@@ -69,6 +69,20 @@ def test_passages_share_and_edges(spark):
     assert spans(table(spark, [])) == []
 
 
+def test_texts_of_one_id_keep_their_own_positions(spark):
+    shared, line = prose(3, 55), prose(4, 12)
+    rows = [(None, f"{prose(5, 300)} {shared}"), (None, prose(6, 60)), (None, None), (7, f"{prose(7, 200)} {shared}"), (7, prose(8, 52))]
+    # In one partition the short texts stand at the end, where positions of the long ones are out of range.
+    df = table(spark, rows).coalesce(1)
+    assert [(r[0] or 0, *r[1:]) for r in spark_rows(suffixes.repeated_passages(df))] == [(0, 300, 55), (7, 200, 55)]
+    rows = [(1, f"{prose(9, 5)}\n\n\n{line}"), (1, "one line"), (2, f"{line} more")]
+    assert {r.lines_removed for r in lines.deduplicate_lines(table(spark, rows).coalesce(1)).collect() if r.doc_id == 2} == {1}
+
+
+def spark_rows(df):
+    return sorted(((r.doc_id, r.start_word, r.n_words) for r in df.collect()), key=lambda r: (r[0] is not None, r))
+
+
 # --- near-duplicates ------------------------------------------------------------------------------------------------
 
 
