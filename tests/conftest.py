@@ -23,9 +23,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    """Collected rows as dicts, sorted by the given columns."""
-    out = [r.asDict(recursive=True) for r in df.collect()]
-    return sorted(out, key=lambda r: tuple(str(r[c]) for c in order)) if order else out

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tamiz.contract import Contract, ContractError, check_critical, contract_check, contract_summary

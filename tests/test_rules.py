@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from tamiz.rules import evaluate, rule
 from tamiz.rules.evaluate import COUNTERS_PER_PASS, _passes, compile_rules
