@@ -37,7 +37,7 @@ def test_stages(spark, tmp_path):
     assert sum(len(r.text) for r in after.values()) < sum(len(r.text) for r in before.values())
 
     before, after = ([(r.doc_id, r.text) for r in x.collect()] for x in kept["MinHash near-dedup"])
-    groups = plain.near_components(before)
+    groups = plain.near_components(before, 80)
     assert sorted(i for i, _ in after) == sorted(i for i in groups if groups[i] == i)
 
     before, after = ([(r.doc_id, r.text) for r in x.collect()] for x in kept["benchmark decontamination"])
