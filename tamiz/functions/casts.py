@@ -7,6 +7,8 @@ itself, so every cast from text is guarded by a shape test first. The shapes als
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +57,51 @@ def number_sql(df: DataFrame, name: str) -> str:
     return f"({text_number_sql(text_sql(df, name))})"
 
 
+def exact_sql(df: DataFrame, name: str) -> tuple[str, str]:
+    """A number and its kind for comparisons: 'whole' (BIGINT) and 'decimal' keep every digit, anything else is 'double'."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, _WHOLE):
+        return f"CAST({quoted(name)} AS BIGINT)", "whole"
+    if isinstance(dtype, T.DecimalType):
+        return quoted(name), "decimal"
+    return number_sql(df, name), "double"
+
+
+def bound_sql(value: object, against: str) -> tuple[str, str]:
+    """A declared bound likewise, for a number of the kind ``against``; whole bounds that a double holds stay doubles for doubles."""
+    number = Decimal(str(value))
+    whole = number == number.to_integral_value() and abs(number) < 1 << 63
+    if whole and (against != "double" or abs(number) > 1 << 53):
+        return f"{int(number)}L", "whole"
+    return f"{float(number)!r}D", "double"
+
+
+_FLIPPED = {"<": ">", "<=": ">=", ">": "<", ">=": "<=", "=": "=", "<>": "<>"}
+#: x op d for a whole x and a fractional d is x op floor(d) or ceil(d).
+_ROUNDED = {"<": "ceil", ">=": "ceil", "<=": "floor", ">": "floor"}
+
+
+def compare_sql(left: tuple[str, str], op: str, right: tuple[str, str]) -> str:
+    """``left op right`` without rounding whole numbers to doubles; op is one of < <= > >= = <>.
+
+    Whole and decimal numbers are compared as such. A whole number and a double meet as whole numbers, the double rounded to
+    the side that decides; beyond 9e18, and for NaN, as doubles. A decimal meets a double as a double.
+    """
+    (a, kind_a), (b, kind_b) = left, right
+    if kind_a == "double" and kind_b == "whole":
+        return compare_sql(right, _FLIPPED[op], left)
+    if kind_a == "whole" and kind_b == "double":
+        if op in _ROUNDED:
+            exact = f"{a} {op} {_ROUNDED[op]}({b})"
+        else:
+            same = f"({b} = floor({b}) AND {a} = floor({b}))"
+            exact = same if op == "=" else f"NOT {same}"
+        return f"(CASE WHEN abs({b}) < 9.0E18D THEN {exact} ELSE CAST({a} AS DOUBLE) {op} {b} END)"
+    if kind_a != kind_b and "double" in (kind_a, kind_b):
+        return f"(CAST({a} AS DOUBLE) {op} CAST({b} AS DOUBLE))"
+    return f"({a} {op} {b})"
+
+
 def integer_sql(df: DataFrame, name: str) -> str:
     """BIGINT or NULL; '12.0' and '1e3' are whole, '1.5' is not.
 

@@ -1,96 +1,97 @@
 """Exact quantiles (linear interpolation) per group, from value counts, without holding a group in one task.
 
-Input is one row per (group, value) with its count. The values are cut into buckets along
-approximate quantiles (a bounded sketch, fixed as literals so that a rerun task sees the same cuts), bucket totals
-find the bucket of each wanted rank, and only those buckets are ranked exactly.
+Input is one row per (group, value) with its count. The range that holds a wanted rank is narrowed until it has few enough
+distinct values for one task: approximate quantiles cut it (a bounded sketch, fixed as literals so that a rerun task sees the same
+cuts), the totals of its parts tell the part of the rank, and so on. Only the last ranges are ranked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.session import literal_rows
+from tamiz.session import literal_rows, written_once
 
-# Buckets per group: BRANCH coarse ones of BRANCH fine ones each, so a lookup tests 2 * BRANCH edges, not all.
-BRANCH = 24
+#: Distinct values of a range that one task ranks, and the parts that a longer range is cut into.
+BUCKET = 1 << 20
+PARTS = 64
+
+_RANGE = "id int, `{group}` string, lo double, hi double"
 
 
 def exact_quantiles(
-    counts: DataFrame, group: str, value: str, count: str, probabilities: Sequence[float], few: bool = False
+    counts: DataFrame, group: str, value: str, count: str, probabilities: Sequence[float], bucket: int = BUCKET
 ) -> DataFrame:
-    """(group, quantiles ARRAY<DOUBLE>) in the order of `probabilities`.
-
-    A caller who knows that the distinct values of each group fit into one task says so by `few`: then Spark's weighted
-    `percentile` does it in one aggregation.
-    """
-    counts = counts.where(F.col(value).isNotNull()).select(
-        F.col(group), F.col(value).cast("double").alias("v"), F.col(count).cast("bigint").alias("n")
-    )
-    if few:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        return counts.groupBy(group).agg(F.percentile("v", wanted, F.col("n")).alias("quantiles"))
-    return _by_buckets(counts, group, probabilities)
-
-
-def _by_buckets(counts: DataFrame, group: str, probabilities: Sequence[float], branch: int = BRANCH) -> DataFrame:
-    spark = counts.sparkSession
-    buckets = branch * branch
-    cuts = [i / buckets for i in range(1, buckets)]
-    sketched = counts.groupBy(group).agg(
-        F.percentile_approx("v", F.array(*[F.lit(c) for c in cuts]), F.lit(buckets * 20)).alias("cuts")
-    )
-    # groups x buckets numbers: bounded by the number of columns profiled, whatever the table size.
-    fixed = []
-    for name, edges in sketched.collect():
-        edges = sorted(set(edges))
-        fine = [edges[i : i + branch] for i in range(0, len(edges), branch)]
-        fixed.append({group: name, "coarse": [part[0] for part in fine], "fine": fine})
-    lookup = F.broadcast(literal_rows(spark, fixed, f"`{group}` string, coarse array<double>, fine array<array<double>>"))
-
-    def edges_upto(edges):
-        return F.size(F.filter(edges, lambda c: c <= F.col("v")))
-
-    placed = (
-        counts.join(lookup, group)
-        .withColumn("part", edges_upto(F.col("coarse")))
-        .withColumn("within", F.when(F.col("part") > 0, edges_upto(F.get("fine", F.col("part") - 1))).otherwise(0))
-        .select(group, "v", "n", (F.col("part") * (branch + 1) + F.col("within")).alias("bucket"))
-    )
-    totals = placed.groupBy(group, "bucket").agg(F.sum("n").alias("n"))
-    below = totals.select(
-        group,
-        "bucket",
-        "n",
-        F.expr(f"sum(n) over (partition by `{group}` order by bucket) - n").alias("below"),
-        F.expr(f"sum(n) over (partition by `{group}`)").alias("total"),
-    )
-    # Each probability needs the values at the ranks around (total - 1) * p.
-    ranks = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"),
-                    F.lit(s).alias("side"),
-                    (F.floor if s == 0 else F.ceil)((F.col("total") - 1) * F.lit(float(p))).cast("bigint").alias("rank"),
-                    ((F.col("total") - 1) * F.lit(float(p))).alias("at"),
-                )
-                for i, p in enumerate(probabilities)
-                for s in (0, 1)
-            ]
-        )
-    )
-    hit = below.withColumn("w", ranks).select(group, "bucket", "below", "n", "w.*")
-    hit = hit.where((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("n"))).drop("n")
-    narrowed = placed.join(F.broadcast(hit.select(group, "bucket").distinct()), [group, "bucket"], "left_semi")
-    ranked = narrowed.withColumn(
-        "upto", F.expr(f"sum(n) over (partition by `{group}`, bucket order by v rows unbounded preceding)")
-    )
-    found = ranked.join(F.broadcast(hit), [group, "bucket"]).where(
-        (F.col("rank") < F.col("below") + F.col("upto")) & (F.col("rank") >= F.col("below") + F.col("upto") - F.col("n"))
+    """(group, quantiles ARRAY<DOUBLE>) in the order of `probabilities`; groups (text) without a value have no row."""
+    stored = written_once(
+        counts.where(F.col(value).isNotNull()).select(
+            F.col(group).cast("string").alias(group), F.col(value).cast("double").alias("v"), F.col(count).cast("bigint").alias("n")
+        ),
+        "numbers",
     )
+    # A row per group, that is per profiled column.
+    sizes = stored.groupBy(group).agg(F.count(F.lit(1)), F.sum("n")).collect()
+    wanted: list[dict[str, Any]] = []
+    for name, distinct, total in sizes:
+        for i, p in enumerate(probabilities):
+            at = (total - 1) * float(p)
+            for side, rank in enumerate((math.floor(at), math.ceil(at))):
+                wanted.append({group: name, "i": i, "side": side, "rank": rank, "at": at, "lo": None, "hi": None, "below": 0, "size": distinct})
+    while any(w["size"] > bucket for w in wanted):
+        _narrow(stored, group, [w for w in wanted if w["size"] > bucket])
+    return _ranked(stored, group, wanted)
+
+
+def _ranges(group: str, wanted: Sequence[dict[str, Any]]) -> list[dict[str, Any]]:
+    """The distinct ranges (lo, hi] of some ranks, numbered; each rank learns the number of its own."""
+    ids: dict[tuple, int] = {}
+    for w in wanted:
+        w["id"] = ids.setdefault((w[group], w["lo"], w["hi"]), len(ids))
+    return [{"id": i, group: g, "lo": lo, "hi": hi} for (g, lo, hi), i in ids.items()]
+
+
+def _inside(stored: DataFrame, group: str, ranges: Sequence[Mapping[str, Any]], *more: str) -> DataFrame:
+    """The values in each range. Ranges are as many as wanted ranks at most."""
+    ddl = ", ".join([_RANGE.format(group=group), *more])
+    within = "(lo IS NULL OR v > lo) AND (hi IS NULL OR v <= hi)"
+    return stored.join(F.broadcast(literal_rows(stored.sparkSession, ranges, ddl)), group).where(within)
+
+
+def _narrow(stored: DataFrame, group: str, wanted: Sequence[dict[str, Any]]) -> None:
+    """Sets each rank's range to the part of it that holds the rank, which has about 1 / PARTS of its values."""
+    ranges = _ranges(group, wanted)
+    cuts = F.array(*[F.lit(i / PARTS) for i in range(1, PARTS)])
+    sketched = _inside(stored, group, ranges).groupBy("id").agg(F.percentile_approx("v", cuts, F.lit(PARTS * 20)).alias("edges"))
+    edges = {r["id"]: sorted(set(r["edges"])) for r in sketched.collect()}
+    cut = [{**r, "edges": edges[r["id"]]} for r in ranges]
+    part = F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("part")
+    totals = _inside(stored, group, cut, "edges array<double>").groupBy("id", part)
+    found: dict[int, dict[int, tuple[int, int]]] = {}
+    for row in totals.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("size")).collect():
+        found.setdefault(row["id"], {})[row["part"]] = (row["n"], row["size"])
+    for w in wanted:
+        own, marks = found[w["id"]], edges[w["id"]]
+        for k in sorted(own):
+            n, size = own[k]
+            if w["rank"] < w["below"] + n:
+                w["lo"] = marks[k - 1] if k else w["lo"]
+                w["hi"] = marks[k] if k < len(marks) else w["hi"]
+                w["size"] = size
+                break
+            w["below"] += n
+
+
+def _ranked(stored: DataFrame, group: str, wanted: Sequence[dict[str, Any]]) -> DataFrame:
+    ranges = _ranges(group, wanted)
+    below = {w["id"]: w["below"] for w in wanted}
+    held = _inside(stored, group, [{**r, "below": below[r["id"]]} for r in ranges], "below bigint")
+    upto = held.withColumn("upto", F.col("below") + F.expr("sum(n) over (partition by id order by v rows unbounded preceding)"))
+    ranks = literal_rows(stored.sparkSession, [{k: w[k] for k in ("id", "i", "side", "rank", "at")} for w in wanted], "id int, i int, side int, rank bigint, at double")
+    found = upto.join(F.broadcast(ranks), "id").where("rank < upto AND rank >= upto - n")
     sides = found.groupBy(group, "i").agg(
         F.max(F.when(F.col("side") == 0, F.col("v"))).alias("lo"),
         F.max(F.when(F.col("side") == 1, F.col("v"))).alias("hi"),

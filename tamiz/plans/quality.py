@@ -15,7 +15,7 @@ from tamiz.plans.config import check_sections
 from tamiz.rules.evaluate import evaluate
 from tamiz.rules.ledger import SECTIONS, ledger_rules
 from tamiz.rules.model import ALL_DIMENSIONS
-from tamiz.rules.reports import quality_summary, run_totals, severity_summary, top_alerts
+from tamiz.rules.reports import failed_sample_rows, quality_summary, run_totals, severity_summary, top_alerts
 from tamiz.rules.survey import survey_rules
 from tamiz.sinks.audit import Stopwatch, append_audit, audit_record
 from tamiz.sinks.tables import write_csv_report, write_parquet_report
@@ -42,7 +42,6 @@ def ledger_quality(
     config: Mapping[str, Any],
     as_of: dt.datetime,
     sample_key: tuple[str, ...] | None = None,
-    rare_duplicates: bool = False,
 ) -> DataFrame:
     """Quality detail of one ledger table from a sectioned rule file."""
     check_sections(config, ("settings",))
@@ -58,7 +57,6 @@ def ledger_quality(
         tokens=_tokens(config),
         sample_key=sample_key,
         max_samples=_samples(config),
-        rare_duplicates=rare_duplicates,
     )
 
 
@@ -99,23 +97,25 @@ def publish_quality(
     finished_at: dt.datetime | None = None,
     dimensions=ALL_DIMENSIONS,
 ) -> QualityRun:
-    """Write detail, summary, severity and alerts, then the audit record.
+    """Write detail, summary, failed samples, severity and alerts, then the audit record.
 
     The detail is written first and read back, so the rules run once however many reports follow.
     """
     spark, watch = detail.sparkSession, Stopwatch(started_at)
     kept = write_parquet_report(detail, f"{tables_root}/quality_detail")
     stored = spark.read.parquet(kept)
-    summary = quality_summary(stored, dimensions)
+    summary, samples = quality_summary(stored, dimensions), failed_sample_rows(stored)
     outputs = {
         "detail_parquet": kept,
         "summary_parquet": write_parquet_report(summary, f"{tables_root}/quality_summary"),
+        "failed_samples_parquet": write_parquet_report(samples, f"{tables_root}/quality_failed_samples"),
+        "failed_samples_csv": write_csv_report(samples, f"{reports_root}/quality_failed_samples"),
         "detail_csv": write_csv_report(stored, f"{reports_root}/quality_detail"),
         "summary_csv": write_csv_report(summary, f"{reports_root}/quality_summary"),
         "severity_csv": write_csv_report(severity_summary(stored), f"{reports_root}/quality_severity"),
         "alerts_csv": write_csv_report(top_alerts(stored), f"{reports_root}/quality_alerts"),
     }
-    totals = run_totals(stored).first().asDict()
+    totals = run_totals(stored).first().asDict() | {"failed_samples_total": samples.count()}
     status = totals.pop("status")
     finished = finished_at or watch.now()
     record = audit_record(

@@ -52,11 +52,13 @@ def run_ledger_silver(
     audit_root: str,
     files: int = 0,
     rare_duplicates: bool = True,
+    regroup: bool = True,
 ) -> SilverReport:
+    """Writes the Silver table and its reports. `regroup` moves the rows to their partitions first, so that a partition has few files."""
     spark, watch = bronze.sparkSession, Stopwatch(processed_at)
     table = ledger_silver(bronze, config, processed_at, rare_duplicates=rare_duplicates)
     partition_by = (config.get("output_schema") or {}).get("partition_by") or ["ano_particion"]
-    overwrite_partitions(table, silver_path, partition_by)
+    overwrite_partitions(table, silver_path, partition_by, regroup=regroup)
     stored = spark.read.parquet(silver_path).select(*table.columns)
     report = ledger_report(bronze, stored, config, files, silver_path)
     return _publish(spark, report, config["source_system"], reports_root, audit_root, watch)

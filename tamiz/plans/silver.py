@@ -1,7 +1,7 @@
 """Bronze -> Silver: filter, clean, impute, cast, derive, sign with lineage, deduplicate, write, report.
 
-The transformation is one lazy plan. Its figures come from two cheap aggregations, one over the Bronze columns and
-one over the written table; they are not collected as a side effect of the write, because counters gathered in a
+The transformation is one lazy plan. Its figures come from one scan of the Bronze table and one of the written table, each
+stored and read by all reports; they are not collected as a side effect of the write, because counters gathered in a
 stage that is rerun after an executor loss may count twice.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tamiz.functions.missing import SILVER_TOKENS
 from tamiz.functions.text import column, name_text, quoted
 from tamiz.operators import clean, dedup, derive
-from tamiz.operators.wide import per_column, side_by_side, stack
+from tamiz.operators.wide import flag_counts, side_by_side, stack
 from tamiz.session import literal_rows
 
 _KEPT = "__kept"
@@ -132,7 +132,7 @@ class SilverReport:
 
 
 def ledger_metrics(bronze: DataFrame, config: Mapping[str, Any], truncate_codes: bool = False) -> DataFrame:
-    """Per Bronze column: rows, rows kept by the filter, NULLs, cast errors among kept rows. One pass."""
+    """Per Bronze column: rows, rows kept by the filter, NULLs, cast errors among kept rows. One scan, stored."""
     master = (config.get("filtering") or {}).get("master_filter")
     kept = F.coalesce(column(master["column"]) == F.lit(master["value"]), F.lit(False)) if master else F.lit(True)
     flags = {f"__null_{i}": column(c).isNull() for i, c in enumerate(bronze.columns)}
@@ -142,18 +142,14 @@ def ledger_metrics(bronze: DataFrame, config: Mapping[str, Any], truncate_codes:
 
     def metrics(name: str) -> dict[str, str]:
         wrong = clean.conversion_error(staged, name, types[name]) if name in types else "false"
-        return {
-            "filtered_rows": f"count_if({_KEPT})",
-            "nulls_before": f"count_if(__null_{position[name]})",
-            "conversion_errors": f"count_if({_KEPT} AND {wrong})",
-        }
+        return {"nulls_before": f"__null_{position[name]}", "conversion_errors": f"{_KEPT} AND {wrong}"}
 
-    return per_column(staged, bronze.columns, metrics)
+    return flag_counts(staged, bronze.columns, metrics, {"filtered_rows": _KEPT})
 
 
 def null_census(df: DataFrame) -> DataFrame:
-    """NULLs of every column: (column_name, n_rows, nulls)."""
-    return per_column(df, df.columns, lambda c: {"nulls": f"count_if({quoted(c)} IS NULL)"})
+    """NULLs of every column: (column_name, n_rows, nulls). One scan, stored."""
+    return flag_counts(df, df.columns, lambda c: {"nulls": f"{quoted(c)} IS NULL"}, {})
 
 
 # How a cast is named in the detail table, and how its result is judged.
@@ -342,7 +338,7 @@ def survey_silver(
 
 
 def survey_metrics(bronze: DataFrame, rules: Mapping[str, Any], defaults: Mapping[str, Any]) -> DataFrame:
-    """Per Bronze column, in one pass: raw NULLs, special values, NULLs before and after the cast, cast errors."""
+    """Per Bronze column: raw NULLs, special values, NULLs before the cast, cast errors. One scan, stored."""
     raw = {f"__null_{i}": column(c).isNull() for i, c in enumerate(bronze.columns)}
     nulled = _survey_nulled(bronze.withColumns(raw), defaults)
     special = {c: v for c, v in _special_values(rules).items() if c in bronze.columns}
@@ -364,14 +360,13 @@ def survey_metrics(bronze: DataFrame, rules: Mapping[str, Any], defaults: Mappin
         wrong = clean.conversion_error(staged, name, types[name][0]) if name in types else "false"
         handled = f"__special_{position[name]}" if name in special else "false"
         return {
-            "kept_rows": f"count_if({_KEPT})",
-            "raw_nulls": f"count_if(__null_{position[name]})",
-            "special_values_handled": f"count_if({handled})",
-            "nulls_before": f"count_if({_KEPT} AND {quoted(name)} IS NULL)",
-            "conversion_errors": f"count_if({_KEPT} AND {wrong})",
+            "raw_nulls": f"__null_{position[name]}",
+            "special_values_handled": handled,
+            "nulls_before": f"{_KEPT} AND {quoted(name)} IS NULL",
+            "conversion_errors": f"{_KEPT} AND {wrong}",
         }
 
-    return per_column(staged, bronze.columns, metrics)
+    return flag_counts(staged, bronze.columns, metrics, {"kept_rows": _KEPT})
 
 
 def survey_detail(bronze: DataFrame, silver: DataFrame, dataset: str, rules: Mapping[str, Any], found: DataFrame) -> DataFrame:

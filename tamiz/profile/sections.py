@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 
 from tamiz.functions.casts import as_integer, as_number, number_sql
 from tamiz.functions.missing import PROFILE_TOKENS, missing_sql
-from tamiz.functions.text import column, literal, quoted, strip
+from tamiz.functions.text import column, literal, quoted
 from tamiz.operators.wide import per_column, stack
-from tamiz.rules.sets import repeated_rows_rare
-from tamiz.session import literal_rows
+from tamiz.rules.sets import repeated_rows
+from tamiz.session import literal_rows, written_once
 
 # Alert limits and the relative error of approximate counts.
 MISSING_ALERT = 0.05
@@ -71,7 +71,7 @@ def duplicate_profile(
 ) -> DataFrame:
     """Exact duplicates (rows beyond the first) and rows in groups that share the business key.
 
-    Exact duplicates are looked for by row hash first, so only rows whose hash repeats are compared as a whole.
+    Exact duplicates are counted by 128 bits of each row; whole rows are not moved.
     """
 
     def groups(keys: Sequence[str]) -> DataFrame:
@@ -89,7 +89,7 @@ def duplicate_profile(
             flag(found > 0).alias("alerta"),
         )
 
-    counted = repeated_rows_rare(df, 0, df.columns)
+    counted = repeated_rows(df)
     exact = counted.select(F.col("evaluated").alias("rows"), F.col("failed").alias("found"))
     keys = [k for k in business_key if k in df.columns]
     if len(keys) < len(business_key) or not keys:
@@ -109,7 +109,7 @@ def duplicate_profile(
     )
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], label: str = "columna", stripped: bool = False) -> DataFrame:
+def value_counts(df: DataFrame, columns: Sequence[str], label: str = "columna") -> DataFrame:
     """(label, value, n) for all columns in one pass: values as text, NULL as a value of its own.
 
     Rows are exploded by position and counted inside each map task, so what is shuffled grows with the distinct values,
@@ -120,27 +120,30 @@ def value_counts(df: DataFrame, columns: Sequence[str], label: str = "columna",
     names = ", ".join(literal(c) for c in columns)
     counted = (
         df.select(F.expr(f"posexplode(array({cells})) AS (pos, value)"))
-        .select("pos", strip(F.col("value")).alias("value") if stripped else "value")
         .groupBy("pos", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return counted.select(F.expr(f"array({names})[pos]").alias(label), "value", "n")
 
 
-def top_values(counts: DataFrame, k: int = 10, label: str = "columna") -> DataFrame:
-    """The k most frequent values per column, ties by value: (label, rank, value, n)."""
+def top_values(counts: DataFrame, k: int = 10, label: str = "columna", *kept: str) -> DataFrame:
+    """The k most frequent values per column, ties by value: (label, rank, value, n, kept...)."""
     ranked = counts.withColumn("rank", F.expr(f"row_number() over (partition by `{label}` order by n desc, value)"))
-    return ranked.where(F.col("rank") <= k).select(label, "rank", "value", "n")
+    return ranked.where(F.col("rank") <= k).select(label, "rank", "value", "n", *kept)
 
 
-def top_values_json(counts: DataFrame, k: int = 10, label: str = "columna") -> DataFrame:
-    """Per column: the top values (NULL is none) as a JSON object in rank order, and their total count."""
-    top = top_values(counts.where("value is not null"), k, label)
+def ranked_json(top: DataFrame, label: str = "columna") -> DataFrame:
+    """Per column: ranked values as a JSON object in rank order, and their total count."""
     ordered = F.sort_array(F.collect_list(F.struct("rank", "value", "n")))
     pairs = F.map_from_entries(F.transform(ordered, lambda t: F.struct(t["value"].alias("key"), t["n"].alias("value"))))
     return top.groupBy(label).agg(F.to_json(pairs).alias("top_values"), F.sum("n").alias("top_n"))
 
 
+def top_values_json(counts: DataFrame, k: int = 10, label: str = "columna") -> DataFrame:
+    """Per column: the top values (NULL is none) as a JSON object in rank order, and their total count."""
+    return ranked_json(top_values(counts.where("value is not null"), k, label), label)
+
+
 def _approx(name: str) -> dict[str, str]:
     return {"cardinalidad_aprox": f"approx_count_distinct({quoted(name)}, {APPROX_ERROR})"}
 
@@ -205,74 +208,83 @@ def cardinality_profile(df: DataFrame, dataset: str, exact: bool = False) -> Dat
     )
 
 
-def _shown(ranges: Column) -> Column:
-    """Ranges as text: up to two values are listed, more are written first..last."""
-
-    def one(r: Column) -> Column:
-        first, last = r["first"].cast("string"), r["last"].cast("string")
-        return F.when(r["first"] == r["last"], first).otherwise(
-            F.concat(first, F.when(r["last"] == r["first"] + 1, ", ").otherwise(".."), last)
-        )
-
-    listed = F.concat(F.lit("["), F.array_join(F.transform(ranges, one), ", "), F.lit("]"))
-    return F.when(F.size(ranges) > 0, listed).otherwise("ninguno")
-
+#: Ranges that a summary's text names; `temporal_gaps` has them all.
+LISTED = 1000
 
-def _gaps(first: Column, last: Column, present: Column) -> Column:
-    """The ranges of whole numbers from first to last that a sorted list of values leaves out, however long they are."""
-    before = F.concat(F.array(first - 1), present)
-    after = F.concat(present, F.array(last + 1))
-    between = F.zip_with(before, after, lambda a, b: F.struct((a + 1).alias("first"), (b - 1).alias("last")))
-    return F.filter(between, lambda r: r["first"] <= r["last"])
 
-
-def temporal_gaps(df: DataFrame, domains: Mapping[str, tuple[int, int, bool]]) -> DataFrame:
-    """(variable, kind, first, last, n): the gaps and the stray values of the time columns as rows, for `temporal_summary`."""
-    found = _time_ranges(df, domains)
-    rows = [found.select("variable", F.lit(kind).alias("kind"), F.inline(F.col(kind + "s"))) for kind in ("gap", "stray")]
-    return stack(rows).withColumn("n", F.col("last") - F.col("first") + 1)
+def _range_texts(ranges: DataFrame) -> DataFrame:
+    """(variable, gaps, strays): the ranges as text, and how many more there are; one or two values are listed, more are first..last."""
+    first, last = F.col("first").cast("string"), F.col("last").cast("string")
+    text = F.when(F.col("n") == 1, first).otherwise(F.concat(first, F.when(F.col("n") == 2, ", ").otherwise(".."), last))
+    totals = ranges.groupBy("variable", "kind").agg(F.count(F.lit(1)).alias("total"))
+    # Spark limits the rank in each task before the rows move.
+    few = ranges.withColumn("rank", F.expr("row_number() over (partition by variable, kind order by first)")).where(F.col("rank") <= LISTED)
+    few = few.groupBy("variable", "kind").agg(F.sort_array(F.collect_list(F.struct("rank", text.alias("text")))).alias("few"))
+    more = F.when(F.col("total") > LISTED, F.format_string(" y %s más", F.format_number(F.col("total") - LISTED, 0))).otherwise("")
+    shown = F.concat(F.lit("["), F.array_join(F.transform("few", lambda r: r["text"]), ", "), F.lit("]"), more)
+    both = totals.join(few, ["variable", "kind"]).withColumn("shown", shown)
+    return both.groupBy("variable").agg(*[F.max(F.when(F.col("kind") == k, F.col("shown"))).alias(k + "s") for k in ("gap", "stray")])
 
 
-def _time_ranges(df: DataFrame, domains: Mapping[str, tuple[int, int, bool]]) -> DataFrame:
-    """Per time column: range, distinct values and NULLs, and its gaps and stray values as lists of ranges."""
+def _time_values(df: DataFrame, domains: Mapping[str, tuple[int, int, bool]]) -> DataFrame:
+    """(variable, v, n, low, high, closed): the distinct whole numbers of the time columns, in a written table."""
     names = [c for c in domains if c in df.columns]
     cells = F.array(*[F.struct(F.lit(c).alias("variable"), as_integer(df, c).alias("v")) for c in names])
     seen = df.select(F.explode(cells).alias("x")).select("x.*").groupBy("variable", "v").agg(F.count(F.lit(1)).alias("n"))
-    lows = F.create_map(*[F.lit(x) for c in names for x in (c, domains[c][0])])
-    highs = F.create_map(*[F.lit(x) for c in names for x in (c, domains[c][1])])
-    closed = F.create_map(*[F.lit(x) for c in names for x in (c, domains[c][2])])
-    stats = seen.groupBy("variable").agg(
-        F.min("v").alias("lo"),
-        F.max("v").alias("hi"),
-        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulos"),
-        F.sort_array(F.collect_list("v")).alias("values"),  # distinct values of a time column
+    parts = [(name, F.create_map(*[F.lit(x) for c in names for x in (c, domains[c][i])])) for i, name in enumerate(("low", "high", "closed"))]
+    kinds = {"low": "bigint", "high": "bigint", "closed": "boolean"}
+    return written_once(seen.select("*", *[m[F.col("variable")].cast(kinds[k]).alias(k) for k, m in parts]), "time-values")
+
+
+def _ranges(seen: DataFrame) -> DataFrame:
+    """(variable, kind, first, last, n) of gaps and strays, from `_time_values`.
+
+    Gaps lie between neighbours within range partitions; the value before a partition's first one comes from one edge row
+    per partition, so no task holds more than a partition. A closed domain also has gaps at its ends.
+    """
+    inside = seen.where("v IS NOT NULL AND (NOT closed OR v BETWEEN low AND high)").select("variable", "v")
+    ranged = inside.repartitionByRange("variable", "v").withColumn("part", F.spark_partition_id())
+    ranged = written_once(ranged, "time-ranges")
+    edges = ranged.groupBy("part").agg(F.max(F.struct("variable", "v")).alias("edge"))
+    edges = edges.withColumn("edge", F.expr("lag(edge) over (order by part)"))  # a row per partition
+    before = F.expr("lag(struct(variable, v)) over (partition by part order by variable, v)")
+    near = ranged.withColumn("before", before).join(edges, "part").withColumn("before", F.coalesce("before", "edge"))
+    near = near.where("before.variable = variable AND v > before.v + 1")
+    between = near.selectExpr("variable", "before.v + 1 AS first", "v - 1 AS last")
+    ends = seen.where("closed").groupBy("variable", "low", "high").agg(
+        *[F.expr(f"{f}(CASE WHEN v BETWEEN low AND high THEN v END) AS {name}") for f, name in (("min", "least"), ("max", "greatest"))]
     )
-    low, high = lows[F.col("variable")].cast("bigint"), highs[F.col("variable")].cast("bigint")
-    first = F.when(closed[F.col("variable")], low).otherwise(F.col("lo"))
-    last = F.when(closed[F.col("variable")], high).otherwise(F.col("hi"))
-    inside = F.filter("values", lambda v: v.between(first, last))
-    single = lambda v: F.struct(v.alias("first"), v.alias("last"))
-    none = F.array().cast("array<struct<first:bigint,last:bigint>>")
-    return stats.select(
+    ends = ends.selectExpr(
         "variable",
-        "lo",
-        "hi",
-        F.size("values").cast("bigint").alias("distintos"),
-        "nulos",
-        F.coalesce(_gaps(first, last, inside), none).alias("gaps"),
-        F.transform(F.filter("values", lambda v: (v < low) | (v > high)), single).alias("strays"),
-    )
+        "inline(CASE WHEN least IS NULL THEN array(named_struct('first', low, 'last', high))"
+        " ELSE array(named_struct('first', low, 'last', least - 1), named_struct('first', greatest + 1, 'last', high)) END)",
+    ).where("first <= last")
+    strays = seen.where("v < low OR v > high").selectExpr("variable", "'stray' AS kind", "v AS first", "v AS last")
+    gaps = between.unionByName(ends).withColumn("kind", F.lit("gap"))
+    return gaps.unionByName(strays).select("variable", "kind", "first", "last", (F.col("last") - F.col("first") + 1).alias("n"))
+
+
+def temporal_gaps(df: DataFrame, domains: Mapping[str, tuple[int, int, bool]]) -> DataFrame:
+    """(variable, kind, first, last, n): the gaps and the stray values of the time columns as rows, for `temporal_summary`."""
+    return _ranges(_time_values(df, domains))
 
 
 def temporal_summary(df: DataFrame, dataset: str, domains: Mapping[str, tuple[int, int, bool]]) -> DataFrame:
     """Range, gaps and out-of-domain values of whole-number time columns.
 
     `domains`: column -> (lowest, highest expected value, closed). A closed domain (months) must be full; an open one
-    (years) must have no gap between its own minimum and maximum. Gaps are written as ranges, so none is left out however
-    wide a garbled column's range is.
+    (years) must have no gap between its own minimum and maximum. Gaps are written as ranges, however wide a garbled
+    column's range is; the text names the first LISTED of them and counts the rest, `temporal_gaps` gives all as rows.
     """
-    found = _time_ranges(df, domains)
-    wrong = (F.size("gaps") > 0) | (F.size("strays") > 0) | (F.col("nulos") > 0)
+    seen = _time_values(df, domains)
+    stats = seen.groupBy("variable").agg(
+        F.min("v").alias("lo"),
+        F.max("v").alias("hi"),
+        F.count("v").alias("distintos"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulos"),
+    )
+    found = stats.join(_range_texts(_ranges(seen)), "variable", "left")
+    wrong = F.col("gaps").isNotNull() | F.col("strays").isNotNull() | (F.col("nulos") > 0)
     return found.select(
         _tag(dataset),
         "variable",
@@ -280,8 +292,8 @@ def temporal_summary(df: DataFrame, dataset: str, domains: Mapping[str, tuple[in
         F.coalesce("hi", F.lit(0)).cast("bigint").alias("valor_maximo"),
         F.col("distintos").alias("valores_distintos"),
         "nulos",
-        _shown(F.col("gaps")).alias("gaps_en_rango"),
-        _shown(F.col("strays")).alias("valores_fuera_rango_esperado"),
+        F.coalesce("gaps", F.lit("ninguno")).alias("gaps_en_rango"),
+        F.coalesce("strays", F.lit("ninguno")).alias("valores_fuera_rango_esperado"),
         flag(wrong).alias("alerta"),
     )
 

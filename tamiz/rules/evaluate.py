@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +24,13 @@ from tamiz.rules.model import (
     Rule,
 )
 from tamiz.rules.row import EVERY_ROW, ROW_RULES, RowCheck, RowContext, bind_filters
-from tamiz.rules.sets import SET_RULES, evaluate_sets
-from tamiz.session import literal_rows
+from tamiz.rules.sets import SAMPLED_RULES, SET_RULES, UNIQUE_RULES, evaluate_sets, failed_set_rows, key_counts
+from tamiz.session import literal_rows, written_once
 
 # Counters per pass. Whole-stage code generation gives up on operators with more than 100 fields.
 COUNTERS_PER_PASS = 90
 SAMPLES_PER_RULE = 10
+FULL_ROWS = "duplicate_full_rows"
 
 _META = (
     "dimension string, rule_id string, rule_name string, column_name string, rule_type string, "
@@ -112,14 +114,25 @@ def failed_samples(
     rows = df.select(F.expr(f"explode(array({hits}))").alias("pos"), *[column(c) for c in wanted]).where("pos IS NOT NULL")
     keys = ", ".join(quoted(k) for k in order_by)
     ranked = rows.withColumn("rank", F.expr(f"row_number() over (partition by pos order by {keys})"))
-    shown = ", ".join(
-        f"{pos}, array({', '.join(literal(c) for c in rule.sample_columns if c in df.columns)})"
-        for pos, rule, _ in checks
-        if any(c in df.columns for c in rule.sample_columns)
-    )
-    values = ", ".join(f"{literal(c)}, coalesce(CAST({quoted(c)} AS STRING), '')" for c in wanted)
+    return _shown(ranked.where(F.col("rank") <= limit), [(pos, rule) for pos, rule, _ in checks])
+
+
+def _shown(ranked: DataFrame, rules: Sequence[tuple[int, Rule]], otherwise: Sequence[str] = ()) -> DataFrame:
+    """(pos, rank, values MAP) from (pos, rank, columns); a rule without sample columns shows those of `otherwise`."""
+    named = {pos: [c for c in rule.sample_columns or otherwise if c in ranked.columns] for pos, rule in rules}
+    shown = ", ".join(f"{pos}, array({', '.join(map(literal, names))})" for pos, names in named.items() if names)
+    held = sorted({c for names in named.values() for c in names})
+    values = ", ".join(f"{literal(c)}, coalesce(CAST({quoted(c)} AS STRING), '')" for c in held)
     picked = f"map_from_entries(transform(map({shown})[pos], c -> struct(c, map({values})[c])))"
-    return ranked.where(F.col("rank") <= limit).select("pos", "rank", F.expr(picked).alias("values"))
+    return ranked.select("pos", "rank", F.expr(picked).alias("values"))
+
+
+def failed_set_samples(
+    df: DataFrame, rules: Sequence[tuple[int, Rule]], order_by: Sequence[str], limit: int = SAMPLES_PER_RULE, **options
+) -> DataFrame:
+    """The same for set rules (see `failed_set_rows`); full-row duplicates show the columns of `order_by`."""
+    ranked = failed_set_rows(df, rules, order_by, limit, **options)
+    return _shown(ranked, [(p, r) for p, r in rules if r.rule_type in SAMPLED_RULES], order_by)
 
 
 def compile_rules(
@@ -141,34 +154,38 @@ def evaluate(
     catalog: Mapping[str, DataFrame] | None = None,
     sample_key: Sequence[str] | None = None,
     max_samples: int = SAMPLES_PER_RULE,
-    rare_duplicates: bool = False,
 ) -> DataFrame:
     """The quality detail of one table: one row per rule, in the fixed result columns.
 
-    Failing rows are sampled only when `sample_key` names the columns that order them. `rare_duplicates` lets the
-    uniqueness rules look for repeated hashes first (a job of its own) instead of shuffling whole rows.
+    Failing rows are sampled only when `sample_key` names the columns that order them; the keys of the uniqueness rules are
+    then counted once, in a job of its own, for their figures and their samples.
     """
     if not rules:
         return _empty(df)
     catalog = dict(catalog or {})
     row, sets, absent = _texts(df, rules, catalog)
+    sampled = bool(sample_key) and max_samples > 0
+    set_shown = [(p, r) for p, r in sets if r.rule_type in SAMPLED_RULES and (r.sample_columns or r.rule_type == FULL_ROWS)] if sampled else []
+    unique = [(p, r) for p, r in sets if r.rule_type in UNIQUE_RULES]
+    counts = written_once(key_counts(df, unique), "keys") if unique and any(r.rule_type in UNIQUE_RULES for _, r in set_shown) else None
     bound, checks = compile_rules(df, row, as_of, tokens)
     parts = [_one_pass(bound, chunk) for chunk in _passes(checks)] if checks else []
-    parts += evaluate_sets(df, sets, tokens, catalog, rare_duplicates)
+    parts += evaluate_sets(df, sets, tokens, catalog, counts)
     if absent:
         missing_rows = [{"pos": pos, "evaluated": 1, "failed": 1, "facts": []} for pos, _ in absent]
         parts.append(
             literal_rows(df.sparkSession, missing_rows, "pos int, evaluated bigint, failed bigint, facts array<string>")
         )
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.unionByName(part)
+    tallies = reduce(DataFrame.unionByName, parts)
     absent_at = {pos for pos, _ in absent}
-    result = _assemble(counts, rules, absent_at, dataset)
-    shown = [c for c in checks if c[1].sample_columns]
-    if sample_key and shown and max_samples > 0:
-        samples = failed_samples(bound, shown, sample_key, max_samples)
-        as_json = samples.groupBy("pos").agg(
+    result = _assemble(tallies, rules, absent_at, dataset)
+    shown = [c for c in checks if c[1].sample_columns] if sampled else []
+    samples = [failed_samples(bound, shown, sample_key, max_samples)] if shown else []
+    if set_shown:
+        repeated = None if counts is None else counts.where("n > 1")
+        samples.append(failed_set_samples(df, set_shown, sample_key, max_samples, tokens=tokens, catalog=catalog, counts=repeated))
+    if samples:
+        as_json = reduce(DataFrame.unionByName, samples).groupBy("pos").agg(
             F.sort_array(F.collect_list(F.struct("rank", F.to_json("values").alias("row")))).alias("s")
         )
         as_json = as_json.select(

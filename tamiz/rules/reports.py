@@ -97,3 +97,14 @@ def run_totals(detail: DataFrame) -> DataFrame:
         F.count_if(_observed() & F.col("severity").isin(*SEVERE)).alias("severe_observations"),
     )
     return totals.withColumn("status", F.when(F.col("severe_observations") > 0, "warning").otherwise("success"))
+
+
+SAMPLE_COLUMNS = ("dataset", "rule_id", "dimension", "column_name", "sample_rank", "expected_value", "row")
+
+
+def failed_sample_rows(detail: DataFrame) -> DataFrame:
+    """The sampled failing rows of a detail table, one per row: SAMPLE_COLUMNS, `row` as a JSON object of the shown columns."""
+    rows = F.from_json("sample_failed_rows", "array<map<string,string>>")
+    each = detail.where(_observed()).select("*", F.posexplode(rows).alias("at", "shown"))
+    each = each.withColumns({"sample_rank": F.col("at") + 1, "row": F.to_json("shown")})
+    return each.select(*SAMPLE_COLUMNS)

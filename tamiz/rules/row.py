@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.functions.casts import as_number, number_sql, text_number_sql, timestamp_sql
+from tamiz.functions.casts import as_number, bound_sql, compare_sql, exact_sql, number_sql, text_number_sql, timestamp_sql
 from tamiz.functions.missing import RULE_TOKENS, missing_sql, present_sql, text_sql
 from tamiz.functions.text import column, key_sql, literal, quoted
 from tamiz.rules.model import Rule
@@ -72,10 +72,6 @@ def _unlike(name: str, value: object) -> str:
     return f"(CAST({quoted(name)} AS STRING) <> {literal(value)})"
 
 
-def _number_literal(value: object) -> str:
-    return f"{float(value)!r}D"
-
-
 @_row_rule("not_null", "required_not_empty", "observed_empty", "null_threshold")
 def _no_value(ctx: RowContext, rule: Rule) -> RowCheck:
     return RowCheck(EVERY_ROW, ctx.missing(rule.columns[0]))
@@ -96,10 +92,10 @@ def _in_catalogue(ctx: RowContext, rule: Rule) -> RowCheck:
     return _on_present(ctx, rule.columns, f"{ctx.text(rule.columns[0], rule.param('strip', True))} NOT IN ({values})")
 
 
-def _numeric(ctx: RowContext, rule: Rule, *bounds: str) -> RowCheck:
+def _numeric(ctx: RowContext, rule: Rule, *bounds: str, beyond: Iterable[str] = ()) -> RowCheck:
     """Fails when no number, beyond a bound, or (by `integer`) not whole."""
     x = ctx.number(rule.columns[0])
-    parts = [f"{x} IS NULL", *(f"{x} {b}" for b in bounds)]
+    parts = [f"{x} IS NULL", *(f"{x} {b}" for b in bounds), *beyond]
     if rule.param("integer", False):
         parts.append(f"{x} % 1 <> 0")
     return _on_present(ctx, rule.columns, " OR ".join(parts))
@@ -112,8 +108,9 @@ def _is_number(ctx: RowContext, rule: Rule) -> RowCheck:
 
 @_row_rule("accepted_range")
 def _in_range(ctx: RowContext, rule: Rule) -> RowCheck:
+    x = exact_sql(ctx.df, rule.columns[0])
     ends = (("<", rule.param("min_value")), (">", rule.param("max_value")))
-    return _numeric(ctx, rule, *(f"{op} {_number_literal(v)}" for op, v in ends if v is not None))
+    return _numeric(ctx, rule, beyond=[compare_sql(x, op, bound_sql(v, x[1])) for op, v in ends if v is not None])
 
 
 @_row_rule("non_negative")
@@ -206,7 +203,7 @@ def _compare(ctx: RowContext, rule: Rule) -> RowCheck:
     if violated is None:
         raise ValueError(f"{rule.rule_id}: unknown operator {rule.param('operator')!r}")
     a, b = ctx.number(left), ctx.number(right)
-    bad = f"{a} {violated} {b}"
+    bad = compare_sql(exact_sql(ctx.df, left), violated, exact_sql(ctx.df, right))
     if rule.param("non_numeric", "pass") == "fail":
         bad = f"{a} IS NULL OR {b} IS NULL OR {bad}"
     prefilter = rule.param("filter_condition")
@@ -219,7 +216,8 @@ def _compare(ctx: RowContext, rule: Rule) -> RowCheck:
 @_row_rule("less_or_equal")
 def _at_most(ctx: RowContext, rule: Rule) -> RowCheck:
     a, b = ctx.number(rule.columns[0]), ctx.number(rule.columns[1])
-    return _on_present(ctx, rule.columns, f"{a} IS NULL OR {b} IS NULL OR {a} > {b}")
+    above = compare_sql(exact_sql(ctx.df, rule.columns[0]), ">", exact_sql(ctx.df, rule.columns[1]))
+    return _on_present(ctx, rule.columns, f"{a} IS NULL OR {b} IS NULL OR {above}")
 
 
 @_row_rule("parent_not_zero_if_child_nonzero")

@@ -7,20 +7,24 @@ the shuffle as one row per map task, and reports (pos, evaluated, failed, facts)
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.casts import integer_sql
-from tamiz.functions.missing import RULE_TOKENS, present, present_sql, text
-from tamiz.functions.text import column, key_text, quoted
-from tamiz.operators.dedup import repeated_hashes
-from tamiz.operators.wide import side_by_side
+from tamiz.functions.missing import RULE_TOKENS, present, present_sql, text_sql
+from tamiz.functions.text import column, key_sql, quoted
 from tamiz.rules.model import Rule
 from tamiz.session import literal_rows
 
 Numbered = Sequence[tuple[int, Rule]]
 
+#: Short years that an observation names; `coverage_short_years` has them all.
+LISTED = 1000
+UNIQUE_RULES = ("duplicate_full_rows", "unique_key")
+REFERENCE_RULES = ("referential_integrity", "temporal_catalog_exists")
+
 
 def _zero(total: Column) -> Column:
     return F.coalesce(total, F.lit(0)).cast("bigint")
@@ -33,22 +37,42 @@ def _outcome(df: DataFrame, pos: int, evaluated: Column, failed: Column, *facts:
     )
 
 
-def repeated_rows(df: DataFrame, pos: int, keys: Sequence[str]) -> DataFrame:
-    """Rows beyond the first of each key; NULLs are equal to each other. Full-row duplicates: all columns as key."""
-    groups = df.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    totals = groups.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("extra"))
-    return _outcome(totals, pos, F.col("rows"), F.col("extra"), F.format_number(_zero(F.col("extra")), 0))
+def _key_hashes(df: DataFrame, names: Sequence[str]) -> tuple[str, str]:
+    """Two 64-bit hashes of a key as it is; NULLs are equal to each other and to nothing else."""
+    nullable = {f.name: f.nullable for f in df.schema.fields}
+    parts = [x for n in names for x in ([quoted(n), f"{quoted(n)} IS NULL"] if nullable[n] else [quoted(n)])]
+    return tuple(f"xxhash64({seed}{', '.join(parts)})" for seed in ("", "17, "))
+
+
+def _unique_cells(df: DataFrame, rules: Numbered) -> list[str]:
+    """What one row contributes to each uniqueness rule: (pos, a, b), its key by 128 bits. Full rows: all columns as key."""
+    hashed = [(pos, _key_hashes(df, rule.columns if rule.rule_type == "unique_key" else df.columns)) for pos, rule in rules]
+    return [f"named_struct('pos', {pos}, 'a', {a}, 'b', {b})" for pos, (a, b) in hashed]
+
+
+def _exploded(df: DataFrame, cells: Sequence[str], *kept: Column) -> DataFrame:
+    return df.select(F.expr(f"explode(array({', '.join(cells)}))").alias("c"), *kept).where("c IS NOT NULL").select("c.*", "*").drop("c")
+
+
+def key_counts(df: DataFrame, rules: Numbered) -> DataFrame:
+    """(pos, a, b, n): how often each key of each uniqueness rule occurs. One scan; 20 bytes per row and rule are shuffled."""
+    return _exploded(df, _unique_cells(df, rules)).groupBy("pos", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def uniqueness(df: DataFrame, rules: Numbered, counts: DataFrame | None = None) -> DataFrame:
+    """Rows beyond the first of each key, for all uniqueness rules of a table together."""
+    counts = key_counts(df, rules) if counts is None else counts
+    totals = counts.groupBy("pos").agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("extra"))
+    declared = literal_rows(df.sparkSession, [{"pos": pos} for pos, _ in rules], "pos int")
+    extra = _zero(F.col("extra"))
+    return declared.join(totals, "pos", "left").select(
+        "pos", _zero(F.col("rows")).alias("evaluated"), extra.alias("failed"), F.array(F.format_number(extra, 0)).alias("facts")
+    )
 
 
-def repeated_rows_rare(df: DataFrame, pos: int, keys: Sequence[str]) -> DataFrame:
-    """Same figures as `repeated_rows`, for wide keys that seldom repeat: a first job shuffles 8-byte hashes, and only
-    rows whose hash repeats are compared by their key."""
-    hashed = F.xxhash64(*[column(k) for k in keys])
-    repeated = repeated_hashes(df, hashed)
-    contested = df.withColumn("__h", hashed).join(repeated, "__h", "left_semi").drop("__h")
-    extra = contested.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    totals = side_by_side([df.agg(F.count(F.lit(1)).alias("rows")), extra.agg(F.sum(F.col("n") - 1).alias("extra"))])
-    return _outcome(totals, pos, F.col("rows"), F.col("extra"), F.format_number(_zero(F.col("extra")), 0))
+def repeated_rows(df: DataFrame) -> DataFrame:
+    """evaluated (rows) and failed (rows beyond the first of equal ones) of a whole table."""
+    return uniqueness(df, [(0, Rule("duplicate_full_rows", ()))])
 
 
 CELL_RULES = ("code_name_consistency", "cardinality_check", "cardinality_upper_bound", "temporal_coverage_check")
@@ -110,20 +134,29 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
     many = F.col("pairs") > 1
     short = _is_short(rules)
     shown = F.format_string("{'ano': %s, 'n_meses': %s}", F.col("a"), F.col("members").cast("string"))
-    found = groups.withColumn("short", short).groupBy("pos").agg(
+    # The first short years of each rule by text; Spark limits them in each task before they move.
+    groups = groups.withColumns({"short": short, "shown": F.coalesce(shown, F.lit(""))})
+    few = groups.where("short").withColumn("rank", F.expr("row_number() over (partition by pos order by shown)"))
+    few = few.where(F.col("rank") <= LISTED)
+    few = few.groupBy("pos").agg(F.sort_array(F.collect_list("shown")).alias("which"))
+    found = groups.groupBy("pos").agg(
         F.sum("n").alias("rows"),
         F.count(F.lit(1)).alias("groups"),
         F.sum(F.when(many, F.col("n"))).alias("ambiguous_rows"),
         F.count_if(many).alias("ambiguous"),
         F.count_if("short").alias("short"),
-        F.sort_array(F.collect_list(F.when(F.col("short"), shown))).alias("which"),  # years, all of them
     )
+    if any(r.rule_type == "temporal_coverage_check" for _, r in rules):
+        found = found.join(few, "pos", "left")
+    else:
+        found = found.withColumn("which", F.lit(None).cast("array<string>"))
     limit = _per_rule(rules, lambda r: int(r.param("limit", 0)))
     over = F.greatest(_zero(F.col("groups")) - limit, F.lit(0))
     verdict = F.when(over > 0, _per_rule(rules, lambda r: r.param("verdicts", ("", ""))[0])).otherwise(
         _per_rule(rules, lambda r: r.param("verdicts", ("", ""))[1])
     )
-    listed = F.concat(F.lit("["), F.array_join("which", ", "), F.lit("]"))
+    more = F.when(F.col("short") > LISTED, F.format_string(" y %s más", F.format_number(F.col("short") - LISTED, 0))).otherwise("")
+    listed = F.concat(F.lit("["), F.array_join("which", ", "), F.lit("]"), more)
     pairs, coverage = kind == "code_name_consistency", kind == "temporal_coverage_check"
     groups_seen = _zero(F.col("groups"))
     # Rules that met no evaluable row have no group; they are kept with zero counts.
@@ -140,44 +173,108 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
     )
 
 
-def _key_columns(df: DataFrame, names: Sequence[str], as_key: bool) -> list[Column]:
-    return [
-        (key_text(column(n)) if as_key else text(df, n)).alias(f"k{i}") for i, n in enumerate(names)
-    ]
+def _key_texts(df: DataFrame, names: Sequence[str], as_key: bool) -> list[str]:
+    return [key_sql(quoted(n)) if as_key else text_sql(df, n) for n in names]
 
 
-def reference(
-    child: DataFrame,
-    parent: DataFrame,
-    pos: int,
-    columns: Sequence[str],
-    parent_columns: Sequence[str],
-    tokens: Sequence[str] = RULE_TOKENS,
-    as_key: bool = False,
-) -> DataFrame:
-    """Child rows whose key tuple is not among the parent's. Counting the child by key first keeps hot keys small."""
+def _unmatched(child: DataFrame, parent: DataFrame, rule: Rule, tokens: Sequence[str]) -> DataFrame:
+    """Key tuples of the child (k0, k1, ...) with their rows n, and whether the parent knows them."""
+    as_key = rule.rule_type == "temporal_catalog_exists"
+    theirs = rule.param("reference_columns")
+    keys = [f"k{i}" for i in range(len(rule.columns))]
 
-    keys = [f"k{i}" for i in range(len(columns))]
-    counted = (
-        child.where(present(child, *columns, tokens=tokens))
-        .select(*_key_columns(child, columns, as_key))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    known = (
-        parent.where(present(parent, *parent_columns, tokens=tokens))
-        .select(*_key_columns(parent, parent_columns, as_key))
-        .distinct()
-        .withColumn("known", F.lit(True))
-    )
-    matched = counted.join(known, keys, "left")
-    totals = matched.agg(
+    def texts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+        named = [f"{x} AS {k}" for x, k in zip(_key_texts(df, names, as_key), keys, strict=True)]
+        return df.where(present(df, *names, tokens=tokens)).selectExpr(*named)
+
+    counted = texts(child, rule.columns).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    known = texts(parent, theirs).distinct().withColumn("known", F.lit(True))
+    return counted.join(known, keys, "left")
+
+
+def reference(child: DataFrame, parent: DataFrame, pos: int, rule: Rule, tokens: Sequence[str] = RULE_TOKENS) -> DataFrame:
+    """Child rows whose key tuple is not among the parent's. Counting the child by key first keeps hot keys small."""
+    totals = _unmatched(child, parent, rule, tokens).agg(
         F.sum("n").alias("evaluated"), F.sum(F.when(F.col("known").isNull(), F.col("n"))).alias("failed")
     )
     return _outcome(totals, pos, F.col("evaluated"), F.col("failed"))
 
 
-SET_RULES = (*CELL_RULES, "duplicate_full_rows", "unique_key", "referential_integrity", "temporal_catalog_exists")
+def _hashed(texts: Sequence[str]) -> str:
+    """Fields a and b of a cell: 128 bits of some non-null texts."""
+    return f"'a', xxhash64({', '.join(texts)}), 'b', xxhash64(17, {', '.join(texts)})"
+
+
+def contested(
+    df: DataFrame, rules: Numbered, tokens: Sequence[str], catalog: Mapping[str, DataFrame], counts: DataFrame | None
+) -> tuple[list[str], list[DataFrame]]:
+    """For each rule a cell per row, (pos, a, b), and tables of the cells that failing rows have.
+
+    Uniqueness: keys that repeat. References: keys the parent lacks. code_name_consistency: codes with several names.
+    `counts` are the repeated keys of the uniqueness rules.
+    """
+    unique = [(p, r) for p, r in rules if r.rule_type in UNIQUE_RULES]
+    pairs = [(p, r) for p, r in rules if r.rule_type == "code_name_consistency"]
+    cells, found = _unique_cells(df, unique), [counts.select("pos", "a", "b")] if unique else []
+    for pos, rule in rules:
+        if rule.rule_type in REFERENCE_RULES:
+            texts = _key_texts(df, rule.columns, rule.rule_type == "temporal_catalog_exists")
+            cells.append(f"CASE WHEN {present_sql(df, *rule.columns, tokens=tokens)} THEN named_struct('pos', {pos}, {_hashed(texts)}) END")
+            lost = _unmatched(df, catalog[rule.param("reference_dataset")], rule, tokens).where("known IS NULL")
+            own = _hashed([f"k{i}" for i in range(len(rule.columns))])
+            found.append(lost.selectExpr(f"inline(array(named_struct('pos', {pos}, {own})))"))
+    for pos, rule in pairs:
+        code = f"CAST({quoted(rule.columns[0])} AS STRING)"
+        cells.append(f"CASE WHEN {present_sql(df, *rule.columns, tokens=tokens)} THEN named_struct('pos', {pos}, {_hashed([code])}) END")
+    if pairs:
+        several = _cell_groups(df, pairs, tokens).where("pairs > 1")
+        found.append(several.selectExpr("pos", "xxhash64(a) AS a", "xxhash64(17, a) AS b"))
+    return cells, found
+
+
+#: Set rules whose failures are rows; coverage and cardinality rules fail by years and values.
+SAMPLED_RULES = (*UNIQUE_RULES, *REFERENCE_RULES, "code_name_consistency")
+
+
+def failed_set_rows(
+    df: DataFrame,
+    rules: Numbered,
+    order_by: Sequence[str],
+    limit: int,
+    tokens: Sequence[str] = RULE_TOKENS,
+    catalog: Mapping[str, DataFrame] | None = None,
+    counts: DataFrame | None = None,
+) -> DataFrame:
+    """Up to `limit` failing rows per set rule, the first by `order_by`: (pos, rank, and the columns the rules show).
+
+    A row fails a uniqueness rule if an earlier row has its key. One scan for all rules: a row's cells are met with the
+    contested ones, and only those rows are ranked; the ranks are limited in each task before they move, by key for
+    uniqueness rules, so a key with a third of the rows costs `limit` rows per task. Ties are broken by a hash of the row.
+    """
+    rules = [(p, r) for p, r in rules if r.rule_type in SAMPLED_RULES]
+    unique = [p for p, r in rules if r.rule_type in UNIQUE_RULES]
+    if unique and counts is None:
+        counts = key_counts(df, [(p, r) for p, r in rules if p in unique]).where("n > 1")
+    cells, found = contested(df, rules, tokens, catalog or {}, counts)
+    wanted = sorted({c for _, r in rules for c in r.sample_columns if c in df.columns} | set(order_by))
+    tie = F.xxhash64(*[column(c) for c in df.columns])
+    rows = _exploded(df, cells, *[column(c) for c in wanted], tie.alias("__tie"))
+    failing = reduce(DataFrame.unionByName, found).select("pos", F.col("a").alias("__a"), F.col("b").alias("__b"))
+    met = (rows["pos"] == failing["pos"]) & (rows["a"] == failing["__a"]) & (rows["b"] == failing["__b"])
+    hits = rows.join(failing, met, "left_semi").withColumn("__key", F.struct("pos", "a", "b"))
+    order = ", ".join([*(quoted(c) for c in order_by), "__tie"])
+    ranked = [hits]
+    if unique:
+        of_unique = F.col("pos").isin(unique)
+        later = hits.where(of_unique).withColumn("__nth", F.expr(f"row_number() over (partition by __key order by {order})"))
+        ranked = [later.where(F.col("__nth") <= limit + 1).where("__nth > 1").drop("__nth")]
+        if len(unique) < len(rules):
+            ranked.append(hits.where(~of_unique))
+    first = reduce(DataFrame.unionByName, ranked).withColumn("rank", F.expr(f"row_number() over (partition by pos order by {order})"))
+    return first.where(F.col("rank") <= limit).select("pos", "rank", *[column(c) for c in wanted])
+
+
+SET_RULES = (*CELL_RULES, *UNIQUE_RULES, *REFERENCE_RULES)
 
 
 def evaluate_sets(
@@ -185,30 +282,20 @@ def evaluate_sets(
     rules: Numbered,
     tokens: Sequence[str] = RULE_TOKENS,
     catalog: Mapping[str, DataFrame] | None = None,
-    rare_duplicates: bool = False,
+    counts: DataFrame | None = None,
 ) -> list[DataFrame]:
-    """Result frames of all set rules of one table. `catalog` resolves the tables that reference rules name."""
+    """Result frames of all set rules of one table. `catalog` resolves the tables that reference rules name.
+
+    `counts`: the keys of the uniqueness rules, if the caller has counted them already.
+    """
     parts: list[DataFrame] = []
-    repeated = repeated_rows_rare if rare_duplicates else repeated_rows
     cells = [(p, r) for p, r in rules if r.rule_type in CELL_RULES]
+    unique = [(p, r) for p, r in rules if r.rule_type in UNIQUE_RULES]
     if cells:
         parts.append(cell_rules(df, cells, tokens))
+    if unique:
+        parts.append(uniqueness(df, unique, counts))
     for pos, rule in rules:
-        if rule.rule_type == "duplicate_full_rows":
-            parts.append(repeated(df, pos, df.columns))
-        elif rule.rule_type == "unique_key":
-            parts.append(repeated(df, pos, rule.columns))
-        elif rule.rule_type in ("referential_integrity", "temporal_catalog_exists"):
-            parent = (catalog or {})[rule.param("reference_dataset")]
-            parts.append(
-                reference(
-                    df,
-                    parent,
-                    pos,
-                    rule.columns,
-                    rule.param("reference_columns"),
-                    tokens,
-                    as_key=rule.rule_type == "temporal_catalog_exists",
-                )
-            )
+        if rule.rule_type in REFERENCE_RULES:
+            parts.append(reference(df, (catalog or {})[rule.param("reference_dataset")], pos, rule, tokens))
     return parts

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamiz.functions.text import column
+
 BOM = "\ufeff"
 DATE_PARTS = ("year", "month", "day")
 
@@ -30,17 +32,14 @@ def overwrite_flat(df: DataFrame, root: str, source: str, dataset: str) -> str:
     return path
 
 
-def overwrite_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], whole: bool = True, files_per_partition: int | None = None
-) -> str:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], whole: bool = True, regroup: bool = False) -> str:
     """Partitioned overwrite, idempotent. `whole` replaces the table; otherwise only the partitions that get rows.
 
-    Tasks write one file per partition value they hold. `files_per_partition` regroups the rows first, spreading each
-    value over that many tasks, for inputs whose splits mix many values.
+    Tasks write one file per partition value they hold. `regroup` shuffles the rows by value first, for inputs whose splits mix
+    many values: adaptive execution cuts a large value over several tasks and lets small ones share one.
     """
-    if files_per_partition:
-        slot = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-        df = df.withColumn("__slot", slot).repartition(*partition_by, "__slot").drop("__slot")
+    if regroup:
+        df = df.hint("rebalance", *[column(c) for c in partition_by])
     writer = df.write.mode("overwrite").partitionBy(*partition_by)
     writer.option("partitionOverwriteMode", "static" if whole else "dynamic").parquet(path)
     return path

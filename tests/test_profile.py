@@ -1,9 +1,12 @@
+import json
+
 import numpy as np
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from tamiz.operators.quantiles import _by_buckets, exact_quantiles
+from tamiz.operators import quantiles
+from tamiz.operators.quantiles import exact_quantiles
 from tamiz.profile import columns as rich
 from tamiz.profile import sections as s
 from tamiz.rules import evaluate, rule
@@ -54,6 +57,26 @@ def test_a_garbled_year_gives_one_range(spark):
     assert found["valores_fuera_rango_esperado"] == "[20240101]" and found["nulos"] == 1
 
 
+def test_gaps_over_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        values = sorted({(i * i) % 997 * 3 for i in range(400)} | {5000})
+        df = spark.createDataFrame([(v, v % 7 + 1, None) for v in values], "a long, b long, c long")
+        found = s.temporal_gaps(df, {"a": (0, 4000, False), "b": (0, 9, True), "c": (1, 2, True), "ghost": (1, 2, True)})
+        got = {(r.variable, r.kind, r.first, r.last, r.n) for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    between = {("a", "gap", x + 1, y - 1, y - x - 1) for x, y in zip(values, values[1:]) if y > x + 1}
+    assert got == between | {("a", "stray", 5000, 5000, 1), ("b", "gap", 0, 0, 1), ("b", "gap", 8, 9, 2), ("c", "gap", 1, 2, 2)}
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_listed_gaps_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(s, "LISTED", 2)
+    df = spark.createDataFrame([(v,) for v in (1, 3, 5, 7, 9)], "a long")
+    assert rows(s.temporal_summary(df, "t", {"a": (1, 8, False)}))[0]["gaps_en_rango"] == "[2, 4] y 2 más"
+
+
 def test_evolution_and_signs(messy):
     years = {r["ano"]: r for r in rows(s.yearly_evolution(messy, "t", "y", "mo", "m"))}
     assert years[2022]["registros"] == 2 and years[2022]["sum_monto"] == -1.0 and years[2022]["meses_con_datos"] == 2
@@ -82,15 +105,27 @@ def test_quantiles_match_numpy_with_a_hot_value(spark, seed):
     counts = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
     probabilities = (0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0)
     want = np.quantile(x, probabilities)
-    for found in (
-        exact_quantiles(counts, "g", "v", "n", probabilities),
-        _by_buckets(counts, "g", probabilities, branch=4),
-        _by_buckets(counts, "g", probabilities),
-    ):
-        got = {r["g"]: r["quantiles"] for r in found.collect()}
+    for bucket in (1 << 20, 300, 2):
+        got = {r["g"]: r["quantiles"] for r in exact_quantiles(counts, "g", "v", "n", probabilities, bucket=bucket).collect()}
         assert np.allclose(got["g"], want) and np.allclose(got["one"], [4.0] * 7)
 
 
+def test_quantile_ranges_are_bounded(spark, monkeypatch):
+    """What the last step ranks never has more distinct values than a task is meant to rank."""
+    seen = []
+    ranked = quantiles._ranked
+    monkeypatch.setattr(quantiles, "_ranked", lambda stored, group, wanted: seen.append([w["size"] for w in wanted]) or ranked(stored, group, wanted))
+    counts = spark.range(50_000).selectExpr("'g' AS g", "CAST(id * id AS DOUBLE) AS v", "1L + id % 3 AS n")
+    got = exact_quantiles(counts, "g", "v", "n", (0.25, 0.999), bucket=500).first()["quantiles"]
+    values = np.repeat(np.arange(50_000.0) ** 2, 1 + np.arange(50_000) % 3)
+    assert np.allclose(got, np.quantile(values, (0.25, 0.999))) and max(seen[0]) <= 500
+
+
+def test_a_group_without_values_has_no_quantiles(spark):
+    counts = spark.createDataFrame([("g", None, 3)], "g string, v double, n long")
+    assert exact_quantiles(counts, "g", "v", "n", (0.5,)).collect() == []
+
+
 def test_rich_profile_of_one_column(spark):
     df = spark.createDataFrame([(v,) for v in ["10", "20", " 20 ", "30", "1000", "", None, "n"]], "x string")
     one = rows(rich.column_profile(df, "t"))[0]
@@ -100,6 +135,16 @@ def test_rich_profile_of_one_column(spark):
     assert one["sample_values"] == '["10","1000","20","30","n"]' and one["top_values"].startswith('{"20":2,')
 
 
+def test_long_texts_are_shown_whole(spark):
+    long = ["x" * 100, "x" * 100 + "y", "x" * 100]
+    df = spark.createDataFrame([(v, "1" + "0" * 70) for v in [*long, "a"]], "t string, number string")
+    found = {r["column_name"]: r for r in rows(rich.column_profile(df, "t"))}
+    text, number = found["t"], found["number"]
+    assert json.loads(text["top_values"]) == {"x" * 100: 2, "a": 1, "x" * 100 + "y": 1} and text["unique_count"] == 3
+    assert sorted(json.loads(text["sample_values"])) == sorted({*long, "a"}) and text["max_length"] == 101
+    assert number["numeric_valid_count"] == 4 and number["q1"] == 1e70 and json.loads(number["sample_values"]) == ["1" + "0" * 70]
+
+
 @pytest.mark.parametrize(
     ("values", "expected"),
     [

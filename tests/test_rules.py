@@ -1,10 +1,12 @@
 import datetime as dt
 import json
+import operator
+from decimal import Decimal
 
 import pytest
 from helpers import rows
 
-from tamiz.rules import evaluate, rule
+from tamiz.rules import evaluate, failed_set_samples, rule
 from tamiz.rules.evaluate import COUNTERS_PER_PASS, _passes, compile_rules
 from tamiz.rules.ledger import ledger_rules
 from tamiz.rules.reports import dimension_cards, quality_summary, run_totals, severity_summary, top_alerts
@@ -98,11 +100,76 @@ def test_more_than_500_ambiguous_codes_all_count(spark):
     assert list(outcome(df, rule("code_name_consistency", "code", "name")).values()) == [(2000, 2000)]
 
 
-def test_rare_duplicates_give_the_same_figures(spark):
+def test_repeated_keys_with_nulls(spark):
     df = spark.range(900).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 500 END AS k", "CAST(id % 2 AS STRING) AS v")
-    declared = [rule("duplicate_full_rows"), rule("unique_key", "k")]
-    want = outcome(df, *declared)
-    assert outcome(df, *declared, rare_duplicates=True) == want
+    found = outcome(df, rule("duplicate_full_rows"), rule("unique_key", "k"))
+    seen = [(r.k, r.v) for r in df.collect()]
+    assert list(found.values()) == [(900, 900 - len(set(seen))), (900, 900 - len({k for k, _ in seen}))]
+    # A NULL in one column is not a NULL in the other.
+    swapped = spark.createDataFrame([("a", None), (None, "a"), (None, "a"), (None, None)], "k string, v string")
+    assert list(outcome(swapped, rule("duplicate_full_rows")).values()) == [(4, 1)]
+
+
+def test_set_rules_are_sampled(spark):
+    data = [(i, i % 7, "x" if i % 2 else "y", str(i % 3)) for i in range(40)] + [(99, None, "x", "9"), (98, 8, " ", "9")]
+    df = spark.createDataFrame(data, "id int, k int, name string, ref string")
+    parent = spark.createDataFrame([("0",), ("1",)], "code string")
+    declared = [
+        rule("unique_key", "k", rule_id="key"),
+        rule("duplicate_full_rows", rule_id="rows"),
+        rule("code_name_consistency", "k", "name", rule_id="pair"),
+        rule("referential_integrity", "ref", reference_dataset="p", reference_columns=("code",), rule_id="ref"),
+        rule("cardinality_upper_bound", "k", limit=2, verdicts=("", ""), rule_id="many"),
+        rule("not_null", "k", rule_id="null"),
+    ]
+    found = rows(evaluate(df, declared, dataset="t", as_of=AS_OF, sample_key=["id"], max_samples=3, catalog={"p": parent}), "rule_id")
+    samples = {r["rule_id"]: json.loads(r["sample_failed_rows"]) for r in found}
+    assert samples["key"] == [{"k": "0"}, {"k": "1"}, {"k": "2"}]
+    assert samples["rows"] == samples["many"] == []
+    assert samples["pair"] == [{"k": "0", "name": "y"}, {"k": "1", "name": "x"}, {"k": "2", "name": "y"}]
+    assert samples["ref"] == [{"ref": "2"}, {"ref": "2"}, {"ref": "2"}]
+    assert samples["null"] == [{"k": ""}]
+    twice = evaluate(df.unionByName(df), declared[1:2], dataset="t", as_of=AS_OF, sample_key=["id"], max_samples=2).first()
+    assert (twice.failed_rows, json.loads(twice.sample_failed_rows)) == (42, [{"id": "0"}, {"id": "1"}])
+
+
+def test_a_hot_key_is_sampled_within_each_task(spark):
+    df = spark.range(30000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k")
+    rules = [(0, rule("unique_key", "k"))]
+    picked = failed_set_samples(df, rules, ["id"], 4)
+    assert "WindowGroupLimit" in picked._jdf.queryExecution().executedPlan().toString()
+    assert [r.rank for r in sorted(picked.collect())] == [1, 2, 3, 4] and {r.values["k"] for r in picked.collect()} == {"-1"}
+
+
+def test_short_years_beyond_the_listed_ones_are_counted(spark, monkeypatch):
+    monkeypatch.setattr("tamiz.rules.sets.LISTED", 2)
+    df = spark.range(2000, 2005).selectExpr("CAST(id AS STRING) AS y", "'1' AS m")
+    declared = rule("temporal_coverage_check", "y", "m", expected_months=2, observation="{0}")
+    assert evaluate(df, [declared], dataset="t", as_of=AS_OF).first().observation == (
+        "[{'ano': 2000, 'n_meses': 1}, {'ano': 2001, 'n_meses': 1}] y 3 más"
+    )
+
+
+def test_whole_numbers_are_compared_exactly(spark):
+    big = 2**53
+    data = [(big + 1, big, float(big), Decimal(big), "x"), (big, big + 1, float(big), Decimal(big + 1), "y"), (3, 3, 3.5, Decimal("3.5"), "z")]
+    df = spark.createDataFrame(data, "a long, b long, d double, e decimal(20,1), s string")
+    ops = {op: rule("column_comparison", "a", "b", operator=op, rule_id=op) for op in ("<=", ">=", "<", ">", "==", "!=")}
+    assert {k: v[1] for k, v in outcome(df, *ops.values()).items()} == {"<=": 1, ">=": 1, "<": 2, ">": 2, "==": 2, "!=": 1}
+    for other in ("d", "e"):
+        mixed = [rule("column_comparison", "a", other, operator=op, rule_id=op) for op in ops]
+        flipped = [rule("column_comparison", other, "a", operator=op, rule_id=op) for op in ops]
+        for declared, swap in ((mixed, False), (flipped, True)):
+            pairs = [(r[0], r[2 if other == "d" else 3]) for r in data]
+            pairs = [(Decimal(y), x) if swap else (x, Decimal(y)) for x, y in pairs]
+            does = {"<=": operator.le, ">=": operator.ge, "<": operator.lt, ">": operator.gt, "==": operator.eq, "!=": operator.ne}
+            want = {op: sum(not does[op](x, y) for x, y in pairs) for op in ops}
+            assert {k: v[1] for k, v in outcome(df, *declared).items()} == want
+    nan = spark.createDataFrame([(1, float("inf")), (1, -1e300), (1, 0.5)], "a long, d double")
+    assert list(outcome(nan, rule("less_or_equal", "a", "d")).values()) == [(3, 2)]
+    ranged = [rule("accepted_range", c, min_value=0, max_value=big, rule_id=c) for c in "abde"]
+    assert {k: v[1] for k, v in outcome(df, *ranged).items()} == {"a": 1, "b": 1, "d": 0, "e": 1}
+    assert list(outcome(df, rule("accepted_range", "a", min_value=3.5)).values()) == [(3, 1)]
 
 
 def test_coverage_lists_short_years(spark):

@@ -121,7 +121,7 @@ def test_partition_overwrites(spark, tmp_path):
     overwrite_partitions(df, path, ["p"])
     overwrite_partitions(df.where("p = 'b'").withColumn("v", F.lit(9)), path, ["p"], whole=False)
     assert {(r["v"], r["p"]) for r in spark.read.parquet(path).collect()} == {(1, "a"), (9, "b")}
-    overwrite_partitions(df.where("p = 'b'"), path, ["p"], files_per_partition=3)
+    overwrite_partitions(df.where("p = 'b'"), path, ["p"], regroup=True)
     assert {(r["v"], r["p"]) for r in spark.read.parquet(path).collect()} == {(2, "b")}
 
 

@@ -349,7 +349,7 @@ def _partitioned(spark, sf):
     for _ in range(2):
         sinks.overwrite_partitions(orders, path, ["o_orderstatus"])
     again = orders.where("o_orderstatus = 'F'").withColumn("factor", F.lit(2))
-    sinks.overwrite_partitions(again, path, ["o_orderstatus"], whole=False, files_per_partition=2)
+    sinks.overwrite_partitions(again, path, ["o_orderstatus"], whole=False, regroup=True)
     stored = spark.read.parquet(path)
     return stored.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("factor").alias("twice"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tamiz.operators.quantiles import _by_buckets, exact_quantiles
+from tamiz.operators.quantiles import exact_quantiles
 from tamiz.plans.profiling import profile_all
 from tamiz.profile import columns as rich
 from tamiz.profile import sections as s
@@ -306,27 +306,16 @@ def _metadata(spark, sf):
 
 # --- rich profile ---------------------------------------------------------------------------------------------------
 
-_RICH = ["customer", "status", "amount", "order_date", "order_year", "order_month", "sector", "priority"]
-_KINDS = {
-    "customer": "integer",
-    "status": "text",
-    "amount": "text",
-    "order_date": "text",
-    "order_year": "text",
-    "order_month": "text",
-    "sector": "text",
-    "priority": "text",
-}
-
-
 def _rich_sql(c: str) -> str:
-    t, here = f"trim({c})", f"NOT {missing(c)}"
-    x = f"TRY_CAST(trim({c}) AS DOUBLE)"
-    d = f"TRY_STRPTIME(trim({c}), '%d/%m/%Y')"
-    top = _top("SELECT * FROM v", c, here, 10, t)
+    text = f"CAST({c} AS VARCHAR)"
+    t, here = f"trim({text})", f"NOT {missing(text)}"
+    x = f"TRY_CAST({t} AS DOUBLE)"
+    d = f"TRY_STRPTIME({t}, '%d/%m/%Y')"
+    top = _top("SELECT * FROM v", text, here, 10, t)
     few = f"SELECT DISTINCT {t} AS value FROM v WHERE {here} ORDER BY 1 LIMIT 5"
+    kind = "bigint" if c == "o_orderkey" else "string"
     return f"""
-SELECT 'orders' AS dataset, '{c}' AS column_name, 'string' AS parquet_type, n AS row_count, nulls AS null_count,
+SELECT 'orders' AS dataset, '{c}' AS column_name, '{kind}' AS parquet_type, {_KIND_SQL} AS inferred_type, n AS row_count, nulls AS null_count,
   round(nulls::DOUBLE / n * 100, 4) AS null_pct, blank AS empty_string_count, round(blank::DOUBLE / n * 100, 4) AS empty_string_pct,
   n - h AS missing_like_count, round((n - h)::DOUBLE / n * 100, 4) AS missing_like_pct, h AS non_missing_count, u AS unique_count,
   round(u::DOUBLE / n * 100, 4) AS unique_pct,
@@ -335,8 +324,8 @@ SELECT 'orders' AS dataset, '{c}' AS column_name, 'string' AS parquet_type, n AS
   lo_len AS min_length, hi_len AS max_length, round(sum_len::DOUBLE / h, 4) AS avg_length, k AS numeric_valid_count,
   round(k::DOUBLE / h * 100, 4) AS numeric_valid_pct, lo AS numeric_min, hi AS numeric_max, round(total / nullif(k, 0), 4) AS numeric_mean,
   round(q1, 4) AS q1, round(q3, 4) AS q3, round(q3 - q1, 4) AS iqr, o AS outlier_count_iqr, round(o::DOUBLE / nullif(k, 0) * 100, 4) AS outlier_pct_iqr,
-  CASE WHEN nd > 0 THEN round(nd::DOUBLE / h * 100, 4) ELSE 0.0 END AS datetime_valid_pct,
-  CASE WHEN nd > 0 THEN '%d/%m/%Y' ELSE '' END AS datetime_detected_format,
+  CASE WHEN d > 0 THEN round(d::DOUBLE / h * 100, 4) ELSE 0.0 END AS datetime_valid_pct,
+  CASE WHEN d > 0 THEN '%d/%m/%Y' ELSE '' END AS datetime_detected_format,
   coalesce(strftime(dlo, '%Y-%m-%d %H:%M:%S'), '') AS datetime_min, coalesce(strftime(dhi, '%Y-%m-%d %H:%M:%S'), '') AS datetime_max,
   coalesce('[' || (SELECT string_agg('"' || value || '"', ',' ORDER BY value) FROM ({few}) f) || ']', '[]') AS sample_values,
   coalesce('{{' || (SELECT string_agg('"' || value || '":' || n, ',' ORDER BY rank) FROM ({top}) t) || '}}', '{{}}') AS top_values
@@ -346,13 +335,21 @@ FROM (SELECT count(*) AS n, count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(
   sum(length({t})) FILTER (WHERE {here}) AS sum_len, count({x}) FILTER (WHERE {here}) AS k, min({x}) FILTER (WHERE {here}) AS lo,
   max({x}) FILTER (WHERE {here}) AS hi, sum({x}) FILTER (WHERE {here}) AS total,
   quantile_cont({x}, 0.25) FILTER (WHERE {here}) AS q1, quantile_cont({x}, 0.75) FILTER (WHERE {here}) AS q3,
-  count({d}) FILTER (WHERE {here}) AS nd, min({d}) FILTER (WHERE {here}) AS dlo, max({d}) FILTER (WHERE {here}) AS dhi FROM v) a,
+  coalesce(bool_and(upper({t}) IN ('0', '1', 'S', 'N', 'SI', 'NO', 'TRUE', 'FALSE', 'A', 'I')) FILTER (WHERE {here}), false) AS ind,
+  coalesce(bool_and({x} % 1 = 0) FILTER (WHERE {here} AND {x} IS NOT NULL), false) AS whole, 0 AS e,
+  count({d}) FILTER (WHERE {here}) AS d, min({d}) FILTER (WHERE {here}) AS dlo, max({d}) FILTER (WHERE {here}) AS dhi FROM v) a,
 LATERAL (SELECT CASE WHEN a.q3 - a.q1 > 0 THEN count(*) FILTER (WHERE {here} AND ({x} < a.q1 - 1.5 * (a.q3 - a.q1) OR {x} > a.q3 + 1.5 * (a.q3 - a.q1))) END AS o FROM v) b"""
 
 
-@query("profile_columns_rich", f"WITH v AS ({DUCK_ORDERS}) " + " UNION ALL ".join(_rich_sql(c) for c in _RICH))
+#: The class of a column of h present values, k of them numbers, d dates, e e-mails and u of them different.
+_KIND_SQL = """CASE WHEN h = 0 THEN 'empty_or_null' WHEN ind THEN 'categorical_indicator'
+WHEN k::DOUBLE / h >= 0.98 THEN CASE WHEN whole THEN 'integer' ELSE 'decimal' END WHEN d::DOUBLE / h >= 0.90 THEN 'datetime_or_date'
+WHEN e::DOUBLE / h >= 0.80 THEN 'email' WHEN u::DOUBLE / h <= 0.10 THEN 'categorical_text' ELSE 'text' END"""
+
+
+@query("profile_columns_rich", f"WITH v AS ({DUCK_ORDERS}) " + " UNION ALL ".join(_rich_sql(c) for c in _ORDER_COLUMNS))
 def _columns_rich(spark, sf):
-    return rich.column_profile(raw_orders(spark, sf), "orders", _RICH).drop("inferred_type")
+    return rich.column_profile(raw_orders(spark, sf), "orders")
 
 
 _INFER = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
@@ -364,9 +361,7 @@ def _infer_sql(view: str, c: str) -> str:
     dates = ", ".join(
         f"count(TRY_STRPTIME({t}, '{f}')) FILTER (WHERE {here})" for f in ("%d/%m/%Y %H:%M:%S", "%d/%m/%Y", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%Y/%m/%d")
     )
-    return f"""SELECT '{c}' AS column_name, CASE WHEN h = 0 THEN 'empty_or_null' WHEN ind THEN 'categorical_indicator'
-WHEN k::DOUBLE / h >= 0.98 THEN CASE WHEN whole THEN 'integer' ELSE 'decimal' END WHEN d::DOUBLE / h >= 0.90 THEN 'datetime_or_date'
-WHEN e::DOUBLE / h >= 0.80 THEN 'email' WHEN u::DOUBLE / h <= 0.10 THEN 'categorical_text' ELSE 'text' END AS inferred_type, n AS row_count
+    return f"""SELECT '{c}' AS column_name, {_KIND_SQL} AS inferred_type, n AS row_count
 FROM (SELECT count(*) AS n, count(*) FILTER (WHERE {here}) AS h, count(DISTINCT {t}) FILTER (WHERE {here}) AS u,
  coalesce(bool_and(upper({t}) IN ('0', '1', 'S', 'N', 'SI', 'NO', 'TRUE', 'FALSE', 'A', 'I')) FILTER (WHERE {here}), false) AS ind,
  count({x}) FILTER (WHERE {here}) AS k, coalesce(bool_and({x} % 1 = 0) FILTER (WHERE {here} AND {x} IS NOT NULL), false) AS whole,
@@ -417,12 +412,12 @@ def _best_date(spark, sf):
     ),
 )
 def _sample_values(spark, sf):
-    return rich._samples(rich.text_counts(table(spark, sf, "part"), _CATS), rich.RULE_TOKENS, rich.SAMPLES)
+    return rich.sample_values(table(spark, sf, "part"), _CATS)
 
 
 @query(
     "profile_summary",
-    f"""WITH p AS ({ORACLES['profile_columns_rich']}), v AS (SELECT {', '.join(_RICH)} FROM ({DUCK_ORDERS}) r)
+    f"""WITH p AS ({ORACLES['profile_columns_rich']}), v AS ({DUCK_ORDERS})
 SELECT 'orders' AS dataset, max(row_count) AS row_count, count(*) AS column_count,
  (SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM v)) FROM v) AS duplicate_rows,
  round((SELECT (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM v)))::DOUBLE / count(*) * 100 FROM v), 4) AS duplicate_rows_pct,
@@ -433,8 +428,8 @@ SELECT 'orders' AS dataset, max(row_count) AS row_count, count(*) AS column_coun
  'OK' AS profile_status FROM p""",
 )
 def _summary(spark, sf):
-    cut = raw_orders(spark, sf).select(*_RICH)
-    return rich.profile_summary(rich.column_profile(cut, "orders"), cut, "orders")
+    raw = raw_orders(spark, sf)
+    return rich.profile_summary(rich.column_profile(raw, "orders"), raw, "orders")
 
 
 @query(
@@ -471,8 +466,8 @@ def _exact_quantiles(spark, sf):
 
 @query("exact_quantiles_bucketed", ORACLES["exact_quantiles"])
 def _exact_quantiles_bucketed(spark, sf):
-    counts = _quantile_counts(spark, sf).select("column_name", F.col("x").alias("v"), "n")
-    return _quartiles(_by_buckets(counts, "column_name", (0.25, 0.5, 0.75)))
+    """Ranges are narrowed until a task ranks a hundred values at most."""
+    return _quartiles(exact_quantiles(_quantile_counts(spark, sf), "column_name", "x", "n", (0.25, 0.5, 0.75), bucket=100))
 
 
 @query(
