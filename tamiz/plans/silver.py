@@ -275,6 +275,7 @@ REASON_SECTIONS = (
     "special_values_to_null",
 )
 PERIOD_KEY = "anio_periodo_key"
+NOT_KEPT = "No incluida en keep_columns."
 
 
 def _names(section: Any) -> list[str]:
@@ -310,15 +311,36 @@ def _survey_nulled(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
     return clean.tokens_to_null(df, policy.get("missing_tokens", SILVER_TOKENS))
 
 
+def dropped_columns(columns: Sequence[str], rules: Mapping[str, Any]) -> list[str]:
+    """The table's columns that `drop_columns` names or that `keep_columns`, unless it is 'all', leaves out."""
+    kept, named = rules.get("keep_columns") or "all", _names(rules.get("drop_columns"))
+    if kept != "all" and isinstance(kept, str):
+        raise ValueError(f"keep_columns is 'all' or a list, not {kept!r}")
+    return [c for c in columns if c in named or (kept != "all" and c not in kept)]
+
+
+def survey_imputations(rules: Mapping[str, Any], defaults: Mapping[str, Any]) -> dict[str, Any]:
+    """column -> constant if the row policy asks to impute; the constants are declared as in a ledger file."""
+    if not (defaults.get("row_policy") or {}).get("impute_missing_values", False):
+        return {}
+    constants = ledger_imputations(rules)
+    if not constants:
+        raise ValueError("impute_missing_values needs an imputations section with columns and impute_value")
+    return constants
+
+
 def _survey_staged(df: DataFrame, rules: Mapping[str, Any], defaults: Mapping[str, Any]) -> DataFrame:
     staged = clean.special_values_to_null(_survey_nulled(df, defaults), _special_values(rules))
-    return clean.drop_columns(staged, _names(rules.get("drop_columns")))
+    return clean.drop_columns(staged, dropped_columns(df.columns, rules))
 
 
 def survey_silver(
     bronze: DataFrame, dataset: str, rules: Mapping[str, Any], config: Mapping[str, Any], processed_at: dt.datetime
 ) -> DataFrame:
-    """One survey table: tokens and special values to NULL, drop, cast, period key, lineage. No shuffle."""
+    """One survey table: tokens and special values to NULL, drop, impute, cast, period key, lineage. No shuffle.
+
+    Rows that hold nothing are dropped before constants are put in.
+    """
     defaults = config.get("silver_defaults") or {}
     policy = defaults.get("row_policy") or {}
     df = _survey_staged(bronze, rules, defaults)
@@ -326,6 +348,7 @@ def survey_silver(
         df = clean.drop_empty_rows(df)
     if policy.get("drop_duplicate_rows", False):
         df = dedup.drop_repeated_rows(df)
+    df = clean.impute(df, survey_imputations(rules, defaults))
     df = clean.cast_columns(df, {c: t for c, (t, _) in survey_types(rules).items()})
     key = (rules.get("derived_columns") or {}).get(PERIOD_KEY) or {}
     if key.get("enabled", False):
@@ -344,7 +367,7 @@ def survey_metrics(bronze: DataFrame, rules: Mapping[str, Any], defaults: Mappin
     special = {c: v for c, v in _special_values(rules).items() if c in bronze.columns}
     hits = {f"__special_{bronze.columns.index(c)}": clean.special_value(nulled, c, v) for c, v in special.items()}
     staged = clean.special_values_to_null(nulled.withColumns(hits) if hits else nulled, special)
-    dropped = set(_names(rules.get("drop_columns")))
+    dropped = set(dropped_columns(bronze.columns, rules))
     held = [column(c).isNotNull() for c in bronze.columns if c not in dropped]
     if (defaults.get("row_policy") or {}).get("drop_empty_rows", True) and held:
         keep = held[0]
@@ -369,14 +392,19 @@ def survey_metrics(bronze: DataFrame, rules: Mapping[str, Any], defaults: Mappin
     return flag_counts(staged, bronze.columns, metrics, {"kept_rows": _KEPT})
 
 
-def survey_detail(bronze: DataFrame, silver: DataFrame, dataset: str, rules: Mapping[str, Any], found: DataFrame) -> DataFrame:
-    """One row per column: kept, dropped, or configured but absent."""
-    types, dropped = survey_types(rules), set(_names(rules.get("drop_columns")))
+def survey_detail(
+    bronze: DataFrame, silver: DataFrame, dataset: str, rules: Mapping[str, Any], found: DataFrame, defaults: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """One row per column: kept, dropped, or configured but absent. `defaults` tell whether NULLs are imputed."""
+    types, dropped = survey_types(rules), set(dropped_columns(bronze.columns, rules))
+    filled, named = survey_imputations(rules, defaults or {}), _names(rules.get("drop_columns"))
     silver_types = {f.name: f.dataType.simpleString() for f in silver.schema}
     known = []
     for f in bronze.schema:
         gone = f.name in dropped
         why = _reason(rules.get("drop_columns"), f.name) if gone else reasons(rules, f.name)
+        if gone and f.name not in named:
+            why = NOT_KEPT
         how = "drop_column" if gone else types.get(f.name, ("", "kept_without_explicit_rule"))[1]
         known.append(
             {
@@ -389,6 +417,7 @@ def survey_detail(bronze: DataFrame, silver: DataFrame, dataset: str, rules: Map
         )
     ddl = "column_name string, bronze_type string, silver_type string, transformation string, reason string"
     was_dropped = F.col("transformation") == "drop_column"
+    imputed = F.col("column_name").isin(list(filled))
     errors = F.when(was_dropped, F.lit(0)).otherwise(F.col("conversion_errors"))
     kept = literal_rows(bronze.sparkSession, known, ddl).join(found, "column_name").select(
         F.lit(dataset).alias("dataset"),
@@ -397,7 +426,7 @@ def survey_detail(bronze: DataFrame, silver: DataFrame, dataset: str, rules: Map
         "silver_type",
         "transformation",
         F.when(was_dropped, F.col("raw_nulls")).otherwise(F.col("nulls_before")).alias("nulls_before"),
-        F.when(~was_dropped, F.col("nulls_before") + F.col("conversion_errors")).alias("nulls_after"),
+        F.when(~was_dropped, F.when(imputed, 0).otherwise(F.col("nulls_before")) + F.col("conversion_errors")).alias("nulls_after"),
         errors.cast("bigint").alias("conversion_errors"),
         F.when(was_dropped, F.lit(0)).otherwise(F.col("special_values_handled")).cast("bigint").alias("special_values_handled"),
         F.when(was_dropped, "DROPPED").when(errors == 0, "OK").otherwise("CONVERSION_ERRORS").alias("status"),
@@ -432,9 +461,9 @@ def survey_report(
     """Reports of one survey table; `silver` is the written table, read back."""
     defaults = config.get("silver_defaults") or {}
     found = survey_metrics(bronze, rules, defaults)
-    detail = survey_detail(bronze, silver, dataset, rules, found)
+    detail = survey_detail(bronze, silver, dataset, rules, found, defaults)
     census = null_census(silver)
-    dropped = [c for c in _names(rules.get("drop_columns")) if c in bronze.columns]
+    dropped = dropped_columns(bronze.columns, rules)
     absent = clean.absent_columns(bronze, survey_types(rules))
     notes = [f"Columna configurada no encontrada en Bronze: {c}" for c in absent]
     before = found.agg(F.max("n_rows").alias("bronze_rows"), F.sum("raw_nulls").alias("nulls_before"))

@@ -42,6 +42,7 @@ def _described_files(spark: SparkSession, *paths: str) -> list[tuple[str, str, b
 
 def _scan(spark: SparkSession, files: Sequence[str], sep: str, encoding: str, multi_line: bool) -> tuple[DataFrame, list[str]]:
     options = {"header": "true", "sep": sep, "encoding": encoding, "mode": "PERMISSIVE", "multiLine": str(multi_line).lower()}
+    options["escape"] = '"'  # a quote inside a quoted field is doubled
     names = [n.replace("\ufeff", "") for n in spark.read.options(**options).csv(files[0]).columns]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW]])
     return spark.read.options(**options).schema(schema).csv(list(files)), names

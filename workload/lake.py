@@ -7,23 +7,29 @@ with the library's sources. Every row of the table is landed.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.contract import Contract, compare_dictionary, contract_check, contract_summary, dictionary_summary, physical_columns
+from tamiz.contract import Contract, ContractError, compare_dictionary, contract_check, contract_summary, dictionary_summary, physical_columns
 from tamiz.contract.dictionary import first_dictionary
 from tamiz.functions.text import column
+from tamiz.plans.config import load_rules
 from tamiz.plans.ingest import Landed, ingest
 from tamiz.plans.profiling import LedgerColumns, run_ledger_profile
 from tamiz.plans.quality import ledger_quality, publish_quality
 from tamiz.plans.run_silver import run_ledger_silver, run_survey_silver
-from tamiz.plans.schema_validation import validate_contract, validate_dictionaries
+from tamiz.plans.schema_validation import audit_validation, validate_contract, validate_dictionaries
 from tamiz.session import scratch
 from tamiz.sinks import tables as sinks
 from tamiz.sinks.audit import run_metadata
 from tamiz.sources import pages, parquet, text
+from workload.profiles import ORACLES as PROFILE_ORACLES
 from workload.quality import LEDGER_CONFIG
+from workload.quality import ORACLES as QUALITY_ORACLES
 from workload.silver import LEDGER, RUN_AT, SURVEY, SURVEY_ORDERS
 from workload.tables import AS_OF, DUCK_LINES, DUCK_ORDERS, raw_lines, raw_orders, table
 
@@ -435,24 +441,87 @@ def _dictionary(spark: SparkSession, df: DataFrame) -> str:
     return path
 
 
+#: The inferred type of each column of the order view.
+_TYPES_SQL = f"SELECT column_name, inferred_type FROM ({PROFILE_ORACLES['profile_columns_rich']}) r"
+
+
 @query(
     "dictionary_compare",
-    """WITH p(c, t) AS (VALUES ('STATUS', 'text'), ('SECTOR', 'text'), ('CUSTOMER', 'integer'))
-SELECT 'orders' AS dataset, CASE WHEN c = 'SECTOR' THEN NULL ELSE c END AS official_column, c AS downloaded_column,
- CASE WHEN c = 'SECTOR' THEN 'EXTRA_EN_PARQUET' ELSE 'OK' END AS comparison_status, k AS inferred_type FROM p
-JOIN (SELECT 'CUSTOMER' AS n, 'integer' AS k UNION ALL SELECT 'STATUS', 'categorical_text' UNION ALL
-  SELECT 'SECTOR', 'integer' FROM (SELECT count(*) FROM orders) x) i ON i.n = p.c
+    f"""WITH t AS ({_TYPES_SQL})
+SELECT 'orders' AS dataset, CASE WHEN column_name <> 'sector' THEN upper(column_name) END AS official_column, upper(column_name) AS downloaded_column,
+ CASE WHEN column_name = 'sector' THEN 'EXTRA_EN_PARQUET' ELSE 'OK' END AS comparison_status, inferred_type FROM t
 UNION ALL SELECT 'orders', 'INVENTED', NULL, 'FALTA_EN_PARQUET', NULL""",
 )
 def _compare(spark, sf):
+    """Every column of the table and every entry of its dictionary."""
     raw = raw_orders(spark, sf)
-    physical = physical_columns(raw, "orders")
     book = text.read_dictionary(spark, _dictionary(spark, raw), "orders")
-    out = compare_dictionary(book, physical)
-    key = F.coalesce("official_column", "downloaded_column")
-    return out.where(key.isin("STATUS", "SECTOR", "CUSTOMER", "INVENTED")).select(
-        "dataset", "official_column", "downloaded_column", "comparison_status", "inferred_type"
+    out = compare_dictionary(book, physical_columns(raw, "orders"))
+    return out.select("dataset", "official_column", "downloaded_column", "comparison_status", "inferred_type")
+
+
+@query(
+    "dictionary_from_fields",
+    """SELECT 'orders' AS dataset, 'api_fields_fallback' AS dictionary_source, 3::BIGINT AS official_columns, 3::BIGINT AS downloaded_columns,
+1::BIGINT AS missing_in_parquet, 1::BIGINT AS extra_in_parquet, count(*) AS local_rows_parquet, 'REVISAR' AS validation_status FROM orders""",
+)
+def _from_fields(spark, sf):
+    """The dictionary file cannot be read, so the fields that the interface declares take its place."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    told = orders.limit(1).selectExpr(
+        "true AS success",
+        "named_struct('total', 1, 'fields', array(named_struct('id', '_id', 'type', 'int'), named_struct('id', 'o_orderkey', 'type', 'int'),"
+        " named_struct('id', ' o_custkey ', 'type', 'int'), named_struct('id', 'o_clerk', 'type', 'text'))) AS result",
     )
+    path, nowhere = scratch(spark, "fields"), scratch(spark, "nowhere")
+    told.write.json(path)
+    sources = [
+        ("dictionary_csv", lambda: text.read_dictionary(spark, nowhere, "orders")),
+        ("api_fields_fallback", lambda: pages.api_fields(spark, path, "orders")),
+    ]
+    _, summary = validate_dictionaries({"orders": orders}, {"orders": sources}, infer=False)
+    return summary.select(
+        "dataset", "dictionary_source", "official_columns", "downloaded_columns", "missing_in_parquet", "extra_in_parquet",
+        "local_rows_parquet", "validation_status",
+    )
+
+
+@query(
+    "critical_stop",
+    """SELECT 'stopped' AS outcome, count(*) AS rows FROM orders UNION ALL SELECT 'FALLA_CRITICA', count(*) FROM orders
+UNION ALL SELECT 'FALTA_EN_PARQUET', count(*) FROM orders""",
+)
+def _critical(spark, sf):
+    """An absent critical column ends the job before any scan; without the stop it is the verdict."""
+    raw = raw_orders(spark, sf)
+    contract = Contract(expected=("O_ORDERKEY", "GONE"), critical=frozenset({"GONE"}), extra_policy="ignore")
+    try:
+        validate_contract(raw, contract, source="s", dataset="orders")
+        outcome = "went on"
+    except ContractError:
+        outcome = "stopped"
+    detail, summary = validate_contract(raw, contract, source="s", dataset="orders", stop_on_critical=False)
+    rows = summary.select(F.col("estado_validacion").alias("outcome"), F.col("total_filas").alias("rows"))
+    state = detail.where("columna = 'GONE'").select(F.col("estado").alias("outcome"))
+    counted = raw.agg(F.count(F.lit(1)).alias("rows"))
+    return rows.unionByName(counted.select(F.lit(outcome).alias("outcome"), "rows")).unionByName(state.join(counted))  # one row each
+
+
+@query("validation_audit", "SELECT 'schema_validation' AS job, 'warning' AS status, 'bronze' AS layer, count(*) AS rows FROM orders")
+def _validation_audit(spark, sf):
+    raw, root = raw_orders(spark, sf), scratch(spark, "audit")
+    _, summary = validate_contract(raw, CONTRACT, source="shop", dataset="orders")
+    audit_validation(summary, source="shop", audit_root=root, started_at=RUN_AT)
+    return spark.read.json(root).select("job", "status", "layer").join(summary.select(F.col("total_filas").alias("rows")))  # one row each
+
+
+@query("head_sample", "SELECT 5::BIGINT AS rows, 6 AS columns, count(*) AS all_known FROM (SELECT * FROM part LIMIT 5) x")
+def _head(spark, sf):
+    """Five rows, whichever, with all columns, and all from the table."""
+    part = table(spark, sf, "part")
+    picked = parquet.head(part, 5)
+    known = picked.join(part.select("p_partkey"), "p_partkey", "left_semi").agg(F.count(F.lit(1)).alias("all_known"))
+    return picked.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(picked.columns)).alias("columns")).join(known)  # one row each
 
 
 @query(
@@ -561,14 +630,16 @@ def _silver_survey_job(spark, sf):
     return report.summary.select("dataset", "bronze_rows", "silver_rows", "status")
 
 
-@query(
-    "quality_job_audit",
-    "SELECT 'ledger' AS source, 'quality' AS job, 'warning' AS status, 26.0::DOUBLE AS rules, count(*) > 0 AS any_rows FROM lineitem",
-)
-def _quality_job(spark, sf):
+_LEDGER_SCORES = QUALITY_ORACLES["quality_ledger_file"]
+#: Rules of the ledger file without failing rows to show.
+_UNSAMPLED = "rule_id NOT LIKE '%.code_name' AND rule_id NOT LIKE '%column_comparison' AND rule_id NOT LIKE '%cardinality%' AND rule_id NOT LIKE '%coverage' AND rule_id NOT LIKE '%full_row%'"
+
+
+def _published(spark, sf) -> dict[str, str]:
+    """The whole quality job of the ledger file: detail, samples, reports and audit below one folder."""
     root = scratch(spark, "quality")
-    detail = ledger_quality(raw_lines(spark, sf), LEDGER_CONFIG, AS_OF)
-    publish_quality(
+    detail = ledger_quality(raw_lines(spark, sf), {**LEDGER_CONFIG}, AS_OF, ("l_orderkey", "l_linenumber", "l_partkey"))
+    run = publish_quality(
         detail,
         source="ledger",
         reports_root=f"{root}/reports",
@@ -577,13 +648,45 @@ def _quality_job(spark, sf):
         started_at=RUN_AT,
         finished_at=RUN_AT + dt.timedelta(seconds=5),
     )
-    record = spark.read.json(f"{root}/audit")
-    return record.select(
-        "source",
-        "job",
-        "status",
-        F.col("counters.rules_evaluated").alias("rules"),
-        (F.col("counters.observations_total") > 0).alias("any_rows"),
+    return {**run.outputs, "audit": f"{root}/audit"}
+
+
+@query(
+    "quality_job_audit",
+    f"""WITH d AS ({_LEDGER_SCORES})
+SELECT 'ledger' AS source, 'quality' AS job, 'warning' AS status, 5.0::DOUBLE AS duration_seconds, count(*)::DOUBLE AS rules,
+  count(*) FILTER (WHERE failed_rows > 0)::DOUBLE AS observed, sum(failed_rows)::DOUBLE AS failed_rows,
+  sum(CASE WHEN {_UNSAMPLED} THEN least(failed_rows, 10) ELSE 0 END)::DOUBLE AS samples FROM d""",
+)
+def _quality_job(spark, sf):
+    counted = {"rules": "rules_evaluated", "observed": "rules_with_observations", "failed_rows": "observations_total", "samples": "failed_samples_total"}
+    record = spark.read.json(_published(spark, sf)["audit"])
+    return record.select("source", "job", "status", "duration_seconds", *[F.col(f"counters.{c}").alias(n) for n, c in counted.items()])
+
+
+@query(
+    "quality_job_samples",
+    f"""SELECT rule_id, least(failed_rows, 10) AS samples, least(failed_rows, 10) AS last_rank, least(failed_rows, 10) AS in_csv
+FROM ({_LEDGER_SCORES}) d WHERE failed_rows > 0 AND {_UNSAMPLED}""",
+)
+def _quality_samples(spark, sf):
+    """The stored report of failed rows, as a table and as a CSV file."""
+    paths = _published(spark, sf)
+    stored = spark.read.parquet(paths["failed_samples_parquet"]).groupBy("rule_id")
+    csv = text.read_csv(spark, paths["failed_samples_csv"]).rows.groupBy("rule_id").agg(F.count(F.lit(1)).alias("in_csv"))
+    return stored.agg(F.count(F.lit(1)).alias("samples"), F.max("sample_rank").cast("bigint").alias("last_rank")).join(csv, "rule_id")
+
+
+@query("quality_from_rule_file", _LEDGER_SCORES)
+def _from_file(spark, sf):
+    """The rules are read from a file on the driver."""
+    with tempfile.TemporaryDirectory() as folder:
+        path = os.path.join(folder, "rules.json")
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(LEDGER_CONFIG, f)
+        config = load_rules(path, ("settings",))
+    return ledger_quality(raw_lines(spark, sf), config, AS_OF).select(
+        "rule_id", "evaluated_rows", "passed_rows", "failed_rows", "score", "status"
     )
 
 

@@ -26,6 +26,10 @@ def query(name: str, sql: str | None = None):
 
 
 _PROFILE_TOKENS = "('', 'nan', 'NaN', 'None', 'NULL', 'null', '<NA>')"
+_LINE_COLUMNS = (
+    "l_orderkey", "l_linenumber", "l_partkey", "quantity", "price", "discount", "tax", "flag", "line_status", "ship_date", "ship_year",
+    "ship_month", "line_code", "parent_code", "supplier",
+)
 _ORDER_COLUMNS = (
     "o_orderkey customer status amount opening order_date order_year order_month level level_name sector priority".split()
 )
@@ -52,12 +56,9 @@ def _nulls(spark, sf):
     return s.null_profile(raw_orders(spark, sf), "orders")
 
 
-_DUP_COLS = "flag, line_status, ship_year, ship_month, supplier"
-
-
 @query(
     "profile_duplicates",
-    f"""WITH v AS (SELECT {_DUP_COLS} FROM ({DUCK_LINES}) r),
+    f"""WITH l AS ({DUCK_LINES}), v AS (SELECT * FROM l UNION ALL SELECT * FROM l WHERE l_orderkey % 5 = 0),
 e AS (SELECT count(*) AS n, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM v)) AS found FROM v),
 g AS (SELECT count(*) AS n FROM v GROUP BY ship_year, supplier),
 k AS (SELECT CAST(sum(n) AS BIGINT) AS n, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS found,
@@ -68,8 +69,9 @@ UNION ALL SELECT 'lines', 'Duplicados por clave de negocio', found, round(found:
   'Clave: ship_year + supplier | grupos afectados: ' || shared, CASE WHEN found > 0 THEN 'REVISAR' ELSE 'OK' END FROM k""",
 )
 def _duplicates(spark, sf):
-    cut = raw_lines(spark, sf).select(*_DUP_COLS.split(", "))
-    return s.duplicate_profile(cut, "lines", ["ship_year", "supplier"])
+    """The line view, and the lines of every fifth order once more."""
+    lines = raw_lines(spark, sf)
+    return s.duplicate_profile(lines.unionByName(lines.where("l_orderkey % 5 = 0")), "lines", ["ship_year", "supplier"])
 
 
 def _class(u: str, n: str) -> str:
@@ -186,13 +188,14 @@ def _cardinality(spark, sf):
 
 @query(
     "profile_cardinality_approx",
-    f"WITH v AS ({DUCK_ORDERS}) "
-    + " UNION ALL ".join(f"SELECT '{c}' AS columna, count(DISTINCT {c}) AS exact, true AS within FROM v" for c in _ORDER_COLUMNS),
+    f"WITH v AS ({DUCK_LINES}) "
+    + " UNION ALL ".join(f"SELECT 'lines' AS dataset, '{c}' AS columna, count(DISTINCT {c}) AS exact, true AS within FROM v" for c in _LINE_COLUMNS),
 )
 def _cardinality_approx(spark, sf):
-    orders = raw_orders(spark, sf)
-    out = _bound(s.cardinality_profile(orders, "orders"), s.cardinality_profile(orders, "orders", exact=True), "columna", "cardinalidad_aprox")
-    return out.select("columna", "exact", "within")
+    """Every column of the largest table: what is derived from an approximate count is left to `profile_cardinality`."""
+    lines = raw_lines(spark, sf)
+    out = _bound(s.cardinality_profile(lines, "lines"), s.cardinality_profile(lines, "lines", exact=True), "columna", "cardinalidad_aprox")
+    return out.select("dataset", "columna", "exact", "within")
 
 
 _PAIRS = [("level", "level_name"), ("sector", "level"), ("customer", "level")]
@@ -281,18 +284,18 @@ def _generic_summary(spark, sf):
 
 @query(
     "profile_alerts",
-    f"""WITH v AS ({DUCK_LINES}), w AS (SELECT flag, line_status, price, discount FROM v)
+    f"""WITH w AS ({DUCK_LINES})
 SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM w)) AS BIGINT) AS duplicados_exactos,
-  CAST((SELECT count(*) FILTER (WHERE flag IS NULL OR trim(flag) IN {_PROFILE_TOKENS})::DOUBLE / count(*) > 0.05 FROM v) AS BIGINT)
+  CAST({" + ".join(f"(SELECT CAST(count(*) FILTER (WHERE {c} IS NULL OR {_text(c)} IN {_PROFILE_TOKENS})::DOUBLE / count(*) > 0.05 AS BIGINT) FROM w)" for c in _LINE_COLUMNS)} AS BIGINT)
     AS columnas_con_faltantes, 1::BIGINT AS montos_con_negativos, 1::BIGINT AS pares_inconsistentes, 'REVISAR' AS estado FROM w""",
 )
 def _alerts(spark, sf):
-    cut = raw_lines(spark, sf).select("flag", "line_status", "price", "discount")
+    lines = raw_lines(spark, sf)
     return s.alert_totals(
-        s.null_profile(cut, "lines"),
-        s.duplicate_profile(cut, "lines", ["flag"]),
-        s.sign_profile(cut, "lines", ["price", "discount"]),
-        s.consistency_profile(cut, "lines", [("flag", "line_status")]),
+        s.null_profile(lines, "lines"),
+        s.duplicate_profile(lines, "lines", ["flag"]),
+        s.sign_profile(lines, "lines", ["price", "discount"]),
+        s.consistency_profile(lines, "lines", [("flag", "line_status")]),
     )
 
 
@@ -432,17 +435,31 @@ def _summary(spark, sf):
     return rich.profile_summary(rich.column_profile(raw, "orders"), raw, "orders")
 
 
+_DATASETS = {
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "region": ("r_regionkey", "r_name"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"),
+}
+
+
 @query(
     "profile_all_datasets",
     " UNION ALL ".join(
-        f"SELECT '{d}' AS dataset, '{c}' AS column_name, count(*) AS row_count, count(DISTINCT {c}) AS unique_count, "
-        f"min(length(CAST({c} AS VARCHAR))) AS min_length, max(length(CAST({c} AS VARCHAR))) AS max_length FROM {d}"
-        for d, c in (("nation", "n_nationkey"), ("nation", "n_name"), ("nation", "n_regionkey"), ("region", "r_regionkey"), ("region", "r_name"))
+        f"SELECT '{d}' AS dataset, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, count({c}) AS non_missing_count, "
+        f"count(DISTINCT {c}) AS unique_count, round(count(DISTINCT {c})::DOUBLE / count(*) * 100, 4) AS unique_pct, "
+        f"count(TRY_CAST({c} AS DOUBLE)) AS numeric_valid_count, min(TRY_CAST({c} AS DOUBLE)) AS numeric_min, max(TRY_CAST({c} AS DOUBLE)) AS numeric_max, "
+        f"round(quantile_cont(TRY_CAST({c} AS DOUBLE), 0.25), 4) AS q1, round(quantile_cont(TRY_CAST({c} AS DOUBLE), 0.75), 4) AS q3 FROM {d}"
+        for d, columns in _DATASETS.items()
+        for c in columns
     ),
 )
 def _all_datasets(spark, sf):
-    stacked = profile_all({name: table(spark, sf, name) for name in ("nation", "region")})
-    return stacked.select("dataset", "column_name", "row_count", "unique_count", "min_length", "max_length")
+    stacked = profile_all({name: table(spark, sf, name).select(*columns) for name, columns in _DATASETS.items()})
+    return stacked.select(
+        "dataset", "column_name", "row_count", "null_count", "non_missing_count", "unique_count", "unique_pct",
+        "numeric_valid_count", "numeric_min", "numeric_max", "q1", "q3",
+    )
 
 
 _QUANTILES = """SELECT 'price' AS column_name, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS q2,

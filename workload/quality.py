@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.rules import Rule, evaluate, rule
-from tamiz.rules.evaluate import compile_rules, failed_samples
+from tamiz.rules.evaluate import compile_rules, failed_samples, failed_set_samples
 from tamiz.rules.sets import coverage_short_years
 from tamiz.rules.reports import dimension_cards, quality_summary, run_totals, severity_summary, top_alerts
 from tamiz.plans.quality import ledger_quality, survey_quality
@@ -320,17 +320,60 @@ def _pattern_columns(spark, sf):
 # --- set rules -------------------------------------------------------------------------------------------------
 
 
+def _with_copies(spark, sf):
+    """The line view, and the lines of every fifth order once more."""
+    lines = raw_lines(spark, sf)
+    return lines.unionByName(lines.where("l_orderkey % 5 = 0"))
+
+
+_COPIES = f"SELECT * FROM ({DUCK_LINES}) a UNION ALL SELECT * FROM ({DUCK_LINES}) b WHERE l_orderkey % 5 = 0"
+
+
 @query(
     "rule_duplicate_rows",
     scored(
         "SELECT 'dup' AS rule_id, count(*) AS evaluated_rows, "
-        "count(*) - (SELECT count(*) FROM (SELECT DISTINCT flag, line_status, ship_year, ship_month, supplier FROM v)) AS failed_rows "
-        "FROM v"
-    ).replace("FROM (SELECT 'dup'", f"FROM (WITH v AS ({DUCK_LINES}) SELECT 'dup'"),
+        "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM v)) AS failed_rows FROM v"
+    ).replace("FROM (SELECT 'dup'", f"FROM (WITH v AS ({_COPIES}) SELECT 'dup'"),
 )
 def _duplicate_rows(spark, sf):
-    cut = raw_lines(spark, sf).select("flag", "line_status", "ship_year", "ship_month", "supplier")
-    return scores(cut, [rule("duplicate_full_rows", rule_id="dup")])
+    return scores(_with_copies(spark, sf), [rule("duplicate_full_rows", rule_id="dup")])
+
+
+_BIG = 2**53
+
+
+@query(
+    "rule_exact_numbers",
+    row_rules(
+        f"SELECT o_orderkey, {_BIG} + o_orderkey AS a, {_BIG} + o_orderkey + o_orderkey % 3 - 1 AS b FROM orders",
+        [
+            ("at_most", "true", "a > b"),
+            ("at_least", "true", "a < b"),
+            ("equal", "true", "a <> b"),
+            ("decimal", "true", "a > b"),
+            ("range", "true", f"a > {_BIG + 2001}"),
+        ],
+    ),
+)
+def _exact_numbers(spark, sf):
+    """Keys beyond 2^53, which doubles cannot tell apart, against whole numbers and decimals one off."""
+    keys = table(spark, sf, "orders").selectExpr(
+        "o_orderkey",
+        f"{_BIG} + o_orderkey AS a",
+        f"{_BIG} + o_orderkey + o_orderkey % 3 - 1 AS b",
+        f"CAST({_BIG} + o_orderkey + o_orderkey % 3 - 1 AS DECIMAL(20,1)) AS c",
+    )
+    return scores(
+        keys,
+        [
+            rule("less_or_equal", "a", "b", rule_id="at_most"),
+            rule("column_comparison", "a", "b", operator=">=", rule_id="at_least"),
+            rule("column_comparison", "a", "b", operator="==", rule_id="equal"),
+            rule("column_comparison", "a", "c", operator="<=", rule_id="decimal"),
+            rule("accepted_range", "a", max_value=_BIG + 2001, rule_id="range"),
+        ],
+    )
 
 
 @query(
@@ -538,6 +581,52 @@ def _samples(spark, sf):
     return picked.select("pos", "rank", F.map_values("values")[0].alias("value"))
 
 
+_SET_SAMPLED = [
+    rule("unique_key", "l_orderkey", "l_linenumber", rule_id="key"),
+    rule("duplicate_full_rows", rule_id="rows"),
+    rule("code_name_consistency", "supplier", "line_status", rule_id="names"),
+    rule("referential_integrity", "supplier", reference_dataset="open", reference_columns=("customer",), rule_id="open"),
+    rule("temporal_catalog_exists", "ship_year", "ship_month", reference_dataset="early", reference_columns=("order_year", "order_month"), rule_id="period"),
+]
+_SET_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "supplier", "line_status")
+
+
+def _set_sample_sql() -> str:
+    by, ok = ", ".join(_SET_ORDER), present("supplier", "line_status")
+    parts = [
+        ("key", "concat_ws('|', l_orderkey, l_linenumber)", f"(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {by}) AS nth FROM w) x WHERE nth > 1"),
+        ("rows", f"concat_ws('|', {by})", f"(SELECT *, row_number() OVER (PARTITION BY {', '.join(_LINE_COLUMNS)}) AS nth FROM w) x WHERE nth > 1"),
+        ("names", "concat_ws('|', supplier, line_status)", f"w WHERE {ok} AND supplier IN (SELECT supplier FROM w WHERE {ok} GROUP BY 1 HAVING count(DISTINCT line_status) > 1)"),
+        ("open", "supplier", f"w WHERE {present('supplier')} AND trim(supplier) NOT IN (SELECT trim(customer) FROM o WHERE level = 'O' AND {present('customer')})"),
+        (
+            "period",
+            "concat_ws('|', ship_year, ship_month)",
+            f"w WHERE NOT EXISTS (SELECT 1 FROM o WHERE o_orderkey % 7 = 0 AND {present('order_year', 'order_month')} "
+            f"AND {key('o.order_year')} = w.ship_year AND {key('o.order_month')} = w.ship_month)",
+        ),
+    ]
+    ranked = [
+        f"SELECT {i} AS pos, CAST(row_number() OVER (ORDER BY {by}) AS INTEGER) AS rank, {shown} AS shown FROM {rows}"
+        for i, (_, shown, rows) in enumerate(parts)
+    ]
+    return f"WITH w AS ({_COPIES}), o AS ({DUCK_ORDERS}) SELECT * FROM ({' UNION ALL '.join(ranked)}) s WHERE rank <= 10"
+
+
+_LINE_COLUMNS = (
+    "l_orderkey", "l_linenumber", "l_partkey", "quantity", "price", "discount", "tax", "flag", "line_status", "ship_date", "ship_year",
+    "ship_month", "line_code", "parent_code", "supplier",
+)
+
+
+@query("failed_samples_sets", _set_sample_sql())
+def _set_samples(spark, sf):
+    """The first ten failing rows of set rules: repeated keys and rows, codes with several names, keys without a parent."""
+    orders = raw_orders(spark, sf)
+    catalog = {"open": orders.where("level = 'O'"), "early": orders.where("o_orderkey % 7 = 0")}
+    picked = failed_set_samples(_with_copies(spark, sf), list(enumerate(_SET_SAMPLED)), _SET_ORDER, 10, catalog=catalog)
+    return picked.select("pos", "rank", F.array_join(F.map_values("values"), "|").alias("shown"))
+
+
 def _detail(spark, sf) -> DataFrame:
     return evaluate(raw_orders(spark, sf), SCORECARD, dataset="orders", as_of=AS_OF)
 

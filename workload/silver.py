@@ -452,42 +452,95 @@ def _silver_survey(spark, sf):
     )
 
 
-@query(
-    "silver_survey_detail",
+_WHOLE_COLUMNS = ("o_orderkey", "order_year", "order_month")
+_TEXT_COLUMNS = ("status", "level", "priority")
+_ASIS_COLUMNS = ("customer", "level_name", "sector")
+
+
+def _detail_sql(c: str) -> str:
+    """A line of the detail table: the column before and after its cast."""
+    how, bronze, silver, cast = "kept_without_explicit_rule", "string", "string", c
+    if c in _WHOLE_COLUMNS:
+        how, silver, cast = "cast_to_integer_nullable", "bigint", c if c == "o_orderkey" else _whole(c)
+    elif c == "amount":
+        how, silver, cast = "cast_to_decimal_nullable", "double", number(c)
+    elif c == "order_date":
+        how, silver, cast = "cast_to_datetime_nullable", "timestamp", _date(c)
+    elif c in _TEXT_COLUMNS:
+        how = "cast_to_string_nullable"
+    bronze = "bigint" if c == "o_orderkey" else bronze
+    why = {"status": "documented_null_columns: partly empty", "order_date": "documented_null_columns: partly empty | special_values_to_null: 0 means none"}
+    errors = f"(SELECT count(*) FROM n WHERE {c} IS NOT NULL AND {cast} IS NULL)"
+    special = "(SELECT count(*) FROM raw WHERE trim(order_date) = '0')" if c == "order_date" else "0"
+    return f"""SELECT 'orders' AS dataset, '{c}' AS column_name, '{bronze}' AS bronze_type, '{silver}' AS silver_type, '{how}' AS transformation,
+  (SELECT count(*) FROM n WHERE {c} IS NULL) AS nulls_before, (SELECT count(*) FROM c WHERE {c} IS NULL) AS nulls_after, {errors} AS conversion_errors,
+  {special} AS special_values_handled, CASE WHEN {errors} = 0 THEN 'OK' ELSE 'CONVERSION_ERRORS' END AS status, '{why.get(c, "")}' AS reason"""
+
+
+_KEPT_COLUMNS = (*_WHOLE_COLUMNS, *_TEXT_COLUMNS, *_ASIS_COLUMNS, "amount", "order_date")
+_SURVEY_DETAIL = (
     _SURVEY_SQL
-    + f""", raw AS ({DUCK_ORDERS})
-SELECT 'amount' AS column_name, 'cast_to_decimal_nullable' AS transformation, (SELECT count(*) FROM n WHERE amount IS NULL) AS nulls_before,
-  (SELECT count(*) FROM c WHERE amount IS NULL) AS nulls_after,
-  (SELECT count(*) FROM n WHERE amount IS NOT NULL AND {number('amount')} IS NULL) AS conversion_errors, 0 AS special_values_handled,
-  'CONVERSION_ERRORS' AS status, '' AS reason
-UNION ALL SELECT 'order_date', 'cast_to_datetime_nullable', (SELECT count(*) FROM n WHERE order_date IS NULL),
-  (SELECT count(*) FROM c WHERE order_date IS NULL), (SELECT count(*) FROM n WHERE order_date IS NOT NULL AND {_date('order_date')} IS NULL),
-  (SELECT count(*) FROM raw WHERE trim(order_date) = '0'), 'CONVERSION_ERRORS',
-  'documented_null_columns: partly empty | special_values_to_null: 0 means none'
-UNION ALL SELECT 'status', 'cast_to_string_nullable', (SELECT count(*) FROM n WHERE status IS NULL),
-  (SELECT count(*) FROM c WHERE status IS NULL), 0, 0, 'OK', 'documented_null_columns: partly empty'
-UNION ALL SELECT 'opening', 'drop_column', (SELECT count(*) FROM raw WHERE opening IS NULL), NULL, 0, 0, 'DROPPED', 'constant by design'
-UNION ALL SELECT 'sector', 'kept_without_explicit_rule', (SELECT count(*) FROM n WHERE sector IS NULL),
-  (SELECT count(*) FROM c WHERE sector IS NULL), 0, 0, 'OK', ''
-UNION ALL SELECT 'ghost', 'configured_column_not_found', NULL, NULL, 0, 0, 'WARNING',
-  'Columna declarada en YAML, pero no existe en el Parquet Bronze.'""",
+    + f", raw AS ({DUCK_ORDERS}) "
+    + " UNION ALL ".join(_detail_sql(c) for c in _KEPT_COLUMNS)
+    + """ UNION ALL SELECT 'orders', 'opening', 'string', 'dropped', 'drop_column', (SELECT count(*) FROM raw WHERE opening IS NULL), NULL, 0, 0, 'DROPPED',
+  'constant by design'
+UNION ALL SELECT 'orders', 'ghost', 'missing', 'missing', 'configured_column_not_found', NULL, NULL, 0, 0, 'WARNING',
+  'Columna declarada en YAML, pero no existe en el Parquet Bronze.'"""
 )
+
+
+@query("silver_survey_detail", _SURVEY_DETAIL)
 def _silver_survey_detail(spark, sf):
     raw = raw_orders(spark, sf)
     out = plans.survey_silver(raw, "orders", SURVEY_ORDERS, SURVEY, RUN_AT)
     found = plans.survey_metrics(raw, SURVEY_ORDERS, SURVEY["silver_defaults"])
-    detail = plans.survey_detail(raw, out, "orders", SURVEY_ORDERS, found)
-    shown = detail.where(F.col("column_name").isin("amount", "order_date", "status", "opening", "sector", "ghost"))
-    return shown.select(
-        "column_name",
-        "transformation",
-        "nulls_before",
-        "nulls_after",
-        "conversion_errors",
-        "special_values_handled",
-        "status",
-        "reason",
-    )
+    return plans.survey_detail(raw, out, "orders", SURVEY_ORDERS, found)
+
+
+#: The same table under a row policy that imputes, with the columns to keep listed.
+_FILLED = {**SURVEY, "silver_defaults": {**SURVEY["silver_defaults"], "row_policy": {"drop_empty_rows": True, "impute_missing_values": True}}}
+_FILLED_ORDERS = {
+    **{k: v for k, v in SURVEY_ORDERS.items() if k != "derived_columns"},
+    "keep_columns": ["o_orderkey", "status", "order_year", "level"],
+    "imputations": {"codes": {"columns": ["status", "level"], "impute_value": "?"}, "years": {"columns": ["order_year"], "impute_value": "0"}},
+}
+
+
+@query(
+    "survey_row_policy",
+    _SURVEY_SQL
+    + f"""SELECT o_orderkey, coalesce(status, '?') AS status, coalesce(level, '?') AS level,
+  {_whole("coalesce(order_year, '0')")} AS order_year, 'orders' AS source_dataset FROM n""",
+)
+def _row_policy(spark, sf):
+    """Listed columns only, and constants for missing values."""
+    out = plans.survey_silver(raw_orders(spark, sf), "orders", _FILLED_ORDERS, _FILLED, RUN_AT)
+    return out.drop("source_system", "silver_processed_at", "record_hash")
+
+
+@query(
+    "survey_row_policy_detail",
+    _SURVEY_SQL
+    + f""", raw AS ({DUCK_ORDERS})
+SELECT 'status' AS column_name, 'string' AS silver_type, (SELECT count(*) FROM n WHERE status IS NULL) AS nulls_before, 0::BIGINT AS nulls_after, 'OK' AS status
+UNION ALL SELECT 'level', 'string', (SELECT count(*) FROM n WHERE level IS NULL), 0, 'OK'
+UNION ALL SELECT 'o_orderkey', 'bigint', 0, 0, 'OK'
+UNION ALL SELECT 'order_year', 'bigint', (SELECT count(*) FROM n WHERE order_year IS NULL), (SELECT count(*) FROM n WHERE order_year IS NOT NULL
+  AND {_whole('order_year')} IS NULL), 'CONVERSION_ERRORS'
+UNION ALL SELECT 'ghost', 'missing', NULL, NULL, 'WARNING'
+"""
+    + " ".join(
+        f"UNION ALL SELECT '{c}', 'dropped', (SELECT count(*) FROM raw WHERE {c} IS NULL), NULL, 'DROPPED'"
+        for c in ("customer", "amount", "opening", "order_date", "order_month", "level_name", "sector", "priority")
+    ),
+)
+def _row_policy_detail(spark, sf):
+    raw = raw_orders(spark, sf)
+    rules = {**_FILLED_ORDERS, "integer_columns": ["o_orderkey", "order_year", "ghost"], "decimal_columns": [], "datetime_columns": []}
+    rules["string_columns"] = ["status", "level"]
+    out = plans.survey_silver(raw, "orders", rules, _FILLED, RUN_AT)
+    detail = plans.survey_report(raw, out, "orders", rules, _FILLED).detail
+    return detail.select("column_name", "silver_type", "nulls_before", "nulls_after", "status")
 
 
 @query(
@@ -524,33 +577,36 @@ def _silver_survey_summary(spark, sf):
     )
 
 
+_ADDED = ("source_system", "source_dataset", "silver_processed_at", "record_hash", "anio_periodo_key")
+
+
 @query(
     "silver_dictionary",
-    f"""WITH v AS ({DUCK_ORDERS})
-SELECT * FROM (SELECT 'status' AS column_name, 'string' AS silver_type,
-  (SELECT count(*) > 0 FROM v WHERE {_nulled('status')} IS NULL) AS nullable, false AS is_technical_column
-UNION ALL SELECT 'o_orderkey', 'bigint', (SELECT count(*) > 0 FROM v WHERE o_orderkey IS NULL), false
-UNION ALL SELECT 'opening', 'dropped', NULL, false
-UNION ALL SELECT 'anio_periodo_key', 'technical', true, true
-UNION ALL SELECT 'record_hash', 'technical', false, true) x""",
+    f"""WITH d AS ({_SURVEY_DETAIL})
+SELECT dataset, column_name, column_name AS business_name, reason AS description, bronze_type, silver_type, transformation AS transformation_applied,
+  CASE WHEN status <> 'DROPPED' THEN coalesce(nulls_after > 0, false) END AS nullable, false AS is_technical_column, reason AS notes FROM d
+"""
+    + " ".join(
+        f"UNION ALL SELECT 'orders', '{c}', '{c}', '{text}', 'not_in_bronze', 'technical', 'added_technical_column', {c == 'anio_periodo_key'}, true, '{text}'"
+        for c, text in ((c, "Huella del registro." if c == "record_hash" else "Columna técnica de trazabilidad Silver.") for c in _ADDED)
+    ),
 )
 def _silver_dictionary(spark, sf):
     raw = raw_orders(spark, sf)
     out = plans.survey_silver(raw, "orders", SURVEY_ORDERS, SURVEY, RUN_AT)
-    book = plans.survey_report(raw, out, "orders", SURVEY_ORDERS, SURVEY).dictionary
-    shown = book.where(F.col("column_name").isin("status", "o_orderkey", "opening", "anio_periodo_key", "record_hash"))
-    return shown.select("column_name", "silver_type", "nullable", "is_technical_column")
+    return plans.survey_report(raw, out, "orders", SURVEY_ORDERS, SURVEY).dictionary
+
+
+_CENSUS_TEXTS = ("customer", "status", "amount", "opening", "order_date", "order_year", "order_month", "level", "level_name", "sector", "priority")
 
 
 @query(
     "null_census",
-    f"""WITH v AS ({DUCK_ORDERS})
-SELECT 'level' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE level IS NULL) AS nulls FROM v
-UNION ALL SELECT 'status', count(*), count(*) FILTER (WHERE {_nulled('status')} IS NULL) FROM v
-UNION ALL SELECT 'amount', count(*), count(*) FILTER (WHERE {_nulled('amount')} IS NULL) FROM v""",
+    f"WITH v AS ({DUCK_ORDERS}) SELECT 'o_orderkey' AS column_name, count(*) AS n_rows, 0::BIGINT AS nulls FROM v "
+    + " ".join(f"UNION ALL SELECT '{c}', count(*), count(*) FILTER (WHERE {_nulled(c)} IS NULL) FROM v" for c in _CENSUS_TEXTS),
 )
 def _null_census(spark, sf):
-    return plans.null_census(clean.tokens_to_null(raw_orders(spark, sf)).select("level", "status", "amount"))
+    return plans.null_census(clean.tokens_to_null(raw_orders(spark, sf)))
 
 
 @query(
