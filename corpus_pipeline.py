@@ -10,15 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.llm import decontaminate, lines, neardup, packing, quality
-from tamiz.llm.common import bounded_broadcast
 from tamiz.session import written_once
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are neither toxic nor of low quality; those without a doc_id cannot be judged by name and stay."""
-    judged = quality.classify(docs, quality.labels_of(spark, sf_dir))
-    rejected = written_once(judged.where("not kept").select("doc_id").distinct(), "rejected")
-    return docs.join(bounded_broadcast(rejected), "doc_id", "left_anti").select(docs.columns)
+    """Documents that are neither toxic nor of low quality, each judged by its own text and site."""
+    return quality.keep(docs, quality.labels_of(spark, sf_dir))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tamiz.session import written_once
 
+from .common import lean, numbered_texts, same_row, text_mark
 from .words import words_of
 
 #: Shingles of items that are broadcast at once: 16 bytes each.
@@ -83,7 +84,7 @@ class Index:
 
 def _searched(batches: Iterable[pa.RecordBatch], index: Broadcast, k: int) -> Iterator[pa.RecordBatch]:
     items: Index = index.value
-    names = ["doc_id", "item_id", "shared", "item_shingles"]
+    names = ["doc_id", "mark", "item_id", "shared", "item_shingles"]
     for batch in batches:
         for i, _, words in words_of(batch.column(1)):
             rows: list[int] = []
@@ -101,6 +102,7 @@ def _searched(batches: Iterable[pa.RecordBatch], index: Broadcast, k: int) -> It
                 which = np.concatenate(found)
                 arrays = [
                     batch.column(0).take(pa.array(rows)),
+                    batch.column(2).take(pa.array(rows)),
                     pa.array([items.ids[x] for x in which], pa.int64()),
                     pa.array(np.concatenate(shared), pa.int64()),
                     pa.array(items.sizes[which], pa.int64()),
@@ -110,6 +112,11 @@ def _searched(batches: Iterable[pa.RecordBatch], index: Broadcast, k: int) -> It
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, item_id, shared, item_shingles and containment for each document and item that it contains."""
+    return _search(docs, benchmark, k, percent).drop("mark")
+
+
+def _search(docs: DataFrame, benchmark: DataFrame, k: int, percent: int) -> DataFrame:
+    """The same with the mark of the document's text."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     sets = items.mapInArrow(lambda b: _item_sets(b, k), "item_id long, n long, shingles array<long>").where("n > 0")
@@ -119,14 +126,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int
     sets = written_once(salted.withColumn("cut", F.floor(F.coalesce(running, F.lit(0)) / (SLICE // 64))), "items")
     cuts = [r[0] for r in sets.select("cut").distinct().orderBy("cut").collect()]  # one row per slice
 
-    schema = "doc_id long, item_id long, shared long, item_shingles long"
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = "doc_id long, mark long, item_id long, shared long, item_shingles long"
+    texts = numbered_texts(docs).withColumn("mark", text_mark())
     passes = []
     for cut in cuts:
         own = sets.where(F.col("cut") == cut).select("item_id", "shingles").toArrow()
         lists = [np.array(x, dtype=np.int64).view(np.uint64) for x in own.column("shingles").to_pylist()]
         index = spark.sparkContext.broadcast(Index(own.column("item_id").to_pylist(), lists, percent))
-        passes.append(texts.mapInArrow(lambda b, index=index: _searched(b, index, k), schema))
+        passes.append(texts.mapInArrow(lean(lambda b, index=index: _searched(b, index, k)), schema))
     if not passes:
         return spark.createDataFrame([], schema + ", containment double")
     found = reduce(DataFrame.unionByName, passes)
@@ -134,6 +141,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that contain no item. A document without an id cannot be named by the search and stays."""
-    found = written_once(contaminated(docs, benchmark, k, percent).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """The documents that contain no item, each judged by its own text, whatever its doc_id."""
+    found = _search(docs, benchmark, k, percent).select(F.col("doc_id").alias("_told_id"), F.col("mark").alias("_told_mark"))
+    found = written_once(found.distinct(), "contaminated")
+    return docs.join(found, same_row(docs, "_told_id", "_told_mark"), "left_anti").select(docs.columns)

@@ -226,9 +226,9 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
     dtype = "<u4" if size > 1 << 16 else "<u2"
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
+        .withColumns({"tie": F.xxhash64("text"), "nth": F.monotonically_increasing_id()})
+        .repartitionByRange("doc_id", "tie", "nth")  # equal rows, too, are dealt over several tasks
+        .sortWithinPartitions("doc_id", "tie", "nth")
         .select("doc_id", "text")
     )
     ids = written_once(ordered.mapInArrow(lambda b: _tokenised(b, vocabulary, end_id), _IDS), "ids")

@@ -10,11 +10,14 @@
 3. Holders of a gram are compared by ``SKETCH`` * 64 parities of word counts, of which an edit changes two at most, in blocks that
    give spanning forests; the components are clusters. Neither step loses a pair that is similar enough.
 4. In a cluster, lines whose word edit similarity 1 - distance / longer length reaches ``similarity`` are linked, again in
-   blocks. Each group of linked lines keeps its first occurrence by (doc_id, line number); the others are removed.
+   blocks. Each group of linked lines keeps its first occurrence by (doc_id, text mark, line number); the others are removed.
+
+SimHash codes cannot take the place of steps 2 and 3: two lines of ten words with two words replaced differ in 13 of 64 bits on
+average, for which the pigeonhole principle leaves blocks of four bits.
 
 * a null text stays null and an empty one empty; a text all of whose lines are removed becomes empty;
-* rows without doc_id stay as they are and their lines do not count; rows with an equal doc_id are the same document read
-  again and keep the same lines;
+* rows without doc_id stay as they are and their lines do not count; rows with an equal doc_id and text are the same document
+  read again and keep the same lines, those with an equal doc_id and different texts have lines of their own;
 * an empty table gives an empty result; all columns are carried along, clashing names included, for only new names are added.
 """
 
@@ -22,29 +25,28 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import partial
-from itertools import combinations
 from math import floor
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.session import written_once
 
-from .common import bounded_broadcast, numbered_texts
+from .common import bounded_broadcast, lean, numbered_texts, same_row, text_mark
 from .components import components
 from .neardup import Forest, Rows, in_blocks, overlaps
 from .words import LETTERS, Words, mix, pieces, sequence_hashes
 
-#: Default of ``min_words``; op3_lines and the pipeline ask for 1.
-MIN_WORDS = 3
+#: Default of ``min_words``: lines of one word are lines.
+MIN_WORDS = 1
 #: Numbers of 64 parities that describe a line's words.
 SKETCH = 4
 #: Entries of a bucket of grams; distinct lines of a piece of text from which on a gram's holders need no count.
 BUCKET, OFTEN = 1 << 21, 32
-#: Bits of the five blocks of a 64-bit code, from the lowest, for ``_keys``.
-BLOCKS = (13, 13, 13, 13, 12)
+#: Numbers in the rows of a table that may be broadcast: 16 MB.
+NUMBERS = 1 << 21
 #: Lines of a key, and words of a cluster, on one side of a block pair.
 HOLDERS, WORDS = 2048, 1 << 18
 _SKETCHES = [f"sketch{i}" for i in range(SKETCH)]
@@ -181,7 +183,7 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "line_no", "line", "check", *_SKETCHES, "n_words"]
+    names = ["doc_id", "mark", "line_no", "line", "check", *_SKETCHES, "n_words"]
     for batch in batches:
         for i, _, data, offsets in pieces(batch.column(1)):
             words, text, number, first, last = _lines(data, offsets)
@@ -189,7 +191,7 @@ def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[
             text, number, first, last = text[keep], number[keep], first[keep], last[keep]
             codes = sketches(words.hashes, first, last)
             arrays = [
-                batch.column(0).take(pa.array(text + i)),
+                *(batch.column(c).take(pa.array(text + i)) for c in (0, 2)),
                 pa.array(number, pa.int64()),
                 pa.array(sequence_hashes(words.hashes, first, last).view(np.int64)),
                 pa.array(sequence_hashes(mix(words.hashes + np.uint64(1)), first, last).view(np.int64)),
@@ -258,6 +260,19 @@ def _near_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tu
             yield r, int(other)
 
 
+def _near_line_pairs(rows: Rows, first: np.ndarray, second: np.ndarray, similarity: float) -> np.ndarray:
+    """For pairs of rows whether ``_near_lines`` links them."""
+    a, b = rows["n_words"][first], rows["n_words"][second]
+    edits = np.floor((1 - similarity) * np.maximum(a, b) + 1e-9).astype(np.int64)
+    apart = np.abs(a - b)
+    near = apart <= edits
+    at = np.flatnonzero(near)
+    i, j = first[at], second[at]
+    bits = sum(np.bitwise_count(rows[c].view(np.uint64)[i] ^ rows[c].view(np.uint64)[j]).astype(np.int64) for c in _SKETCHES)
+    near[at] = bits <= 2 * edits[at] - apart[at]
+    return near
+
+
 def _occurrences_of(words: np.ndarray) -> np.ndarray:
     """Each word with how often it came before, as one number: shared ones are what two lines can match at most."""
     by = np.argsort(words, kind="stable")
@@ -287,46 +302,36 @@ def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator
                 yield r, int(other)
 
 
-def _keys() -> Column:
-    """The pairs of blocks of a 64-bit code: codes within 3 bits share one. The operator files lines under grams instead."""
-    shifts = np.cumsum((0, *BLOCKS))[:-1].tolist()
-    block = [F.shiftrightunsigned("simhash", s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in zip(shifts, BLOCKS, strict=True)]
-    pairs = list(combinations(range(len(BLOCKS)), 2))
-    return F.array(
-        *[F.shiftleft(F.shiftleft(block[i], 13).bitwiseOR(block[j]), 4).bitwiseOR(F.lit(n)) for n, (i, j) in enumerate(pairs)]
-    )
-
-
 def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """(occurrences of lines, (line, component) of the lines that are linked to a different one)."""
     codes = ", ".join(f"{c} long" for c in _SKETCHES)
-    schema = f"doc_id long, line_no long, line long, check long, {codes}, n_words long"
-    texts = numbered_texts(docs).where("doc_id is not null and text is not null")
-    found = written_once(texts.mapInArrow(partial(_occurrences, min_words=min_words), schema), "lines")
-    first = F.min(F.struct("doc_id", "line_no")).alias("first")
+    schema = f"doc_id long, mark long, line_no long, line long, check long, {codes}, n_words long"
+    texts = numbered_texts(docs).where("doc_id is not null and text is not null").withColumn("mark", text_mark())
+    found = written_once(texts.mapInArrow(lean(partial(_occurrences, min_words=min_words)), schema), "lines")
+    first = F.min(F.struct("doc_id", "mark", "line_no")).alias("first")
     described = [*_SKETCHES, "n_words"]
     classes = written_once(found.groupBy("line").agg(first, *[F.min(c).alias(c) for c in described]), "line-classes")
     total = found.agg(F.sum("n_words")).first()[0] or 0
     grams = partial(_packed, similarity=similarity, min_words=min_words, buckets=max(256, total // BUCKET))
-    packed = texts.mapInArrow(grams, "bucket long, sure boolean, keys binary, lines binary, segments binary")
+    packed = texts.mapInArrow(lean(grams), "bucket long, sure boolean, keys binary, lines binary, segments binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
     # A line of several pieces of text is filed by each of them.
-    filed = written_once(packed.mapInArrow(_shared, "doc_id long, group long").distinct(), "line-grams")
+    filed = written_once(packed.mapInArrow(lean(_shared), "doc_id long, group long").distinct(), "line-grams")
     held = filed.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"))
     # Grams with the same holders ask for the same comparisons; one of them is enough.
     chosen = written_once(held.groupBy("n", "x").agg(F.min("group").alias("group")).select("group", "n"), "line-keys")
     holders = filed.join(bounded_broadcast(chosen, 1 << 20), "group")
     holders = holders.join(classes.select(F.col("line").alias("doc_id"), *described), "doc_id")
-    near = in_blocks(holders, f"ceil(n / {HOLDERS})", described, partial(_near_lines, similarity=similarity))
+    near = in_blocks(holders, f"ceil(n / {HOLDERS})", described, partial(_near_lines, similarity=similarity), partial(_near_line_pairs, similarity=similarity))
     clusters = components(near).select(F.col("node").alias("line"), F.col("component").alias("group"))
 
     members = written_once(classes.join(clusters, "line"), "line-clusters")
-    wanted = members.groupBy(F.col("first.doc_id").alias("doc_id")).agg(
-        F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "line")).alias("lines")  # lines of one document
+    wanted = members.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark")).agg(
+        F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "line")).alias("lines")  # lines of one text
     )
-    wanted = bounded_broadcast(written_once(wanted, "line-texts"))
+    wanted = bounded_broadcast(written_once(wanted, "line-texts"), NUMBERS, 2 * F.size("lines") + 3)
     # A document read again gives the same lines again.
-    sequences = texts.join(wanted, "doc_id").select("doc_id", "text", "lines").mapInArrow(_sequences, "doc_id long, words binary")
+    sequences = texts.join(wanted, ["doc_id", "mark"]).select("doc_id", "text", "lines").mapInArrow(lean(_sequences), "doc_id long, words binary")
     own = members.select(F.col("line").alias("doc_id"), "group")
     load = members.groupBy("group").agg(F.sum("n_words").alias("load"))
     rows = sequences.dropDuplicates(["doc_id"]).join(own, "doc_id").join(load, "group")
@@ -335,19 +340,21 @@ def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS)
 
 
 def removable(docs: DataFrame, similarity: float = 0.8, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, removed): the numbers of the lines of each document that repeat a line kept elsewhere."""
+    """(doc_id, mark, removed): the numbers of the lines of each text that repeat a line kept elsewhere."""
     found, linked = line_groups(docs, similarity, max(min_words, 1))
     fuzzy = F.col("component").isNotNull()
     grouped = found.join(linked, "line", "left").select(
         "doc_id",
+        "mark",
         "line_no",
         F.coalesce("component", "line").alias("a"),
         F.when(~fuzzy, F.col("check")).alias("b"),  # equal lines that are linked to no other one: by both hashes
         "n_words",
     )
-    kept = grouped.groupBy("a", "b").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    again = found.select("doc_id", "line_no").join(kept.select("first.*"), ["doc_id", "line_no"], "left_anti")
-    return again.groupBy("doc_id").agg(F.collect_set("line_no").alias("removed"))  # lines of one document
+    kept = grouped.groupBy("a", "b").agg(F.min(F.struct("doc_id", "mark", "line_no")).alias("first"))
+    named = ["doc_id", "mark", "line_no"]
+    again = found.select(*named).join(kept.select("first.*"), named, "left_anti")
+    return again.groupBy("doc_id", "mark").agg(F.collect_set("line_no").alias("removed"))  # lines of one text
 
 
 def deduplicate_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = MIN_WORDS) -> DataFrame:
@@ -355,13 +362,14 @@ def deduplicate_lines(docs: DataFrame, similarity: float = 0.8, min_words: int =
 
     The added columns are ``lines_before`` and ``lines_removed``. Lines of fewer than ``min_words`` words are not looked at.
     """
-    removed = written_once(removable(docs, similarity, min_words), "removed-lines").select(F.col("doc_id").alias("_removed_id"), "removed")
-    joined = docs.join(bounded_broadcast(removed), docs["doc_id"] == removed["_removed_id"], "left")
-    lines = F.split(F.col("text"), "\n", -1)
-    left = F.filter(lines, lambda _, i: ~F.array_contains(F.col("removed"), i.cast("long")))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    removed = removable(docs, similarity, min_words).withColumnsRenamed({"doc_id": "_told_id", "mark": "_told_mark", "removed": "_removed"})
+    removed = bounded_broadcast(written_once(removed, "removed-lines"), NUMBERS, F.size("_removed") + 3)
+    joined = docs.join(removed, same_row(docs, "_told_id", "_told_mark"), "left")
+    lines, gone = F.split(docs["text"], "\n", -1), F.col("_removed")
+    left = F.filter(lines, lambda _, i: ~F.array_contains(gone, i.cast("long")))
+    text = F.when(gone.isNull(), docs["text"]).otherwise(F.array_join(left, "\n"))
     counts = [
-        F.when(F.length("text") > 0, F.size(lines)).otherwise(0).cast("long").alias("lines_before"),
-        F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).cast("long").alias("lines_removed"),
+        F.when(F.length(docs["text"]) > 0, F.size(lines)).otherwise(0).cast("long").alias("lines_before"),
+        F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("long").alias("lines_removed"),
     ]
     return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns], *counts)

@@ -15,7 +15,8 @@ Every pair within the signature distance is compared. At a similarity of 0.85 th
 key or cluster with many holders is spread over pairs of blocks, none is capped, and no pair list exists anywhere.
 
 * a null or empty text, or one without words, has an empty set and is linked with nothing, not even with another such text;
-* rows with equal doc_id are one node; repeated rows fall into one class; a null doc_id stays a component without a number;
+* rows are judged by their texts: those with equal doc_id and different texts are different nodes, repeated rows fall into one
+  class, and rows without doc_id are linked like others;
 * an empty table gives an empty result; other columns are ignored.
 """
 
@@ -27,12 +28,12 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamiz.session import written_once
 
-from .common import bounded_broadcast
+from .common import bounded_broadcast, lean, numbered_texts, same_row, text_mark
 from .components import components
 from .words import mix, words_of
 
@@ -83,7 +84,7 @@ def keys_of(symbols: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
 
 
 def _described(batches: Iterable[pa.RecordBatch], k: int, chunks: int) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_shingles", "set_a", "set_b", "signature", "keys"]
+    names = ["doc_id", "mark", "n_shingles", "set_a", "set_b", "signature", "keys"]
     for batch in batches:
         for i, j, words in words_of(batch.column(1)):
             n, a, b, signatures, keys = [], [], [], [], []
@@ -95,7 +96,8 @@ def _described(batches: Iterable[pa.RecordBatch], k: int, chunks: int) -> Iterat
                 symbols = signature(own) if len(own) else None
                 signatures.append(None if symbols is None else (symbols & 0xFF).astype(np.uint8).tobytes())
                 keys.append(None if symbols is None else keys_of(symbols, chunks))
-            arrays = [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())]
+            arrays = [c.slice(i, j - i) for c in (batch.column(0), batch.column(2))]
+            arrays += [pa.array(x, pa.int64()) for x in (n, a, b)]
             arrays += [pa.array(signatures, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -142,6 +144,18 @@ def _near_signatures(rows: Rows, sides: np.ndarray, percent: int) -> Iterator[tu
             yield r, int(other)
 
 
+def _near_pairs(rows: Rows, first: np.ndarray, second: np.ndarray, percent: int) -> np.ndarray:
+    """For pairs of rows whether ``_near_signatures`` links them."""
+    _, distance = limits(percent)
+    near = 100 * np.minimum(a := rows["n_shingles"][first], b := rows["n_shingles"][second]) >= percent * np.maximum(a, b)
+    at = np.flatnonzero(near)
+    symbols = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint8).reshape(-1, SYMBOLS)
+    for i in range(0, len(at), 1 << 16):
+        part = at[i : i + (1 << 16)]
+        near[part] = (symbols[first[part]] != symbols[second[part]]).sum(axis=1) <= distance
+    return near
+
+
 def overlaps(sets: list[np.ndarray], upto: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each of the first sets, how many members it shares with every set."""
     m = len(sets)
@@ -179,19 +193,67 @@ def _confirmed(rows: Rows, sides: np.ndarray, percent: int) -> Iterator[tuple[in
             yield r, int(other)
 
 
-def _by_group(batches: Iterable[pa.RecordBatch], pairs: Callable[[Rows, np.ndarray], Iterator]) -> Iterator[pa.RecordBatch]:
-    """Runs ``pairs`` on each run of rows with equal (group, one, two), which may go over several batches."""
+#: Pairs of rows that are compared at once in groups of up to SMALL rows.
+AT_ONCE, SMALL = 1 << 19, 256
+
+
+def small_groups(cuts: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """Which runs of rows have one side and SMALL rows at most, and the pairs (row, later row) within those, AT_ONCE at a time."""
+    size = np.diff(cuts)
+    small = (size <= SMALL) & (side[cuts[:-1]] == side[cuts[1:] - 1])
+    rows = np.arange(cuts[-1])[np.repeat(small, size)]
+    later = np.repeat(cuts[1:], size)[rows] - rows - 1
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        part = np.cumsum(later) // AT_ONCE
+        for a, b in zip(bounds := np.searchsorted(part, np.unique(part)), np.append(bounds[1:], len(rows)), strict=True):
+            n = later[a:b]
+            first = np.repeat(rows[a:b], n)
+            yield first, first + 1 + np.arange(len(first)) - np.repeat(np.cumsum(n) - n, n)
+
+    return small, pairs()
+
+
+def stars(first: np.ndarray, second: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links among n rows as stars: (row, the smallest row that it is connected to) of all rows but those."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        low = np.minimum(label[first], label[second])
+        np.minimum.at(label, first, low)
+        np.minimum.at(label, second, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    own = np.flatnonzero(label != np.arange(n))
+    return own, label[own]
+
+
+def _by_group(
+    batches: Iterable[pa.RecordBatch], pairs: Callable[[Rows, np.ndarray], Iterator], near: Callable[[Rows, np.ndarray, np.ndarray], np.ndarray] | None
+) -> Iterator[pa.RecordBatch]:
+    """Runs ``pairs`` on each run of rows with equal (group, one, two), which may go over several batches.
+
+    ``near`` tells which of many pairs of rows are linked; with it small groups are compared side by side.
+    """
 
     def out(rows: pa.RecordBatch, cuts: list[int]) -> pa.RecordBatch:
         columns = {
             n: np.asarray(c) if pa.types.is_integer(c.type) else np.array(c.to_pylist(), dtype=object)
             for n, c in zip(rows.schema.names, rows.columns, strict=True)
         }
-        found = []
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        found, done = [], np.zeros(len(cuts) - 1, dtype=bool)
+        links = np.zeros((0, 2), dtype=np.int64)
+        if near is not None:
+            done, many = small_groups(np.array(cuts), columns["side"])
+            met = [(i[x], j[x]) for i, j in many if (x := near(columns, i, j)).any()]
+            if met:
+                links = np.stack(stars(*(np.concatenate(c) for c in zip(*met, strict=True)), len(rows)), axis=1)
+        for g in np.flatnonzero(~done).tolist():
+            a, b = cuts[g], cuts[g + 1]
             part = {n: c[a:b] for n, c in columns.items()}
             found += [(a + i, a + j) for i, j in pairs(part, part["side"])]
-        at = np.array(found, dtype=np.int64).reshape(-1, 2)
+        at = np.concatenate([links, np.array(found, dtype=np.int64).reshape(-1, 2)])
         docs = columns["doc_id"]
         return pa.RecordBatch.from_arrays([pa.array(docs[at[:, k]], pa.int64()) for k in range(2)], names=["a", "b"])
 
@@ -217,8 +279,11 @@ def _by_group(batches: Iterable[pa.RecordBatch], pairs: Callable[[Rows, np.ndarr
         yield out(whole, [0, len(whole)])
 
 
-def in_blocks(rows: DataFrame, blocks: str, payload: list[str], pairs: Callable) -> DataFrame:
-    """(a, b) from ``pairs`` over every pair of blocks of each ``group``; ``blocks``: SQL for the number of a group's blocks."""
+def in_blocks(rows: DataFrame, blocks: str, payload: list[str], pairs: Callable, near: Callable | None = None) -> DataFrame:
+    """(a, b) from ``pairs`` over every pair of blocks of each ``group``; ``blocks``: SQL for the number of a group's blocks.
+
+    ``near``: the same test for arrays of pairs, for the many small groups.
+    """
     spread = (
         rows.withColumn("blocks", F.expr(blocks).cast("int"))
         .withColumn("side", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
@@ -226,25 +291,24 @@ def in_blocks(rows: DataFrame, blocks: str, payload: list[str], pairs: Callable)
         .select("group", F.least("side", "other").alias("one"), F.greatest("side", "other").alias("two"), "side", "doc_id", *payload)
     )
     met = spread.repartition("group", "one", "two").sortWithinPartitions("group", "one", "two", "side", "doc_id")
-    return met.mapInArrow(partial(_by_group, pairs=pairs), "a long, b long")
+    return met.mapInArrow(lean(partial(_by_group, pairs=pairs, near=near)), "a long, b long")
 
 
 def describe(docs: DataFrame, k: int, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, two hashes of the whole set, signature and keys of each document."""
+    """doc_id, the text's mark, n_shingles, two hashes of the whole set, signature and keys of each row."""
     chunks, _ = limits(percent)
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, signature binary, keys array<long>"
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(lambda b: _described(b, k, chunks), schema)
+    schema = "doc_id long, mark long, n_shingles long, set_a long, set_b long, signature binary, keys array<long>"
+    return numbered_texts(docs).withColumn("mark", text_mark()).mapInArrow(lean(lambda b: _described(b, k, chunks)), schema)
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (the smallest doc_id of its component) of each document."""
+def _classified(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, mark, n_shingles, the number of the row's component (null for an empty set) and its smallest doc_id."""
     described = written_once(describe(docs, k, percent), "signatures")
     whole = ["n_shingles", "set_a", "set_b"]
-    classes = written_once(
-        described.where("n_shingles > 0 and doc_id is not null").groupBy(*whole).agg(F.min(F.struct("doc_id", "signature", "keys")).alias("least")).select(*whole, "least.*"),
-        "classes",
-    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("least_id"), "mark", "signature", "keys")).alias("first")
+    classes = described.where("n_shingles > 0").groupBy(*whole).agg(first).select(*whole, "first.*").drop("none")
+    # A class has a number of its own, so that rows of one doc_id with different texts are different nodes.
+    classes = written_once(classes.withColumn("doc_id", F.monotonically_increasing_id()), "classes")
 
     filed = classes.select("doc_id", F.explode("keys").alias("group"))
     held = filed.groupBy("group").agg(
@@ -253,36 +317,61 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame
     # Keys with the same holders ask for the same comparisons; one of them is enough.
     chosen = written_once(held.where("n > 1").groupBy("n", "lo", "hi", "x").agg(F.min("group").alias("group")), "keys")
     holders = filed.join(chosen.select("group", "n"), "group").join(classes.select("doc_id", "signature", "n_shingles"), "doc_id")
-    near = in_blocks(holders, f"ceil(n / {HOLDERS})", ["signature", "n_shingles"], partial(_near_signatures, percent=percent))
+    near = in_blocks(holders, f"ceil(n / {HOLDERS})", ["signature", "n_shingles"], partial(_near_signatures, percent=percent), partial(_near_pairs, percent=percent))
     clusters = components(near).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
 
-    sized = clusters.join(classes.select("doc_id", "n_shingles"), "doc_id")
+    sized = clusters.join(classes.select("doc_id", "n_shingles", "least_id", "mark"), "doc_id")
     load = sized.groupBy("group").agg(F.sum("n_shingles").alias("load"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = texts.join(clusters.select("doc_id"), "doc_id", "left_semi").mapInArrow(
-        lambda b: _sets(b, k), "doc_id long, shingles binary"
-    )
-    members = written_once(sets, "sets").dropDuplicates().join(clusters, "doc_id").join(load, "group")
+    wanted = sized.select(F.col("doc_id").alias("node"), F.col("least_id").alias("_told_id"), F.col("mark").alias("_told_mark"))
+    texts = numbered_texts(docs)
+    texts = texts.join(wanted, same_row(texts, "_told_id", "_told_mark")).select(F.col("node").alias("doc_id"), "text")
+    sets = written_once(texts.mapInArrow(lean(lambda b: _sets(b, k)), "doc_id long, shingles binary"), "sets")
+    # A class's first row may have been read several times.
+    members = sets.dropDuplicates(["doc_id"]).join(clusters, "doc_id").join(load, "group")
     links = in_blocks(members, f"ceil(load / {SHINGLES})", ["shingles"], partial(_confirmed, percent=percent))
     linked = components(links)
 
-    found = classes.select(*whole, F.col("doc_id").alias("least")).join(linked, F.col("least") == F.col("node"), "left")
-    found = written_once(found.select(*whole, F.coalesce("component", "least").alias("component")), "classes")
-    # A node of several rows with different texts belongs to one component: the smallest of its rows'.
-    rows = described.select("doc_id", *whole).join(found, whole, "left")
-    own = F.coalesce("component", "doc_id")
-    return rows.select("doc_id", "n_shingles", own.alias("component_id"), (F.col("doc_id") == own).alias("kept"))
+    own = linked.join(classes.select(F.col("doc_id").alias("node"), "least_id"), "node")
+    least = own.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    joined = linked.join(least, "component").select(F.col("node").alias("doc_id"), "component", "component_id")
+    found = classes.select(*whole, "doc_id", "least_id").join(joined, "doc_id", "left")
+    known = F.when(F.col("component").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id")
+    found = written_once(found.select(*whole, F.coalesce("component", "doc_id").alias("component"), known), "classes")
+    return described.select("doc_id", "mark", *whole).join(found, whole, "left").select("doc_id", "mark", "n_shingles", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id of its component) and kept of each row.
+
+    A row without doc_id has its component's number, and none if no row of it has one; it is kept only then.
+    """
+    own = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return _classified(docs, k, percent).select(
+        "doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept")
+    )
 
 
 def representatives(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id. Of rows with that doc_id one stays; none without doc_id go."""
-    found = near_duplicates(docs, k, percent).where("doc_id is not null")
-    # A narrow row per document: dropped ones, and ids that several rows share.
-    told = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("copies"))
-    marked = written_once(told.where("not kept or copies > 1").select(F.col("doc_id").alias("_told"), "kept", "copies"), "dropped")
-    joined = docs.join(bounded_broadcast(marked), docs["doc_id"] == F.col("_told"), "left")
-    single = joined.where("copies is null").select(docs.columns)
-    if not marked.where("kept and copies > 1").limit(1).count():
+    """One row of each component: that of the smallest doc_id, then of the smallest text mark; rows without doc_id come last.
+
+    Rows of one doc_id with different texts are judged each for itself; rows with an empty set stay.
+    """
+    rows = written_once(_classified(docs, k, percent).where("component is not null"), "rows")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    firsts = rows.groupBy("component").agg(F.min(place).alias("first")).select("component", "first.*")
+    told = rows.groupBy("doc_id", "mark").agg(F.min("component").alias("component"), F.count("*").alias("copies"))
+    best = firsts.select(F.col("component").alias("of"), F.col("doc_id").alias("best_id"), F.col("mark").alias("best_mark"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("mark") == F.col("best_mark"))
+    marked = told.join(best, F.col("component") == F.col("of")).select(
+        F.col("doc_id").alias("_told_id"), F.col("mark").alias("_told_mark"), stays.alias("_stays"), F.col("copies").alias("_copies")
+    )
+    marked = written_once(marked.where("not _stays or _copies > 1"), "dropped")
+    joined = docs.join(bounded_broadcast(marked), same_row(docs, "_told_id", "_told_mark"), "left")
+    single = joined.where("_copies is null").select(docs.columns)
+    if not marked.where("_stays").limit(1).count():
         return single
-    again = joined.where("kept and copies > 1").select(docs.columns).dropDuplicates(["doc_id"])
+    # Copies of the row that stays: the first by the hash of all their columns.
+    copies = joined.where("_stays and _copies > 1").withColumn("_hash", F.xxhash64(*[docs[c] for c in docs.columns]))
+    first = Window.partitionBy("_told_id", "_told_mark").orderBy("_hash")
+    again = copies.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(docs.columns)
     return single.unionByName(again)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tamiz.session import written_once
 
+from .common import lean
 from .tokens import encoder
 
 #: Ids optimised at once, at least one document.
@@ -188,12 +189,12 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, length: int = 2048, cost
     """
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
+        .withColumns({"tie": F.xxhash64("text"), "nth": F.monotonically_increasing_id()})
+        .repartitionByRange("doc_id", "tie", "nth")  # equal rows, too, are dealt over several tasks
+        .sortWithinPartitions("doc_id", "tie", "nth")
         .select("doc_id", "text")
     )
-    pieces = written_once(ordered.mapInArrow(lambda b: _packed(b, vocabulary, end_id, length, costs), _PIECES), "pieces")
+    pieces = written_once(ordered.mapInArrow(lean(lambda b: _packed(b, vocabulary, end_id, length, costs)), _PIECES), "pieces")
     # A row per range partition: few, and bounded by the number of tasks.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (

@@ -5,7 +5,8 @@
    chosen by a hash of doc_id.
 2. Sites: the evidence of all documents is summed up by path and by host. A host's posterior rate shrinks toward the global rate,
    a path's toward its host's, with strengths estimated by the method of moments from the spread between hosts and
-   between the paths of a host: a site of few documents says little, a site like all others says nothing.
+   between the paths of a host: a site of few documents says little, a site like all others says nothing. The path's
+   posterior that a document meets leaves its own evidence out.
 3. Decision: a document's log-odds are its evidence, with the global rate taken out, plus its path's posterior log-odds. It is kept if
    neither being of low quality nor being toxic is more likely than ``threshold``.
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tamiz.session import written_once
 
-from .common import bounded_broadcast
+from .common import bounded_broadcast, lean, same_row, text_mark
 from .words import LETTERS, Words, pieces
 
 #: Labelled documents that the models are fitted on, at most.
@@ -161,15 +162,20 @@ def _fitted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict[str, Model]:
-    """The two models, fitted in one task on a bounded sample of labelled documents."""
+    """The two models, fitted in one task on SAMPLE rows at most, of the documents whose ids hash lowest.
+
+    Of rows with one doc_id the first by text hash stands for the document, so a repeated id takes no more of the sample.
+    """
     usable = (
         labels.where("doc_id is not null and quality is not null and toxic is not null")
         .groupBy("doc_id")
         .agg((F.min("quality") < 1).cast("int").alias("low"), (F.max("toxic") > 0).cast("int").alias("toxic"))
     )
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("low", "toxic", "text").mapInArrow(_sampled, "low int, toxic int, features binary")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), text_mark().alias("mark")).join(F.broadcast(chosen), "doc_id")
+    # Spark keeps one row of an id in each task before the rows move; an id has one place in the sample.
+    texts = texts.withColumn("nth", F.expr("row_number() over (partition by doc_id order by mark)")).where("nth = 1")
+    rows = texts.select("low", "toxic", "text").mapInArrow(lean(_sampled), "low int, toxic int, features binary")
     schema = "target string, base double, rate double, used array<long>, weights array<double>"
     found = rows.repartition(1).mapInArrow(_fitted, schema).collect()
     return {r.target: Model(r.base, r.rate, np.array(r.used, dtype=np.int64), np.array(r.weights)) for r in found}
@@ -179,7 +185,7 @@ def _scored(batches: Iterable[pa.RecordBatch], models: list[Model]) -> Iterator[
     for batch in batches:
         runs = [[m.score(lists) for m in models] for lists in features(batch.column(3))]
         scores = [pa.array(np.concatenate([r[k] for r in runs]) if runs else [], pa.float64()) for k in range(len(models))]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *scores], names=["doc_id", "host", "path", *TARGETS])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], batch.column(4), *scores], names=["doc_id", "host", "path", "mark", *TARGETS])
 
 
 def _odds(p: Column) -> Column:
@@ -200,7 +206,10 @@ def _strength(df: DataFrame, t: str, centre: Column) -> Column:
 
 
 def posteriors(scored: DataFrame) -> tuple[DataFrame, dict[str, float]]:
-    """For each (host, path) the shrunken rate of either target, and the global rates."""
+    """For each (host, path) its documents and their summed evidence, its host's rate and what a path's strength is, and the global rates.
+
+    What a document itself adds to its path is taken out again by ``own_site``, so that its evidence counts once.
+    """
     sums = [F.sum(_rate(F.col(t))).alias(f"{t}_sum") for t in TARGETS]
     paths = written_once(scored.groupBy("host", "path").agg(F.count("*").alias("n"), *sums), "paths")
     add = [F.sum("n").alias("n"), *[F.sum(f"{t}_sum").alias(f"{t}_sum") for t in TARGETS]]
@@ -208,7 +217,8 @@ def posteriors(scored: DataFrame) -> tuple[DataFrame, dict[str, float]]:
     total = hosts.agg(*add).first()
     rates = {t: (total[f"{t}_sum"] / total["n"] if total["n"] else 0.0) for t in TARGETS}
     if not total["n"]:
-        return paths.select("host", "path", *[F.lit(0.0).alias(f"{t}_site") for t in TARGETS]), rates
+        nothing = [F.lit(0.0).alias(f"{t}_{x}") for t in TARGETS for x in ("sum", "host", "strength")]
+        return paths.select("host", "path", "n", *nothing), rates
     strong = hosts.agg(*[_strength(hosts, t, F.lit(rates[t])).alias(t) for t in TARGETS]).first()
     hosts = hosts.select(
         F.col("host").alias("own_host"),
@@ -216,16 +226,21 @@ def posteriors(scored: DataFrame) -> tuple[DataFrame, dict[str, float]]:
     )
     both = paths.join(hosts, paths["host"].eqNullSafe(hosts["own_host"]))
     within = both.agg(*[_strength(both, t, F.col(f"{t}_host")).alias(t) for t in TARGETS]).first()
-    sites = [
-        ((within[t] * F.col(f"{t}_host") + F.col(f"{t}_sum")) / (within[t] + F.col("n"))).alias(f"{t}_site") for t in TARGETS
-    ]
-    return both.select("host", "path", *sites), rates
+    known = [c for t in TARGETS for c in (F.col(f"{t}_sum"), F.col(f"{t}_host"), F.lit(float(within[t] or 0.0)).alias(f"{t}_strength"))]
+    return both.select("host", "path", "n", *known), rates
+
+
+def own_site(t: str) -> Column:
+    """The shrunken rate of a document's path without the document itself; a path of one document has its host's rate."""
+    others, n = F.col(f"{t}_sum") - _rate(F.col(t)), F.col("n") - 1
+    weight = F.col(f"{t}_strength") + n
+    return F.when(weight > 0, (F.col(f"{t}_strength") * F.col(f"{t}_host") + F.greatest(others, F.lit(0.0))) / weight).otherwise(F.col(f"{t}_host"))
 
 
 def classify(
     docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, threshold: float = 0.5
 ) -> DataFrame:
-    """doc_id, host, path, low_evidence, toxic_evidence (log-odds), low_rate, toxic_rate (posterior), and kept.
+    """doc_id, host, path, low_evidence, toxic_evidence (log-odds), low_rate, toxic_rate (posterior), kept, and the text's mark.
 
     ``host`` and ``path`` default to a document's source, and its language within the source.
     """
@@ -239,14 +254,15 @@ def classify(
         host.cast("string").alias("host"),
         path.cast("string").alias("path"),
         F.col("text").cast("string").alias("text"),
+        text_mark().alias("mark"),
     )
-    schema = "doc_id long, host string, path string, low double, toxic double"
-    scored = written_once(narrow.mapInArrow(lambda b: _scored(b, both), schema), "evidence")
+    schema = "doc_id long, host string, path string, mark long, low double, toxic double"
+    scored = written_once(narrow.mapInArrow(lean(lambda b: _scored(b, both)), schema), "evidence")
     sites, rates = posteriors(scored)
-    sites = written_once(sites.select(F.col("host").alias("h"), F.col("path").alias("p"), *[f"{t}_site" for t in TARGETS]), "sites")
+    sites = written_once(sites.withColumnsRenamed({"host": "h", "path": "p"}), "sites")
     on = scored["host"].eqNullSafe(F.col("h")) & scored["path"].eqNullSafe(F.col("p"))
     joined = scored.join(bounded_broadcast(sites), on)
-    posterior = {t: _rate(F.col(t) - _odds(F.lit(rates[t])) + _odds(F.col(f"{t}_site"))) for t in TARGETS}
+    posterior = {t: _rate(F.col(t) - _odds(F.lit(rates[t])) + _odds(own_site(t))) for t in TARGETS}
     return joined.select(
         "doc_id",
         "host",
@@ -254,8 +270,18 @@ def classify(
         *[F.col(t).alias(f"{t}_evidence") for t in TARGETS],
         *[p.alias(f"{t}_rate") for t, p in posterior.items()],
         ((posterior["low"] <= threshold) & (posterior["toxic"] <= threshold)).alias("kept"),
+        "mark",
     )
 
 
+def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that ``classify`` keeps. Rows with equal doc_id, or without one, are judged each for itself."""
+    judged = classify(docs, labels).where("not kept").select("doc_id", "mark", "host", "path").distinct()
+    told = written_once(judged.withColumnsRenamed({c: f"_told_{c}" for c in judged.columns}), "rejected")
+    site = docs["source"].cast("string").eqNullSafe(F.col("_told_host"))
+    site = site & F.concat_ws("/", docs["source"], docs["lang"]).eqNullSafe(F.col("_told_path"))
+    return docs.join(bounded_broadcast(told), same_row(docs, "_told_doc_id", "_told_mark") & site, "left_anti").select(docs.columns)
+
+
 def labels_of(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/labels.parquet")

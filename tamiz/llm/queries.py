@@ -35,7 +35,7 @@ def op4_huffman(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.classify(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+    return quality.classify(_table(spark, sf, "documents"), _table(spark, sf, "labels")).drop("mark")
 
 
 def op6_rendezvous(spark: SparkSession, sf: str) -> DataFrame:

@@ -18,8 +18,8 @@ import pyarrow as pa
 
 from .words import pieces, span_hashes
 
-#: Pieces remembered by one worker, at about 40 bytes each.
-REMEMBERED = 3_000_000
+#: Pieces remembered by one worker, at 16 bytes each, and their ids, at 2 or 4 bytes each.
+REMEMBERED, POOL = 2_000_000, 16_000_000
 #: Letters of one run and the punctuation after it: two pre-tokens in every vocabulary that PROBES agree with.
 _plain = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 PROBES = (" a", " The", "thing,", " Word.", " été", "Ünd!!", " ZÿÀ?", " don", "s.", " re", " ll:;", " ÖÐþ.")
@@ -67,8 +67,8 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known = np.zeros(0, dtype=np.uint64)
-        self.place = np.zeros(0, dtype=np.int64)
-        self.length = np.zeros(0, dtype=np.int64)
+        self.place = np.zeros(0, dtype=np.uint32)
+        self.length = np.zeros(0, dtype=np.uint32)
         self.pool = np.zeros(0, dtype=self.dtype)
 
     def _ids(self, word: str) -> list[int]:
@@ -100,8 +100,8 @@ class Encoder:
         self.pool = np.concatenate([self.pool, flat])
         where = np.searchsorted(self.known, hashes)
         self.known = np.insert(self.known, where, hashes)
-        self.place = np.insert(self.place, where, at)
-        self.length = np.insert(self.length, where, lengths)
+        self.place = np.insert(self.place, where, at.astype(np.uint32))
+        self.length = np.insert(self.length, where, lengths.astype(np.uint32))
 
     def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
@@ -113,17 +113,17 @@ class Encoder:
         if len(self.known):
             at = np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)
             new = self.known[at] != distinct
-        if len(self.known) + new.sum() > REMEMBERED:
+        if len(self.known) + new.sum() > REMEMBERED or len(self.pool) > POOL:
             self._forget()
             new[:] = True
         if new.any():
             texts = [data[a:b].tobytes() for a, b in zip(starts[first[new]], ends[first[new]], strict=True)]
             self._learn(distinct[new], texts)
         at = np.searchsorted(self.known, distinct)
-        lengths = self.length[at][which]
+        lengths = self.length[at].astype(np.int64)[which]
         upto = np.zeros(len(lengths) + 1, dtype=np.int64)
         np.cumsum(lengths, out=upto[1:])
-        ids = self.pool[np.repeat(self.place[at][which] - upto[:-1], lengths) + np.arange(upto[-1])]
+        ids = self.pool[np.repeat(self.place[at].astype(np.int64)[which] - upto[:-1], lengths) + np.arange(upto[-1])]
         return ids, upto[np.searchsorted(starts, offsets)]
 
     def column(self, texts: pa.Array) -> Iterator[np.ndarray]:

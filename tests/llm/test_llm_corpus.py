@@ -1,6 +1,7 @@
 """The operators on documents against plain versions, and on awkward tables."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -126,10 +127,19 @@ def test_near_duplicates_edges(spark):
         1: (0, 1), 2: (0, 2), 3: (0, 3), 4: (0, 4), 5: (1, 5), 6: (1, 5), 7: (86, 7), 8: (87, 7), 9: (29996, 9)
     }
     kept = neardup.representatives(table(spark, rows))
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 7, 9] and kept.columns == table(spark, []).columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [1, 2, 3, 4, 5, 7, 9] and kept.columns == table(spark, []).columns
     assert neardup.near_duplicates(table(spark, [])).count() == 0 and neardup.representatives(table(spark, [])).count() == 0
 
 
+def test_rows_of_one_doc_id_are_judged_by_their_texts(spark):
+    one, other, third = prose(1, 90), prose(2, 90), prose(3, 90)
+    rows = [(1, one), (1, other), (1, other), (2, one + " x"), (3, other), (None, third), (None, third), (None, prose(4, 90)), (5, third + " y")]
+    kept = sorted((r.doc_id or 0, r.text) for r in neardup.representatives(table(spark, rows)).collect())
+    assert kept == sorted([(1, one), (1, other), (0, prose(4, 90)), (5, third + " y")])
+    found = {(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(table(spark, rows)).collect()}
+    assert found == {(1, 1, True), (2, 1, False), (3, 1, False), (None, 5, False), (None, None, True), (5, 5, True)}
+
+
 def test_signatures_within_the_distance_share_a_key():
     rng = np.random.default_rng(1)
     for _ in range(300):
@@ -172,19 +182,6 @@ def test_edit_distance():
         assert lines.edit_distance(a, b) == plain.edit_distance(a, b)
 
 
-def test_simhash_pairs_within_three_bits_share_two_blocks(spark):
-    rng = random.Random(2)
-    rows = []
-    for i in range(300):
-        code = rng.getrandbits(64)
-        other = code
-        for bit in rng.sample(range(64), 3):
-            other ^= 1 << bit
-        rows += [(i, code - (1 << 64) if code >> 63 else code), (i, other - (1 << 64) if other >> 63 else other)]
-    keys = spark.createDataFrame(rows, "i long, simhash long").select("i", F.explode(lines._keys()).alias("k"))
-    assert keys.groupBy("i", "k").count().where("count > 1").select("i").distinct().count() == 300
-
-
 WORDS_OF_LINE = re.compile("[0-9a-z\x80-\U0010ffff]+")
 
 
@@ -197,14 +194,14 @@ def test_lines(spark, documents):
         left, out = got[i].text.split("\n"), 0
         for line in text.split("\n"):
             norm = tuple(WORDS_OF_LINE.findall(line.translate(plain.LOWER)))
-            stays = bool(left) and left[0] == line and (len(norm) < 3 or norm not in seen)
+            stays = bool(left) and left[0] == line and (not norm or norm not in seen)
             if stays:
                 left.pop(0)
             else:
                 out += 1
                 if norm not in seen:
                     gone.append(norm)
-            if len(norm) >= 3:
+            if norm:
                 seen.setdefault(norm, i)
         assert left in ([], [""]) and out == got[i].lines_removed and got[i].lines_before == len(text.split("\n"))
     for norm in gone:
@@ -222,12 +219,24 @@ def test_lines_edges(spark):
     assert out.columns == [*df.columns, "lines_before", "lines_removed"]
     got = sorted(((r.doc_id or 0, r.text, r.lines_before, r.lines_removed) for r in out.collect()), key=str)
     assert got == sorted(
-        [(1, f"{long}\nx y\n\n", 4, 0), (2, "x y\nnew words here", 3, 1), (3, "", 1, 1), (4, None, 0, 0), (5, "", 0, 0), (0, long, 1, 0)]
+        [(1, f"{long}\nx y\n\n", 4, 0), (2, "new words here", 3, 2), (3, "", 1, 1), (4, None, 0, 0), (5, "", 0, 0), (0, long, 1, 0)]
         + [(6, "one two three", 1, 0)] * 2
         + [(7, "--- \n--- \n---", 3, 0)],
         key=str,
     )
     assert lines.deduplicate_lines(table(spark, [])).count() == 0
+    short = {r.doc_id: r.text for r in lines.deduplicate_lines(df, min_words=3).collect()}
+    assert short[2] == "x y\nnew words here"
+
+
+def test_lines_of_texts_that_share_a_doc_id(spark):
+    """A line belongs to its text: what one text of a doc_id loses does not depend on the other's line numbers."""
+    rows = [(1, "first line here\nsecond line there"), (2, "other words stand\nsecond line there"), (2, "second line there\nmore of it")]
+    rows += [(2, "second line there\nmore of it"), (3, "more of it\nthe last one")]
+    out = lines.deduplicate_lines(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text, r.lines_removed) for r in out) == [
+        (1, rows[0][1], 0), (2, "more of it", 1), (2, "more of it", 1), (2, "other words stand", 1), (3, "the last one", 1)
+    ]
 
 
 def edited_lines(seed, n):
@@ -303,6 +312,14 @@ def test_containment(spark, documents, monkeypatch, slice_):
     assert clean.columns == table(spark, []).columns
 
 
+def test_contaminated_rows_go_by_their_text(spark):
+    item, good = prose(5, 40), prose(6, 80)
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, good + " " + item), (1, good), (None, item), (None, good), (2, None)]
+    left = decontaminate.clean(table(spark, rows), benchmark)
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == sorted([(1, good), (0, good), (2, "")])
+
+
 def test_containment_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(table(spark, [(1, "a b")]), none).count() == 0
@@ -432,9 +449,67 @@ def test_quality_edges(spark):
     assert quality.classify(table(spark, []), labels).count() == 0
 
 
+def plain_posteriors(rows):
+    """rows: (host, path, low, toxic log-odds). Each row's posteriors with its own evidence left out of its path, and the decision."""
+    rate = lambda x: 1 / (1 + math.exp(-x))
+    odds = lambda p: math.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+    out = [[] for _ in rows]
+    for t in (2, 3):
+        paths, hosts = {}, {}
+        for r in rows:
+            for groups, key in ((paths, r[:2]), (hosts, r[0])):
+                n, total = groups.get(key, (0, 0.0))
+                groups[key] = (n + 1, total + rate(r[t]))
+        centre = sum(x for _, x in hosts.values()) / len(rows)
+
+        def strength(groups, middle):
+            chance = [middle(k) * (1 - middle(k)) for k in groups]
+            spread = sum(n * (x / n - middle(k)) ** 2 - c for (k, (n, x)), c in zip(groups.items(), chance, strict=True))
+            excess = spread / sum(n for n, _ in groups.values())
+            return min(1e6, sum(chance) / len(chance) / excess) if excess > 1e-9 else 1e6
+
+        strong = strength(hosts, lambda k: centre)
+        at = {k: (strong * centre + x) / (strong + n) for k, (n, x) in hosts.items()}
+        within = strength(paths, lambda k: at[k[0]])
+        for r, own in zip(rows, out, strict=True):
+            n, total = paths[r[:2]]
+            site = (within * at[r[0]] + max(total - rate(r[t]), 0)) / (within + n - 1)
+            own.append(rate(r[t] - odds(centre) + odds(site)))
+    return [(low, toxic, low <= 0.5 and toxic <= 0.5) for low, toxic in out]
+
+
+def test_posteriors_and_decisions_against_a_plain_version(spark, documents):
+    sf = "/root/testdata/sf0.001"
+    got = quality.classify(documents, spark.read.parquet(f"{sf}/labels.parquet")).collect()
+    rows = [(r.host, r.path, r.low_evidence, r.toxic_evidence) for r in got]
+    for r, (low, toxic, kept) in zip(got, plain_posteriors(rows), strict=True):
+        assert r.low_rate == pytest.approx(low, abs=1e-9) and r.toxic_rate == pytest.approx(toxic, abs=1e-9) and r.kept == kept
+
+
+def test_the_sample_is_bounded_by_rows(spark, monkeypatch):
+    """A labelled id on many rows takes one place of the sample."""
+    monkeypatch.setattr(quality, "SAMPLE", 3)
+    rows = [(1, f"text number {i}") for i in range(300)] + [(i, f"other text {i}") for i in range(2, 6)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 6)], "doc_id long, quality int, toxic int")
+    models = quality.train(table(spark, rows), labels)
+    # Shares of three rows, however many texts an id has.
+    assert set(models) == set(quality.TARGETS) and all(m.rate * 3 == pytest.approx(round(m.rate * 3)) for m in models.values())
+
+
+def test_rejection_is_by_row(spark, documents):
+    """A good text stays whatever other text shares its doc_id, and a text without doc_id is judged like others."""
+    sf = "/root/testdata/sf0.001"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    changed = documents.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit(7)).when(F.col("doc_id") % 3 == 1, F.col("doc_id")))
+    judged = quality.classify(changed, labels).collect()
+    assert {r.doc_id for r in judged if not r.kept} & {7, None} and {r.doc_id for r in judged if r.kept} >= {7, None}
+    assert quality.keep(changed, labels).count() == sum(r.kept for r in judged)
+
+
 def test_a_bad_site_counts_and_a_sparse_one_shrinks(spark):
     rows = [("bad", "bad/a", 4.0)] * 300 + [("few", "few/a", 4.0)] + [(f"ok{i % 20}", f"ok{i % 20}/a", -4.0) for i in range(3000)]
     scored = spark.createDataFrame([(i, h, p, e, -9.0) for i, (h, p, e) in enumerate(rows)], "doc_id long, host string, path string, low double, toxic double")
     sites, rates = quality.posteriors(scored)
-    rate = {r.host: r.low_site for r in sites.collect()}
+    far = sites.withColumns({"low": F.lit(-99.0), "n": F.col("n") + 1})  # one more document that adds nothing
+    rate = {r.host: r.rate for r in far.select("host", quality.own_site("low").alias("rate")).collect()}
     assert rate["bad"] > 0.9 > rate["few"] > rates["low"] > max(rate[f"ok{i}"] for i in range(20))
