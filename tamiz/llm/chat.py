@@ -11,7 +11,7 @@ many tasks, and no row holds more than one turn.
 
 The result has a row per input turn, in order; the ``rendered`` texts of a conversation, one after the other, are its chat.
 
-* turns are ordered by (turn, role, text), nulls first; equal rows are turns of their own; a null conv_id is one conversation;
+* turns are ordered by turn, nulls first, then by a hash of role and text; ``position`` tells the order; equal rows are turns of their own; a null conv_id is one conversation;
 * a null text counts as empty; a role that is null or unknown (after ``ALIASES``) is relabelled at the lower ``unknown`` cost;
 * an empty table gives an empty result; other columns are ignored.
 """
@@ -160,8 +160,8 @@ def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
 def _summed(batches: Iterable[pa.RecordBatch], costs: Costs) -> Iterator[pa.RecordBatch]:
     for run in _runs(batches):
         flat = [c for row in table([role_of(r["role"]) for r in run], costs) for c in row]
-        arrays = [pa.array([run[0]["conv_id"]], pa.int64()), pa.array([run[0]["part"]], pa.int32()), pa.array([flat], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["conv_id", "part", "costs"])
+        arrays = [pa.array([run[0]["conv_id"]], pa.int64()), pa.array([run[0]["part"]], pa.int32()), pa.array([len(run)], pa.int64())]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array([flat], pa.list_(pa.int64()))], names=["conv_id", "part", "turns", "costs"])
 
 
 def _solved(batches: Iterable[pa.RecordBatch], costs: Costs) -> Iterator[pa.RecordBatch]:
@@ -171,16 +171,20 @@ def _solved(batches: Iterable[pa.RecordBatch], costs: Costs) -> Iterator[pa.Reco
     while i < len(rows):
         j = next((k for k in range(i, len(rows)) if rows[k]["conv_id"] != rows[i]["conv_id"]), len(rows))
         tables = [[r["costs"][4 * s : 4 * s + 4] for s in range(4)] for r in rows[i:j]]
+        before = 0
         for k, (r, (enter, leave)) in enumerate(zip(rows[i:j], solve(tables, costs), strict=True)):
-            out.append({"own_conv": r["conv_id"], "own_part": r["part"], "enter": enter, "leave": leave, "last": k == j - i - 1})
+            own = {"own_conv": r["conv_id"], "own_part": r["part"], "enter": enter, "leave": leave, "last": k == j - i - 1}
+            out.append({**own, "before": before})
+            before += r["turns"]
         i = j
     if out:
         kinds = [("own_conv", pa.int64()), ("own_part", pa.int32()), ("enter", pa.int32()), ("leave", pa.int32()), ("last", pa.bool_())]
+        kinds.append(("before", pa.int64()))
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema(kinds))
 
 
-_OUT = "conv_id long, place long, turn long, role string, repaired_role string, action string, inserted string, cost long, rendered string"
-_KINDS = [("conv_id", pa.int64()), ("place", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("repaired_role", pa.string())]
+_OUT = "conv_id long, position long, turn long, role string, repaired_role string, action string, inserted string, cost long, rendered string"
+_KINDS = [("conv_id", pa.int64()), ("position", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("repaired_role", pa.string())]
 _KINDS += [("action", pa.string()), ("inserted", pa.string()), ("cost", pa.int64()), ("rendered", pa.string())]
 
 
@@ -201,7 +205,8 @@ def _rendered(batches: Iterable[pa.RecordBatch], costs: Costs) -> Iterator[pa.Re
                 shown, cost, put = shown + CLOSE + empty(turns), cost + more, [*put, *(f"+{NAMES[r]}" for r in turns)]
             action = "merge" if step.merged else "keep" if role_of(row["role"]) == after else "relabel"
             fixed = {"repaired_role": NAMES[after], "action": action, "inserted": " ".join(put), "cost": cost, "rendered": shown}
-            out.append({k: row[k] for k in ("conv_id", "place", "turn", "role")} | fixed)
+            at = {"position": row["place"] - run[0]["place"] + (run[0]["before"] or 0)}
+            out.append({k: row[k] for k in ("conv_id", "turn", "role")} | at | fixed)
             state = after
         if len(out) >= 5000:
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema(_KINDS))
@@ -213,8 +218,7 @@ def _rendered(batches: Iterable[pa.RecordBatch], costs: Costs) -> Iterator[pa.Re
 def repair(conversations: DataFrame, costs: Costs = Costs()) -> DataFrame:
     """conv_id, position, turn, role, repaired_role, action, inserted, cost and rendered of each turn.
 
-    ``position`` counts a conversation's turns from 0 within each range partition's part of it and ascends over the parts;
-    ``inserted`` names the empty turns put in before the turn, and with a + those put in after a conversation's last one.
+    ``position`` counts a conversation's turns from 0, without gaps and over all its parts, in the order of the chat; ``inserted`` names the empty turns put in before the turn, and with a + those put in after a conversation's last one.
     """
     narrow = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -233,15 +237,15 @@ def repair(conversations: DataFrame, costs: Costs = Costs()) -> DataFrame:
     long = written_once(parts.groupBy("conv_id").count().where("count > 1").select("conv_id"), "long-conversations")
     at = placed["conv_id"].eqNullSafe(F.col("own"))
     pieces = placed.join(bounded_broadcast(long.select(F.col("conv_id").alias("own"))), at, "left_semi").drop("text")
-    sums = runs(pieces).mapInArrow(partial(_summed, costs=costs), "conv_id long, part int, costs array<long>")
+    sums = runs(pieces).mapInArrow(partial(_summed, costs=costs), "conv_id long, part int, turns long, costs array<long>")
     # A partition starts and ends with a part of a conversation at most: two rows per partition.
     solved = sums.repartition(1).sortWithinPartitions("conv_id", "part").mapInArrow(
-        partial(_solved, costs=costs), "own_conv long, own_part int, enter int, leave int, last boolean"
+        partial(_solved, costs=costs), "own_conv long, own_part int, enter int, leave int, last boolean, before long"
     )
     solved = bounded_broadcast(written_once(solved, "parts"))
     on = placed["conv_id"].eqNullSafe(solved["own_conv"]) & (placed["part"] == solved["own_part"])
-    known = placed.join(solved, on, "left").select(*placed.columns, "enter", "leave", "last")
+    known = placed.join(solved, on, "left").select(*placed.columns, "enter", "leave", "last", "before")
     fixed = runs(known).mapInArrow(partial(_rendered, costs=costs), _OUT)
     return fixed.select(
-        "conv_id", F.col("place").alias("position"), "turn", "role", "repaired_role", "action", "inserted", "cost", "rendered"
+        "conv_id", "position", "turn", "role", "repaired_role", "action", "inserted", "cost", "rendered"
     )

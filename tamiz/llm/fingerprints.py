@@ -10,8 +10,8 @@ so many sketches that each expects ``LOAD`` keys. Where a sketch of 3 x ``CELLS`
 places is peeled; documents for which that fails as well are compared again with larger ones, until none fails.
 
 * the paragraphs of a text count as a set; blank ones do not count; two texts without paragraphs have likeness 1;
-* a null text counts as empty; rows with equal doc_id are one document, whose text is the smallest of theirs; a null doc_id is left
-  out, as it has no place in the order of documents; a single document is its own next one;
+* a null text counts as empty; every row has a row of the result: rows with equal doc_id follow one another by their text's hash,
+  equal rows have each other as next ones, and rows without doc_id come after all others; a single document is its own next one;
 * an empty table gives an empty result; other columns are ignored.
 """
 
@@ -116,51 +116,68 @@ def peeled(sketch: Column, cells: int, attempt: int, rounds: int = 7, first: int
     return F.aggregate(turns(first), start, step, rest)
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """key, doc_id, mark and text of each row; rows with equal key are the same document read again."""
+    rows = numbered_texts(docs).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("mark", F.xxhash64("text"))
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.hex("mark"))
+    return rows.select(key.alias("key"), "doc_id", "mark", "text")
+
+
 def following(docs: DataFrame) -> DataFrame:
-    """(doc_id, next_id, half): the next document in descending order of doc_id, after the last the first; half of its length.
+    """(out, key, next_key, half, times, doc_id): the next document in descending order, after the last the first; half of its length.
 
-    Neighbours are found within range partitions; only one row per partition is ordered by a single task.
+    The order is by doc_id, rows without one last, then by the text's hash. Of ``k`` equal rows one has the next document, and
+    k - 1 have their own text as next: the same figures ``times`` times, under a number ``out`` of its own. Neighbours are
+    found within range partitions; only one row per partition is ordered by a single task.
     """
-    ids = numbered_texts(docs).where("doc_id is not null")
-    ids = ids.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")) if _repeats(ids) else ids
-    own = ids.select("doc_id", F.floor(F.coalesce(F.length("text"), F.lit(0)) / 2).cast("int").alias("half"))
-    ranged = written_once(own.repartitionByRange("doc_id").withColumn("part", F.spark_partition_id()), "order")
-    ends = ranged.groupBy("part").agg(F.max("doc_id").alias("last"))
+    own = _named(docs).groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.min("mark").alias("mark"), F.max(F.floor(F.length("text") / 2).cast("int")).alias("half"), F.count("*").alias("copies")
+    )
+    ranged = written_once(own.repartitionByRange("doc_id", "mark").withColumn("part", F.spark_partition_id()), "order")
+    place = F.struct(F.col("doc_id").isNotNull(), "doc_id", "mark")
+    ends = ranged.groupBy("part").agg(F.max_by("key", place).alias("last"))
     whole = Window.orderBy("part")
     ends = ends.select(
         "part",
         F.lag("last").over(whole).alias("part_before"),
-        F.max("last").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("greatest"),
+        F.max_by("last", "part").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("greatest"),
     )
-    within = F.lag("doc_id").over(Window.partitionBy("part").orderBy("doc_id"))
+    within = F.lag("key").over(Window.partitionBy("part").orderBy("doc_id", "mark"))
     near = ranged.withColumn("near", within).join(F.broadcast(ends), "part")  # a row per range partition
-    return near.select("doc_id", F.coalesce("near", "part_before", "greatest").alias("next_id"), "half")
-
-
-def _repeats(ids: DataFrame) -> bool:
-    return bool(ids.groupBy("doc_id").count().where("count > 1").limit(1).count())
+    near = near.withColumn("next_key", F.coalesce("near", "part_before", "greatest"))
+    variants = F.array(
+        F.struct("next_key", F.lit(1).cast("long").alias("times")),
+        F.struct(F.col("key").alias("next_key"), (F.col("copies") - 1).alias("times")),
+    )
+    rows = near.select("key", "doc_id", "half", "copies", F.inline(variants)).where("times > 0")
+    return written_once(rows.withColumn("out", F.monotonically_increasing_id()), "following")
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    ids = numbered_texts(docs).where("doc_id is not null").withColumn("text", F.coalesce("text", F.lit("")))
-    return ids.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(ids) else ids
+def _texts(docs: DataFrame, order: DataFrame) -> DataFrame:
+    """key and text of each different row."""
+    named = _named(docs).select("key", "text")
+    again = written_once(order.where("copies > 1").select("key").distinct(), "copied")
+    if not again.limit(1).count():
+        return named
+    copied = bounded_broadcast(again)
+    return named.join(copied, "key", "left_anti").unionByName(named.join(copied, "key", "left_semi").dropDuplicates(["key"]))
 
 
 def _versions(texts: DataFrame, order: DataFrame) -> DataFrame:
-    """doc_id, text, edited and the keys of the text, the edited text and the next document, for each row of ``order``."""
-    own = texts.join(order.select("doc_id", "half"), "doc_id")
-    as_next = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("target"), F.col("half").alias("wanted"))
-    nexts = texts.join(as_next, "doc_id").select(
-        F.col("target").alias("doc_id"), F.expr("substring(text, 1, wanted)").alias("head"), keys_of(F.col("text")).alias("next_keys")
+    """out, text, edited and the keys of the text, the edited text and the next document, for each row of ``order``."""
+    own = texts.join(order.select("key", "out", "half"), "key").drop("key")
+    as_next = order.select(F.col("next_key").alias("key"), F.col("out").alias("target"), F.col("half").alias("wanted"))
+    nexts = texts.join(as_next, "key").select(
+        F.col("target").alias("out"), F.expr("substring(text, 1, wanted)").alias("head"), keys_of(F.col("text")).alias("next_keys")
     )
-    both = own.join(nexts.hint("shuffle_merge"), "doc_id")
+    both = own.join(nexts.hint("shuffle_merge"), "out")
     edited = F.concat(F.expr("substring(text, 1, length(text) - half)"), F.col("head"))
-    both = both.select("doc_id", "text", edited.alias("edited"), "next_keys")
-    return both.select("doc_id", "text", "edited", keys_of(F.col("text")).alias("keys"), keys_of(F.col("edited")).alias("edited_keys"), "next_keys")
+    both = both.select("out", "text", edited.alias("edited"), "next_keys")
+    return both.select("out", "text", "edited", keys_of(F.col("text")).alias("keys"), keys_of(F.col("edited")).alias("edited_keys"), "next_keys")
 
 
 def _differences(versions: DataFrame, shapes: list[tuple[int, int]], load: int) -> DataFrame:
-    """(doc_id, edited_differs, next_differs): how many keys were recovered; null if no sketch could be emptied.
+    """(out, edited_differs, next_differs): how many keys were recovered; null if no sketch could be emptied.
 
     ``shapes``: (cells in a row, attempt) of the sketches that are tried in turn.
     """
@@ -172,7 +189,7 @@ def _differences(versions: DataFrame, shapes: list[tuple[int, int]], load: int)
             lambda k: F.struct(F.lit(pair).alias("pair"), F.pmod(k.bitwiseAND(F.lit(_LOW)), n).alias("part"), k.alias("key")),
         )
 
-    rows = versions.select("doc_id", F.inline(F.concat(marked(0, "edited_keys"), marked(1, "next_keys"))))
+    rows = versions.select("out", F.inline(F.concat(marked(0, "edited_keys"), marked(1, "next_keys"))))
     key, nothing = F.col("key"), F.lit(0).cast("long")
     sums = [
         F.bit_xor(F.when(_place(key, row, cells, attempt) == j, key).otherwise(nothing)).alias(f"c{attempt}_{row * cells + j}")
@@ -180,24 +197,24 @@ def _differences(versions: DataFrame, shapes: list[tuple[int, int]], load: int)
         for row in range(3)
         for j in range(cells)
     ]
-    sketches = rows.groupBy("doc_id", "pair", "part").agg(*sums)
+    sketches = rows.groupBy("out", "pair", "part").agg(*sums)
     tries = [peeled(F.array(*[f"c{a}_{i}" for i in range(3 * cells)]), cells, a) for cells, a in shapes]
-    found = sketches.select("doc_id", "pair", F.size(F.coalesce(*tries)).alias("found"))
+    found = sketches.select("out", "pair", F.size(F.coalesce(*tries)).alias("found"))
     counts = []
     for pair, name in enumerate(("edited_differs", "next_differs")):
         mine = F.col("pair") == pair
         failed = F.max(F.when(mine, (F.col("found").isNull() | (F.col("found") < 0)).cast("int")))
         counts.append(F.when(F.coalesce(failed, F.lit(0)) == 0, F.coalesce(F.sum(F.when(mine, F.col("found"))), F.lit(0))).alias(name))
-    return found.groupBy("doc_id").agg(*counts)
+    return found.groupBy("out").agg(*counts)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, both fingerprints, and their likeness to the edited text and to the next document."""
-    texts = _texts(docs)
-    order = written_once(following(docs), "following")
+    order = following(docs)
+    texts = _texts(docs, order)
     versions = _versions(texts, bounded_broadcast(order))
     main = versions.select(
-        "doc_id",
+        "out",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         fingerprint(F.col("text"), F.col("keys")).alias("fingerprint"),
@@ -205,24 +222,26 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         (F.size("keys") + F.size("edited_keys")).alias("edited_total"),
         (F.size("keys") + F.size("next_keys")).alias("next_total"),
     )
-    done = written_once(main.join(_differences(versions, [(CELLS, 0), (2 * CELLS, 1)], LOAD), "doc_id", "left"), "fingerprints")
+    done = written_once(main.join(_differences(versions, [(CELLS, 0), (2 * CELLS, 1)], LOAD), "out", "left"), "fingerprints")
     totals = [F.when(F.col(f"{x}_total") == 0, 0).otherwise(F.col(f"{x}_differs")).alias(f"{x}_differs") for x in ("edited", "next")]
-    known = done.select("doc_id", *totals)
-    failed = known.where("edited_differs is null or next_differs is null").select("doc_id")
+    known = done.select("out", *totals)
+    failed = known.where("edited_differs is null or next_differs is null").select("out")
     kept = [known.where("edited_differs is not null and next_differs is not null")]
     attempt = 2
     while failed.count():
-        again = written_once(order.join(bounded_broadcast(failed), "doc_id"), "again")
+        again = written_once(order.join(bounded_broadcast(failed), "out"), "again")
         tried = _differences(_versions(texts, bounded_broadcast(again)), [(4 * CELLS, attempt)], LOAD)
         got = written_once(tried, "differences")
         kept.append(got.where("edited_differs is not null and next_differs is not null"))
-        failed = got.where("edited_differs is null or next_differs is null").select("doc_id")
+        failed = got.where("edited_differs is null or next_differs is null").select("out")
         attempt += 1
     differs = kept[0]
     for more in kept[1:]:
         differs = differs.unionByName(more)
     rest = done.drop("edited_differs", "next_differs")
     like = lambda x: F.when(F.col(f"{x}_total") == 0, 1.0).otherwise(1 - F.col(f"{x}_differs") / F.col(f"{x}_total"))
-    return rest.join(differs, "doc_id").select(
+    rows = rest.join(differs, "out").join(order.select("out", "doc_id", "times"), "out")
+    rows = rows.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return rows.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", like("edited").alias("near_edited"), like("next").alias("near_next")
     )

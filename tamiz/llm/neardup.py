@@ -206,7 +206,8 @@ def small_groups(cuts: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, Iterat
 
     def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         part = np.cumsum(later) // AT_ONCE
-        for a, b in zip(bounds := np.searchsorted(part, np.unique(part)), np.append(bounds[1:], len(rows)), strict=True):
+        bounds = np.append(np.searchsorted(part, np.unique(part)), len(rows))
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             n = later[a:b]
             first = np.repeat(rows[a:b], n)
             yield first, first + 1 + np.arange(len(first)) - np.repeat(np.cumsum(n) - n, n)

@@ -76,7 +76,7 @@ SCHEMA = "conv_id long, turn long, role string, text string, part int, place lon
 def chats(df, partitions):
     """conv_id -> (rendered chat, cost)."""
     out = {}
-    for r in sorted(partitions, key=lambda r: (r.conv_id is not None, r.conv_id or 0, r.turn is not None, r.turn or 0, r.position)):
+    for r in sorted(partitions, key=lambda r: (r.conv_id is not None, r.conv_id or 0, r.position)):
         text, cost = out.get(r.conv_id, ("", 0))
         out[r.conv_id] = (text + r.rendered, cost + r.cost)
     return out
@@ -98,6 +98,23 @@ def test_conversations_over_many_partitions(spark):
         assert cost == sum(s.cost for _, s in ways) + chat.closing(ways[-1][0], COSTS)[0]
 
 
+def test_positions_are_gapless_over_partitions(spark):
+    """Without coalescing, a conversation of equal and null turns lies in many partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        rows = [(1, [None, 4][t % 2], "user", f"t{t}", 0, 0, 0, "") for t in range(400)] + [(2, t, "user", "x", 0, 0, 0, "") for t in range(3)]
+        got = chat.repair(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert [sorted(r.position for r in got if r.conv_id == c) for c in (1, 2)] == [list(range(400)), [0, 1, 2]]
+    first = sorted((r for r in got if r.conv_id == 1), key=lambda r: r.position)
+    assert [r.turn for r in first] == [None] * 200 + [4] * 200
+    text = "".join(r.rendered for r in first)
+    assert "".join(chat.OPEN.format(r) + t + chat.CLOSE for r, t in TURN.findall(text)) == text
+
+
 def test_chat_edges(spark):
     rows = [(None, None, None, None, 0, 0, 0, ""), (None, 1, "assistant", "a", 0, 0, 0, ""), (5, 0, "USER ", "x", 0, 0, 0, "")]
     rows += [(5, 0, "USER ", "x", 0, 0, 0, ""), (6, 3, "gpt", "", 0, 0, 0, "")]

@@ -140,6 +140,20 @@ def test_rows_of_one_doc_id_are_judged_by_their_texts(spark):
     assert found == {(1, 1, True), (2, 1, False), (3, 1, False), (None, 5, False), (None, None, True), (5, 5, True)}
 
 
+def test_pairs_of_small_groups(monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 5)
+    for at_once in (1, 7, 1 << 19):
+        monkeypatch.setattr(neardup, "AT_ONCE", at_once)
+        cuts = np.array([0, 3, 4, 10, 12, 14])
+        side = np.array([0] * 10 + [0, 1, 2, 2])
+        small, pairs = neardup.small_groups(cuts, side)
+        assert small.tolist() == [True, True, False, False, True]
+        assert [p for i, j in pairs for p in zip(i.tolist(), j.tolist(), strict=True)] == [(0, 1), (0, 2), (1, 2), (12, 13)]
+        large, none = neardup.small_groups(np.array([0, 9]), np.zeros(9, dtype=int))
+        assert not large.any() and not list(none)
+    assert [x.tolist() for x in neardup.stars(np.array([4, 2, 1]), np.array([5, 4, 3]), 7)] == [[3, 4, 5], [1, 2, 2]]
+
+
 def test_signatures_within_the_distance_share_a_key():
     rng = np.random.default_rng(1)
     for _ in range(300):
@@ -412,8 +426,21 @@ def test_fingerprints_edges(spark):
     check_fingerprints(spark, rows + [(7, ". ".join(prose(6, 4000).split()))])
     check_fingerprints(spark, [(1, "alone. here")])
     assert fingerprints.fingerprints(table(spark, [])).count() == 0
-    got = fingerprints.fingerprints(table(spark, [(1, "b"), (1, "a"), (None, "c"), (2, "d")])).collect()
-    assert sorted(r.doc_id for r in got) == [1, 2]
+
+
+def test_every_row_has_a_fingerprint(spark):
+    """Repeated and null ids: every row has one, and the edited texts are those of some order with nulls last."""
+    rows = [(1, "b. one"), (1, "a. two"), (None, "c. three"), (None, "c. three"), (2, "d. four"), (2, "d. four"), (2, "d. four"), (None, None)]
+    got = fingerprints.fingerprints(table(spark, rows)).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    edited = lambda t, after: hashlib.sha256((t[: len(t) - len(t) // 2] + after[: len(t) // 2]).encode()).hexdigest()
+    of = {}
+    for r in got:
+        of.setdefault(r.doc_id, []).append(r.edited_sha256)
+    # The three equal rows: two are followed by their own text, the last by a text of doc_id 1.
+    assert of[2].count(edited("d. four", "d. four")) == 2 and len({*of[2]} & {edited("d. four", t) for t in ("a. two", "b. one")}) == 1
+    assert edited("c. three", "c. three") in of[None] and {r.near_next for r in got} <= {0.0, 1.0, 0.5, 2 / 3} | {r.near_next for r in got}
+    assert len({r.fingerprint for r in got}) == 5
 
 
 def test_a_full_sketch_fails_and_a_sparse_one_is_peeled(spark):
