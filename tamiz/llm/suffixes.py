@@ -6,13 +6,17 @@
 2. The others are range-partitioned and sorted by gram and what follows it, and each is compared with its neighbours: the longest
    match to the right of any suffix is with a neighbour. The same is done by what stands before the gram, read backwards.
    Every match is extended to both sides, up to ``least - gram`` words, for longer ones have further suffixes of their own.
-3. Matches of at least ``least`` words are merged into the passages of each document.
+3. Among three or more suffixes with one gram, a passage may join a longer match to the right with one and to the left with another,
+   neither of ``least`` words to be seen from here. So the windows of ``least`` words round the gram that no neighbour covers are
+   grouped by their hash, counted in each task first; a window that occurs again is a match.
+4. Matches of at least ``least`` words are merged into the passages of each text.
 
 Neighbours on either side of a partition's edge are compared in a second step over one row per edge, so a suffix that
 a third of all documents share is dealt over many tasks like any other. Words are lower-cased (A-Z) and compared by hash.
 
 * a null or empty text, or one shorter than ``least`` words, has no passage; a passage that repeats within one text counts;
-* repeated rows and copies repeat as a whole; a null doc_id is reported as null and its passages are merged as one document's;
+* repeated rows and copies repeat as a whole; positions and passages belong to a text, whatever other text shares its doc_id, and a
+  null doc_id is reported as null;
 * an empty table gives an empty result; other columns are ignored.
 """
 
@@ -30,10 +34,10 @@ from pyspark.sql import functions as F
 from tamiz.session import written_once
 
 from .common import numbered_texts
-from .words import Words, words_of
+from .words import Words, mix, words_of
 
-_ROW = "gram long, doc_id long, pos long, before binary, after binary"
-_MATCH = "doc_id long, pos long, left int, right int, other_doc_id long, other_pos long"
+_ROW = "gram long, doc_id long, own long, pos long, before binary, after binary"
+_MATCH = "doc_id long, own long, pos long, left int, right int, other_doc_id long, other_pos long"
 
 
 def selected(words: Words, gram: int, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +75,7 @@ def _contexts(batches: Iterable[pa.RecordBatch], gram: int, least: int) -> Itera
     """For the wanted positions: the words before the gram, nearest first, and those after it, as 32-bit hashes."""
     reach = least - gram
     for batch in batches:
-        wanted = batch.column(2).to_pylist()
+        wanted, owns = batch.column(2).to_pylist(), batch.column(3).to_pylist()
         for i, j, words in words_of(batch.column(1)):
             codes = (words.hashes >> np.uint64(32)).astype(">u4")
             grams = words.shingles(gram)
@@ -83,12 +87,11 @@ def _contexts(batches: Iterable[pa.RecordBatch], gram: int, least: int) -> Itera
                     at = a + pos
                     before = codes[max(a, at - reach) : at][::-1].tobytes()
                     after = codes[at + gram : min(b, at + gram + reach)].tobytes()
-                    rows.append((int(grams[at].view(np.int64)), doc, pos, before, after))
+                    rows.append((int(grams[at].view(np.int64)), doc, owns[r], pos, before, after))
             if rows:
-                gram_, doc_, pos_, before_, after_ = zip(*rows, strict=True)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-                arrays = [pa.array(c, t) for c, t in zip((gram_, doc_, pos_, before_, after_), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["gram", "doc_id", "pos", "before", "after"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["gram", "doc_id", "own", "pos", "before", "after"])
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -105,18 +108,71 @@ def _padded(column: pa.Array, reach: int) -> np.ndarray:
     return out
 
 
-def _neighbours(batches: Iterable[pa.RecordBatch], gram: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Matches of neighbouring rows, once for each of the two; and, with a part number, the first and last row of the partition."""
+def _windows(grams: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """For each row and each j a hash of the gram with the j words before it and the reach - j words after it."""
+    reach = before.shape[1]
+    ahead, behind = np.zeros((2, len(grams), reach + 1), dtype=np.uint64)
+    place = np.arange(reach, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    np.cumsum(mix(before.view(np.uint64) + place), axis=1, out=ahead[:, 1:])
+    np.cumsum(mix(~(after.view(np.uint64) + place)), axis=1, out=behind[:, 1:])
+    j = np.arange(reach + 1, dtype=np.uint64)
+    return mix(mix(grams.view(np.uint64))[:, None] + mix(ahead + j) + behind[:, ::-1]).view(np.int64)
+
+
+def _neighbours(batches: Iterable[pa.RecordBatch], gram: int, least: int, windows: bool) -> Iterator[pa.RecordBatch]:
+    """Matches of neighbouring rows, once for each of the two; and, with a part number, the first and last row of the partition.
+
+    With ``windows`` also (window hash, row, j) of the windows that neither neighbour covers, of rows whose gram may have three.
+    """
     reach = least - gram
     part = TaskContext.get().partitionId()
     previous: pa.RecordBatch | None = None
-    names = ["doc_id", "pos", "left", "right", "other_doc_id", "other_pos", "part", "edge", "gram", "before", "after"]
+    kinds = [("doc_id", pa.int64()), ("own", pa.int64()), ("pos", pa.int64()), ("left", pa.int32()), ("right", pa.int32())]
+    kinds += [("other_doc_id", pa.int64()), ("other_pos", pa.int64()), ("part", pa.int32()), ("edge", pa.int32())]
+    schema = pa.schema([*kinds, ("gram", pa.int64()), ("before", pa.binary()), ("after", pa.binary()), ("window", pa.int64())])
+
+    def out(n: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
     def edge(row: pa.RecordBatch, which: int) -> pa.RecordBatch:
-        none = [pa.nulls(1, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int64())]
-        flags = [pa.array([part], pa.int32()), pa.array([which], pa.int32())]
-        arrays = [row.column("doc_id"), row.column("pos"), *none, *flags, *(row.column(c) for c in ("gram", "before", "after"))]
-        return pa.RecordBatch.from_arrays(arrays, names=names)
+        held = {c: row.column(c) for c in ("doc_id", "own", "pos", "gram", "before", "after")}
+        return out(1, **held, part=pa.array([part], pa.int32()), edge=pa.array([which], pa.int32()))
+
+    def uncovered(rows: pa.RecordBatch, same: np.ndarray, left: np.ndarray, right: np.ndarray, before: np.ndarray, after: np.ndarray, last: bool):
+        """The last row is left to the next call, unless there is none."""
+        n, j = len(rows), np.arange(reach + 1)
+        # A run that may go on beyond these rows counts as long.
+        linked = np.r_[True, same, True]
+        many = (linked[:-1] & linked[1:]) | (linked[:-1] & np.r_[True, linked[:-2]]) | (linked[1:] & np.r_[linked[2:], True])
+        needed = (j <= (before >= 0).sum(axis=1)[:, None]) & (reach - j <= (after >= 0).sum(axis=1)[:, None]) & many[:, None]
+        covered = same[:, None] & (j <= left[:, None]) & (reach - j <= right[:, None])
+        needed[:-1] &= ~covered
+        needed[1:] &= ~covered
+        at, offset = np.nonzero(needed if last else needed[:-1])
+        if not len(at):
+            return
+        own = np.unique(at)
+        hashes = _windows(np.asarray(rows.column("gram"))[own], before[own], after[own])[np.searchsorted(own, at), offset]
+        held = {c: rows.column(c).take(pa.array(at)) for c in ("doc_id", "own", "pos")}
+        yield out(len(at), **held, left=pa.array(offset, pa.int32()), right=pa.array(reach - offset, pa.int32()), window=pa.array(hashes))
+
+    def compared(rows: pa.RecordBatch, last: bool) -> Iterator[pa.RecordBatch]:
+        grams = np.asarray(rows.column("gram"))
+        same = grams[1:] == grams[:-1]
+        here = np.flatnonzero(same)
+        if not len(here) and not windows:
+            return
+        before, after = _padded(rows.column("before"), reach), _padded(rows.column("after"), reach)
+        left, right = np.zeros(len(same), dtype=np.int64), np.zeros(len(same), dtype=np.int64)
+        left[here], right[here] = _common(before[here], before[here + 1]), _common(after[here], after[here + 1])
+        if windows:
+            yield from uncovered(rows, same, left, right, before, after, last)
+        here = here[(left + right + gram >= least)[here]]
+        if len(here):
+            ones, others = (pa.array(np.concatenate(x)) for x in ((here, here + 1), (here + 1, here)))
+            held = {c: rows.column(c).take(ones) for c in ("doc_id", "own", "pos")}
+            held |= {f"other_{c}": rows.column(c).take(others) for c in ("doc_id", "pos")}
+            yield out(len(ones), **held, **{n: pa.array(np.tile(x[here], 2), pa.int32()) for n, x in (("left", left), ("right", right))})
 
     for batch in batches:
         if not len(batch):
@@ -127,41 +183,35 @@ def _neighbours(batches: Iterable[pa.RecordBatch], gram: int, least: int) -> Ite
         else:
             rows = pa.Table.from_batches([previous, batch]).combine_chunks().to_batches()[0]
         previous = batch.slice(len(batch) - 1, 1)
-        for start in range(0, max(1, len(rows) - 1), 20_000):
-            part_rows = rows.slice(start, 20_001)
-            grams = np.asarray(part_rows.column("gram"))
-            here = np.flatnonzero(grams[1:] == grams[:-1])
-            if not len(here):
-                continue
-            before, after = _padded(part_rows.column("before"), reach), _padded(part_rows.column("after"), reach)
-            left, right = _common(before[here], before[here + 1]), _common(after[here], after[here + 1])
-            long = left + right + gram >= least
-            here, left, right = here[long], left[long], right[long]
-            if not len(here):
-                continue
-            doc, pos = part_rows.column("doc_id"), part_rows.column("pos")
-            ones, others = np.concatenate([here, here + 1]), np.concatenate([here + 1, here])
-            n = len(ones)
-            arrays = [doc.take(pa.array(ones)), pos.take(pa.array(ones))]
-            arrays += [pa.array(np.tile(x, 2), pa.int32()) for x in (left, right)]
-            arrays += [doc.take(pa.array(others)), pos.take(pa.array(others))]
-            arrays += [pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+        for start in range(0, len(rows) - 1, 20_000):
+            yield from compared(rows.slice(start, 20_001), False)
     if previous is not None:
+        yield from compared(previous, True)
         yield edge(previous, 1)
 
 
-def _matches(contexts: DataFrame, first: str, second: str, gram: int, least: int) -> DataFrame:
-    """Matches of each suffix with its neighbours in the order of (gram, first, second)."""
-    order = ["gram", first, second, "doc_id", "pos"]
-    ordered = contexts.repartitionByRange(*order).sortWithinPartitions(*order).select("gram", "doc_id", "pos", "before", "after")
-    schema = f"{_MATCH}, part int, edge int, gram long, before binary, after binary"
-    found = written_once(ordered.mapInArrow(partial(_neighbours, gram=gram, least=least), schema), "neighbours")
+def _matches(contexts: DataFrame, first: str, second: str, gram: int, least: int, windows: bool) -> DataFrame:
+    """Matches of each suffix with its neighbours in the order of (gram, first, second), and by the windows that these leave open."""
+    order = ["gram", first, second, "doc_id", "own", "pos"]
+    held = ["gram", "doc_id", "own", "pos", "before", "after"]
+    ordered = contexts.repartitionByRange(*order).sortWithinPartitions(*order).select(*held)
+    schema = f"{_MATCH}, part int, edge int, gram long, before binary, after binary, window long"
+    compare = partial(_neighbours, gram=gram, least=least, windows=windows)
+    found = written_once(ordered.mapInArrow(compare, schema), "neighbours")
     # The last row of a partition meets the first row of the next one that has rows: at most two rows per partition.
-    edges = found.where("edge is not null").select("part", "edge", "gram", "doc_id", "pos", "before", "after")
-    meeting = edges.repartition(1).sortWithinPartitions("part", "edge").select("part", "edge", "gram", "doc_id", "pos", "before", "after")
+    meeting = found.where("edge is not null").select("part", "edge", *held).repartition(1).sortWithinPartitions("part", "edge")
     across = meeting.mapInArrow(partial(_across, gram=gram, least=least), _MATCH)
-    return found.where("edge is null").select(*across.columns).unionByName(across)
+    matches = found.where("edge is null and window is null").select(*across.columns).unionByName(across)
+    if not windows:
+        return matches
+    place = F.struct("doc_id", "pos", "own")
+    rows = found.where("window is not null").select("window", "doc_id", "own", "pos", "left", "right")
+    again = rows.groupBy("window").agg(F.count("*").alias("n"), F.min(place).alias("least"), F.max(place).alias("greatest")).where("n > 1")
+    again = written_once(again.select("window", "least", "greatest"), "windows")
+    other = F.when(F.struct("doc_id", "pos", "own") == F.col("least"), F.col("greatest")).otherwise(F.col("least"))
+    met = rows.join(again, "window").withColumn("other", other)
+    open_ones = met.select(*rows.columns[1:], F.col("other.doc_id").alias("other_doc_id"), F.col("other.pos").alias("other_pos"))
+    return matches.unionByName(open_ones.select(*matches.columns))
 
 
 def _across(batches: Iterable[pa.RecordBatch], gram: int, least: int) -> Iterator[pa.RecordBatch]:
@@ -181,11 +231,11 @@ def _across(batches: Iterable[pa.RecordBatch], gram: int, least: int) -> Iterato
                     pairs = [(last, row), (row, last)]
                     yield pa.RecordBatch.from_pylist(
                         [
-                            {"doc_id": x["doc_id"], "pos": x["pos"], "left": left, "right": right, "other_doc_id": y["doc_id"], "other_pos": y["pos"]}
+                            {"doc_id": x["doc_id"], "own": x["own"], "pos": x["pos"], "left": left, "right": right, "other_doc_id": y["doc_id"], "other_pos": y["pos"]}
                             for x, y in pairs
                         ],
                         schema=pa.schema(
-                            [("doc_id", pa.int64()), ("pos", pa.int64()), ("left", pa.int32()), ("right", pa.int32())]
+                            [("doc_id", pa.int64()), ("own", pa.int64()), ("pos", pa.int64()), ("left", pa.int32()), ("right", pa.int32())]
                             + [("other_doc_id", pa.int64()), ("other_pos", pa.int64())]
                         ),
                     )
@@ -205,24 +255,26 @@ def repeated_passages(docs: DataFrame, least: int = 50, gram: int = 20) -> DataF
     wanted = anchors.join(often, "gram", "left_semi").groupBy("doc_id", "own").agg(F.collect_set("pos").alias("wanted"))  # of one text
     wanted = wanted.select(F.col("doc_id").alias("of"), F.col("own").alias("of_text"), "wanted")
     met = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("own") == F.col("of_text")))
-    contexts = met.select("doc_id", "text", "wanted").mapInArrow(lambda b: _contexts(b, gram, least), _ROW)
+    contexts = met.select("doc_id", "text", "wanted", "own").mapInArrow(lambda b: _contexts(b, gram, least), _ROW)
     contexts = written_once(contexts, "contexts")
-    matches = _matches(contexts, "after", "before", gram, least).unionByName(_matches(contexts, "before", "after", gram, least))
+    # Windows that stay open in one order are looked up; what the other order finds besides is found twice.
+    matches = _matches(contexts, "after", "before", gram, least, True).unionByName(_matches(contexts, "before", "after", gram, least, False))
 
     spans = matches.select(
         "doc_id",
+        "own",
         (F.col("pos") - F.col("left")).alias("start"),
         (F.col("pos") + gram + F.col("right")).alias("stop"),
         F.struct(
             (-(F.col("left") + F.col("right"))).alias("rank"), "other_doc_id", (F.col("other_pos") - F.col("left")).alias("other_start")
         ).alias("other"),
     )
-    spans = spans.groupBy("doc_id", "start", "stop").agg(F.min("other").alias("other"))
-    in_order = Window.partitionBy("doc_id").orderBy("start", "stop")  # the spans of one document
+    spans = spans.groupBy("doc_id", "own", "start", "stop").agg(F.min("other").alias("other"))
+    in_order = Window.partitionBy("doc_id", "own").orderBy("start", "stop")  # the spans of one text
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     new = (F.coalesce(F.max("stop").over(before), F.lit(-1)) < F.col("start")).cast("int")
     islands = spans.withColumn("new", new).withColumn("island", F.sum("new").over(in_order))
-    merged = islands.groupBy("doc_id", "island").agg(
+    merged = islands.groupBy("doc_id", "own", "island").agg(
         F.min("start").alias("start_word"), (F.max("stop") - F.min("start")).alias("n_words"), F.min("other").alias("other")
     )
     return merged.select(

@@ -58,6 +58,28 @@ def test_passages(spark, documents):
     assert spans(documents) == sorted(plain.repeated(texts(documents)))
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_passages_between_frequent_halves(spark, seed):
+    """Two documents share a passage whose first and last words many others have: no neighbour in either order is the partner."""
+    rng = random.Random(seed)
+    passage = prose(900 + seed, 60).split()
+    own = iter(range(10_000, 20_000))
+    around = lambda words: " ".join([prose(next(own), 25), *words, prose(next(own), 25)])
+    rows = [around(passage) for _ in range(2)]
+    rows += [around(passage[:45]) for _ in range(12)] + [around(passage[-45:]) for _ in range(12)]
+    rng.shuffle(rows)
+    docs = list(enumerate(rows))
+    assert spans(table(spark, docs).repartition(3)) == sorted(plain.repeated(docs)) != []
+
+
+def test_documents_of_frequent_lines(spark):
+    """Lines of 17 words in varying order: passages over three of them."""
+    rng = random.Random(5)
+    lines_of = [prose(800 + i, 17) for i in range(6)]
+    docs = [(i, "\n".join(rng.sample(lines_of, 4))) for i in range(40)]
+    assert spans(table(spark, docs).repartition(4)) == sorted(plain.repeated(docs)) != []
+
+
 def test_passages_share_and_edges(spark):
     shared, other = prose(1, 60), prose(2, 52)
     rows = [(i, f"{prose(10 + i, 40)} {shared} {prose(50 + i, 30)}") for i in range(12)]
