@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -16,6 +17,8 @@ from tamiz.session import literal_rows
 
 # Fixed value: the path part that marks daily files.
 DAILY_TOKEN = "_diario"
+#: Footers that the driver reads side by side.
+AT_ONCE = 16
 
 
 def all_text(df: DataFrame) -> DataFrame:
@@ -120,12 +123,14 @@ def _columns_of(spark: SparkSession, path: str) -> int | None:
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """(path, bytes, rows, columns, readable) per Parquet file.
 
-    A file is readable if its footer is, so an empty table is; one that is not is listed instead of ending the job. Rows come
-    from one scan that reads no column.
+    A file is readable if its footer is, so an empty table is; one that is not is listed instead of ending the job. The driver
+    reads AT_ONCE footers side by side; rows come from one scan that reads no column.
     """
     listed = list_files(spark, root)
     files = sorted(r[0] for r in listed.select("path").collect())
-    columns = [{"path": f, "columns": n} for f in files if (n := _columns_of(spark, f)) is not None]
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        counted = list(pool.map(lambda f: _columns_of(spark, f), files))
+    columns = [{"path": f, "columns": n} for f, n in zip(files, counted, strict=True) if n is not None]
     footers = literal_rows(spark, columns, "path string, columns int")
     found = listed.join(footers, "path", "left")
     if columns:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.functions.text import column, header_name, header_text, strip
+from tamiz.sources.parquet import list_files
 
 # Delimiters in the order they are tried, header aliases of dictionary files.
 DELIMITERS = (";", ",", "\t")
@@ -18,7 +19,9 @@ NAME_HEADERS = ("VARIABLE", "COLUMNA", "CAMPO")
 TYPE_HEADERS = ("TIPO_DATO", "TIPO", "TYPE")
 DESCRIPTION_HEADERS = ("DESCRIPCION", "DESCRIPCIÓN", "DESCRIPTION")
 UTF8, LATIN = "UTF-8", "ISO-8859-1"
-_OVERFLOW = "__overflow"
+_OVERFLOW, _PATH, _UTF8 = "__overflow", "__path", "__utf8"
+#: Files whose headers are read side by side.
+AT_ONCE = 16
 
 
 @dataclass(frozen=True)
@@ -29,23 +32,32 @@ class Landing:
     quarantine: DataFrame
 
 
-def _described_files(spark: SparkSession, *paths: str) -> list[tuple[str, str, bool]]:
-    """(path, first line, holds bytes that are not UTF-8) of every file with a line, from one scan. One row per file."""
-    lines = spark.read.text(list(paths)).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    placed = lines.withColumn("at", F.struct("file_block_start", F.monotonically_increasing_id()))
-    found = placed.groupBy("file_path").agg(
-        F.min_by("value", "at").alias("header"), F.bool_or(~F.is_valid_utf8("value")).alias("latin")
-    )
-    # The path of a scanned file is written as a URI.
-    return sorted((unquote(r["file_path"]), r["header"], r["latin"]) for r in found.collect())
+def _headers(spark: SparkSession, paths: Sequence[str], options: Mapping[str, str]) -> dict[str, list[str]]:
+    """path -> column names of every file with a line. Only first lines are read, of AT_ONCE files side by side."""
+    files = sorted({r["path"] for p in paths for r in list_files(spark, p, "*").select("path").collect()})
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        found = pool.map(lambda f: spark.read.options(**options, header="true").csv(f).columns, files)
+    return {f: names for f, names in zip(files, found, strict=True) if names}
 
 
-def _scan(spark: SparkSession, files: Sequence[str], sep: str, encoding: str, multi_line: bool) -> tuple[DataFrame, list[str]]:
-    options = {"header": "true", "sep": sep, "encoding": encoding, "mode": "PERMISSIVE", "multiLine": str(multi_line).lower()}
-    options["escape"] = '"'  # a quote inside a quoted field is doubled
-    names = [n.replace("\ufeff", "") for n in spark.read.options(**options).csv(files[0]).columns]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW]])
-    return spark.read.options(**options).schema(schema).csv(list(files)), names
+def _named(raw: str, encoding: str | None) -> str:
+    """A column name whose bytes were read as Latin-1, in the encoding that its bytes have."""
+    if encoding is None:
+        try:
+            raw = raw.encode(LATIN).decode(UTF8)
+        except UnicodeDecodeError:
+            pass
+    return raw.replace("\ufeff", "")
+
+
+def _decoded(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Fields whose bytes were read as Latin-1: as UTF-8 where all of the row's are, else as they are."""
+    as_utf8 = {n: F.encode(column(n), LATIN).cast("string") for n in names}
+    valid = F.lit(True)
+    for text in as_utf8.values():
+        valid = valid & F.coalesce(F.is_valid_utf8(text), F.lit(True))
+    marked = df.withColumn(_UTF8, valid)
+    return marked.withColumns({n: F.when(F.col(_UTF8), as_utf8[n]).otherwise(column(n)) for n in names}).drop(_UTF8)
 
 
 def read_csv(
@@ -54,21 +66,23 @@ def read_csv(
     """All columns as text, an empty field stays ''. Short lines are padded, long ones go to the quarantine.
 
     Files are matched by column name: those with the same header are one scan, the scans are united by name. Without an
-    encoding, files that are not UTF-8 are read as Latin-1. Quoted line breaks need `multi_line`, which costs the
-    splitting of large files.
+    encoding the bytes are told apart in the scan itself: a row that is UTF-8 is read so, any other as Latin-1. Quoted line
+    breaks need `multi_line`, which costs the splitting of large files.
     """
-    groups: dict[tuple[str, str], list[str]] = {}
-    for path, header, latin in _described_files(spark, *paths):
-        groups.setdefault((encoding or (LATIN if latin else UTF8), header), []).append(path)
+    options = {"sep": sep, "encoding": encoding or LATIN, "mode": "PERMISSIVE", "multiLine": str(multi_line).lower()}
+    options["escape"] = '"'  # a quote inside a quoted field is doubled
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, raw in _headers(spark, paths, options).items():
+        groups.setdefault(tuple(_named(n, encoding) for n in raw), []).append(path)
     rows, bad = None, None
-    for (enc, _), files in groups.items():
-        scanned, names = _scan(spark, files, sep, enc, multi_line)
+    for names, files in groups.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _OVERFLOW]])
+        scanned = spark.read.options(**options, header="true").schema(schema).csv(files).withColumn(_PATH, F.col("_metadata.file_path"))
+        scanned = scanned if encoding else _decoded(scanned, [*names, _OVERFLOW])
         over = F.col(_OVERFLOW).isNotNull()
         good = scanned.where(~over).select(*[F.coalesce(column(n), F.lit("")).alias(n) for n in names])
-        long = scanned.where(over).select(
-            F.to_json(F.struct(*[column(n) for n in names], F.col(_OVERFLOW))).alias("line"),
-            F.col("_metadata.file_path").alias("path"),
-        )
+        line = F.to_json(F.struct(*[column(n) for n in names], F.col(_OVERFLOW))).alias("line")
+        long = scanned.where(over).select(line, F.col(_PATH).alias("path"))
         rows = good if rows is None else rows.unionByName(good, allowMissingColumns=True)
         bad = long if bad is None else bad.unionByName(long)
     if rows is None:
@@ -90,7 +104,7 @@ def read_csv_sniffed(spark: SparkSession, path: str) -> Landing:
     found = sniff_delimiter(spark, path)
     if found is None:
         raise ValueError(f"no delimiter of {DELIMITERS} splits the header of {path}")
-    return read_csv(spark, path, sep=found[1])
+    return read_csv(spark, path, sep=found[1], encoding=None if found[0] in (UTF8, LATIN) else found[0])
 
 
 def _trimmed(df: DataFrame) -> DataFrame:

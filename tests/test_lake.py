@@ -34,6 +34,27 @@ def test_csv_encoding_is_chosen_per_file(spark, tmp_path):
     assert {r["n"] for r in rows(found)} == {"Peñas", "Año"}
 
 
+def test_csv_rows_of_both_encodings_in_one_file(spark, tmp_path):
+    """The bytes of a row decide, in the scan itself; a header's own bytes name its columns."""
+    path = tmp_path / "m.csv"
+    path.write_bytes("a\u00f1o,n\n".encode("latin-1") + "Pe\u00f1as,\u20ac\n".encode() + "A\u00f1o,x\n".encode("latin-1") + b'"a ""b"" c",\n')
+    landing = text.read_csv(spark, str(path))
+    assert landing.rows.columns == ["a\u00f1o", "n"]
+    assert {tuple(r) for r in landing.rows.collect()} == {("Pe\u00f1as", "\u20ac"), ("A\u00f1o", "x"), ('a "b" c', "")}
+    plan = landing.rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_csv_headers_differ_by_file(spark, tmp_path):
+    land(tmp_path / "a.csv", "\ufeffx,y\n1,2\n")
+    land(tmp_path / "b.csv", "y,z\n3,4\n5,6,7\n")
+    land(tmp_path / "c.csv", "")
+    landing = text.read_csv(spark, str(tmp_path))
+    assert {tuple(r) for r in landing.rows.select("x", "y", "z").collect()} == {("1", "2", None), (None, "3", "4")}
+    bad = landing.quarantine.first()
+    assert bad.path.endswith("b.csv") and '"7"' in bad.line
+
+
 def test_delimiter_sniffing(spark, tmp_path):
     assert text.sniff_delimiter(spark, land(tmp_path / "s.csv", "a;b,x\n1;2\n"))[1] == ";"
     assert text.sniff_delimiter(spark, land(tmp_path / "t.csv", "a\tb\n1\t2\n"))[1] == "\t"
