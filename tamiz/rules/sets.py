@@ -16,7 +16,7 @@ from tamiz.functions.casts import integer_sql
 from tamiz.functions.missing import RULE_TOKENS, present, present_sql, text_sql
 from tamiz.functions.text import column, key_sql, quoted
 from tamiz.rules.model import Rule
-from tamiz.session import literal_rows
+from tamiz.session import literal_rows, written_once
 
 Numbered = Sequence[tuple[int, Rule]]
 
@@ -130,6 +130,9 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
     limit. temporal_coverage: years (a) with fewer months (b) than expected, exception years aside.
     """
     groups = _cell_groups(df, rules, tokens)
+    covering = any(r.rule_type == "temporal_coverage_check" for _, r in rules)
+    if covering:  # read twice below
+        groups = written_once(groups, "cells")
     kind = _per_rule(rules, lambda r: r.rule_type)
     many = F.col("pairs") > 1
     short = _is_short(rules)
@@ -146,7 +149,7 @@ def cell_rules(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFra
         F.count_if(many).alias("ambiguous"),
         F.count_if("short").alias("short"),
     )
-    if any(r.rule_type == "temporal_coverage_check" for _, r in rules):
+    if covering:
         found = found.join(few, "pos", "left")
     else:
         found = found.withColumn("which", F.lit(None).cast("array<string>"))
