@@ -7,7 +7,7 @@ import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of a written table that may be broadcast: some tens of MB.
@@ -53,3 +53,19 @@ def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def lean(work: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
     """``work`` of mapInArrow, trimmed."""
     return lambda batches: trimmed(work(batches))
+
+
+#: Rows and bytes of texts that are handed to a Python worker at once, at most, after ``small_batches``.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Has the session hand texts to Python workers in small batches: workers and the buffers beside the heap stay small.
+
+    A smaller setting of the caller's stays.
+    """
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key, None)
+        if now is None or not now.strip().isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
