@@ -25,7 +25,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents without the lines that are kept elsewhere; those left without any text go. n_chars follows the text."""
     small_batches(spark)
     cleared = lines.deduplicate_lines(docs, min_words=1)
-    cleared = cleared.where("lines_removed = 0 or length(trim(text)) > 0")
+    cleared = cleared.where((F.col("lines_removed") == 0) | F.col("text").rlike(r"\S"))
     changed = F.when(F.col("lines_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return cleared.withColumn("n_chars", changed).select(docs.columns)
 
