@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 
 from tamiz.session import written_once
 
-from .common import numbered_texts
+from .common import lean, numbered_texts
 from .words import Words, mix, words_of
 
+#: Rows that are compared, or windows that are handed on, at once.
+AT_ONCE = 4000
 _ROW = "gram long, doc_id long, own long, pos long, before binary, after binary"
 _MATCH = "doc_id long, own long, pos long, left int, right int, other_doc_id long, other_pos long"
 
@@ -153,8 +155,11 @@ def _neighbours(batches: Iterable[pa.RecordBatch], gram: int, least: int, window
             return
         own = np.unique(at)
         hashes = _windows(np.asarray(rows.column("gram"))[own], before[own], after[own])[np.searchsorted(own, at), offset]
-        held = {c: rows.column(c).take(pa.array(at)) for c in ("doc_id", "own", "pos")}
-        yield out(len(at), **held, left=pa.array(offset, pa.int32()), right=pa.array(reach - offset, pa.int32()), window=pa.array(hashes))
+        for i in range(0, len(at), AT_ONCE):
+            part_at, j = pa.array(at[i : i + AT_ONCE]), offset[i : i + AT_ONCE]
+            held = {c: rows.column(c).take(part_at) for c in ("doc_id", "own", "pos")}
+            sides = {"left": pa.array(j, pa.int32()), "right": pa.array(reach - j, pa.int32())}
+            yield out(len(j), **held, **sides, window=pa.array(hashes[i : i + AT_ONCE]))
 
     def compared(rows: pa.RecordBatch, last: bool) -> Iterator[pa.RecordBatch]:
         grams = np.asarray(rows.column("gram"))
@@ -183,8 +188,8 @@ def _neighbours(batches: Iterable[pa.RecordBatch], gram: int, least: int, window
         else:
             rows = pa.Table.from_batches([previous, batch]).combine_chunks().to_batches()[0]
         previous = batch.slice(len(batch) - 1, 1)
-        for start in range(0, len(rows) - 1, 20_000):
-            yield from compared(rows.slice(start, 20_001), False)
+        for start in range(0, len(rows) - 1, AT_ONCE):
+            yield from compared(rows.slice(start, AT_ONCE + 1), False)
     if previous is not None:
         yield from compared(previous, True)
         yield edge(previous, 1)
@@ -197,7 +202,7 @@ def _matches(contexts: DataFrame, first: str, second: str, gram: int, least: int
     ordered = contexts.repartitionByRange(*order).sortWithinPartitions(*order).select(*held)
     schema = f"{_MATCH}, part int, edge int, gram long, before binary, after binary, window long"
     compare = partial(_neighbours, gram=gram, least=least, windows=windows)
-    found = written_once(ordered.mapInArrow(compare, schema), "neighbours")
+    found = written_once(ordered.mapInArrow(lean(compare), schema), "neighbours")
     # The last row of a partition meets the first row of the next one that has rows: at most two rows per partition.
     meeting = found.where("edge is not null").select("part", "edge", *held).repartition(1).sortWithinPartitions("part", "edge")
     across = meeting.mapInArrow(partial(_across, gram=gram, least=least), _MATCH)
@@ -249,13 +254,13 @@ def repeated_passages(docs: DataFrame, least: int = 50, gram: int = 20) -> DataF
     # Rows without doc_id, or of equal ones, may have different texts: positions belong to a text.
     texts = numbered_texts(docs).withColumn("own", F.xxhash64("text"))
     schema = "gram long, doc_id long, own long, pos long"
-    anchors = written_once(texts.mapInArrow(lambda b: _anchors(b, gram, least), schema), "anchors")
+    anchors = written_once(texts.mapInArrow(lean(lambda b: _anchors(b, gram, least)), schema), "anchors")
     # Written, so that the join is between two plain tables and a gram with many suffixes is split over tasks.
     often = written_once(anchors.groupBy("gram").count().where("count > 1").select("gram"), "grams")
     wanted = anchors.join(often, "gram", "left_semi").groupBy("doc_id", "own").agg(F.collect_set("pos").alias("wanted"))  # of one text
     wanted = wanted.select(F.col("doc_id").alias("of"), F.col("own").alias("of_text"), "wanted")
     met = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("own") == F.col("of_text")))
-    contexts = met.select("doc_id", "text", "wanted", "own").mapInArrow(lambda b: _contexts(b, gram, least), _ROW)
+    contexts = met.select("doc_id", "text", "wanted", "own").mapInArrow(lean(lambda b: _contexts(b, gram, least)), _ROW)
     contexts = written_once(contexts, "contexts")
     # Windows that stay open in one order are looked up; what the other order finds besides is found twice.
     matches = _matches(contexts, "after", "before", gram, least, True).unionByName(_matches(contexts, "before", "after", gram, least, False))
