@@ -111,8 +111,11 @@ def line_grams(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, similari
 
 
 def _packed(batches: Iterable[pa.RecordBatch], similarity: float, min_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Per piece of text and bucket one row of packed (key, line, segment); rows of grams that are often held are ``sure``."""
-    names = ["bucket", "sure", "keys", "lines", "segments"]
+    """Per piece of text and bucket one row of packed (key, line); rows of grams that are often held are ``sure``.
+
+    The last bit of a key tells whether the gram is a segment of the line.
+    """
+    names = ["bucket", "sure", "keys", "lines"]
     for batch in batches:
         for _, _, data, offsets in pieces(batch.column(1)):
             words, _, _, first, last = _lines(data, offsets)
@@ -121,6 +124,7 @@ def _packed(batches: Iterable[pa.RecordBatch], similarity: float, min_words: int
             hashes = sequence_hashes(words.hashes, first, last)
             _, one = np.unique(hashes, return_index=True)
             line, key, segment = line_grams(words.hashes, first[one], last[one], similarity)
+            key = key & ~np.uint64(1)  # the last bit is free for a flag
             by = np.lexsort((~segment, line, key))
             line, key, segment = line[by], key[by], segment[by]
             new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])][: len(key)]
@@ -140,11 +144,11 @@ def _packed(batches: Iterable[pa.RecordBatch], similarity: float, min_words: int
                 g = segment[chosen] | often[chosen]
                 bucket = ((mix(k if not sure else x) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 by = np.argsort(bucket, kind="stable")
-                bucket, k, x, g = bucket[by], k[by], x[by], g[by]
+                bucket, k, x = bucket[by], (k | g.astype(np.uint64))[by], x[by]
                 cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
                 spans = list(zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist(), strict=True))
                 arrays = [pa.array(bucket[cuts], pa.int64()), pa.array([sure] * len(spans))]
-                arrays += [pa.array([c[a:b].tobytes() for a, b in spans], pa.binary()) for c in (k, x, g)]
+                arrays += [pa.array([c[a:b].tobytes() for a, b in spans], pa.binary()) for c in (k, x)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
@@ -156,11 +160,10 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "group"])
 
     def counted(parts: list[tuple]) -> pa.RecordBatch:
-        key, line, segment = (
-            np.frombuffer(b"".join(p[i] for p in parts), dtype=t) for i, t in enumerate((np.uint64, np.uint64, bool))
-        )
-        by = np.lexsort((line, key))
-        key, line, segment = key[by], line[by], segment[by]
+        key, line = (np.frombuffer(b"".join(p[i] for p in parts), dtype=np.uint64) for i in range(2))
+        by = np.lexsort((line, key >> np.uint64(1)))
+        key, line = key[by], line[by]
+        key, segment = key & ~np.uint64(1), (key & np.uint64(1)).astype(bool)
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         n = np.diff(np.append(starts, len(key)))
         held = (line[starts] != line[starts + n - 1]) & np.logical_or.reduceat(segment, starts)
@@ -171,13 +174,13 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             if row["sure"]:
-                yield out(np.frombuffer(row["keys"], dtype=np.uint64), np.frombuffer(row["lines"], dtype=np.uint64))
+                yield out(np.frombuffer(row["keys"], dtype=np.uint64) & ~np.uint64(1), np.frombuffer(row["lines"], dtype=np.uint64))
                 continue
             if row["bucket"] != last and parts:
                 yield counted(parts)
                 parts = []
             last = row["bucket"]
-            parts.append((row["keys"], row["lines"], row["segments"]))
+            parts.append((row["keys"], row["lines"]))
     if parts:
         yield counted(parts)
 
@@ -313,7 +316,7 @@ def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS)
     classes = written_once(found.groupBy("line").agg(first, *[F.min(c).alias(c) for c in described]), "line-classes")
     total = found.agg(F.sum("n_words")).first()[0] or 0
     grams = partial(_packed, similarity=similarity, min_words=min_words, buckets=max(256, total // BUCKET))
-    packed = texts.mapInArrow(lean(grams), "bucket long, sure boolean, keys binary, lines binary, segments binary")
+    packed = texts.mapInArrow(lean(grams), "bucket long, sure boolean, keys binary, lines binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
     # A line of several pieces of text is filed by each of them.
     filed = written_once(packed.mapInArrow(lean(_shared), "doc_id long, group long").distinct(), "line-grams")
