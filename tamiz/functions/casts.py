@@ -17,9 +17,11 @@ from tamiz.functions.missing import text_sql
 from tamiz.functions.text import literal, quoted
 
 NUMBER_SHAPE = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-# Whole numbers written without an exponent, and fractions that are not zero.
-WHOLE_SHAPE = r"^[+-]?[0-9]*\.?0*$"
-FRACTION_SHAPE = r"^[+-]?[0-9]*\.[0-9]*[1-9][0-9]*$"
+# Whole numbers written without an exponent, and numbers with one.
+WHOLE_SHAPE = r"^[+-]?(?:[0-9]+\.?0*|\.0+)$"
+EXPONENT_SHAPE = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+$"
+# Plain whole numbers that BIGINT holds whatever their digits: nearly all whole numbers are met by this shape alone.
+DIGITS_SHAPE = r"^[+-]?[0-9]{1,18}$"
 
 # The accepted date layouts, in the order they are tried (name, Spark pattern, text shape).
 DATE_FORMATS = (
@@ -113,15 +115,15 @@ def integer_sql(df: DataFrame, name: str) -> str:
     if isinstance(dtype, T.DecimalType):
         value = quoted(name)
         return f"(CASE WHEN {value} = floor({value}) THEN try_cast({value} AS BIGINT) END)"
-    whole = _whole_sql(number_sql(df, name))
     if isinstance(dtype, _NUMERIC):
-        return f"({whole})"
+        return f"({_whole_sql(number_sql(df, name))})"
     text = text_sql(df, name)
     digits = f"split_part({text}, '.', 1)"
     exact = f"try_cast(CASE WHEN {digits} IN ('', '+', '-') THEN '0' ELSE {digits} END AS BIGINT)"
+    whole = _whole_sql(f"try_cast({text} AS DOUBLE)")
     return (
-        f"(CASE WHEN NOT {text} RLIKE {literal(NUMBER_SHAPE)} OR {text} RLIKE {literal(FRACTION_SHAPE)} THEN NULL"
-        f" WHEN {text} RLIKE {literal(WHOLE_SHAPE)} THEN {exact} ELSE {whole} END)"
+        f"(CASE WHEN {text} RLIKE {literal(DIGITS_SHAPE)} THEN CAST({text} AS BIGINT)"
+        f" WHEN {text} RLIKE {literal(WHOLE_SHAPE)} THEN {exact} WHEN {text} RLIKE {literal(EXPONENT_SHAPE)} THEN {whole} END)"
     )
 
 
@@ -135,8 +137,7 @@ def cast_sql(df: DataFrame, name: str, logical_type: str) -> str:
     """SQL of a cast to a logical type: string, integer, long, double, decimal, decimal(p,s), datetime, boolean."""
     kind, value = logical_type.strip().lower(), quoted(name)
     if kind in ("integer", "int"):
-        number = integer_sql(df, name)
-        return f"CASE WHEN {number} BETWEEN -2147483648 AND 2147483647 THEN CAST({number} AS INT) END"
+        return f"try_cast({integer_sql(df, name)} AS INT)"
     if kind in ("long", "bigint"):
         return integer_sql(df, name)
     if kind in ("double", "float", "decimal"):

@@ -14,6 +14,12 @@ from tamiz.functions.missing import SILVER_TOKENS, is_token_sql, text_sql
 from tamiz.functions.text import column, header_name, literal, name_text, quoted
 
 
+#: Text columns from which on their missing tokens are found by one expression over all of them. Written out per column, the
+#: steps of a row grow into one generated method that the JVM no longer compiles (8000 bytes) but interprets.
+WIDE = 8
+_NULLED = "__nulled"
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
@@ -34,9 +40,14 @@ def tokens_to_null(df: DataFrame, tokens: Iterable[str] = SILVER_TOKENS, columns
     """Missing tokens become NULL in text columns; other values stay as they are."""
     names = [c for c in string_columns(df) if columns is None or c in columns]
     tokens = tuple(tokens)
-    return replace_columns(
-        df, {c: F.expr(f"CASE WHEN NOT {is_token_sql(quoted(c), tokens)} THEN {quoted(c)} END") for c in names}
-    )
+    if len(names) < WIDE:
+        return replace_columns(
+            df, {c: F.expr(f"CASE WHEN NOT {is_token_sql(quoted(c), tokens)} THEN {quoted(c)} END") for c in names}
+        )
+    texts = ", ".join(quoted(c) for c in names)
+    nulled = F.expr(f"transform(array({texts}), x -> CASE WHEN NOT {is_token_sql('x', tokens)} THEN x END)")
+    staged = df.withColumn(_NULLED, nulled)
+    return staged.select(*[staged[_NULLED][names.index(c)].alias(c) if c in names else column(c) for c in df.columns])
 
 
 def special_value_sql(df: DataFrame, name: str, values: Iterable[Any]) -> str:

@@ -90,3 +90,11 @@ def test_text_helpers(spark):
     assert seen(df, name_text(F.lit(" la   villa\tvieja ")))[0] == "LA VILLA VIEJA"
     assert seen(df, F.expr(f"x = {literal(chr(100) + 'on' + chr(39) + 't ' + chr(92) + ' stop')}"))[2] is True
     assert header_name("﻿ Tipo  de dato ") == "TIPO_DE_DATO"
+
+
+def test_whole_numbers_met_by_their_digits_and_by_the_longer_way(spark):
+    texts = ["+5", "-0", "007", "12.", "12.00", ".0", "1e3", "1.5e1", "15e-1", "1.5", "", ".", "+", "1d", "2147483648", "9" * 18, "9" * 19, "9" * 19 + ".0", "1e19", None]
+    df = column(spark, texts)
+    whole = [5, 0, 7, 12, 12, 0, 1000, 15, None, None, None, None, None, None, 2**31, 10**18 - 1, None, None, None, None]
+    assert seen(df, as_integer(df, "x")) == whole
+    assert seen(df, cast_to(df, "x", "integer")) == [v if v is not None and v < 2**31 else None for v in whole]

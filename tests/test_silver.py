@@ -1,5 +1,6 @@
 import datetime as dt
 import hashlib
+import re
 
 import pytest
 from helpers import rows
@@ -168,3 +169,18 @@ def test_rule_files(tmp_path):
     pytest.importorskip("yaml")
     (tmp_path / "r.yaml").write_text("settings: {source: s}\n")
     assert load_rules(tmp_path / "r.yaml")["settings"]["source"] == "s"
+
+
+def test_a_wide_row_is_cleaned_and_cast_by_methods_that_the_jvm_compiles(spark, capsys):
+    """HotSpot interprets methods beyond 8000 bytes."""
+    names = [f"c{i}" for i in range(14)]
+    wide = spark.range(1, 4).selectExpr("id", *[f"CASE WHEN id = 2 THEN ' NULL ' ELSE concat(id, ' ') END AS {c}" for c in names])
+    nulled = clean.tokens_to_null(wide)
+    assert nulled.columns == ["id", *names] and nulled.schema["c3"].dataType.simpleString() == "string"
+    assert [tuple(r)[1:] for r in nulled.orderBy("id").collect()] == [("1 ",) * 14, (None,) * 14, ("3 ",) * 14]
+    types = {**dict.fromkeys(names[:2], "integer"), **dict.fromkeys(names[2:4], "decimal(18,2)")}
+    out = clean.cast_columns(clean.trim_text(nulled), types)
+    assert [r["c0"] for r in out.orderBy("id").collect()] == [1, None, 3]
+    out.explain("codegen")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
