@@ -412,20 +412,28 @@ _ORDERED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
 
 
 def generic_profile(df: DataFrame, exact: bool = False) -> DataFrame:
-    """NULLs, distinct values, minimum and maximum of every column of any type. One pass."""
+    """NULLs, distinct values, minimum and maximum of every column of any type. One pass.
+
+    `exact` counts the distinct values of each column by itself: counted together, every row would be copied once per column,
+    and a task would hold the values of all columns, each as wide as all of them.
+    """
     kinds = {f.name: f.dataType for f in df.schema}
 
     def metrics(name: str) -> dict[str, str]:
         v = quoted(name)
         ordered = isinstance(kinds[name], _ORDERED)
+        distinct = {} if exact else {"Cardinalidad_Aprox": f"approx_count_distinct({v}, {APPROX_ERROR})"}
         return {
             "Nulos": f"count_if({v} IS NULL)",
-            "Cardinalidad_Aprox": f"count(DISTINCT {v})" if exact else f"approx_count_distinct({v}, {APPROX_ERROR})",
+            **distinct,
             "Min": f"CAST(min({v}) AS STRING)" if ordered else "max(CAST(NULL AS STRING))",
             "Max": f"CAST(max({v}) AS STRING)" if ordered else "max(CAST(NULL AS STRING))",
         }
 
     found = per_column(df, df.columns, metrics, "Columna")
+    if exact:
+        each = [df.agg(F.count_distinct(column(c)).alias("Cardinalidad_Aprox")).withColumn("Columna", F.lit(c)) for c in df.columns]
+        found = found.join(stack(each), "Columna")  # a row per column
     kind = F.create_map(*[F.lit(x) for n, k in kinds.items() for x in (n, k.simpleString())])
     return found.select(
         "Columna",

@@ -169,3 +169,13 @@ def test_wide_table_profile(spark):
     assert s.null_profile(df, "t").count() == 160
     found = {r["column_name"]: r["unique_count"] for r in rows(rich.column_profile(df, "t"))}
     assert len(found) == 160 and found["P19_0"] == 1 and found["P19_1"] == 5
+
+
+def test_an_exact_generic_profile_counts_each_column_by_itself(messy):
+    exact = s.generic_profile(messy, exact=True)
+    assert "Expand" not in exact._jdf.queryExecution().optimizedPlan().toString()
+    found = {r["Columna"]: r for r in rows(exact)}
+    assert {c: r["Cardinalidad_Aprox"] for c, r in found.items()} == {"k": 2, "m": 4, "d": 3, "y": 2, "mo": 3}
+    assert (found["k"]["Nulos"], found["k"]["Min"], found["k"]["Max"], found["k"]["Total_Filas"]) == (1, " ", "a", 4)
+    empty = rows(s.generic_profile(messy.where("false"), exact=True))
+    assert [(r["Cardinalidad_Aprox"], r["Total_Filas"]) for r in empty] == [(0, 0)] * 5
