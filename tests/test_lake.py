@@ -200,3 +200,13 @@ def test_csv_report_has_a_bom_and_one_file(spark, tmp_path):
     write_csv_report(spark.range(3).select(F.col("id").alias("n")), str(tmp_path / "r"))
     files = list((tmp_path / "r").glob("*.csv"))
     assert len(files) == 1 and files[0].read_bytes().startswith(b"\xef\xbb\xbfn\n")
+
+
+def test_a_table_lands_in_the_given_number_of_files(spark, tmp_path):
+    from workload.lake import _land_files
+
+    for name, df in (("full", spark.range(0, 60, 1, 6)), ("sparse", spark.range(0, 60, 1, 6).where("id < 10")), ("one", spark.range(0, 60, 1, 6))):
+        _land_files(df, str(tmp_path / name), 1 if name == "one" else 3)
+    found = parquet.file_inventory(spark, str(tmp_path))
+    per_folder = found.groupBy(F.element_at(F.split("path", "/"), -2).alias("name")).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("n"))
+    assert {r["name"]: (r["files"], r["n"]) for r in rows(per_folder)} == {"full": (3, 60), "sparse": (3, 10), "one": (1, 60)}

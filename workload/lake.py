@@ -69,6 +69,13 @@ def _land_pages(df: DataFrame, path: str, page: str, flag: str = "success") -> s
     return path
 
 
+def _land_files(df: DataFrame, path: str, files: int) -> None:
+    """A table in a given number of files. Where every split holds rows, a file takes whole splits and nothing is shuffled."""
+    splits = df.select(F.spark_partition_id().alias("split")).groupBy("split").agg(F.count(F.lit(1)))
+    whole = files == 1 or files <= splits.count() == df.rdd.getNumPartitions()
+    (df.coalesce(files) if whole else df.repartition(files)).write.parquet(path)
+
+
 _RAGGED_HEADER = "o_orderkey,status,amount,level_name"
 _RAGGED_LINE = (
     "concat_ws(',', o_orderkey, status, amount, if(level_name = 'PENDING', null, level_name), "
@@ -260,8 +267,9 @@ def _latest(spark, sf):
 )
 def _inventory(spark, sf):
     root = scratch(spark, "files")
-    table(spark, sf, "orders").repartition(2).write.parquet(f"{root}/orders")
-    table(spark, sf, "lineitem").repartition(2).write.parquet(f"{root}/lineitem")
+    # Four files, the larger table in more of them.
+    _land_files(table(spark, sf, "orders"), f"{root}/orders", 1)
+    _land_files(table(spark, sf, "lineitem"), f"{root}/lineitem", 3)
     totals = parquet.inventory_totals(parquet.file_inventory(spark, root))
     return totals.select("files", "unreadable", "rows", (F.col("bytes") > 0).alias("sized"))
 
