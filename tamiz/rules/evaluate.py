@@ -27,8 +27,8 @@ from tamiz.rules.row import EVERY_ROW, ROW_RULES, RowCheck, RowContext, bind_fil
 from tamiz.rules.sets import SAMPLED_RULES, SET_RULES, UNIQUE_RULES, evaluate_sets, failed_set_rows, key_counts
 from tamiz.session import literal_rows, written_once
 
-# Counters per pass. Whole-stage code generation gives up on operators with more than 100 fields.
-COUNTERS_PER_PASS = 90
+# Counters per pass. The conditions of a pass become one generated method, and the JVM interprets methods beyond 8000 bytes.
+COUNTERS_PER_PASS = 16
 SAMPLES_PER_RULE = 10
 FULL_ROWS = "duplicate_full_rows"
 

@@ -285,3 +285,10 @@ def test_survey_file_order_and_name_patterns():
         "d.UBIGEO.ubigeo",
         "d.MON_A.ref_integrity",
     ]
+
+
+def test_a_pass_has_few_enough_conditions_for_the_jvm_to_compile(spark):
+    names = [f"c{i}" for i in range(20)]
+    df = spark.range(5).selectExpr(*[f"CAST(id AS STRING) AS {c}" for c in names])
+    _, checks = compile_rules(df, [(i, rule("accepted_range", c, min_value=0, max_value=9)) for i, c in enumerate(names)], AS_OF)
+    assert max(len(p) for p in _passes(checks)) <= 8
