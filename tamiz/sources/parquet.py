@@ -135,10 +135,11 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     found = listed.join(footers, "path", "left")
     if columns:
         table = spark.read.schema("`-` int").parquet(*[c["path"] for c in columns])
-        # A scanned file's path is a URI.
-        plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        counted = table.groupBy(plain.alias("path")).agg(F.count(F.lit(1)).alias("rows"))
-        found = found.join(counted, "path", "left")
+        counted = table.groupBy(F.col("_metadata.file_path").alias("uri")).agg(F.count(F.lit(1)).alias("rows"))
+        # A scanned file's path is a URI. It is decoded once per file: as it is never NULL, the join below has no NULLs to
+        # look for, a test that would go down to the rows.
+        plain = F.coalesce(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))), F.lit(""))
+        found = found.join(counted.select(plain.alias("path"), "rows"), "path", "left")
     else:
         found = found.withColumn("rows", F.lit(None).cast("bigint"))
     return found.select(

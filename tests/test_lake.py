@@ -210,3 +210,14 @@ def test_a_table_lands_in_the_given_number_of_files(spark, tmp_path):
     found = parquet.file_inventory(spark, str(tmp_path))
     per_folder = found.groupBy(F.element_at(F.split("path", "/"), -2).alias("name")).agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("n"))
     assert {r["name"]: (r["files"], r["n"]) for r in rows(per_folder)} == {"full": (3, 60), "sparse": (3, 10), "one": (1, 60)}
+
+
+def test_a_file_path_is_decoded_once_per_file(spark, tmp_path):
+    folder = str(tmp_path / "a+b c%41")
+    spark.range(0, 5000, 1, 2).write.parquet(folder)
+    found = parquet.file_inventory(spark, str(tmp_path))
+    assert sorted((r["rows"], r["columns"]) for r in rows(found)) == [(2500, 1), (2500, 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    # A plan lists parents first: what the lines below the counting aggregation do is done per row.
+    below = plan[plan.rindex("aggregate") :].split("\n", 1)[1]
+    assert "urlcodec" in plan and "urlcodec" not in below
