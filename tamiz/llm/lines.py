@@ -2,11 +2,12 @@
 
 1. A line is normalised to its words: runs of ASCII letters and digits and of characters beyond ASCII, with A-Z in lower case. Lines
    of fewer than ``min_words`` words stay as they are, lines without a word always. Equal normalised lines are one class.
-2. A line of n words may differ from a similar one in d = (1 - ``similarity``) * n words if it is the longer of the two. Cut into
-   d + 1 segments of equal length, one of them stands unchanged in the shorter line (pigeonhole). Each line is filed under its
-   segments and under all its grams of the lengths that the segments of lines of n to n / ``similarity`` words have. Grams
-   with one holder, or that are nobody's segment, are dropped in buckets of packed arrays; those with the same holders as
-   another by counts and XORs.
+2. A line of x words differs from a similar, not longer one in d = (1 - ``similarity``) * x words at most, and an edit changes two of
+   its x - 1 pairs of neighbouring words, so both lines have x - 1 - 2 * d pairs in common (q-gram lemma). Where that is nothing,
+   single words take the place of pairs. With the pairs of all lines in one order, two lines with T pairs in common share one of the first
+   n - T of their n - 1 pairs (prefix filter); each line is filed under the first 2 * d + 1 or so. The order begins with pairs of
+   rare words; any order is right, and frequencies are those of classes of words, a table whose size is fixed. Grams
+   with one holder are dropped in buckets of packed arrays; those with the same holders as another by counts and XORs.
 3. Holders of a gram are compared by ``SKETCH`` * 64 parities of word counts, of which an edit changes two at most, in blocks that
    give spanning forests; the components are clusters. Neither step loses a pair that is similar enough.
 4. In a cluster, lines whose word edit similarity 1 - distance / longer length reaches ``similarity`` are linked, again in
@@ -45,6 +46,8 @@ MIN_WORDS = 1
 SKETCH = 4
 #: Entries of a bucket of grams; distinct lines of a piece of text from which on a gram's holders need no count.
 BUCKET, OFTEN = 1 << 21, 32
+#: Classes that words are counted by, and steps of a weight to a doubling.
+CLASSES, STEPS = 1 << 16, 8
 #: Numbers in the rows of a table that may be broadcast: 16 MB.
 NUMBERS = 1 << 21
 #: Lines of a key, and words of a cluster, on one side of a block pair.
@@ -86,34 +89,72 @@ def sketches(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndar
     return out.reshape(-1, SKETCH)
 
 
-def line_grams(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(line, key, whether it is a segment) of the grams each line is filed under."""
+def _word_class(hashes: np.ndarray) -> np.ndarray:
+    return (mix(hashes + np.uint64(3)) % np.uint64(CLASSES)).astype(np.int64)
+
+
+def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many words of a task's texts are of each class."""
+    counts = np.zeros(CLASSES, dtype=np.int64)
+    for batch in batches:
+        for _, _, data, offsets in pieces(batch.column(1)):
+            counts += np.bincount(_word_class(Words(data, offsets, LETTERS).hashes), minlength=CLASSES)
+    met = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], names=["class", "n"])
+
+
+def word_weights(texts: DataFrame) -> np.ndarray:
+    """For each class of words how frequent it is, as a rounded logarithm in a byte."""
+    counts = texts.mapInArrow(lean(_word_counts), "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
+    weights = np.zeros(CLASSES, dtype=np.uint8)
+    for row in counts.collect():  # CLASSES rows at most
+        weights[row["class"]] = min(255, int(STEPS * np.log2(row["n"])))
+    return weights
+
+
+def _gram(x: int, similarity: float) -> int:
+    """Words of a gram by which a line of x words is told to be similar to shorter ones."""
+    return 2 if x - 1 - 2 * _edits(x, similarity) > 0 else 1
+
+
+def _filed(n: int, k: int, similarity: float) -> int:
+    """How many of its first grams of k words a line of n words is filed under; lines without an edit are similar to equal ones only."""
+    longer = ((x, _edits(x, similarity)) for x in range(n, _longest(n, similarity) + 1))
+    return max((n - x + k * d + 1 for x, d in longer if d and _gram(x, similarity) == k), default=0)
+
+
+def line_grams(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, weights: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of the grams each line is filed under: the first by the weights of their words, then by key."""
     sizes = last - first
-    lengths: dict[int, list[int]] = {}  # gram length -> sizes of the lines that are filed under such grams
-    own = np.zeros(int(sizes.max(initial=0)) + 1, dtype=np.int64)
-    for n in np.unique(sizes).tolist():
-        top = _longest(n, similarity)
-        if _edits(top, similarity):  # others are similar to equal lines only
-            own[n] = n // (_edits(n, similarity) + 1)
-            for k in {x // (_edits(x, similarity) + 1) for x in range(n, top + 1)}:
-                lengths.setdefault(k, []).append(n)
-    lines, keys, segments = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=bool)]
-    for k, filed in lengths.items():
-        of = np.flatnonzero(np.isin(sizes, filed) & (sizes >= k))
+    weight = weights[_word_class(hashes)].astype(np.int64)
+    lines, keys = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+    for k in (1, 2):
+        most = np.zeros(int(sizes.max(initial=0)) + 1, dtype=np.int64)
+        for n in np.unique(sizes).tolist():
+            most[n] = _filed(n, k, similarity)
+        of = np.flatnonzero((most[sizes] > 0) & (sizes >= k))
+        if not len(of):
+            continue
         n = sizes[of] - k + 1
         place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         line = np.repeat(of, n)
         at = first[line] + place
-        lines.append(line)
-        keys.append(sequence_hashes(hashes, at, at + k))
-        segments.append((own[sizes[line]] == k) & (place % k == 0))
-    return np.concatenate(lines), np.concatenate(keys), np.concatenate(segments)
-
-
-def _packed(batches: Iterable[pa.RecordBatch], similarity: float, min_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
+        key = sequence_hashes(hashes, at, at + k)
+        common = weight[at] + (weight[at + 1] if k == 2 else 0)
+        by = np.lexsort((key, line * 512 + common))
+        line, key = line[by], key[by]  # lines stay where they were, so place is the rank of a gram in its line
+        run = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])])
+        nth = np.arange(len(key)) - np.repeat(run, np.diff(np.append(run, len(key))))
+        early = place < most[sizes[line]]
+        lines.append(line[early])
+        keys.append(mix(key[early] + nth[early].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)))
+    return np.concatenate(lines), np.concatenate(keys)
+
+
+def _packed(batches: Iterable[pa.RecordBatch], weights: np.ndarray, similarity: float, min_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Per piece of text and bucket one row of packed (key, line); rows of grams that are often held are ``sure``.
 
-    The last bit of a key tells whether the gram is a segment of the line.
+    A key has 32 bits beside its bucket; in ``sure`` rows, which are dealt by line, it is written with the bucket.
     """
     names = ["bucket", "sure", "keys", "lines"]
     for batch in batches:
@@ -123,14 +164,12 @@ def _packed(batches: Iterable[pa.RecordBatch], similarity: float, min_words: int
             first, last = first[keep], last[keep]
             hashes = sequence_hashes(words.hashes, first, last)
             _, one = np.unique(hashes, return_index=True)
-            line, key, segment = line_grams(words.hashes, first[one], last[one], similarity)
-            key = key & ~np.uint64(1)  # the last bit is free for a flag
-            by = np.lexsort((~segment, line, key))
-            line, key, segment = line[by], key[by], segment[by]
-            new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])][: len(key)]
-            line, key, segment = hashes[one][line[new]], key[new], segment[new]
+            line, key = line_grams(words.hashes, first[one], last[one], weights, similarity)
             if not len(key):
                 continue
+            key = ((key >> np.uint64(32)) * np.uint64(buckets) & ~np.uint64(0xFFFFFFFF)) | (key & np.uint64(0xFFFFFFFF))
+            by = np.argsort(key, kind="stable")
+            line, key = hashes[one][line[by]], key[by]
             starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             n = np.diff(np.append(starts, len(key)))
             often = np.repeat(n > OFTEN, n)
@@ -141,10 +180,9 @@ def _packed(batches: Iterable[pa.RecordBatch], similarity: float, min_words: int
                 if not chosen.any():
                     continue
                 k, x = key[chosen], line[chosen]
-                g = segment[chosen] | often[chosen]
-                bucket = ((mix(k if not sure else x) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                bucket = ((mix(x) >> np.uint64(32)) * np.uint64(buckets) if sure else k) >> np.uint64(32)
                 by = np.argsort(bucket, kind="stable")
-                bucket, k, x = bucket[by], (k | g.astype(np.uint64))[by], x[by]
+                bucket, k, x = bucket[by].astype(np.int64), k[by] if sure else k[by].astype(np.uint32), x[by]
                 cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
                 spans = list(zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist(), strict=True))
                 arrays = [pa.array(bucket[cuts], pa.int64()), pa.array([sure] * len(spans))]
@@ -153,36 +191,35 @@ def _packed(batches: Iterable[pa.RecordBatch], similarity: float, min_words: int
 
 
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(line, key) of the grams that are sure or have two lines and are a segment of one; rows come by bucket."""
+    """(line, key) of the grams that are sure or have two lines; rows come by bucket."""
 
     def out(key: np.ndarray, line: np.ndarray) -> pa.RecordBatch:
         arrays = [pa.array(line.view(np.int64)), pa.array(key.view(np.int64))]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "group"])
 
-    def counted(parts: list[tuple]) -> pa.RecordBatch:
-        key, line = (np.frombuffer(b"".join(p[i] for p in parts), dtype=np.uint64) for i in range(2))
-        by = np.lexsort((line, key >> np.uint64(1)))
+    def counted(bucket: int, parts: list[tuple]) -> pa.RecordBatch:
+        key, line = (np.frombuffer(b"".join(p[i] for p in parts), dtype=kind) for i, kind in enumerate((np.uint32, np.uint64)))
+        by = np.lexsort((line, key))
         key, line = key[by], line[by]
-        key, segment = key & ~np.uint64(1), (key & np.uint64(1)).astype(bool)
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         n = np.diff(np.append(starts, len(key)))
-        held = (line[starts] != line[starts + n - 1]) & np.logical_or.reduceat(segment, starts)
+        held = line[starts] != line[starts + n - 1]
         new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])] & np.repeat(held, n)
-        return out(key[new], line[new])
+        return out(np.uint64(bucket << 32) | key[new].astype(np.uint64), line[new])
 
     last, parts = None, []
     for batch in batches:
         for row in batch.to_pylist():
             if row["sure"]:
-                yield out(np.frombuffer(row["keys"], dtype=np.uint64) & ~np.uint64(1), np.frombuffer(row["lines"], dtype=np.uint64))
+                yield out(np.frombuffer(row["keys"], dtype=np.uint64), np.frombuffer(row["lines"], dtype=np.uint64))
                 continue
             if row["bucket"] != last and parts:
-                yield counted(parts)
+                yield counted(last, parts)
                 parts = []
             last = row["bucket"]
             parts.append((row["keys"], row["lines"]))
     if parts:
-        yield counted(parts)
+        yield counted(last, parts)
 
 
 def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
@@ -315,7 +352,7 @@ def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS)
     described = [*_SKETCHES, "n_words"]
     classes = written_once(found.groupBy("line").agg(first, *[F.min(c).alias(c) for c in described]), "line-classes")
     total = found.agg(F.sum("n_words")).first()[0] or 0
-    grams = partial(_packed, similarity=similarity, min_words=min_words, buckets=max(256, total // BUCKET))
+    grams = partial(_packed, weights=word_weights(texts), similarity=similarity, min_words=min_words, buckets=max(256, total // BUCKET))
     packed = texts.mapInArrow(lean(grams), "bucket long, sure boolean, keys binary, lines binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
     # A line of several pieces of text is filed by each of them.

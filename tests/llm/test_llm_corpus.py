@@ -8,6 +8,7 @@ import re
 import corpus_pipeline
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -308,6 +309,15 @@ def test_every_pair_of_similar_lines_is_found(spark, monkeypatch, often):
     assert out == {i: int(groups.find(i) != i) for i in range(len(found))}
 
 
+def test_lines_are_filed_under_few_grams():
+    """What is shuffled to find similar lines takes less than six bytes a word."""
+    texts = pa.array(["\n".join(" ".join(f"w{(i * 40 + j) * 7919 % 100003}" for j in range(40)) for i in range(500))])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), texts], names=["doc_id", "text"])
+    packed = list(lines._packed([batch], weights=np.zeros(lines.CLASSES, np.uint8), similarity=0.8, min_words=1, buckets=16))
+    size = sum(len(x) for out in packed for row in out.to_pylist() for x in (row["keys"], row["lines"]))
+    assert 0 < size < 6 * 500 * 40
+
+
 def test_copies_of_short_lines_go_in_the_query(spark, tmp_path):
     rows = [(1, "x y\nHome\n--\n世界世界"), (2, "X, y!\nnot home"), (3, "home\n--\n\n世界世界\nhomes"), (4, "y x")]
     table(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
