@@ -24,7 +24,7 @@ from tamiz.rules.model import (
     Rule,
 )
 from tamiz.rules.row import EVERY_ROW, ROW_RULES, RowCheck, RowContext, bind_filters
-from tamiz.rules.sets import SAMPLED_RULES, SET_RULES, UNIQUE_RULES, evaluate_sets, failed_set_rows, key_counts
+from tamiz.rules.sets import SAMPLED_RULES, SET_RULES, UNIQUE_RULES, evaluate_sets, failed_set_rows, key_counts, leading
 from tamiz.session import literal_rows, written_once
 
 # Counters per pass. The conditions of a pass become one generated method, and the JVM interprets methods beyond 8000 bytes.
@@ -167,7 +167,8 @@ def evaluate(
     sampled = bool(sample_key) and max_samples > 0
     set_shown = [(p, r) for p, r in sets if r.rule_type in SAMPLED_RULES and (r.sample_columns or r.rule_type == FULL_ROWS)] if sampled else []
     unique = [(p, r) for p, r in sets if r.rule_type in UNIQUE_RULES]
-    counts = written_once(key_counts(df, unique), "keys") if unique and any(r.rule_type in UNIQUE_RULES for _, r in set_shown) else None
+    repeats_shown = any(r.rule_type in UNIQUE_RULES for _, r in set_shown)
+    counts = written_once(key_counts(df, unique, leading(df, sample_key)), "keys") if repeats_shown else None
     bound, checks = compile_rules(df, row, as_of, tokens)
     parts = [_one_pass(bound, chunk) for chunk in _passes(checks)] if checks else []
     parts += evaluate_sets(df, sets, tokens, catalog, counts)

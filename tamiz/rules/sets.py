@@ -6,7 +6,7 @@ the shuffle as one row per map task, and reports (pos, evaluated, failed, facts)
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -44,19 +44,33 @@ def _key_hashes(df: DataFrame, names: Sequence[str]) -> tuple[str, str]:
     return tuple(f"xxhash64({seed}{', '.join(parts)})" for seed in ("", "17, "))
 
 
-def _unique_cells(df: DataFrame, rules: Numbered) -> list[str]:
+def _unique_cells(df: DataFrame, rules: Numbered) -> dict[int, str]:
     """What one row contributes to each uniqueness rule: (pos, a, b), its key by 128 bits. Full rows: all columns as key."""
     hashed = [(pos, _key_hashes(df, rule.columns if rule.rule_type == "unique_key" else df.columns)) for pos, rule in rules]
-    return [f"named_struct('pos', {pos}, 'a', {a}, 'b', {b})" for pos, (a, b) in hashed]
+    return {pos: f"named_struct('pos', {pos}, 'a', {a}, 'b', {b})" for pos, (a, b) in hashed}
 
 
-def _exploded(df: DataFrame, cells: Sequence[str], *kept: Column) -> DataFrame:
+def _exploded(df: DataFrame, cells: Iterable[str], *kept: Column) -> DataFrame:
     return df.select(F.expr(f"explode(array({', '.join(cells)}))").alias("c"), *kept).where("c IS NOT NULL").select("c.*", "*").drop("c")
 
 
-def key_counts(df: DataFrame, rules: Numbered) -> DataFrame:
-    """(pos, a, b, n): how often each key of each uniqueness rule occurs. One scan; 20 bytes per row and rule are shuffled."""
-    return _exploded(df, _unique_cells(df, rules)).groupBy("pos", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[column(c) for c in df.columns])
+
+
+def leading(df: DataFrame, order_by: Sequence[str]) -> Column:
+    """What samples are ordered by first."""
+    return column(order_by[0]) if order_by else _row_hash(df)
+
+
+def key_counts(df: DataFrame, rules: Numbered, lead: Column | None = None) -> DataFrame:
+    """(pos, a, b, n): how often each key of each uniqueness rule occurs. One scan; 20 bytes per row and rule are shuffled.
+
+    With `lead` also `at`, the last value of it that a row of the key has.
+    """
+    last = [] if lead is None else [F.max("at").alias("at")]
+    rows = _exploded(df, _unique_cells(df, rules).values(), *([] if lead is None else [lead.alias("at")]))
+    return rows.groupBy("pos", "a", "b").agg(F.count(F.lit(1)).alias("n"), *last)
 
 
 def uniqueness(df: DataFrame, rules: Numbered, counts: DataFrame | None = None) -> DataFrame:
@@ -93,13 +107,13 @@ def _per_rule(rules: Numbered, pick) -> Column:
     return F.create_map(*[v for pos, rule in rules for v in (F.lit(pos), F.lit(pick(rule)))])[F.col("pos")]
 
 
-def _cell_groups(df: DataFrame, rules: Numbered, tokens: Sequence[str]) -> DataFrame:
-    """(pos, a) with its rows, its distinct b (NULL too) and its distinct non-NULL b."""
-    cells = ", ".join(_cell(df, pos, rule, tokens) for pos, rule in rules)
-    seen = df.select(F.expr(f"explode(array({cells}))").alias("c")).where("c IS NOT NULL").select("c.*")
-    distinct = seen.groupBy("pos", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+def _cell_groups(df: DataFrame, rules: Numbered, tokens: Sequence[str], lead: Column | None = None) -> DataFrame:
+    """(pos, a) with its rows, its distinct b (NULL too), its distinct non-NULL b and the least `lead` if one is given."""
+    kept, least = ([], []) if lead is None else ([lead.alias("at")], [F.min("at").alias("at")])
+    seen = _exploded(df, [_cell(df, pos, rule, tokens) for pos, rule in rules], *kept)
+    distinct = seen.groupBy("pos", "a", "b").agg(F.count(F.lit(1)).alias("n"), *least)
     return distinct.groupBy("pos", "a").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("pairs"), F.count("b").alias("members")
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("pairs"), F.count("b").alias("members"), *least
     )
 
 
@@ -180,17 +194,18 @@ def _key_texts(df: DataFrame, names: Sequence[str], as_key: bool) -> list[str]:
     return [key_sql(quoted(n)) if as_key else text_sql(df, n) for n in names]
 
 
-def _unmatched(child: DataFrame, parent: DataFrame, rule: Rule, tokens: Sequence[str]) -> DataFrame:
-    """Key tuples of the child (k0, k1, ...) with their rows n, and whether the parent knows them."""
+def _unmatched(child: DataFrame, parent: DataFrame, rule: Rule, tokens: Sequence[str], lead: Column | None = None) -> DataFrame:
+    """Key tuples of the child (k0, k1, ...) with their rows n, the least `lead` if one is given, and whether the parent knows them."""
     as_key = rule.rule_type == "temporal_catalog_exists"
     theirs = rule.param("reference_columns")
     keys = [f"k{i}" for i in range(len(rule.columns))]
 
-    def texts(df: DataFrame, names: Sequence[str]) -> DataFrame:
-        named = [f"{x} AS {k}" for x, k in zip(_key_texts(df, names, as_key), keys, strict=True)]
-        return df.where(present(df, *names, tokens=tokens)).selectExpr(*named)
+    def texts(df: DataFrame, names: Sequence[str], *kept: Column) -> DataFrame:
+        named = [F.expr(x).alias(k) for x, k in zip(_key_texts(df, names, as_key), keys, strict=True)]
+        return df.where(present(df, *names, tokens=tokens)).select(*named, *kept)
 
-    counted = texts(child, rule.columns).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    kept, least = ([], []) if lead is None else ([lead.alias("at")], [F.min("at").alias("at")])
+    counted = texts(child, rule.columns, *kept).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *least)
     known = texts(parent, theirs).distinct().withColumn("known", F.lit(True))
     return counted.join(known, keys, "left")
 
@@ -209,32 +224,50 @@ def _hashed(texts: Sequence[str]) -> str:
 
 
 def contested(
-    df: DataFrame, rules: Numbered, tokens: Sequence[str], catalog: Mapping[str, DataFrame], counts: DataFrame | None
-) -> tuple[list[str], list[DataFrame]]:
-    """For each rule a cell per row, (pos, a, b), and tables of the cells that failing rows have.
+    df: DataFrame, rules: Numbered, tokens: Sequence[str], catalog: Mapping[str, DataFrame], counts: DataFrame | None, lead: Column
+) -> tuple[dict[int, str], list[DataFrame]]:
+    """For each rule a cell per row, (pos, a, b), and tables of the cells that failing rows have, (pos, a, b, at).
 
     Uniqueness: keys that repeat. References: keys the parent lacks. code_name_consistency: codes with several names.
-    `counts` are the repeated keys of the uniqueness rules.
+    At least one failing row of a cell has a `lead` of `at` or before. `counts` are the repeated keys of the uniqueness rules.
     """
     unique = [(p, r) for p, r in rules if r.rule_type in UNIQUE_RULES]
     pairs = [(p, r) for p, r in rules if r.rule_type == "code_name_consistency"]
-    cells, found = _unique_cells(df, unique), [counts.select("pos", "a", "b")] if unique else []
+    cells, found = _unique_cells(df, unique), []
+    if unique:
+        found.append(counts.where(F.col("pos").isin([p for p, _ in unique])).select("pos", "a", "b", "at"))
     for pos, rule in rules:
         if rule.rule_type in REFERENCE_RULES:
             texts = _key_texts(df, rule.columns, rule.rule_type == "temporal_catalog_exists")
-            cells.append(f"CASE WHEN {present_sql(df, *rule.columns, tokens=tokens)} THEN named_struct('pos', {pos}, {_hashed(texts)}) END")
-            lost = _unmatched(df, catalog[rule.param("reference_dataset")], rule, tokens).where("known IS NULL")
+            cells[pos] = f"CASE WHEN {present_sql(df, *rule.columns, tokens=tokens)} THEN named_struct('pos', {pos}, {_hashed(texts)}) END"
+            lost = _unmatched(df, catalog[rule.param("reference_dataset")], rule, tokens, lead).where("known IS NULL")
             own = _hashed([f"k{i}" for i in range(len(rule.columns))])
-            found.append(lost.selectExpr(f"inline(array(named_struct('pos', {pos}, {own})))"))
+            found.append(lost.selectExpr(f"inline(array(named_struct('pos', {pos}, {own}, 'at', at)))"))
     for pos, rule in pairs:
         code = f"CAST({quoted(rule.columns[0])} AS STRING)"
-        cells.append(f"CASE WHEN {present_sql(df, *rule.columns, tokens=tokens)} THEN named_struct('pos', {pos}, {_hashed([code])}) END")
+        cells[pos] = f"CASE WHEN {present_sql(df, *rule.columns, tokens=tokens)} THEN named_struct('pos', {pos}, {_hashed([code])}) END"
     if pairs:
-        several = _cell_groups(df, pairs, tokens).where("pairs > 1")
-        found.append(several.selectExpr("pos", "xxhash64(a) AS a", "xxhash64(17, a) AS b"))
+        several = _cell_groups(df, pairs, tokens, lead).where("pairs > 1")
+        found.append(several.selectExpr("pos", "xxhash64(a) AS a", "xxhash64(17, a) AS b", "at"))
     return cells, found
 
 
+def _within_reach(cells: Mapping[int, str], failing: DataFrame, lead: Column, limit: int) -> Column:
+    """Which rows may be among the first `limit` failing rows of a rule, or share a key with one of them and come before it.
+
+    Each of a rule's contested keys has a failing row with a `lead` of the key's `at` or before, so with `limit` keys the wanted
+    rows do not come after the last of the first `limit` values of `at`. Of a rule with fewer keys all their rows are looked at.
+    """
+    first = failing.withColumn("nth", F.expr("row_number() over (partition by pos order by at)")).where(F.col("nth") <= limit)
+    keys = first.groupBy("pos").agg(F.collect_list("__a").alias("keys")).collect()  # `limit` keys of a rule at most
+    few = [F.expr(cells[r["pos"]]).getField("a").isin(r["keys"]) for r in keys if len(r["keys"]) < limit]
+    bounded = [r["pos"] for r in keys if len(r["keys"]) >= limit]
+    if bounded:
+        last = first.where(F.col("pos").isin(bounded)).agg(F.max("at")).scalar()
+        few.append(lead.isNull() | (lead <= last))
+    return reduce(Column.__or__, few, F.lit(False))
+
+
 #: Set rules whose failures are rows; coverage and cardinality rules fail by years and values.
 SAMPLED_RULES = (*UNIQUE_RULES, *REFERENCE_RULES, "code_name_consistency")
 
@@ -250,19 +283,22 @@ def failed_set_rows(
 ) -> DataFrame:
     """Up to `limit` failing rows per set rule, the first by `order_by`: (pos, rank, and the columns the rules show).
 
-    A row fails a uniqueness rule if an earlier row has its key. One scan for all rules: a row's cells are met with the
-    contested ones, and only those rows are ranked; the ranks are limited in each task before they move, by key for
-    uniqueness rules, so a key with a third of the rows costs `limit` rows per task. Ties are broken by a hash of the row.
+    A row fails a uniqueness rule if an earlier row has its key. One scan for all rules, of the rows within reach: a row's
+    cells are met with the contested ones, and only those rows are ranked; the ranks are limited in each task before they move, by
+    key for uniqueness rules, so a key with a third of the rows costs `limit` rows per task. Ties are broken by a hash of the row.
+    `counts` are repeated keys by `key_counts` with `leading(df, order_by)`.
     """
     rules = [(p, r) for p, r in rules if r.rule_type in SAMPLED_RULES]
     unique = [p for p, r in rules if r.rule_type in UNIQUE_RULES]
     if unique and counts is None:
-        counts = key_counts(df, [(p, r) for p, r in rules if p in unique]).where("n > 1")
-    cells, found = contested(df, rules, tokens, catalog or {}, counts)
+        counts = key_counts(df, [(p, r) for p, r in rules if p in unique], leading(df, order_by)).where("n > 1")
+    lead = leading(df, order_by)
+    cells, found = contested(df, rules, tokens, catalog or {}, counts, lead)
+    failing = reduce(DataFrame.unionByName, found).select("pos", F.col("a").alias("__a"), F.col("b").alias("__b"), "at")
+    failing = written_once(failing, "contested")
     wanted = sorted({c for _, r in rules for c in r.sample_columns if c in df.columns} | set(order_by))
-    tie = F.xxhash64(*[column(c) for c in df.columns])
-    rows = _exploded(df, cells, *[column(c) for c in wanted], tie.alias("__tie"))
-    failing = reduce(DataFrame.unionByName, found).select("pos", F.col("a").alias("__a"), F.col("b").alias("__b"))
+    near = df.where(_within_reach(cells, failing, lead, limit))
+    rows = _exploded(near, cells.values(), *[column(c) for c in wanted], _row_hash(df).alias("__tie"))
     met = (rows["pos"] == failing["pos"]) & (rows["a"] == failing["__a"]) & (rows["b"] == failing["__b"])
     hits = rows.join(failing, met, "left_semi").withColumn("__key", F.struct("pos", "a", "b"))
     order = ", ".join([*(quoted(c) for c in order_by), "__tie"])

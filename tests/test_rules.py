@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from tamiz.rules import evaluate, failed_set_samples, rule
 from tamiz.rules.evaluate import COUNTERS_PER_PASS, _passes, compile_rules
@@ -292,3 +293,45 @@ def test_a_pass_has_few_enough_conditions_for_the_jvm_to_compile(spark):
     df = spark.range(5).selectExpr(*[f"CAST(id AS STRING) AS {c}" for c in names])
     _, checks = compile_rules(df, [(i, rule("accepted_range", c, min_value=0, max_value=9)) for i, c in enumerate(names)], AS_OF)
     assert max(len(p) for p in _passes(checks)) <= 8
+
+
+def test_set_samples_look_at_few_rows(spark):
+    """Only rows that may be shown are read whole: those up to the last wanted one, and those of a rule's few keys."""
+    met = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        met.add(1)
+        return x
+
+    ids = spark.range(4000, numPartitions=4).selectExpr("id", "id div 2 AS pair", "IF(id % 1000 = 7, 'x', 'y') AS code", "id % 2 AS name")
+    df = ids.withColumn("extra", F.udf(seen, "long")("id"))
+    rules = [
+        (0, rule("unique_key", "pair", sample_columns=("id",))),
+        (1, rule("referential_integrity", "code", reference_dataset="p", reference_columns=("code",), sample_columns=("id",))),
+    ]
+    parent = spark.createDataFrame([("y",)], "code string")
+    picked = failed_set_samples(df, rules, ["id"], 3, catalog={"p": parent}).collect()
+    assert sorted((r.pos, r["values"]["id"]) for r in picked) == [(0, "1"), (0, "3"), (0, "5"), (1, "1007"), (1, "2007"), (1, "7")]
+    assert 0 < met.value < 100
+
+
+@pytest.mark.parametrize("limit", [1, 2, 3, 50])
+def test_set_samples_by_a_column_with_nulls_and_ties(spark, limit):
+    """The first failing rows are those of a plain ranking, wherever a key's rows stand in the order."""
+    data = [(i, None if i % 5 == 0 else (i * 37) % 11, f"k{(i * 7) % 9}" if i % 4 else f"z{i}", f"c{i % 3}", f"n{i % 6 if i % 3 else 0}") for i in range(60)]
+    df = spark.createDataFrame(data, "id long, at long, key string, code string, name string").repartition(3)
+    rules = [
+        (0, rule("unique_key", "key", sample_columns=("id",))),
+        (1, rule("code_name_consistency", "code", "name", sample_columns=("id",))),
+        (2, rule("referential_integrity", "code", reference_dataset="p", reference_columns=("code",), sample_columns=("id",))),
+    ]
+    parent = spark.createDataFrame([("c1",)], "code string")
+    ordered = sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    earlier = set()
+    repeated = [r[0] for r in ordered if r[2] in earlier or earlier.add(r[2])]
+    names = {c: {r[4] for r in data if r[3] == c} for c in ("c0", "c1", "c2")}
+    several = [r[0] for r in ordered if len(names[r[3]]) > 1]
+    lost = [r[0] for r in ordered if r[3] != "c1"]
+    want = [(pos, i + 1, str(x)) for pos, found in enumerate((repeated, several, lost)) for i, x in enumerate(found[:limit])]
+    picked = failed_set_samples(df, rules, ["at", "id"], limit, catalog={"p": parent}).collect()
+    assert sorted((r.pos, r["rank"], r["values"]["id"]) for r in picked) == sorted(want)
