@@ -7,7 +7,9 @@
    single words take the place of pairs. With the pairs of all lines in one order, two lines with T pairs in common share one of the first
    n - T of their n - 1 pairs (prefix filter); each line is filed under the first 2 * d + 1 or so. The order begins with pairs of
    rare words; any order is right, and frequencies are those of classes of words, a table whose size is fixed. Grams
-   with one holder are dropped in buckets of packed arrays; those with the same holders as another by counts and XORs.
+   with one holder are dropped in buckets of packed arrays, and so are holders with no other whose words before and behind the gram
+   are as many but for the edits allowed; grams with the same holders as another are dropped by counts and XORs. The unedited
+   words of two similar lines are in one order, so the first gram that both have unedited is met in place.
 3. Holders of a gram are compared by ``SKETCH`` * 64 parities of word counts, of which an edit changes two at most, in blocks that
    give spanning forests; the components are clusters. Neither step loses a pair that is similar enough.
 4. In a cluster, lines whose word edit similarity 1 - distance / longer length reaches ``similarity`` are linked, again in
@@ -37,8 +39,8 @@ from tamiz.session import written_once
 
 from .common import bounded_broadcast, lean, numbered_texts, same_row, text_mark
 from .components import components
-from .neardup import Forest, Rows, in_blocks, overlaps
-from .words import LETTERS, Words, mix, pieces, sequence_hashes
+from .neardup import Forest, Rows, in_blocks, overlaps, small_groups
+from .words import _PLACES, LETTERS, PIECE, Words, mix, pieces, sequence_hashes
 
 #: Default of ``min_words``: lines of one word are lines.
 MIN_WORDS = 1
@@ -46,8 +48,13 @@ MIN_WORDS = 1
 SKETCH = 4
 #: Entries of a bucket of grams; distinct lines of a piece of text from which on a gram's holders need no count.
 BUCKET, OFTEN = 1 << 21, 32
+#: Words before or behind a gram from which on they are not counted.
+ANYWHERE = 255
+#: Bytes of text cut into words at once: what that takes stays in a processor's cache.
+TEXT = 1 << 17
 #: Classes that words are counted by, and steps of a weight to a doubling.
 CLASSES, STEPS = 1 << 16, 8
+_COUNT = np.dtype([("class", np.uint16), ("n", np.int64)])
 #: Numbers in the rows of a table that may be broadcast: 16 MB.
 NUMBERS = 1 << 21
 #: Lines of a key, and words of a cluster, on one side of a block pair.
@@ -55,11 +62,16 @@ HOLDERS, WORDS = 2048, 1 << 18
 _SKETCHES = [f"sketch{i}" for i in range(SKETCH)]
 
 
+def _line_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the lines of some texts begin."""
+    # Lines without a byte need no number: the one after a line end that closes a text counts as the next text's first.
+    return np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 0x0A) + 1]))
+
+
 def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words of some texts; for each line its text, its number there, its first word and the word after its last."""
     words = Words(data, offsets, LETTERS)
-    # Lines without a byte need no number: the one after a line end that closes a text counts as the next text's first.
-    own = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 0x0A) + 1]))
+    own = _line_starts(data, offsets)
     text = np.searchsorted(offsets[:-1], own, side="right") - 1
     number = np.arange(len(own)) - np.searchsorted(text, text)
     first = np.searchsorted(words.starts, own)
@@ -90,26 +102,31 @@ def sketches(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndar
 
 
 def _word_class(hashes: np.ndarray) -> np.ndarray:
-    return (mix(hashes + np.uint64(3)) % np.uint64(CLASSES)).astype(np.int64)
+    return (hashes >> np.uint64(64 - CLASSES.bit_length() + 1)).astype(np.int64)
 
 
 def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many words of a task's texts are of each class."""
+    """How many words are of each class, from the packed counts of tasks."""
     counts = np.zeros(CLASSES, dtype=np.int64)
     for batch in batches:
-        for _, _, data, offsets in pieces(batch.column(1)):
-            counts += np.bincount(_word_class(Words(data, offsets, LETTERS).hashes), minlength=CLASSES)
+        for packed in batch.column(0).to_pylist():
+            told = np.frombuffer(packed, dtype=_COUNT)
+            counts[told["class"]] += told["n"]
     met = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], names=["class", "n"])
 
 
-def word_weights(texts: DataFrame) -> np.ndarray:
-    """For each class of words how frequent it is, as a rounded logarithm in a byte."""
-    counts = texts.mapInArrow(lean(_word_counts), "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
-    weights = np.zeros(CLASSES, dtype=np.uint8)
+def word_weights(counted: DataFrame) -> tuple[np.ndarray, int]:
+    """For each class of words how frequent it is, as a rounded logarithm in a byte; and how many words there are.
+
+    ``counted``: the packed counts of ``_occurrences``.
+    """
+    counts = counted.mapInArrow(lean(_word_counts), "class long, n long").groupBy("class").agg(F.sum("n").alias("n"))
+    weights, total = np.zeros(CLASSES, dtype=np.uint8), 0
     for row in counts.collect():  # CLASSES rows at most
         weights[row["class"]] = min(255, int(STEPS * np.log2(row["n"])))
-    return weights
+        total += row["n"]
+    return weights, total
 
 
 def _gram(x: int, similarity: float) -> int:
@@ -123,11 +140,17 @@ def _filed(n: int, k: int, similarity: float) -> int:
     return max((n - x + k * d + 1 for x, d in longer if d and _gram(x, similarity) == k), default=0)
 
 
-def line_grams(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, weights: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key) of the grams each line is filed under: the first by the weights of their words, then by key."""
+def line_grams(
+    hashes: np.ndarray, first: np.ndarray, last: np.ndarray, weights: np.ndarray, similarity: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(line, key, words before, words after) of the grams each line is filed under: the first by the weights of their words, then by key.
+
+    The order compares 16 bits of a key; a line is also filed under the grams that its last one ties with. Counts of words end at
+    ANYWHERE, which both counts of a gram are that a line has several times.
+    """
     sizes = last - first
     weight = weights[_word_class(hashes)].astype(np.int64)
-    lines, keys = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+    out: list[list[np.ndarray]] = [[np.zeros(0, dtype=t)] for t in (np.int64, np.uint64, np.uint8, np.uint8)]
     for k in (1, 2):
         most = np.zeros(int(sizes.max(initial=0)) + 1, dtype=np.int64)
         for n in np.unique(sizes).tolist():
@@ -136,76 +159,142 @@ def line_grams(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, weights:
         if not len(of):
             continue
         n = sizes[of] - k + 1
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        line = np.repeat(of, n)
-        at = first[line] + place
-        key = sequence_hashes(hashes, at, at + k)
-        common = weight[at] + (weight[at + 1] if k == 2 else 0)
-        by = np.lexsort((key, line * 512 + common))
-        line, key = line[by], key[by]  # lines stay where they were, so place is the rank of a gram in its line
-        run = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])])
-        nth = np.arange(len(key)) - np.repeat(run, np.diff(np.append(run, len(key))))
-        early = place < most[sizes[line]]
-        lines.append(line[early])
-        keys.append(mix(key[early] + nth[early].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)))
-    return np.concatenate(lines), np.concatenate(keys)
+        starts = np.cumsum(n) - n
+        line = np.repeat(np.arange(len(of)), n)
+        at = np.arange(n.sum()) + (first[of] - starts)[line]
+        raw, common = hashes[at], weight[at]
+        if k == 2:
+            raw, common = raw * _PLACES[0] + hashes[at + 1] * _PLACES[1], common + weight[at + 1]
+        order = common << 16 | (raw >> np.uint64(48)).astype(np.int64)
+        wide = len(at).bit_length()
+        if len(of).bit_length() + 25 + wide <= 63:
+            by = np.sort((line << 25 | order) << wide | np.arange(len(at))) & ((1 << wide) - 1)
+        else:
+            by = np.lexsort((order, line))
+        order = order[by]  # lines stay where they were
+        end = order[starts + np.minimum(most[sizes[of]], n) - 1]
+        early = np.flatnonzero(order <= end[line])
+        line, at = line[early], by[early]
+        key = mix(raw[at] + np.uint64(k))
+        before = at - starts[line]
+        after = n[line] - 1 - before
+        new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])]
+        again = ~new
+        again[:-1] |= ~new[1:]
+        before[again] = after[again] = ANYWHERE
+        for column, values in zip(out, (of[line], key, np.minimum(before, ANYWHERE), np.minimum(after, ANYWHERE)), strict=True):
+            column.append(values[new].astype(column[0].dtype))
+    return tuple(np.concatenate(column) for column in out)
+
+
+def _cut(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of the runs of some values that begin at ``cuts``."""
+    ends = (np.append(cuts, len(values)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _filings(batches: Iterable[pa.RecordBatch], weights: np.ndarray, similarity: float, min_words: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(line, key, before, after) of about PIECE bytes of text at once, each line of a smaller piece once."""
+    met: list[tuple[np.ndarray, ...]] = []
+    size = 0
+    for batch in batches:
+        for _, _, data, offsets in pieces(batch.column(1), TEXT):
+            words, _, _, first, last = _lines(data, offsets)
+            keep = last - first >= min_words
+            first, last = first[keep], last[keep]
+            hashes, one = np.unique(sequence_hashes(words.hashes, first, last), return_index=True)
+            line, *rest = line_grams(words.hashes, first[one], last[one], weights, similarity)
+            met.append((hashes[line], *rest))
+            size += len(data)
+            if size >= PIECE:
+                yield tuple(np.concatenate(c) for c in zip(*met, strict=True))
+                met, size = [], 0
+    if met:
+        yield tuple(np.concatenate(c) for c in zip(*met, strict=True))
 
 
 def _packed(batches: Iterable[pa.RecordBatch], weights: np.ndarray, similarity: float, min_words: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Per piece of text and bucket one row of packed (key, line); rows of grams that are often held are ``sure``.
+    """Per piece of text and bucket one row of packed (key, line, words before, words after); rows of grams that are often held are ``sure``.
 
     A key has 32 bits beside its bucket; in ``sure`` rows, which are dealt by line, it is written with the bucket.
     """
-    names = ["bucket", "sure", "keys", "lines"]
-    for batch in batches:
-        for _, _, data, offsets in pieces(batch.column(1)):
-            words, _, _, first, last = _lines(data, offsets)
-            keep = last - first >= min_words
-            first, last = first[keep], last[keep]
-            hashes = sequence_hashes(words.hashes, first, last)
-            _, one = np.unique(hashes, return_index=True)
-            line, key = line_grams(words.hashes, first[one], last[one], weights, similarity)
-            if not len(key):
+    names = ["bucket", "sure", "keys", "lines", "before", "after"]
+    for line, key, before, after in _filings(batches, weights, similarity, min_words):
+        if not len(key):
+            continue
+        key = ((key >> np.uint64(32)) * np.uint64(buckets) & ~np.uint64(0xFFFFFFFF)) | (key & np.uint64(0xFFFFFFFF))
+        by = np.argsort(key)
+        line, key, before, after = line[by], key[by], before[by], after[by]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        n = np.diff(np.append(starts, len(key)))
+        often = np.repeat(n > OFTEN, n)
+        # Two entries of a gram that is often held tell the others that it is held, anywhere; its own holders go anywhere.
+        ends = np.zeros(len(key), dtype=bool)
+        ends[starts], ends[starts + n - 1] = True, True
+        before[often], after[often] = ANYWHERE, ANYWHERE
+        for sure, chosen in ((False, ~often | ends), (True, often)):
+            if not chosen.any():
                 continue
-            key = ((key >> np.uint64(32)) * np.uint64(buckets) & ~np.uint64(0xFFFFFFFF)) | (key & np.uint64(0xFFFFFFFF))
-            by = np.argsort(key, kind="stable")
-            line, key = hashes[one][line[by]], key[by]
-            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            n = np.diff(np.append(starts, len(key)))
-            often = np.repeat(n > OFTEN, n)
-            # Two lines of a gram that is often held tell the others that it is held; its own holders go anywhere.
-            ends = np.zeros(len(key), dtype=bool)
-            ends[starts], ends[starts + n - 1] = True, True
-            for sure, chosen in ((False, ~often | ends), (True, often)):
-                if not chosen.any():
-                    continue
-                k, x = key[chosen], line[chosen]
-                bucket = ((mix(x) >> np.uint64(32)) * np.uint64(buckets) if sure else k) >> np.uint64(32)
-                by = np.argsort(bucket, kind="stable")
-                bucket, k, x = bucket[by].astype(np.int64), k[by] if sure else k[by].astype(np.uint32), x[by]
-                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-                spans = list(zip(cuts.tolist(), np.append(cuts[1:], len(bucket)).tolist(), strict=True))
-                arrays = [pa.array(bucket[cuts], pa.int64()), pa.array([sure] * len(spans))]
-                arrays += [pa.array([c[a:b].tobytes() for a, b in spans], pa.binary()) for c in (k, x)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-
-def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(line, key) of the grams that are sure or have two lines; rows come by bucket."""
+            k, x, a, b = key[chosen], line[chosen], before[chosen], after[chosen]
+            if sure:
+                bucket = (mix(x) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                by = np.argsort(bucket)
+                bucket, k, x, a, b = bucket[by], k[by], x[by], a[by], b[by]
+            else:
+                bucket, k = k >> np.uint64(32), k.astype(np.uint32)
+            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            arrays = [pa.array(bucket[cuts].astype(np.int64)), pa.array(np.full(len(cuts), sure)), *(_cut(c, cuts) for c in (k, x, a, b))]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _in_place(before: np.ndarray, after: np.ndarray, first: np.ndarray, second: np.ndarray, similarity: float) -> np.ndarray:
+    """For pairs of holders of a gram whether their lines may be similar with the gram where it is.
+
+    The edits before the gram are as many as the words before differ at least, and so behind it; a count that ends at ANYWHERE
+    differs by no more than the whole one would.
+    """
+    edits = np.array([_edits(n, similarity) for n in range(2 * ANYWHERE + 3)])
+    longest = np.array([_edits(_longest(n, similarity), similarity) for n in range(2 * ANYWHERE + 3)])
+    told = (before < ANYWHERE) & (after < ANYWHERE)
+    size = np.where(told, before + after + 2, 0)  # words, one more for grams of one
+    most = np.maximum(size[first], size[second])
+    both = told[first] & told[second]
+    one = told[first] | told[second]
+    apart = np.abs(before[first] - before[second]) + np.abs(after[first] - after[second])
+    wild = (before == ANYWHERE) & (after == ANYWHERE)
+    return (apart <= np.where(both, edits[most], longest[most])) | ~one | wild[first] | wild[second]
+
+
+def _shared(batches: Iterable[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """(line, key) of the grams that are sure or that two lines have where it lets them be similar; rows come by bucket."""
 
     def out(key: np.ndarray, line: np.ndarray) -> pa.RecordBatch:
         arrays = [pa.array(line.view(np.int64)), pa.array(key.view(np.int64))]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "group"])
 
     def counted(bucket: int, parts: list[tuple]) -> pa.RecordBatch:
-        key, line = (np.frombuffer(b"".join(p[i] for p in parts), dtype=kind) for i, kind in enumerate((np.uint32, np.uint64)))
-        by = np.lexsort((line, key))
-        key, line = key[by], line[by]
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        n = np.diff(np.append(starts, len(key)))
-        held = line[starts] != line[starts + n - 1]
-        new = np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])] & np.repeat(held, n)
-        return out(np.uint64(bucket << 32) | key[new].astype(np.uint64), line[new])
+        kinds = (np.uint32, np.uint64, np.uint8, np.uint8)
+        key, line, before, after = (np.frombuffer(b"".join(p[i] for p in parts), dtype=kind) for i, kind in enumerate(kinds))
+        by = np.sort(key.astype(np.uint64) << np.uint64(32) | np.arange(len(key), dtype=np.uint64))
+        same = by[1:] >> np.uint64(32) == by[:-1] >> np.uint64(32)
+        by = (by & np.uint64(0xFFFFFFFF))[np.r_[False, same] | np.r_[same, False]]
+        by = by[np.lexsort((line[by], key[by]))]
+        key, line, before, after = key[by], line[by], before[by].astype(np.int64), after[by].astype(np.int64)
+        if not len(key):
+            return out(key.astype(np.uint64), line)
+        # A line of several pieces of text is one holder; one that tells different places may have the gram anywhere.
+        one = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])])
+        key, line = key[one], line[one]
+        places = [(np.minimum.reduceat(c, one), np.maximum.reduceat(c, one)) for c in (before, after)]
+        fixed = np.logical_and.reduce([low == high for low, high in places])
+        before, after = (np.where(fixed, low, ANYWHERE) for low, _ in places)
+        cuts = np.append(np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key))
+        small, pairs = small_groups(cuts, np.zeros(len(key), dtype=np.int8))
+        held = np.repeat(~small, np.diff(cuts))
+        for first, second in pairs:
+            near = _in_place(before, after, first, second, similarity)
+            held[first[near]] = held[second[near]] = True
+        return out(np.uint64(bucket << 32) | key[held].astype(np.uint64), line[held])
 
     last, parts = None, []
     for batch in batches:
@@ -217,16 +306,19 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield counted(last, parts)
                 parts = []
             last = row["bucket"]
-            parts.append((row["keys"], row["lines"]))
+            parts.append((row["keys"], row["lines"], row["before"], row["after"]))
     if parts:
         yield counted(last, parts)
 
 
 def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "mark", "line_no", "line", "check", *_SKETCHES, "n_words"]
+    """The lines of texts; a task's last row has no line but how many of its words are of each class."""
+    names = ["doc_id", "mark", "line_no", "line", "check", *_SKETCHES, "n_words", "counts"]
+    counts = np.zeros(CLASSES, dtype=np.int64)
     for batch in batches:
-        for i, _, data, offsets in pieces(batch.column(1)):
+        for i, _, data, offsets in pieces(batch.column(1), TEXT):
             words, text, number, first, last = _lines(data, offsets)
+            counts += np.bincount(_word_class(words.hashes), minlength=CLASSES)
             keep = last - first >= min_words
             text, number, first, last = text[keep], number[keep], first[keep], last[keep]
             codes = sketches(words.hashes, first, last)
@@ -237,27 +329,40 @@ def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[
                 pa.array(sequence_hashes(mix(words.hashes + np.uint64(1)), first, last).view(np.int64)),
                 *(pa.array(np.ascontiguousarray(codes[:, i]).view(np.int64)) for i in range(SKETCH)),
                 pa.array(last - first, pa.int64()),
+                pa.nulls(len(first), pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+    told = np.zeros(np.count_nonzero(counts), dtype=_COUNT)
+    told["class"] = np.flatnonzero(counts)
+    told["n"] = counts[told["class"]]
+    arrays = [pa.nulls(1, pa.int64()) for _ in names[:-1]]
+    yield pa.RecordBatch.from_arrays([*arrays, pa.array([told.tobytes()], pa.binary())], names=names)
 
 
 def _sequences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The word hashes of the named lines of each text."""
+    """The word hashes of the named lines of each text; no other line is cut into words."""
     for batch in batches:
-        wanted = batch.column(2).to_pylist()
+        wanted = batch.column(2)
+        counts = wanted.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        told = wanted.flatten()
+        numbers, names = (told.field(c).to_numpy(zero_copy_only=False) for c in ("line_no", "line"))
+        ends = np.append(0, np.cumsum(counts))
         for i, j, data, offsets in pieces(batch.column(1)):
-            words, text, number, first, last = _lines(data, offsets)
-            begin = np.searchsorted(text, np.arange(j - i + 1))
-            hashes = sequence_hashes(words.hashes, first, last).view(np.int64)
-            lines, sequences = [], []
-            for r in range(j - i):
-                for wish in wanted[i + r]:
-                    at = int(begin[r]) + wish["line_no"]
-                    if at >= begin[r + 1] or hashes[at] != wish["line"]:
-                        continue  # another text of this doc_id
-                    lines.append(wish["line"])
-                    sequences.append(words.hashes[first[at] : last[at]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.int64()), pa.array(sequences, pa.binary())], names=["doc_id", "words"])
+            own = _line_starts(data, offsets)
+            begin = np.searchsorted(own, offsets[:-1])
+            mine = slice(ends[i], ends[j])
+            text = np.repeat(np.arange(j - i), counts[i:j])
+            at = begin[text] + numbers[mine]
+            known = at < np.append(begin[1:], len(own))[text]
+            at, line = at[known], names[mine][known]
+            stops = np.append(own[1:], len(data))
+            sizes = stops[at] - own[at]
+            bounds = np.append(0, np.cumsum(sizes))
+            chosen = data[np.repeat(own[at] - bounds[:-1], sizes) + np.arange(bounds[-1])]
+            words = Words(chosen, bounds, LETTERS)
+            same = sequence_hashes(words.hashes, words.bounds[:-1], words.bounds[1:]).view(np.int64) == line  # else another text of this doc_id
+            sequences = [words.hashes[a:b].tobytes() for a, b, s in zip(words.bounds[:-1], words.bounds[1:], same, strict=True) if s]
+            yield pa.RecordBatch.from_arrays([pa.array(line[same], pa.int64()), pa.array(sequences, pa.binary())], names=["doc_id", "words"])
 
 
 def edit_distance(a: list, b: list) -> int:
@@ -345,18 +450,23 @@ def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator
 def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """(occurrences of lines, (line, component) of the lines that are linked to a different one)."""
     codes = ", ".join(f"{c} long" for c in _SKETCHES)
-    schema = f"doc_id long, mark long, line_no long, line long, check long, {codes}, n_words long"
+    schema = f"doc_id long, mark long, line_no long, line long, check long, {codes}, n_words long, counts binary"
     texts = numbered_texts(docs).where("doc_id is not null and text is not null").withColumn("mark", text_mark())
-    found = written_once(texts.mapInArrow(lean(partial(_occurrences, min_words=min_words)), schema), "lines")
-    first = F.min(F.struct("doc_id", "mark", "line_no")).alias("first")
-    described = [*_SKETCHES, "n_words"]
-    classes = written_once(found.groupBy("line").agg(first, *[F.min(c).alias(c) for c in described]), "line-classes")
-    total = found.agg(F.sum("n_words")).first()[0] or 0
-    grams = partial(_packed, weights=word_weights(texts), similarity=similarity, min_words=min_words, buckets=max(256, total // BUCKET))
-    packed = texts.mapInArrow(lean(grams), "bucket long, sure boolean, keys binary, lines binary")
+    told = written_once(texts.mapInArrow(lean(partial(_occurrences, min_words=min_words)), schema), "lines")
+    found = told.where("line is not null").drop("counts")
+    weights, total = word_weights(told.where("counts is not null").select("counts"))
+    grams = partial(_packed, weights=weights, similarity=similarity, min_words=min_words, buckets=max(256, total // BUCKET))
+    packed = texts.mapInArrow(lean(grams), "bucket long, sure boolean, keys binary, lines binary, before binary, after binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
     # A line of several pieces of text is filed by each of them.
-    filed = written_once(packed.mapInArrow(lean(_shared), "doc_id long, group long").distinct(), "line-grams")
+    filed = packed.mapInArrow(lean(partial(_shared, similarity=similarity)), "doc_id long, group long")
+    filed = written_once(filed.distinct(), "line-grams")
+    # Lines that share no gram have no similar line.
+    some = written_once(filed.select(F.col("doc_id").alias("line")).distinct(), "lines-filed")
+    first = F.min(F.struct("doc_id", "mark", "line_no")).alias("first")
+    described = [*_SKETCHES, "n_words"]
+    classes = found.join(bounded_broadcast(some, 1 << 20), "line").groupBy("line").agg(first, *[F.min(c).alias(c) for c in described])
+    classes = written_once(classes, "line-classes")
     held = filed.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"))
     # Grams with the same holders ask for the same comparisons; one of them is enough.
     chosen = written_once(held.groupBy("n", "x").agg(F.min("group").alias("group")).select("group", "n"), "line-keys")
@@ -382,18 +492,21 @@ def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS)
 def removable(docs: DataFrame, similarity: float = 0.8, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, mark, removed): the numbers of the lines of each text that repeat a line kept elsewhere."""
     found, linked = line_groups(docs, similarity, max(min_words, 1))
+    # Only lines that stand twice or are linked can lose a place.
+    again = found.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").select("line").join(linked, "line", "full")
+    again = bounded_broadcast(written_once(again, "lines-again"), NUMBERS, F.lit(2))
     fuzzy = F.col("component").isNotNull()
-    grouped = found.join(linked, "line", "left").select(
+    grouped = found.join(again, "line").select(
         "doc_id",
         "mark",
         "line_no",
         F.coalesce("component", "line").alias("a"),
-        F.when(~fuzzy, F.col("check")).alias("b"),  # equal lines that are linked to no other one: by both hashes
-        "n_words",
+        F.when(fuzzy, 0).otherwise(F.col("check")).alias("b"),  # equal lines that are linked to no other one: by both hashes
     )
-    kept = grouped.groupBy("a", "b").agg(F.min(F.struct("doc_id", "mark", "line_no")).alias("first"))
-    named = ["doc_id", "mark", "line_no"]
-    again = found.select(*named).join(kept.select("first.*"), named, "left_anti")
+    grouped = written_once(grouped, "lines-grouped")
+    place = F.struct("doc_id", "mark", "line_no")
+    kept = grouped.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
+    again = grouped.join(kept, ["a", "b"]).where(place != F.col("first"))
     return again.groupBy("doc_id", "mark").agg(F.collect_set("line_no").alias("removed"))  # lines of one text
 
 

@@ -115,12 +115,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, offsets from 0) of runs of texts of about PIECE bytes."""
+def pieces(column: pa.Array, size: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, offsets from 0) of runs of texts of about ``size`` bytes (default: PIECE)."""
     data, offsets = utf8(column)
     i, n = 0, len(offsets) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + PIECE, side="right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + (size or PIECE), side="right")) - 1)
         j = min(j, n)
         yield i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j

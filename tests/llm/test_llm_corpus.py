@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tamiz.llm import components, decontaminate, fingerprints, lines, neardup, quality, queries, sharding, suffixes
+from tamiz.llm.words import LETTERS, Words
 
 #: Names that the operators use themselves.
 EXTRA = "group string, part int, line string, tie int, n int, keys int, n_chars long, lang string, source string, shard string"
@@ -318,6 +319,23 @@ def test_lines_are_filed_under_few_grams():
     assert 0 < size < 6 * 500 * 40
 
 
+def test_lines_with_a_gram_out_of_place_are_not_compared():
+    """A pair of rare words at the start of one line and at the end of another asks for no comparison; in place it does."""
+    own = [[f"w{i}x{j}" for j in range(38)] for i in range(3)]
+    texts = [["rare", "pair", *own[0]], [*own[1], "rare", "pair"], [*own[2][:3], "odd", "one", *own[2][3:]], [*own[0][:4], "odd", "one", *own[1][:34]]]
+    weights = np.full(lines.CLASSES, 9, np.uint8)
+    weights[lines._word_class(Words(np.frombuffer(b"rare pair odd one", np.uint8), np.array([0, 17]), LETTERS).hashes)] = 0
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["\n".join(map(" ".join, texts[:3]))])], names=["doc_id", "text"])
+    more = pa.RecordBatch.from_arrays([pa.array([2]), pa.array([" ".join(texts[3])])], names=["doc_id", "text"])
+
+    def met(*batches):
+        packed = [p for b in batches for p in lines._packed([b], weights=weights, similarity=0.8, min_words=1, buckets=1)]
+        return sum(len(out) for out in lines._shared(packed, similarity=0.8))
+
+    assert met(batch) == 0
+    assert met(batch, more) >= 2
+
+
 def test_copies_of_short_lines_go_in_the_query(spark, tmp_path):
     rows = [(1, "x y\nHome\n--\n世界世界"), (2, "X, y!\nnot home"), (3, "home\n--\n\n世界世界\nhomes"), (4, "y x")]
     table(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
