@@ -184,8 +184,8 @@ class PieceTable:
         for i, j, data, offsets in pieces(texts):
             yield i, j, *self.encode(data, offsets)
 
-    def decode(self, lists: list[list[int] | None]) -> list[str]:
-        return self.processor.decode([x or [] for x in lists], num_threads=1) if lists else []
+    def decode(self, lists: list[list[int]]) -> list[str]:
+        return self.processor.decode(lists, num_threads=1) if lists else []
 
 
 @lru_cache(maxsize=2)
@@ -194,6 +194,13 @@ def table(path: str) -> PieceTable:
     return PieceTable(path)
 
 
+def id_lists(column: pa.ListArray) -> list[list[int]]:
+    """The ids of each row, none for a null. Taken from the flat ids, for ``to_pylist`` makes a scalar object of each id first."""
+    flat = column.flatten().to_numpy().tolist()
+    ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy()).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
     kept = [n for n in batch.schema.names if n != name]
     return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), column], names=[*kept, name])
@@ -204,12 +211,12 @@ def _encoded(batches: Iterable[pa.RecordBatch], path: str, text: str, into: str,
         for i, j, ids, starts in table(path).column(batch.column(text)):
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
             out = _with(batch.slice(i, j - i), into, lists)
-            yield out if decoded is None else _with(out, decoded, pa.array(table(path).decode(lists.to_pylist()), pa.string()))
+            yield out if decoded is None else _with(out, decoded, pa.array(table(path).decode(id_lists(lists)), pa.string()))
 
 
 def _decoded(batches: Iterable[pa.RecordBatch], path: str, ids: str, into: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield _with(batch, into, pa.array(table(path).decode(batch.column(ids).to_pylist()), pa.string()))
+        yield _with(batch, into, pa.array(table(path).decode(id_lists(batch.column(ids))), pa.string()))
 
 
 def _schema(df: DataFrame, *more: T.StructField) -> T.StructType:
