@@ -27,7 +27,7 @@ average, for which the pigeonhole principle leaves blocks of four bits.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import lru_cache, partial
 from math import floor
 
 import numpy as np
@@ -129,15 +129,16 @@ def word_weights(counted: DataFrame) -> tuple[np.ndarray, int]:
     return weights, total
 
 
-def _gram(x: int, similarity: float) -> int:
-    """Words of a gram by which a line of x words is told to be similar to shorter ones."""
-    return 2 if x - 1 - 2 * _edits(x, similarity) > 0 else 1
-
-
+@lru_cache(maxsize=1 << 16)
 def _filed(n: int, k: int, similarity: float) -> int:
-    """How many of its first grams of k words a line of n words is filed under; lines without an edit are similar to equal ones only."""
-    longer = ((x, _edits(x, similarity)) for x in range(n, _longest(n, similarity) + 1))
-    return max((n - x + k * d + 1 for x, d in longer if d and _gram(x, similarity) == k), default=0)
+    """How many of its first grams of k words a line of n words is filed under; lines without an edit are similar to equal ones only.
+
+    A line of x words is told to be similar to shorter ones by pairs of words if some are left by its edits, else by single words.
+    """
+    x = np.arange(n, _longest(n, similarity) + 1)
+    d = np.floor((1 - similarity) * x + 1e-9).astype(np.int64)
+    told = (d > 0) & ((x - 1 - 2 * d > 0) == (k == 2))
+    return int((n - x + k * d + 1)[told].max(initial=0))
 
 
 def line_grams(
@@ -247,14 +248,20 @@ def _packed(batches: Iterable[pa.RecordBatch], weights: np.ndarray, similarity:
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+@lru_cache(maxsize=4)
+def _edits_in_place(similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """For lines of so many words the edits from a similar one, not longer or as long as it may be."""
+    sizes = range(2 * ANYWHERE + 3)
+    return np.array([_edits(n, similarity) for n in sizes]), np.array([_edits(_longest(n, similarity), similarity) for n in sizes])
+
+
 def _in_place(before: np.ndarray, after: np.ndarray, first: np.ndarray, second: np.ndarray, similarity: float) -> np.ndarray:
     """For pairs of holders of a gram whether their lines may be similar with the gram where it is.
 
     The edits before the gram are as many as the words before differ at least, and so behind it; a count that ends at ANYWHERE
     differs by no more than the whole one would.
     """
-    edits = np.array([_edits(n, similarity) for n in range(2 * ANYWHERE + 3)])
-    longest = np.array([_edits(_longest(n, similarity), similarity) for n in range(2 * ANYWHERE + 3)])
+    edits, longest = _edits_in_place(similarity)
     told = (before < ANYWHERE) & (after < ANYWHERE)
     size = np.where(told, before + after + 2, 0)  # words, one more for grams of one
     most = np.maximum(size[first], size[second])
@@ -367,10 +374,10 @@ def _sequences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def edit_distance(a: list, b: list) -> int:
     """Insertions, deletions and replacements from one sequence to the other (bit-parallel columns of one big integer)."""
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
     skip = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
     a, b = a[skip:], b[skip:]
+    skip = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b), strict=False)) if x != y), min(len(a), len(b)))
+    a, b = a[: len(a) - skip], b[: len(b) - skip]
     if not a or not b:
         return len(a) + len(b)
     places: dict = {}
@@ -407,9 +414,10 @@ def _near_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tu
 
 def _near_line_pairs(rows: Rows, first: np.ndarray, second: np.ndarray, similarity: float) -> np.ndarray:
     """For pairs of rows whether ``_near_lines`` links them."""
-    a, b = rows["n_words"][first], rows["n_words"][second]
-    edits = np.floor((1 - similarity) * np.maximum(a, b) + 1e-9).astype(np.int64)
-    apart = np.abs(a - b)
+    sizes = rows["n_words"].astype(np.int32)
+    allowed = np.floor((1 - similarity) * sizes + 1e-9).astype(np.int32)
+    edits = np.maximum(allowed[first], allowed[second])  # those of the longer line
+    apart = np.abs(sizes[first] - sizes[second])
     near = apart <= edits
     at = np.flatnonzero(near)
     i, j = first[at], second[at]
@@ -427,11 +435,31 @@ def _occurrences_of(words: np.ndarray) -> np.ndarray:
     return mix(words + nth * np.uint64(0x9E3779B97F4A7C15))
 
 
+def _shared_words(a: list, b: list) -> int:
+    """How many words two lines can match at most, in any order."""
+    left: dict = {}
+    for x in a:
+        left[x] = left.get(x, 0) + 1
+    both = 0
+    for x in b:
+        n = left.get(x, 0)
+        if n:
+            left[x] = n - 1
+            both += 1
+    return both
+
+
 def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
     """Spanning pairs of similar lines. Only pairs that share enough words for it get their edit distance."""
     sequences = [np.frombuffer(x, dtype=np.uint64) for x in rows["words"]]
     sizes = np.array([len(s) for s in sequences])
     m = len(sequences)
+    if m == 2:
+        a, b = (s.tolist() for s in sequences)
+        longer = max(len(a), len(b))
+        if _shared_words(a, b) >= similarity * longer - 1e-9 and edit_distance(a, b) <= (1 - similarity) * longer + 1e-9:
+            yield 0, 1
+        return
     split = int(np.searchsorted(sides, sides[-1])) if sides[0] != sides[-1] else 0
     forest = Forest(m)
     for r, both in overlaps([_occurrences_of(s) for s in sequences], split or m - 1):

@@ -319,6 +319,33 @@ def test_lines_are_filed_under_few_grams():
     assert 0 < size < 6 * 500 * 40
 
 
+def test_the_grams_of_a_size_are_reckoned_once():
+    for similarity in (0.8, 0.7, 0.95):
+        for n, k in ((n, k) for n in (*range(1, 60), 500, 4001) for k in (1, 2)):
+            longer = ((x, lines._edits(x, similarity)) for x in range(n, lines._longest(n, similarity) + 1))
+            most = max((n - x + k * d + 1 for x, d in longer if d and (2 if x - 1 - 2 * d > 0 else 1) == k), default=0)
+            assert lines._filed(n, k, similarity) == max(most, 0)
+    sizes = np.arange(1, 200)
+    last = np.cumsum(sizes)
+    hashes, weights = np.arange(last[-1], dtype=np.uint64), np.zeros(lines.CLASSES, np.uint8)
+    lines.line_grams(hashes, last - sizes, last, weights, 0.8)
+    before = lines._filed.cache_info().misses
+    lines.line_grams(hashes, last - sizes, last, weights, 0.8)
+    assert lines._filed.cache_info().misses == before
+
+
+def test_two_lines_are_compared_without_an_index_of_their_words(monkeypatch):
+    monkeypatch.setattr(lines, "overlaps", None)
+    rng = random.Random(3)
+    for sides in (np.array([0, 0]), np.array([0, 1])):
+        for _ in range(500):
+            a = [rng.randrange(6) for _ in range(rng.randrange(1, 12))]
+            b = [x if rng.random() < 0.85 else rng.randrange(6) for x in a] + [9] * rng.randrange(3)
+            rows = {"words": [np.array(x, dtype=np.uint64).tobytes() for x in (a, b)]}
+            near = 5 * plain.edit_distance(a, b) <= max(len(a), len(b))
+            assert list(lines._similar_lines(rows, sides, 0.8)) == ([(0, 1)] if near else [])
+
+
 def test_lines_with_a_gram_out_of_place_are_not_compared():
     """A pair of rare words at the start of one line and at the end of another asks for no comparison; in place it does."""
     own = [[f"w{i}x{j}" for j in range(38)] for i in range(3)]
