@@ -26,7 +26,7 @@ average, for which the pigeonhole principle leaves blocks of four bits.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache, partial
 from math import floor
 
@@ -39,7 +39,7 @@ from tamiz.session import written_once
 
 from .common import bounded_broadcast, lean, numbered_texts, same_row, text_mark
 from .components import components
-from .neardup import Forest, Rows, in_blocks, overlaps, small_groups
+from .neardup import Forest, Rows, in_blocks, overlaps, small_groups, stars
 from .words import _PLACES, LETTERS, PIECE, Words, mix, pieces, sequence_hashes
 
 #: Default of ``min_words``: lines of one word are lines.
@@ -59,13 +59,22 @@ _COUNT = np.dtype([("class", np.uint16), ("n", np.int64)])
 NUMBERS = 1 << 21
 #: Lines of a key, and words of a cluster, on one side of a block pair.
 HOLDERS, WORDS = 2048, 1 << 18
+#: Pairs of lines that are looked at at once, as a matrix, and its rows.
+ABREAST, ROWS = 1 << 16, 1 << 10
+#: Words up to which edit distances of many pairs are reckoned together, so many words at once.
+LONG, CELLS = 512, 1 << 16
+#: Pairs that are too few for that; pairs of a large cluster that are gathered for it.
+FEW, PAIRS = 16, 1 << 12
+#: Classes of words, as a power of two, that the lines of a large cluster are compared by in any order.
+WORD_BITS = 18
 _SKETCHES = [f"sketch{i}" for i in range(SKETCH)]
 
 
 def _line_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where the lines of some texts begin."""
     # Lines without a byte need no number: the one after a line end that closes a text counts as the next text's first.
-    return np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 0x0A) + 1]))
+    own = np.sort(np.concatenate([offsets[:-1], np.flatnonzero(data == 0x0A) + 1]), kind="stable")
+    return own[np.r_[True, own[1:] != own[:-1]]] if len(own) else own
 
 
 def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,16 +98,17 @@ def _longest(n: int, similarity: float) -> int:
     return floor(n / similarity + 1e-9)
 
 
-def sketches(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """For each span the parity of the number of its values in each of 64 * SKETCH classes, as SKETCH numbers."""
+def sketches(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, wide: int = SKETCH) -> np.ndarray:
+    """For each span the parity of the number of its values in each of 64 * wide classes, as so many numbers; no two spans overlap."""
     n = last - first
-    at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    own = mix(hashes + np.uint64(2))[at]
+    own = mix(hashes + np.uint64(2))
+    if n.sum() < len(own):
+        own = own[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())]
     row = np.repeat(np.arange(len(n)), n)
-    cell = row * SKETCH + (own >> np.uint64(6)).astype(np.int64) % SKETCH
-    out = np.zeros(len(n) * SKETCH, dtype=np.uint64)
+    cell = row * wide + (own >> np.uint64(6)).astype(np.int64) % wide
+    out = np.zeros(len(n) * wide, dtype=np.uint64)
     np.bitwise_xor.at(out, cell, np.uint64(1) << (own & np.uint64(63)))
-    return out.reshape(-1, SKETCH)
+    return out.reshape(-1, wide)
 
 
 def _word_class(hashes: np.ndarray) -> np.ndarray:
@@ -273,13 +283,24 @@ def _in_place(before: np.ndarray, after: np.ndarray, first: np.ndarray, second:
 
 
 def _shared(batches: Iterable[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """(line, key) of the grams that are sure or that two lines have where it lets them be similar; rows come by bucket."""
+    """(line, key) of the grams that are sure or that two lines have where it lets them be similar; rows come by bucket.
 
-    def out(key: np.ndarray, line: np.ndarray) -> pa.RecordBatch:
-        arrays = [pa.array(line.view(np.int64)), pa.array(key.view(np.int64))]
-        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "group"])
+    Grams that may have sure rows are told to be ``often`` held, and then a holder may come again. The holders of the others are all
+    in one bucket, each once: a row without a line has how many they are and the XOR of their lines.
+    """
+    names = ["doc_id", "group", "often", "n", "x"]
+
+    def out(key: np.ndarray, line: np.ndarray, often: np.ndarray) -> pa.RecordBatch:
+        none = pa.nulls(len(key), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(line.view(np.int64)), pa.array(key.view(np.int64)), pa.array(often), none, none], names=names)
+
+    def told(key: np.ndarray, line: np.ndarray) -> pa.RecordBatch:
+        cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[: len(key)]
+        n, x = np.diff(np.append(cuts, len(key))), np.bitwise_xor.reduceat(line, cuts) if len(cuts) else line
+        arrays = [pa.nulls(len(cuts), pa.int64()), pa.array(key[cuts].view(np.int64)), pa.array(np.zeros(len(cuts), dtype=bool))]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(n), pa.array(x.view(np.int64))], names=names)
 
-    def counted(bucket: int, parts: list[tuple]) -> pa.RecordBatch:
+    def counted(bucket: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         kinds = (np.uint32, np.uint64, np.uint8, np.uint8)
         key, line, before, after = (np.frombuffer(b"".join(p[i] for p in parts), dtype=kind) for i, kind in enumerate(kinds))
         by = np.sort(key.astype(np.uint64) << np.uint64(32) | np.arange(len(key), dtype=np.uint64))
@@ -288,7 +309,7 @@ def _shared(batches: Iterable[pa.RecordBatch], similarity: float) -> Iterator[pa
         by = by[np.lexsort((line[by], key[by]))]
         key, line, before, after = key[by], line[by], before[by].astype(np.int64), after[by].astype(np.int64)
         if not len(key):
-            return out(key.astype(np.uint64), line)
+            return
         # A line of several pieces of text is one holder; one that tells different places may have the gram anywhere.
         one = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (line[1:] != line[:-1])])
         key, line = key[one], line[one]
@@ -301,31 +322,42 @@ def _shared(batches: Iterable[pa.RecordBatch], similarity: float) -> Iterator[pa
         for first, second in pairs:
             near = _in_place(before, after, first, second, similarity)
             held[first[near]] = held[second[near]] = True
-        return out(np.uint64(bucket << 32) | key[held].astype(np.uint64), line[held])
+        # What goes anywhere may tell of sure rows; it holds with all others.
+        often = np.repeat(np.logical_or.reduceat((before == ANYWHERE) & (after == ANYWHERE), cuts[:-1]), np.diff(cuts))
+        key = np.uint64(bucket << 32) | key.astype(np.uint64)
+        yield out(key[held], line[held], often[held])
+        held &= ~often
+        yield told(key[held], line[held])
 
     last, parts = None, []
     for batch in batches:
         for row in batch.to_pylist():
             if row["sure"]:
-                yield out(np.frombuffer(row["keys"], dtype=np.uint64), np.frombuffer(row["lines"], dtype=np.uint64))
+                key = np.frombuffer(row["keys"], dtype=np.uint64)
+                yield out(key, np.frombuffer(row["lines"], dtype=np.uint64), np.ones(len(key), dtype=bool))
                 continue
             if row["bucket"] != last and parts:
-                yield counted(last, parts)
+                yield from counted(last, parts)
                 parts = []
             last = row["bucket"]
             parts.append((row["keys"], row["lines"], row["before"], row["after"]))
     if parts:
-        yield counted(last, parts)
+        yield from counted(last, parts)
 
 
 def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     """The lines of texts; a task's last row has no line but how many of its words are of each class."""
     names = ["doc_id", "mark", "line_no", "line", "check", *_SKETCHES, "n_words", "counts"]
     counts = np.zeros(CLASSES, dtype=np.int64)
+    met, size = [np.zeros(0, dtype=np.int64)], 0
     for batch in batches:
         for i, _, data, offsets in pieces(batch.column(1), TEXT):
             words, text, number, first, last = _lines(data, offsets)
-            counts += np.bincount(_word_class(words.hashes), minlength=CLASSES)
+            met.append(_word_class(words.hashes))
+            size += len(words.hashes)
+            if size >= 4 * CLASSES:
+                counts += np.bincount(np.concatenate(met), minlength=CLASSES)
+                met, size = met[:1], 0
             keep = last - first >= min_words
             text, number, first, last = text[keep], number[keep], first[keep], last[keep]
             codes = sketches(words.hashes, first, last)
@@ -339,6 +371,7 @@ def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[
                 pa.nulls(len(first), pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+    counts += np.bincount(np.concatenate(met), minlength=CLASSES)
     told = np.zeros(np.count_nonzero(counts), dtype=_COUNT)
     told["class"] = np.flatnonzero(counts)
     told["n"] = counts[told["class"]]
@@ -395,21 +428,58 @@ def edit_distance(a: list, b: list) -> int:
     return score
 
 
-def _near_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
-    codes, sizes = np.stack([rows[c].view(np.uint64) for c in _SKETCHES], axis=1), rows["n_words"]
-    m = len(codes)
+def _near_blocks(codes: np.ndarray, sizes: np.ndarray, sides: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows, across sides if there are two, that sizes and parities allow to be similar; ABREAST or one row are told at once.
+
+    Rows are met by size: one is compared with those that are not too long or too short for it, and no other pair is looked at.
+    """
     split = int(np.searchsorted(sides, sides[-1])) if sides[0] != sides[-1] else 0
-    forest = Forest(m)
-    for r in range(split or m - 1):
-        start = split or r + 1
-        longer = np.maximum(sizes[start:], sizes[r])
-        apart = np.abs(sizes[start:] - sizes[r])
-        edits = np.floor((1 - similarity) * longer + 1e-9).astype(np.int64)
+    by = np.argsort(sizes[:split] if split else sizes, kind="stable")
+    other = split + np.argsort(sizes[split:], kind="stable") if split else by
+    longest = np.floor(sizes / similarity + 1e-9).astype(np.int64) + 1  # one to spare
+    low = np.searchsorted(longest[other], sizes[by]) if split else np.arange(1, len(by) + 1)
+    high = np.searchsorted(sizes[other], longest[by], side="right")
+    codes, sizes = np.ascontiguousarray(codes.T), sizes.astype(np.int32)
+    allowed = np.floor((1 - similarity) * sizes + 1e-9).astype(np.int32)
+    i = 0
+    while i < len(by):
+        wide = high[i : i + ROWS] - low[i]
+        j = i + max(1, np.count_nonzero(np.arange(1, len(wide) + 1) * wide <= ABREAST))
+        first, second = by[i:j], other[low[i] : high[j - 1]]
+        apart = np.abs(sizes[first][:, None] - sizes[second])
+        edits = np.maximum(allowed[first][:, None], allowed[second])  # those of the longer line
         # A replaced word changes two parities, an added one changes one, and there are as many added as the sizes differ.
-        bits = np.bitwise_count(codes[start:] ^ codes[r]).sum(axis=1, dtype=np.int64)
-        near = np.flatnonzero((apart <= edits) & (bits <= 2 * edits - apart)) + start
-        for other in forest.join(r, near) if len(near) else ():
-            yield r, int(other)
+        bits = np.zeros(apart.shape, dtype=np.int16)
+        for c in codes:
+            bits += np.bitwise_count(c[first][:, None] ^ c[second])
+        near = (apart <= edits) & (bits <= 2 * edits - apart)
+        if not split:
+            near &= np.arange(low[i], high[j - 1]) > np.arange(i, j)[:, None]
+        a, b = np.nonzero(near)
+        if len(a):
+            yield first[a], second[b]
+        i = j
+
+
+def _joined(label: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The labels of rows, each the smallest row of its group, after some pairs of rows are linked."""
+    a, b = label[first], label[second]
+    if (a == b).all():
+        return label
+    new = np.arange(len(label))
+    own, least = stars(a, b, len(label))
+    new[own] = least
+    return new[label]
+
+
+def _near_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+    """Links of each row to the smallest row that pairs of near lines connect it to."""
+    codes = np.stack([rows[c].view(np.uint64) for c in _SKETCHES], axis=1)
+    label = np.arange(len(codes))
+    for first, second in _near_blocks(codes, rows["n_words"], sides, similarity):
+        label = _joined(label, first, second)
+    own = np.flatnonzero(label != np.arange(len(label)))
+    yield from zip(own.tolist(), label[own].tolist(), strict=True)
 
 
 def _near_line_pairs(rows: Rows, first: np.ndarray, second: np.ndarray, similarity: float) -> np.ndarray:
@@ -449,8 +519,116 @@ def _shared_words(a: list, b: list) -> int:
     return both
 
 
+def edit_distances(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The edit distances of pairs of spans of words: the columns of ``edit_distance``, each pair in some bytes of the big integers."""
+    swap = sizes[first] < sizes[second]
+    first, second = np.where(swap, second, first), np.where(swap, first, second)
+    out = np.zeros(len(first), dtype=np.int64)
+    by = np.lexsort((sizes[second], sizes[first]))
+    while len(by):
+        most = sizes[first[by]]
+        n = int(most[max(1, np.searchsorted(np.arange(1, len(by) + 1) * most, CELLS, side="right")) - 1])
+        at = by[: max(1, CELLS // max(n, 1))]
+        at = at[sizes[first[at]] <= n]
+        by = by[len(at) :]
+        if len(at) < FEW:
+            out[at] = [edit_distance(*(words[starts[c] : starts[c] + sizes[c]].tolist() for c in pair)) for pair in zip(first[at], second[at], strict=True)]
+            continue
+        a, b, wide = first[at], second[at], n // 8 + 1  # a bit or more between two pairs
+        rows = words[np.minimum(starts[a][:, None] + np.arange(n), len(words) - 1)]
+        told = np.arange(n) < sizes[a][:, None]
+        field = np.zeros((len(at), 8 * wide), dtype=bool)
+        field[:, :n] = True
+        mask = int.from_bytes(np.packbits(field, bitorder="little").tobytes(), "little")
+        field[:, 1:] = False
+        ones = int.from_bytes(np.packbits(field, bitorder="little").tobytes(), "little")
+        up, down = mask, 0
+        for j in range(int(sizes[b].max()) + 1):
+            ended = np.flatnonzero(sizes[b] == j)
+            if len(ended):
+                steps = [np.frombuffer(x.to_bytes(len(at) * wide, "little"), dtype=np.uint8).reshape(-1, wide)[ended] for x in (up, down)]
+                steps = [np.unpackbits(x, axis=1, count=n, bitorder="little") & told[ended] for x in steps]
+                out[at[ended]] = j + steps[0].sum(axis=1, dtype=np.int64) - steps[1].sum(axis=1, dtype=np.int64)
+            field[:, :n] = rows == words[np.minimum(starts[b] + j, len(words) - 1)][:, None]
+            same = int.from_bytes(np.packbits(field, bitorder="little").tobytes(), "little")
+            diagonal = (((same & up) + up) ^ up) | same | down
+            plus, minus = down | (~(diagonal | up) & mask), up & diagonal
+            plus, minus = (plus << 1 & mask) | ones, minus << 1 & mask
+            up, down = minus | (~(diagonal | plus) & mask), plus & diagonal
+    return out
+
+
+def _flat(rows: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of some lines, where each line begins in them and how many it has."""
+    words = np.frombuffer(b"".join(rows["words"]), dtype=np.uint64)
+    sizes = np.array([len(x) // 8 for x in rows["words"]])
+    return words, np.cumsum(sizes) - sizes, sizes
+
+
+def _shared_by_pair(words: np.ndarray, sizes: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """What tells for pairs of lines how many words they can match at most, in any order; words of one of 2^WORD_BITS classes count as equal."""
+    cells, n = np.unique(np.repeat(np.arange(len(sizes)), sizes) << WORD_BITS | (mix(words) >> np.uint64(64 - WORD_BITS)).astype(np.int64), return_counts=True)
+    which = cells & ((1 << WORD_BITS) - 1)
+    starts = np.searchsorted(cells, np.arange(len(sizes) + 1) << WORD_BITS)
+    here = np.zeros(1 << WORD_BITS, dtype=np.int64)
+
+    def shared(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(first), dtype=np.int64)
+        by = np.argsort(first, kind="stable")
+        for at in np.split(by, np.flatnonzero(np.diff(first[by])) + 1) if len(by) else ():
+            mine = slice(starts[first[at[0]]], starts[first[at[0]] + 1])
+            begin, ends = starts[second[at]], np.cumsum(starts[second[at] + 1] - starts[second[at]])
+            before = np.append(0, ends[:-1])
+            theirs = np.repeat(begin - before, ends - before) + np.arange(ends[-1])
+            here[which[mine]] = n[mine]
+            out[at] = np.add.reduceat(np.minimum(here[which[theirs]], n[theirs]), before)
+            here[which[mine]] = 0
+        return out
+
+    return shared
+
+
+def _both(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    first, second = (np.concatenate(c) for c in zip(*pairs, strict=True))
+    return first, second
+
+
+def _linked(flat: tuple, label: np.ndarray, first: np.ndarray, second: np.ndarray, similarity: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The labels after the similar of some pairs of lines are linked, and similar pairs that connect what all of them would."""
+    words, starts, sizes = flat
+    allowed = np.floor((1 - similarity) * sizes + 1e-9).astype(np.int64)
+    met: list[tuple[int, int]] = []
+    left = np.flatnonzero(label[first] != label[second])
+    while len(left):
+        _, one = np.unique(second[left], return_index=True)  # a pair of each line: where lines are alike, it spares them the others
+        at = left[one]
+        a, b = first[at], second[at]
+        edits = np.maximum(allowed[a], allowed[b])
+        many = np.maximum(sizes[a], sizes[b]) <= LONG
+        near = np.zeros(len(at), dtype=bool)
+        near[many] = edit_distances(words, starts, sizes, a[many], b[many]) <= edits[many]
+        for i in np.flatnonzero(~many).tolist():
+            x, y = (words[starts[c] : starts[c] + sizes[c]].tolist() for c in (a[i], b[i]))
+            near[i] = _shared_words(x, y) >= max(len(x), len(y)) - edits[i] and edit_distance(x, y) <= edits[i]
+        met += zip(a[near].tolist(), b[near].tolist(), strict=True)
+        label = _joined(label, a[near], b[near])
+        left = np.delete(left, one)
+        left = left[label[first[left]] != label[second[left]]]
+    return label, met
+
+
+def _similar_line_pairs(rows: Rows, first: np.ndarray, second: np.ndarray, similarity: float) -> np.ndarray:
+    """For pairs of rows whether they are similar; where other pairs connect them, a pair may be left out."""
+    words, starts, sizes = flat = _flat(rows)
+    codes = sketches(words, starts, starts + sizes)
+    described = {"n_words": sizes} | {c: codes[:, i] for i, c in enumerate(_SKETCHES)}
+    at = np.flatnonzero(_near_line_pairs(described, first, second, similarity))
+    label, _ = _linked(flat, np.arange(len(sizes)), first[at], second[at], similarity)
+    return label[first] == label[second]
+
+
 def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
-    """Spanning pairs of similar lines. Only pairs that share enough words for it get their edit distance."""
+    """Spanning pairs of similar lines. Only pairs that may be similar by their words in any order get their edit distance."""
     sequences = [np.frombuffer(x, dtype=np.uint64) for x in rows["words"]]
     sizes = np.array([len(s) for s in sequences])
     m = len(sequences)
@@ -460,6 +638,24 @@ def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator
         if _shared_words(a, b) >= similarity * longer - 1e-9 and edit_distance(a, b) <= (1 - similarity) * longer + 1e-9:
             yield 0, 1
         return
+    if sizes.mean() <= LONG:
+        words, starts, _ = flat = _flat(rows)
+        codes = sketches(words, starts, starts + sizes, SKETCH * (1 + int(sizes.mean()) // 64))
+        label, waiting, n = np.arange(m), [], 0
+        shared = _shared_by_pair(words, sizes)
+        for first, second in _near_blocks(codes, sizes, sides, similarity):
+            new = label[first] != label[second]
+            first, second = first[new], second[new]
+            enough = shared(first, second) >= similarity * np.maximum(sizes[first], sizes[second]) - 1e-9
+            waiting.append((first[enough], second[enough]))
+            n += np.count_nonzero(enough)
+            if n >= PAIRS:
+                label, met = _linked(flat, label, *_both(waiting), similarity)
+                yield from met
+                waiting, n = [], 0
+        if n:
+            yield from _linked(flat, label, *_both(waiting), similarity)[1]
+        return
     split = int(np.searchsorted(sides, sides[-1])) if sides[0] != sides[-1] else 0
     forest = Forest(m)
     for r, both in overlaps([_occurrences_of(s) for s in sequences], split or m - 1):
@@ -486,16 +682,20 @@ def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS)
     grams = partial(_packed, weights=weights, similarity=similarity, min_words=min_words, buckets=max(256, total // BUCKET))
     packed = texts.mapInArrow(lean(grams), "bucket long, sure boolean, keys binary, lines binary, before binary, after binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
+    met = packed.mapInArrow(lean(partial(_shared, similarity=similarity)), "doc_id long, group long, often boolean, n long, x long")
+    met = written_once(met, "line-grams")
     # A line of several pieces of text is filed by each of them.
-    filed = packed.mapInArrow(lean(partial(_shared, similarity=similarity)), "doc_id long, group long")
-    filed = written_once(filed.distinct(), "line-grams")
+    often = written_once(met.where("often").select("doc_id", "group").distinct(), "line-grams-often")
+    filed = met.where("doc_id is not null and not often").select("doc_id", "group").unionByName(often)
     # Lines that share no gram have no similar line.
     some = written_once(filed.select(F.col("doc_id").alias("line")).distinct(), "lines-filed")
-    first = F.min(F.struct("doc_id", "mark", "line_no")).alias("first")
-    described = [*_SKETCHES, "n_words"]
-    classes = found.join(bounded_broadcast(some, 1 << 20), "line").groupBy("line").agg(first, *[F.min(c).alias(c) for c in described])
+    # A place where the line stands: any, but one. Minima of single numbers are kept in hash tables, those of structs are sorted for.
+    place, described = ["doc_id", "mark", "line_no"], [*_SKETCHES, "n_words"]
+    classes = found.join(bounded_broadcast(some, 1 << 20), "line").withColumn("by", F.xxhash64(*place))
+    classes = classes.groupBy("line").agg(*[F.min_by(c, "by").alias(c) for c in place], *[F.min(c).alias(c) for c in described])
     classes = written_once(classes, "line-classes")
-    held = filed.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"))
+    held = often.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor("doc_id").alias("x"))
+    held = held.unionByName(met.where("doc_id is null").select("group", "n", "x"))
     # Grams with the same holders ask for the same comparisons; one of them is enough.
     chosen = written_once(held.groupBy("n", "x").agg(F.min("group").alias("group")).select("group", "n"), "line-keys")
     holders = filed.join(bounded_broadcast(chosen, 1 << 20), "group")
@@ -504,16 +704,14 @@ def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS)
     clusters = components(near).select(F.col("node").alias("line"), F.col("component").alias("group"))
 
     members = written_once(classes.join(clusters, "line"), "line-clusters")
-    wanted = members.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark")).agg(
-        F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "line")).alias("lines")  # lines of one text
-    )
+    wanted = members.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("line_no", "line")).alias("lines"))  # lines of one text
     wanted = bounded_broadcast(written_once(wanted, "line-texts"), NUMBERS, 2 * F.size("lines") + 3)
     # A document read again gives the same lines again.
     sequences = texts.join(wanted, ["doc_id", "mark"]).select("doc_id", "text", "lines").mapInArrow(lean(_sequences), "doc_id long, words binary")
     own = members.select(F.col("line").alias("doc_id"), "group")
     load = members.groupBy("group").agg(F.sum("n_words").alias("load"))
     rows = sequences.dropDuplicates(["doc_id"]).join(own, "doc_id").join(load, "group")
-    links = in_blocks(rows, f"ceil(load / {WORDS})", ["words"], partial(_similar_lines, similarity=similarity))
+    links = in_blocks(rows, f"ceil(load / {WORDS})", ["words"], partial(_similar_lines, similarity=similarity), partial(_similar_line_pairs, similarity=similarity))
     return found, components(links).select(F.col("node").alias("line"), "component")
 
 
@@ -549,8 +747,10 @@ def deduplicate_lines(docs: DataFrame, similarity: float = 0.8, min_words: int =
     lines, gone = F.split(docs["text"], "\n", -1), F.col("_removed")
     left = F.filter(lines, lambda _, i: ~F.array_contains(gone, i.cast("long")))
     text = F.when(gone.isNull(), docs["text"]).otherwise(F.array_join(left, "\n"))
+    # Line ends are counted by bytes; only a text that loses lines is cut.
+    ends = F.octet_length(docs["text"]) - F.octet_length(F.replace(docs["text"], F.lit("\n"), F.lit("")))
     counts = [
-        F.when(F.length(docs["text"]) > 0, F.size(lines)).otherwise(0).cast("long").alias("lines_before"),
+        F.when(docs["text"] != "", ends + 1).otherwise(0).cast("long").alias("lines_before"),
         F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("long").alias("lines_removed"),
     ]
     return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns], *counts)

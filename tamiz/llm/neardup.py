@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tamiz.session import written_once
 
 from .common import bounded_broadcast, lean, numbered_texts, same_row, text_mark
-from .components import components
+from .components import components, stars
 from .words import mix, words_of
 
 SYMBOLS = 60
@@ -215,21 +215,6 @@ def small_groups(cuts: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, Iterat
     return small, pairs()
 
 
-def stars(first: np.ndarray, second: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links among n rows as stars: (row, the smallest row that it is connected to) of all rows but those."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        low = np.minimum(label[first], label[second])
-        np.minimum.at(label, first, low)
-        np.minimum.at(label, second, low)
-        label = label[label]
-        if (label == before).all():
-            break
-    own = np.flatnonzero(label != np.arange(n))
-    return own, label[own]
-
-
 def _by_group(
     batches: Iterable[pa.RecordBatch], pairs: Callable[[Rows, np.ndarray], Iterator], near: Callable[[Rows, np.ndarray, np.ndarray], np.ndarray] | None
 ) -> Iterator[pa.RecordBatch]:

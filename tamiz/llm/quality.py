@@ -64,7 +64,7 @@ _KINDS = [
 def features(column: pa.Array) -> Iterator[list[np.ndarray]]:
     """For runs of texts of a column, the distinct feature numbers of each text."""
     for _, _, data, offsets in pieces(column):
-        words = Words(data, offsets, LETTERS)
+        words = Words(data, offsets, LETTERS, by_bytes=True)
         sizes = np.diff(offsets)
         n = np.diff(words.bounds)
         upto = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[offsets])

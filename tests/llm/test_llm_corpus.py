@@ -49,6 +49,18 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize(("part", "most"), [(1 << 20, 1), (50, 9)])
+def test_edges_are_connected_in_parts_before_the_rounds(spark, monkeypatch, part, most):
+    """A long path that fits into a task needs one round, which changes nothing; in parts it gives the same."""
+    monkeypatch.setattr(components, "PART", part, raising=False)
+    rounds, star = [], components._large_star
+    monkeypatch.setattr(components, "_large_star", lambda edges: (rounds.append(1), star(edges))[1])
+    path = list(range(0, 300, 2)) + list(range(1, 300, 2))
+    edges = spark.createDataFrame(list(zip(path, path[1:], strict=False)), "a long, b long")
+    got = components.components(edges).collect()
+    assert {tuple(r) for r in got} == {(i, 0) for i in range(300)} and len(got) == 300 and len(rounds) <= most
+
+
 # --- passages ------------------------------------------------------------------------------------------------------
 
 
@@ -363,6 +375,89 @@ def test_lines_with_a_gram_out_of_place_are_not_compared():
     assert met(batch, more) >= 2
 
 
+@pytest.mark.parametrize(("cells", "few"), [(1 << 16, 16), (1000, 1), (50, 1)])
+def test_edit_distances_of_many_pairs_are_reckoned_together(monkeypatch, cells, few):
+    monkeypatch.setattr(lines, "CELLS", cells)
+    monkeypatch.setattr(lines, "FEW", few)
+    rng = random.Random(7)
+    own = [[rng.randrange(4) for _ in range(rng.choice([1, 2, 7, 8, 9, 16, 33]))] for _ in range(60)]
+    own += [[x for x in a if rng.random() < 0.9] or [1] for a in own]
+    sizes = np.array([len(a) for a in own])
+    words = np.array([x for a in own for x in a], dtype=np.uint64)
+    pairs = np.array([(rng.randrange(120), rng.randrange(120)) for _ in range(400)] + [(i, i + 60) for i in range(60)])
+    got = lines.edit_distances(words, np.cumsum(sizes) - sizes, sizes, *pairs.T)
+    assert got.tolist() == [plain.edit_distance(own[a], own[b]) for a, b in pairs]
+
+
+@pytest.mark.parametrize("sides", [1, 2])
+def test_only_lines_of_like_sizes_are_looked_at(monkeypatch, sides):
+    """The links of near lines connect what all pairs do, and the pairs that are too far apart in size are not looked at."""
+    monkeypatch.setattr(lines, "ABREAST", 64)
+    rng = np.random.default_rng(4)
+    sizes = np.repeat(2 ** np.arange(2, 9), 8)  # no size is similar to another
+    words = rng.integers(0, 1 << 63, sizes.sum(), dtype=np.uint64)
+    last = np.cumsum(sizes)
+    codes = lines.sketches(words, last - sizes, last)
+    codes[1::2] = codes[::2]  # near each other
+    by = rng.permutation(len(sizes))
+    side = np.sort(np.arange(len(sizes)) % sides)
+    rows = {"n_words": sizes[by]} | {c: codes[by, i].view(np.int64) for i, c in enumerate(lines._SKETCHES)}
+    groups, linked = plain.Sets(range(len(by))), plain.Sets(range(len(by)))
+    for a in range(len(by)):
+        for b in range(a + 1, len(by)):
+            if (codes[by[a]] == codes[by[b]]).all() and (sides == 1 or side[a] != side[b]):
+                groups.join(a, b)
+    looked, count = [], np.bitwise_count
+    monkeypatch.setattr(lines.np, "bitwise_count", lambda x: (looked.append(x.size), count(x))[1])
+    for a, b in lines._near_lines(rows, side, 0.8):
+        linked.join(a, b)
+    assert [linked.find(i) for i in range(len(by))] == [groups.find(i) for i in range(len(by))]
+    assert sum(looked) < lines.SKETCH * len(by) * 16
+
+
+def test_a_large_cluster_is_linked_like_all_pairs(monkeypatch):
+    monkeypatch.setattr(lines, "PAIRS", 20)
+    found = [list(map(hash, x)) for x in sorted(set(edited_lines(23, 60)))]
+    rows = {"words": [np.array([x & (1 << 64) - 1 for x in words], dtype=np.uint64).tobytes() for words in found]}
+    for sides in (np.zeros(len(found), dtype=int), np.sort(np.arange(len(found)) % 2)):
+        groups, linked, small = (plain.Sets(range(len(found))) for _ in range(3))
+        first, second = np.triu_indices(len(found), 1)
+        told = lines._similar_line_pairs(rows, first, second, 0.8)
+        for a, b, near in zip(first.tolist(), second.tolist(), told.tolist(), strict=True):
+            longer = max(len(found[a]), len(found[b]))
+            if 5 * plain.edit_distance(found[a], found[b]) <= longer and (sides[a] != sides[b] or not sides.any()):
+                groups.join(a, b)
+            if near:
+                small.join(a, b)
+        for a, b in lines._similar_lines(rows, sides, 0.8):
+            linked.join(a, b)
+        own = [groups.find(i) for i in range(len(found))]
+        assert [linked.find(i) for i in range(len(found))] == own
+        assert sides.any() or [small.find(i) for i in range(len(found))] == own
+
+
+def test_words_of_letters_are_hashed_whole():
+    """Words are the same as when each byte is looked at; equal ones have equal hashes, whatever their case and what follows them."""
+    rng = random.Random(9)
+    for _ in range(200):
+        own = [bytes(rng.choice(b"abAB z\n.09\x00\xc3\xa9") for _ in range(rng.randrange(60))) for _ in range(rng.randrange(5))]
+        data = np.frombuffer(b"".join(own), np.uint8)
+        offsets = np.append(0, np.cumsum([len(x) for x in own])).astype(np.int64)
+        new, old = Words(data, offsets, LETTERS), Words(data, offsets, LETTERS, by_bytes=True)
+        assert all((getattr(new, c) == getattr(old, c)).all() for c in ("starts", "ends", "bounds"))
+        told = {(a, b) for a, b in zip(new.hashes.tolist(), old.hashes.tolist(), strict=True)}
+        assert len(told) == len(set(new.hashes.tolist())) == len(set(old.hashes.tolist()))
+
+
+def test_holders_of_rare_grams_are_counted_where_they_meet():
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["one two three four five six\none two three four five seven"])], names=["doc_id", "text"])
+    packed = list(lines._packed([batch], weights=np.zeros(lines.CLASSES, np.uint8), similarity=0.8, min_words=1, buckets=1))
+    rows = [r for out in lines._shared(packed, similarity=0.8) for r in out.to_pylist()]
+    held = {r["group"]: {x["doc_id"] for x in rows if x["group"] == r["group"] and x["doc_id"] is not None} for r in rows}
+    counts = {r["group"]: (r["n"], r["x"]) for r in rows if r["doc_id"] is None}
+    assert held and counts == {g: (2, a ^ b) for g, (a, b) in held.items()} and not any(r["often"] for r in rows)
+
+
 def test_copies_of_short_lines_go_in_the_query(spark, tmp_path):
     rows = [(1, "x y\nHome\n--\n世界世界"), (2, "X, y!\nnot home"), (3, "home\n--\n\n世界世界\nhomes"), (4, "y x")]
     table(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
