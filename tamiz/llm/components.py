@@ -1,7 +1,8 @@
 """Connected components of a graph given as edges, by alternating large-star and small-star rounds.
 
-Edges are first connected in parts of bounded size, each by one task, which spares most rounds. Every round replaces the edges by at most as many that span the same components and lie closer to stars around the smallest
-node. All state is a table in the shared folder, so lineage stays short and a lost executor costs a task, not the run.
+Edges are first connected in parts of bounded size, each by one task, which spares most rounds. Every round replaces the edges by at
+most as many that span the same components and lie closer to stars around the smallest node. All state is a table in the shared
+folder, so lineage stays short and a lost executor costs a task, not the run.
 """
 
 from __future__ import annotations

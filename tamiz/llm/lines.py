@@ -10,8 +10,8 @@
    with one holder are dropped in buckets of packed arrays, and so are holders with no other whose words before and behind the gram
    are as many but for the edits allowed; grams with the same holders as another are dropped by counts and XORs. The unedited
    words of two similar lines are in one order, so the first gram that both have unedited is met in place.
-3. Holders of a gram are compared by ``SKETCH`` * 64 parities of word counts, of which an edit changes two at most, in blocks that
-   give spanning forests; the components are clusters. Neither step loses a pair that is similar enough.
+3. Holders of a gram are compared by ``SKETCH`` * 64 parities of word counts, of which an edit changes two at most, and long lines by
+   ``TALLY`` word counts too, in blocks that give spanning forests; the components are clusters. No pair that is similar enough is lost.
 4. In a cluster, lines whose word edit similarity 1 - distance / longer length reaches ``similarity`` are linked, again in
    blocks. Each group of linked lines keeps its first occurrence by (doc_id, text mark, line number); the others are removed.
 
@@ -67,6 +67,8 @@ LONG, CELLS = 512, 1 << 16
 FEW, PAIRS = 16, 1 << 12
 #: Classes of words, as a power of two, that the lines of a large cluster are compared by in any order.
 WORD_BITS = 18
+#: Words from which on a line is also described by how many of its words are of each of TALLY classes.
+TALLIED, TALLY = 128, 64
 _SKETCHES = [f"sketch{i}" for i in range(SKETCH)]
 
 
@@ -111,6 +113,14 @@ def sketches(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, wide: int
     return out.reshape(-1, wide)
 
 
+def tallies(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For each span how many of its values are of each of TALLY classes, up to 255."""
+    n = last - first
+    at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    cell = np.repeat(np.arange(len(n)), n) * TALLY + (hashes[at] & np.uint64(TALLY - 1)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=len(n) * TALLY), 255).astype(np.uint8).reshape(-1, TALLY)
+
+
 def _word_class(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - CLASSES.bit_length() + 1)).astype(np.int64)
 
@@ -347,7 +357,7 @@ def _shared(batches: Iterable[pa.RecordBatch], similarity: float) -> Iterator[pa
 
 def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     """The lines of texts; a task's last row has no line but how many of its words are of each class."""
-    names = ["doc_id", "mark", "line_no", "line", "check", *_SKETCHES, "n_words", "counts"]
+    names = ["doc_id", "mark", "line_no", "line", "check", *_SKETCHES, "n_words", "tally", "counts"]
     counts = np.zeros(CLASSES, dtype=np.int64)
     met, size = [np.zeros(0, dtype=np.int64)], 0
     for batch in batches:
@@ -360,7 +370,8 @@ def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[
                 met, size = met[:1], 0
             keep = last - first >= min_words
             text, number, first, last = text[keep], number[keep], first[keep], last[keep]
-            codes = sketches(words.hashes, first, last)
+            codes, many = sketches(words.hashes, first, last), last - first > TALLIED
+            tally = tallies(words.hashes, first[many], last[many])
             arrays = [
                 *(batch.column(c).take(pa.array(text + i)) for c in (0, 2)),
                 pa.array(number, pa.int64()),
@@ -368,6 +379,7 @@ def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[
                 pa.array(sequence_hashes(mix(words.hashes + np.uint64(1)), first, last).view(np.int64)),
                 *(pa.array(np.ascontiguousarray(codes[:, i]).view(np.int64)) for i in range(SKETCH)),
                 pa.array(last - first, pa.int64()),
+                _cut(tally.ravel(), TALLY * (np.cumsum(many) - many)),
                 pa.nulls(len(first), pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -375,8 +387,8 @@ def _occurrences(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[
     told = np.zeros(np.count_nonzero(counts), dtype=_COUNT)
     told["class"] = np.flatnonzero(counts)
     told["n"] = counts[told["class"]]
-    arrays = [pa.nulls(1, pa.int64()) for _ in names[:-1]]
-    yield pa.RecordBatch.from_arrays([*arrays, pa.array([told.tobytes()], pa.binary())], names=names)
+    arrays = [pa.nulls(1, pa.int64()) for _ in names[:-2]]
+    yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(1, pa.binary()), pa.array([told.tobytes()], pa.binary())], names=names)
 
 
 def _sequences(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -472,27 +484,59 @@ def _joined(label: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndar
     return new[label]
 
 
+def _alike(rows: Rows, first: np.ndarray, second: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """For pairs of rows whether their counts of words differ by ``limit`` at most, where both have some.
+
+    Parities say little of two lines of many words: those of unlike lines differ by half of the bits at most.
+    """
+    tally = rows.get("tally", [])
+    many = np.array([bool(x) for x in tally])
+    out = np.ones(len(first), dtype=bool)
+    if not many.any():
+        return out
+    own, counts = np.cumsum(many) - 1, np.frombuffer(b"".join(x for x in tally if x), dtype=np.uint8).reshape(-1, TALLY)
+    told = np.flatnonzero(many[first] & many[second])
+    for i in range(0, len(told), ABREAST // TALLY):
+        part = told[i : i + ABREAST // TALLY]
+        a, b = counts[own[first[part]]], counts[own[second[part]]]
+        out[part] = (np.maximum(a, b) - np.minimum(a, b)).sum(axis=1, dtype=np.int64) <= limit[part]
+    return out
+
+
+def _limits(sizes: np.ndarray, first: np.ndarray, second: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of rows how much their sizes differ less than is allowed, and how many parities or counts of words may differ.
+
+    A replaced word changes two of these, an added one changes one, and there are as many added as the sizes differ.
+    """
+    allowed = np.floor((1 - similarity) * sizes + 1e-9).astype(np.int32)
+    edits = np.maximum(allowed[first], allowed[second])  # those of the longer line
+    apart = np.abs(sizes[first] - sizes[second])
+    return edits - apart, 2 * edits - apart
+
+
 def _near_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
     """Links of each row to the smallest row that pairs of near lines connect it to."""
     codes = np.stack([rows[c].view(np.uint64) for c in _SKETCHES], axis=1)
-    label = np.arange(len(codes))
-    for first, second in _near_blocks(codes, rows["n_words"], sides, similarity):
-        label = _joined(label, first, second)
+    sizes, label = rows["n_words"].astype(np.int32), np.arange(len(codes))
+    for first, second in _near_blocks(codes, sizes, sides, similarity):
+        new = label[first] != label[second]
+        first, second = first[new], second[new]
+        near = _alike(rows, first, second, _limits(sizes, first, second, similarity)[1])
+        label = _joined(label, first[near], second[near])
     own = np.flatnonzero(label != np.arange(len(label)))
     yield from zip(own.tolist(), label[own].tolist(), strict=True)
 
 
 def _near_line_pairs(rows: Rows, first: np.ndarray, second: np.ndarray, similarity: float) -> np.ndarray:
     """For pairs of rows whether ``_near_lines`` links them."""
-    sizes = rows["n_words"].astype(np.int32)
-    allowed = np.floor((1 - similarity) * sizes + 1e-9).astype(np.int32)
-    edits = np.maximum(allowed[first], allowed[second])  # those of the longer line
-    apart = np.abs(sizes[first] - sizes[second])
-    near = apart <= edits
+    spare, limit = _limits(rows["n_words"].astype(np.int32), first, second, similarity)
+    near = spare >= 0
     at = np.flatnonzero(near)
     i, j = first[at], second[at]
     bits = sum(np.bitwise_count(rows[c].view(np.uint64)[i] ^ rows[c].view(np.uint64)[j]).astype(np.int64) for c in _SKETCHES)
-    near[at] = bits <= 2 * edits[at] - apart[at]
+    near[at] = bits <= limit[at]
+    at = at[near[at]]
+    near[at] = _alike(rows, first[at], second[at], limit[at])
     return near
 
 
@@ -531,10 +575,11 @@ def edit_distances(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, fir
         at = by[: max(1, CELLS // max(n, 1))]
         at = at[sizes[first[at]] <= n]
         by = by[len(at) :]
+        a, b, wide = first[at], second[at], n // 8 + 1  # a bit or more between two pairs
         if len(at) < FEW:
-            out[at] = [edit_distance(*(words[starts[c] : starts[c] + sizes[c]].tolist() for c in pair)) for pair in zip(first[at], second[at], strict=True)]
+            spans = [[words[starts[c] : starts[c] + sizes[c]].tolist() for c in pair] for pair in zip(a, b, strict=True)]
+            out[at] = [edit_distance(x, y) for x, y in spans]
             continue
-        a, b, wide = first[at], second[at], n // 8 + 1  # a bit or more between two pairs
         rows = words[np.minimum(starts[a][:, None] + np.arange(n), len(words) - 1)]
         told = np.arange(n) < sizes[a][:, None]
         field = np.zeros((len(at), 8 * wide), dtype=bool)
@@ -565,9 +610,10 @@ def _flat(rows: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, np.cumsum(sizes) - sizes, sizes
 
 
-def _shared_by_pair(words: np.ndarray, sizes: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """What tells for pairs of lines how many words they can match at most, in any order; words of one of 2^WORD_BITS classes count as equal."""
-    cells, n = np.unique(np.repeat(np.arange(len(sizes)), sizes) << WORD_BITS | (mix(words) >> np.uint64(64 - WORD_BITS)).astype(np.int64), return_counts=True)
+def _shared_by_pair(values: np.ndarray, sizes: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """What tells for pairs of lines how many values they share at most, in any order; those of one of 2^WORD_BITS classes count as equal."""
+    own = (mix(values) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+    cells, n = np.unique(np.repeat(np.arange(len(sizes)), sizes) << WORD_BITS | own, return_counts=True)
     which = cells & ((1 << WORD_BITS) - 1)
     starts = np.searchsorted(cells, np.arange(len(sizes) + 1) << WORD_BITS)
     here = np.zeros(1 << WORD_BITS, dtype=np.int64)
@@ -642,13 +688,22 @@ def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator
         words, starts, _ = flat = _flat(rows)
         codes = sketches(words, starts, starts + sizes, SKETCH * (1 + int(sizes.mean()) // 64))
         label, waiting, n = np.arange(m), [], 0
+        last = np.zeros(len(words), dtype=bool)
+        last[starts + sizes - 1] = True
         shared = _shared_by_pair(words, sizes)
+        shared_pairs = _shared_by_pair((words[:-1] * _PLACES[0] + words[1:] * _PLACES[1])[~last[:-1]], sizes - 1)
         for first, second in _near_blocks(codes, sizes, sides, similarity):
             new = label[first] != label[second]
             first, second = first[new], second[new]
-            enough = shared(first, second) >= similarity * np.maximum(sizes[first], sizes[second]) - 1e-9
-            waiting.append((first[enough], second[enough]))
-            n += np.count_nonzero(enough)
+            for k, told in ((1, shared), (2, shared_pairs)):  # an edit changes k of a line's runs of k words
+                longer = np.maximum(sizes[first], sizes[second])
+                least = longer + 1 - k - k * np.floor((1 - similarity) * longer + 1e-9).astype(np.int64)
+                enough = least <= 0
+                some = np.flatnonzero(~enough)
+                enough[some] = told(first[some], second[some]) >= least[some]
+                first, second = first[enough], second[enough]
+            waiting.append((first, second))
+            n += len(first)
             if n >= PAIRS:
                 label, met = _linked(flat, label, *_both(waiting), similarity)
                 yield from met
@@ -674,7 +729,7 @@ def _similar_lines(rows: Rows, sides: np.ndarray, similarity: float) -> Iterator
 def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """(occurrences of lines, (line, component) of the lines that are linked to a different one)."""
     codes = ", ".join(f"{c} long" for c in _SKETCHES)
-    schema = f"doc_id long, mark long, line_no long, line long, check long, {codes}, n_words long, counts binary"
+    schema = f"doc_id long, mark long, line_no long, line long, check long, {codes}, n_words long, tally binary, counts binary"
     texts = numbered_texts(docs).where("doc_id is not null and text is not null").withColumn("mark", text_mark())
     told = written_once(texts.mapInArrow(lean(partial(_occurrences, min_words=min_words)), schema), "lines")
     found = told.where("line is not null").drop("counts")
@@ -700,7 +755,10 @@ def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS)
     chosen = written_once(held.groupBy("n", "x").agg(F.min("group").alias("group")).select("group", "n"), "line-keys")
     holders = filed.join(bounded_broadcast(chosen, 1 << 20), "group")
     holders = holders.join(classes.select(F.col("line").alias("doc_id"), *described), "doc_id")
-    near = in_blocks(holders, f"ceil(n / {HOLDERS})", described, partial(_near_lines, similarity=similarity), partial(_near_line_pairs, similarity=similarity))
+    long = found.where(f"n_words > {TALLIED}").groupBy(F.col("line").alias("doc_id")).agg(F.min("tally").alias("tally"))
+    holders = holders.join(long, "doc_id", "left")
+    look, look_side_by_side = (partial(f, similarity=similarity) for f in (_near_lines, _near_line_pairs))
+    near = in_blocks(holders, f"ceil(n / {HOLDERS})", [*described, "tally"], look, look_side_by_side)
     clusters = components(near).select(F.col("node").alias("line"), F.col("component").alias("group"))
 
     members = written_once(classes.join(clusters, "line"), "line-clusters")
@@ -711,7 +769,8 @@ def line_groups(docs: DataFrame, similarity: float, min_words: int = MIN_WORDS)
     own = members.select(F.col("line").alias("doc_id"), "group")
     load = members.groupBy("group").agg(F.sum("n_words").alias("load"))
     rows = sequences.dropDuplicates(["doc_id"]).join(own, "doc_id").join(load, "group")
-    links = in_blocks(rows, f"ceil(load / {WORDS})", ["words"], partial(_similar_lines, similarity=similarity), partial(_similar_line_pairs, similarity=similarity))
+    look, look_side_by_side = (partial(f, similarity=similarity) for f in (_similar_lines, _similar_line_pairs))
+    links = in_blocks(rows, f"ceil(load / {WORDS})", ["words"], look, look_side_by_side)
     return found, components(links).select(F.col("node").alias("line"), "component")
 
 

@@ -458,6 +458,28 @@ def test_holders_of_rare_grams_are_counted_where_they_meet():
     assert held and counts == {g: (2, a ^ b) for g, (a, b) in held.items()} and not any(r["often"] for r in rows)
 
 
+def test_long_lines_are_told_apart_by_counts_of_words():
+    """Counts of words part lines that parities do not, and never two that are similar enough."""
+    rng = random.Random(13)
+    own = [[rng.randrange(1 << 63) if rng.random() < 0.5 else rng.randrange(5) for _ in range(rng.randrange(129, 200))] for _ in range(12)]
+    own += [[x if rng.random() < 0.9 else rng.randrange(1 << 63) for x in a] + [7] * rng.randrange(9) for a in own]
+    sizes = np.array([len(a) for a in own])
+    words, last = np.array([x for a in own for x in a], dtype=np.uint64), np.cumsum(sizes)
+    tally = [x.tobytes() for x in lines.tallies(words, last - sizes, last)]
+    first, second = np.triu_indices(len(own), 1)
+    similar = np.array([5 * plain.edit_distance(own[a], own[b]) <= max(len(own[a]), len(own[b])) for a, b in zip(first, second, strict=True)])
+    rows = {"n_words": sizes, "tally": np.array(tally, dtype=object)} | {c: np.zeros(len(own), dtype=np.int64) for c in lines._SKETCHES}
+    near = lines._near_line_pairs(rows, first, second, 0.8)
+    assert similar.sum() == 12 and near[similar].all() and near.sum() < 30
+    rows["tally"][::2] = None
+    assert lines._near_line_pairs(rows, first, second, 0.8).sum() > 100
+    linked = plain.Sets(range(len(own)))
+    rows["tally"] = np.array(tally, dtype=object)
+    for a, b in lines._near_lines(rows, np.zeros(len(own), dtype=int), 0.8):
+        linked.join(a, b)
+    assert all(linked.find(a) == linked.find(a + 12) for a in range(12)) and len({linked.find(a) for a in range(24)}) > 6
+
+
 def test_copies_of_short_lines_go_in_the_query(spark, tmp_path):
     rows = [(1, "x y\nHome\n--\n世界世界"), (2, "X, y!\nnot home"), (3, "home\n--\n\n世界世界\nhomes"), (4, "y x")]
     table(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
